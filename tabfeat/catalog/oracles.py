@@ -213,10 +213,10 @@ def mi(source: str, columns, target: str, bins: int = 16) -> str:
     """CTE ``mi`` with the score of every column of ``source``."""
     return f"""edges AS (SELECT {', '.join(f'{inner_edges(c, bins)} AS e_{c}' for c in (*columns, target))} FROM {source}),
 codes AS ({' UNION ALL '.join(f'''SELECT '{c}' AS feature, {i}::BIGINT AS position, {code(c, f'e_{c}')} AS bx,
-  {code(target, f'e_{target}')} AS by FROM {source}, edges''' for i, c in enumerate(columns))}),
-cnt AS (SELECT feature, position, bx, by, count(*)::DOUBLE AS n FROM codes GROUP BY ALL),
+  {code(target, f'e_{target}')} AS yb FROM {source}, edges''' for i, c in enumerate(columns))}),
+cnt AS (SELECT feature, position, bx, yb, count(*)::DOUBLE AS n FROM codes GROUP BY ALL),
 part AS (SELECT *, sum(n) OVER (PARTITION BY feature) AS t, sum(n) OVER (PARTITION BY feature, bx) AS px,
-  sum(n) OVER (PARTITION BY feature, by) AS py FROM cnt),
+  sum(n) OVER (PARTITION BY feature, yb) AS py FROM cnt),
 mi AS (SELECT feature, position, greatest(sum(n / t * ln(n * t / (px * py))), 0) AS score FROM part GROUP BY 1, 2)"""
 
 
@@ -255,7 +255,7 @@ shaped AS (SELECT {KEY}, split, discount_amount, {', '.join(f"{yeo_johnson(c, '0
 expanded AS (SELECT {KEY}, split, discount_amount, {poly(INTER)} FROM shaped),
 xtrain AS (SELECT * FROM expanded WHERE split = 'train'),
 {mi('xtrain', _POLY, 'discount_amount')},
-w AS (SELECT feature, position, row_number() OVER (ORDER BY position) - 1 AS at FROM
+w AS (SELECT feature, position, row_number() OVER (ORDER BY position) - 1 AS place FROM
   (SELECT * FROM mi ORDER BY score DESC, position LIMIT 4))"""
 Q["advanced_chain"] = f"""WITH {_advanced},
 u AS (UNPIVOT (SELECT {KEY}, split, {', '.join(_POLY)} FROM expanded) ON {', '.join(_POLY)} INTO NAME feature VALUE value),
@@ -263,7 +263,7 @@ q AS (SELECT feature, quantile_cont(value, 0.5) AS mid, quantile_cont(value, 0.7
   FROM u WHERE split = 'train' GROUP BY 1)
 SELECT {KEY}, feature, {r('(value - mid) / coalesce(nullif(iqr, 0), 1)')} AS value FROM u JOIN q USING (feature) SEMI JOIN w USING (feature)"""
 Q["mi_importance"] = f"WITH {_advanced} SELECT feature, position, {r('score')} AS score FROM mi"
-Q["feature_names"] = f"WITH {_advanced} SELECT at AS position, feature FROM w"
+Q["feature_names"] = f"WITH {_advanced} SELECT place AS position, feature FROM w"
 _names = ",".join(INTER)
 Q["chain_info"] = f"""WITH {_advanced}, kept AS (SELECT string_agg(feature, ',' ORDER BY position) AS names, count(*) AS n FROM w)
 SELECT pos::BIGINT AS pos, step, type, variables, n_output::BIGINT AS n_output FROM (VALUES

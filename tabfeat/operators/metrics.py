@@ -182,8 +182,9 @@ def one_metric(predictions: DataFrame, metric: str, order_by: Sequence[str] = ()
 def compare_models(metrics: DataFrame, splits: Sequence[str] = ("test", "val")) -> DataFrame:
     """One row per model with ``test_*`` and ``val_*`` columns, best test error first."""
     names = [f"{s}_{m}" for s in splits for m in METRICS]
-    wide = (metrics.where(F.col("split").isin(list(splits)))
-            .groupBy("model").pivot(F.concat_ws("_", "split", "metric"), names).agg(F.first("value")))
+    named = metrics.where(F.col("split").isin(list(splits))).select(
+        "model", F.concat_ws("_", "split", "metric").alias("name"), "value")
+    wide = named.groupBy("model").pivot("name", names).agg(F.first("value"))
     return wide.orderBy(F.asc_nulls_last("test_rmse"), "model")
 
 
