@@ -42,8 +42,8 @@ INTER_SPLIT = f"{LINE}, {split_of('line')}"
 
 
 def hash_split(key: str) -> str:
-    bucket = f"('0x' || substr({digest('split', key)}, 1, 8))::BIGINT % 10000"
-    return f"CASE WHEN {bucket} < 2000 THEN 'test' WHEN {bucket} < 4000 THEN 'val' ELSE 'train' END"
+    order = digest("split", key)
+    return f"CASE WHEN {order} < '33333333' THEN 'test' WHEN {order} < '66666666' THEN 'val' ELSE 'train' END"
 
 
 EVENTS = """evt AS (SELECT event_id, ts, value, hour(ts)::DOUBLE AS hour, day(ts)::DOUBLE AS day,
@@ -306,7 +306,7 @@ f AS (SELECT regr_slope(charge, x) AS slope, regr_intercept(charge, x) AS interc
 p AS (SELECT 'linear_regression_basic' AS model, split, {KEY}, charge AS y, slope * x + intercept AS pred FROM x, f),
 {measure_ctes('p', 'model, split', KEY)}
 SELECT model, split, metric, {r('value', 4)} AS value FROM long"""
-_cv = f"""{LINE}, folded AS (SELECT *, ('0x' || substr({digest('fold')}, 1, 8))::BIGINT % 5 AS fold FROM line),
+_cv = f"""{LINE}, folded AS (SELECT *, len(list_filter(['33333333', '66666666', '99999999', 'cccccccc'], lambda e: {digest('fold')} >= e))::BIGINT AS fold FROM line),
 fits AS (SELECT k.fold, regr_slope(charge, l_extendedprice) AS slope, regr_intercept(charge, l_extendedprice) AS intercept
   FROM folded l JOIN (SELECT unnest(range(5)) AS fold) k ON l.fold <> k.fold GROUP BY 1),
 scores AS (SELECT fold, -avg(pow(charge - (slope * l_extendedprice + intercept), 2)) AS score FROM folded JOIN fits USING (fold) GROUP BY 1)"""

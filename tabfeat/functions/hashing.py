@@ -18,6 +18,15 @@ def key_digest(key: Sequence[str], seed: int, purpose: str = "split") -> Column:
     return F.md5(F.concat_ws("|", *parts, F.lit(f"{purpose}-{seed}")))
 
 
+def share_mark(share: float) -> str:
+    """Digests below this text make up ``share`` of all digests."""
+    return "g" if share >= 1 else format(int(share * 2**32), "08x")
+
+
 def digest_bucket(digest: Column, buckets: int) -> Column:
-    """Uniform bucket number 0..buckets-1 from the first 32 bits of a digest."""
-    return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint"), F.lit(buckets)).cast("int")
+    """Bucket number 0..buckets-1, equal shares of the digest range."""
+    passed = [(digest >= share_mark(i / buckets)).cast("int") for i in range(1, buckets)]
+    number = F.lit(0)
+    for p in passed:
+        number = number + p
+    return number

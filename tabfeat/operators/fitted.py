@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -17,6 +17,7 @@ class FittedStep:
     inputs: tuple[str, ...]
     outputs: Mapping[str, Column]
     params: Mapping[str, str] = field(default_factory=dict)
+    levels: Mapping[str, Sequence[float]] | None = None  # all values an output can take, where they are few
 
     @property
     def features(self) -> tuple[str, ...]:

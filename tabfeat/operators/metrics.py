@@ -15,12 +15,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabfeat.fixed_values import HIGHER_IS_BETTER, METRICS
-from tabfeat.operators.quantiles import exact_quantiles
+from tabfeat.operators.quantiles import exact_series_quantiles
 from tabfeat.operators.rank import global_rank
 from tabfeat.session import small_side, tiny_table
 
 GROUP = ("model", "split")
-WIDE_GROUPS = 48
+COUNTED_GROUPS = 256
+SCALED = "mean_absolute_scaled_error"
 _INF = float("inf")
 
 
@@ -51,24 +52,6 @@ def moment_metrics() -> dict[str, Column]:
     }
 
 
-def group_medians(df: DataFrame, by: Sequence[str], value: Column, name: str) -> DataFrame:
-    """Exact median of ``value`` per group, without holding a group in one task.
-
-    A few groups become columns of one counting scan; many groups are ranked by a range sort.
-    """
-    groups = df.select(*by).distinct().limit(WIDE_GROUPS + 1).collect()
-    if len(groups) > WIDE_GROUPS:
-        return _ranked_medians(df, by, value, name)
-
-    def member(g) -> Column:
-        return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(by, g, strict=True)])
-
-    found = exact_quantiles(df, {str(i): F.when(member(g), value) for i, g in enumerate(groups)}, (0.5,))
-    types = dict(df.dtypes)
-    schema = ", ".join([*(f"`{c}` {types[c]}" for c in by), f"{name} double"])
-    return tiny_table(df.sparkSession, [(*g, found[str(i)][0]) for i, g in enumerate(groups)], schema)
-
-
 def _ranked_medians(df: DataFrame, by: Sequence[str], value: Column, name: str) -> DataFrame:
     valued = df.select(*by, value.cast("double").alias("_v")).where("_v is not null")
     # Equal values are interchangeable, so a random tie-break may spread them over partitions.
@@ -144,23 +127,55 @@ def naive_errors(df: DataFrame, by: Sequence[str], order: Sequence[str], value:
 
 def metric_table(predictions: DataFrame, order_by: Sequence[str], by: Sequence[str] = GROUP,
                  metrics: Sequence[str] = METRICS) -> DataFrame:
-    """One row per group, one column per metric; only what the named metrics need is computed."""
+    """One row per group, one column per metric; only what the named metrics need is computed.
+
+    While the groups are few, they are numbered: medians come from counting scans over the
+    numbered errors, and the result is a small local table. Many groups stay distributed.
+    """
     rows = _scored(predictions)
     plain = moment_metrics()
-    scaled = "mean_absolute_scaled_error"
-    wanted = [m for m in plain if m in metrics or (m == "mae" and scaled in metrics)]
-    table = rows.groupBy(*by).agg(F.count("*").alias("_n"), *[plain[m].alias(m) for m in wanted])
+    error = F.abs(F.col("y") - F.col("pred"))
+    wanted = [m for m in plain if m in metrics or (m == "mae" and SCALED in metrics)]
+    ordered = "median_ae" in metrics or SCALED in metrics
+    spans = [F.count("*").alias("_n"), F.min(error).alias("_lo"), F.max(error).alias("_hi")] if ordered else []
+    table = rows.groupBy(*by).agg(*spans, *[plain[m].alias(m) for m in wanted])
+    if not ordered:
+        return table.select(*by, *metrics)
+    groups = table.limit(COUNTED_GROUPS + 1).collect()
+    if len(groups) <= COUNTED_GROUPS:
+        return _numbered_table(rows, groups, order_by, by, metrics, error)
     if "median_ae" in metrics:
-        medians = group_medians(rows, by, F.abs(F.col("y") - F.col("pred")), "median_ae")
-        table = _same_group(table, medians, by)
-    if scaled in metrics:
+        table = _same_group(table, _ranked_medians(rows, by, error, "median_ae"), by)
+    if SCALED in metrics:
         table = _same_group(table, naive_errors(rows, by, order_by), by)
-        table = table.withColumn(scaled, F.when(
+        table = table.withColumn(SCALED, F.when(
             (F.col("steps") > 0) & (F.col("total") > 0),
             F.try_divide(F.col("mae"), F.try_divide(F.col("total"), F.col("steps")))).otherwise(F.lit(_INF)))
     return table.select(*by, *metrics)
 
 
+def _numbered_table(rows: DataFrame, groups: Sequence, order_by: Sequence[str], by: Sequence[str],
+                    metrics: Sequence[str], error: Column) -> DataFrame:
+    spark, types = rows.sparkSession, dict(rows.dtypes)
+    keys = ", ".join(f"`{c}` {types[c]}" for c in by)
+    # At most COUNTED_GROUPS rows.
+    numbers = F.broadcast(tiny_table(spark, [(*(g[c] for c in by), i) for i, g in enumerate(groups)], f"{keys}, b int"))
+    same = reduce(lambda a, b: a & b, [rows[c].eqNullSafe(numbers[c]) for c in by])
+    values = [g.asDict() for g in groups]
+    if "median_ae" in metrics:
+        errors = rows.join(numbers, same).select(numbers["b"], error.alias("x"))
+        medians = exact_series_quantiles(errors, [(g["_n"], g["_lo"], g["_hi"]) for g in groups], (0.5,))
+        for g, m in zip(values, medians, strict=True):
+            g["median_ae"] = m[0]
+    if SCALED in metrics:
+        steps = naive_errors(rows.join(numbers, same).select(numbers["b"], *order_by, "y"), ["b"], order_by)
+        naive = {r["b"]: r["total"] / r["steps"] if r["steps"] else 0.0 for r in steps.collect()}
+        for i, g in enumerate(values):
+            g[SCALED] = g["mae"] / naive[i] if naive.get(i) else _INF
+    schema = ", ".join([keys, *(f"{m} double" for m in metrics)])
+    return tiny_table(spark, [tuple(g[c] for c in (*by, *metrics)) for g in values], schema)
+
+
 def _same_group(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
     keys = reduce(lambda a, b: a & b, [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in by])
     joined = left.alias("l").join(right.alias("r"), keys, "left")

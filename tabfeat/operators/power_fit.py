@@ -9,19 +9,33 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabfeat.functions.literals import doubles
+
 _SCHEMA = "c int, l int, n double, mean double, m2 double, jac double"
 COARSE = tuple(np.arange(-5.0, 5.01, 0.5).tolist())
 FARTHEST = 40  # powers beyond this are not searched
 
 
-def _transform(x: np.ndarray, lambdas: np.ndarray) -> np.ndarray:
-    """Values by powers: one transformed column per power."""
-    positive = x >= 0
-    exponent = np.where(positive[:, None], lambdas, 2 - lambdas)
-    base = np.log1p(np.abs(x))[:, None]
-    with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
-        powered = np.where(exponent == 0, base, np.expm1(exponent * base) / np.where(exponent == 0, 1, exponent))
-    return np.where(positive[:, None], powered, -powered)
+def _powered(base: np.ndarray, exponent: float) -> np.ndarray:
+    return base if exponent == 0 else np.expm1(exponent * base) / exponent
+
+
+def _block_moments(x: np.ndarray, lambdas: np.ndarray):
+    """Count, means and squared deviations per power, and the sum of signed logs.
+
+    Equal values are transformed once and weighted by their count.
+    """
+    values, counts = np.unique(x, return_counts=True)
+    negative = values < 0
+    base = np.log1p(np.abs(values))
+    below, above = base[negative], base[~negative]
+    means, squares = np.empty(len(lambdas)), np.empty(len(lambdas))
+    with np.errstate(all="ignore"):
+        for j, lam in enumerate(lambdas):
+            y = np.concatenate([-_powered(below, 2 - lam), _powered(above, lam)])
+            means[j] = mean = counts @ y / len(x)
+            squares[j] = counts @ np.square(y - mean)
+    return len(x), means, squares, float(counts @ np.where(negative, -base, base))
 
 
 def _partition_moments(grids: Sequence[Sequence[float]]):
@@ -29,7 +43,7 @@ def _partition_moments(grids: Sequence[Sequence[float]]):
     powers = [np.asarray(g) for g in grids]
 
     def moments(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state = [[0.0, np.zeros(len(g)), np.zeros(len(g)), 0.0] for g in powers]
+        state = [(0, np.zeros(len(g)), np.zeros(len(g)), 0.0) for g in powers]
         for batch in batches:
             for i, grid in enumerate(powers):
                 x = batch.column(i).to_numpy(zero_copy_only=False)
@@ -37,17 +51,13 @@ def _partition_moments(grids: Sequence[Sequence[float]]):
                 if not len(x):
                     continue
                 n, mean, m2, jac = state[i]
-                y = _transform(x, grid)
+                m, block_mean, block_m2, block_jac = _block_moments(x, grid)
                 with np.errstate(all="ignore"):
-                    block_mean = y.mean(axis=0)
-                    block_m2 = np.square(y - block_mean).sum(axis=0)
                     step = block_mean - mean
-                    total = n + len(x)
-                    state[i] = [total, mean + step * len(x) / total,
-                                m2 + block_m2 + step * step * n * len(x) / total,
-                                jac + float((np.sign(x) * np.log1p(np.abs(x))).sum())]
-        rows = [(i, j, s[0], float(s[1][j]), float(s[2][j]), s[3])
-                for i, s in enumerate(state) if s[0] for j in range(len(powers[i]))]
+                    state[i] = (n + m, mean + step * m / (n + m),
+                                m2 + block_m2 + step * step * n * m / (n + m), jac + block_jac)
+        rows = [(i, j, float(n), float(mean[j]), float(m2[j]), jac)
+                for i, (n, mean, m2, jac) in enumerate(state) if n for j in range(len(powers[i]))]
         if rows:
             types = (pa.int32(), pa.int32(), *(pa.float64(),) * 4)
             names = ("c", "l", "n", "mean", "m2", "jac")
@@ -70,7 +80,7 @@ def log_likelihoods(df: DataFrame, columns: Sequence[str], grids: Mapping[str, S
               .groupBy("c", "l")
               .agg(F.sum("n").alias("n"), F.sum("jac").alias("jac"), F.first("grand").alias("grand"),
                    F.sum(F.col("m2") + F.col("n") * F.pow(F.col("mean") - F.col("grand"), 2)).alias("m2")))
-    power = F.get(F.get(F.array(*[F.array(*[F.lit(float(v)) for v in grids[c]]) for c in columns]), F.col("c")), F.col("l"))
+    power = F.get(F.get(F.array(*[doubles(grids[c]) for c in columns]), F.col("c")), F.col("l"))
     variance = F.col("m2") / F.col("n")
     return merged.select(
         "c", "l", power.alias("lam"), "n",
@@ -96,7 +106,7 @@ def best_on_grid(df: DataFrame, columns: Sequence[str], grid: Sequence[float]) -
 
 
 def fit_lambdas(df: DataFrame, columns: Sequence[str], coarse: Sequence[float] = COARSE,
-                refinements: int = 2) -> dict[str, float]:
+                refinements: int = 1) -> dict[str, float]:
     """Coarse grid, finer grids around the best power, then a parabola through the best three.
 
     Every scan serves all columns still open, each on its own grid. A grid whose best power is

@@ -1,4 +1,4 @@
-"""Exact quantiles of many columns in a few scans, without sorting or collecting the data.
+"""Exact quantiles of many columns or groups in a few scans, without sorting or collecting the data.
 
 Every scan counts values into ordered slots (one small hash aggregate, combined before the
 shuffle) and keeps only the slots that hold a wanted order statistic. Once the remaining
@@ -16,18 +16,19 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabfeat.functions.shape import bin_code
+from tabfeat.functions.literals import doubles
+from tabfeat.session import tiny_table
 
 ACCURACY = 10_000
-COLLECT_LIMIT = 50_000
+COLLECT_LIMIT = 300_000
 _HUGE = sys.float_info.max
 
 
 @dataclass
 class _Bracket:
-    """A value range of one column known to hold the order statistics ``ranks`` (0-based)."""
+    """A value range of one series known to hold the order statistics ``ranks`` (0-based)."""
 
-    column: str
+    series: int
     lo: float
     hi: float
     below: int
@@ -47,7 +48,7 @@ def approximate_quantiles(df: DataFrame, columns: Mapping[str, Column] | Sequenc
     columns = _as_columns(columns)
     if not columns:
         return {}
-    wanted = F.array(*[F.lit(float(p)) for p in probs])
+    wanted = doubles(probs)
     row = df.agg(*[F.percentile_approx(e, wanted, accuracy).alias(f"q{i}")
                    for i, e in enumerate(columns.values())]).first()
     return {c: list(row[i]) if row[i] is not None else [None] * len(probs) for i, c in enumerate(columns)}
@@ -59,64 +60,71 @@ def exact_quantiles(df: DataFrame, columns: Mapping[str, Column] | Sequence[str]
     columns = _as_columns(columns)
     if not columns:
         return {}
-    names = list(columns)
-    row = df.agg(*[f(columns[c]).alias(f"{k}{i}") for i, c in enumerate(names)
+    row = df.agg(*[f(e).alias(f"{k}{i}") for i, e in enumerate(columns.values())
                    for k, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]).first()
-    sizes = {c: row[f"n{i}"] for i, c in enumerate(names)}
-    found: dict[str, dict[int, float]] = {c: {} for c in names}
+    spans = [(row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"]) for i in range(len(columns))]
+    values = (df.select(F.posexplode(F.array(*columns.values())).alias("b", "x")).where("x is not null"))
+    return dict(zip(columns, _order_statistics(values, spans, probs, collect_limit), strict=True))
+
+
+def exact_series_quantiles(values: DataFrame, spans: Sequence[tuple], probs: Sequence[float],
+                           collect_limit: int = COLLECT_LIMIT) -> list[list[float | None]]:
+    """The same for long rows ``(b, x)``: value ``x`` of series number ``b``, numbered from 0.
+
+    ``spans`` holds each series' count, smallest and largest value.
+    """
+    return _order_statistics(values.where("x is not null"), spans, probs, collect_limit)
+
+
+def _order_statistics(values: DataFrame, spans: Sequence[tuple], probs: Sequence[float],
+                      collect_limit: int) -> list[list[float | None]]:
+    found: list[dict[int, float]] = [{} for _ in spans]
     brackets = []
-    for i, c in enumerate(names):
-        n = sizes[c]
+    for i, (n, lo, hi) in enumerate(spans):
         ranks = sorted({r for p in probs for r in (math.floor((n - 1) * p), math.ceil((n - 1) * p))}) if n else []
-        brackets.append(_Bracket(c, row[f"lo{i}"], row[f"hi{i}"], 0, n, ranks))
-    first = True
-    while brackets := _unsettled(brackets, found):
+        brackets.append(_Bracket(i, lo, hi, 0, n, ranks))
+    numbers = {i: i for i in range(len(spans))}  # value of ``b`` to index in ``brackets``
+    spread = True
+    while True:
+        for b in brackets:
+            if b.lo == b.hi:
+                found[b.series].update(dict.fromkeys(b.ranks, b.lo))
+        chosen = {k: brackets[i] for k, i in numbers.items() if brackets[i].ranks and brackets[i].lo != brackets[i].hi}
+        if not chosen:
+            break
+        brackets = list(chosen.values())
+        if len(chosen) < len(numbers) or not spread:
+            values = _only(values, list(chosen))
         if sum(b.size for b in brackets) <= collect_limit:
-            _count_values(df, columns, brackets, found)
+            _count_values(values, brackets, found)
             break
-        brackets = _narrow(df, columns, brackets, spread=first)
-        first = False
+        values, brackets, numbers = _narrow(values, brackets, spread)
+        spread = False
 
-    def answer(c: str, p: float) -> float | None:
-        if not sizes[c]:
+    def answer(i: int, p: float) -> float | None:
+        n = spans[i][0]
+        if not n:
             return None
-        position = (sizes[c] - 1) * p
-        left, right = found[c][math.floor(position)], found[c][math.ceil(position)]
+        position = (n - 1) * p
+        left, right = found[i][math.floor(position)], found[i][math.ceil(position)]
         return left if left == right else left + (right - left) * (position - math.floor(position))
 
-    return {c: [answer(c, p) for p in probs] for c in names}
-
+    return [[answer(i, p) for p in probs] for i in range(len(spans))]
 
-def _unsettled(brackets: list[_Bracket], found: dict[str, dict[int, float]]) -> list[_Bracket]:
-    for b in brackets:
-        if b.lo == b.hi:
-            found[b.column].update({r: b.lo for r in b.ranks})
-    return [b for b in brackets if b.ranks and b.lo != b.hi]
 
+def _only(values: DataFrame, numbers: Sequence[int]) -> DataFrame:
+    """Rows of the given bracket numbers, renumbered from 0. The table holds one row per bracket."""
+    table = tiny_table(values.sparkSession, [(n, i) for i, n in enumerate(numbers)], "b bigint, b2 int")
+    return values.join(F.broadcast(table), "b").select(F.col("b2").alias("b"), "x")
 
-def _members(df: DataFrame, columns: Mapping[str, Column], brackets: list[_Bracket]) -> DataFrame:
-    """One row ``(b, x)`` per value that lies in a bracket; brackets of a column are disjoint."""
-    pairs = []
-    for c, x in columns.items():
-        own = sorted(((b.lo, b.hi, i) for i, b in enumerate(brackets) if b.column == c))
-        if not own:
-            continue
-        place = bin_code(x, [math.nextafter(lo, -math.inf) for lo, _, _ in own])
-        upper = F.array(*[F.lit(-math.inf), *[F.lit(float(hi)) for _, hi, _ in own]])
-        ident = F.array(*[F.lit(-1), *[F.lit(i) for _, _, i in own]])
-        inside = x <= F.get(upper, place)
-        pairs.append(F.when(inside, F.struct(F.get(ident, place).alias("b"), x.alias("x"))))
-    return (df.select(F.explode(F.array(*pairs)).alias("m"))
-            .where(F.col("m").isNotNull()).select("m.b", "m.x"))
 
-
-def _narrow(df: DataFrame, columns: Mapping[str, Column], brackets: list[_Bracket], spread: bool) -> list[_Bracket]:
+def _narrow(values: DataFrame, brackets: list[_Bracket], spread: bool):
     """Count every bracket into ordered slots and keep the slots around the wanted ranks.
 
     The slot number is a non-decreasing function of the value, which is all that exactness
     needs. The first scan spaces slots by magnitude, so heavy tails do not fill one slot.
     """
-    slots = max(256, min(4096, 65_536 // len(brackets)))
+    slots = max(256, min(4096, 131_072 // len(brackets)))
 
     def scaled(v: float) -> float:
         v = max(-_HUGE, min(_HUGE, v))
@@ -124,35 +132,33 @@ def _narrow(df: DataFrame, columns: Mapping[str, Column], brackets: list[_Bracke
 
     starts = [scaled(b.lo) for b in brackets]
     scales = [slots / ((scaled(b.hi) - s) or 1.0) for b, s in zip(brackets, starts, strict=True)]
-    x = F.col("x")
+    x, b = F.col("x"), F.col("b")
     y = F.signum(x) * F.log1p(F.abs(x)) if spread else x / 4
-    offset = y - F.get(F.array(*[F.lit(s) for s in starts]), F.col("b"))
-    slot = F.floor(F.greatest(F.lit(0.0), F.least(
-        F.lit(slots - 1.0), offset * F.get(F.array(*[F.lit(s) for s in scales]), F.col("b")))))
-    counted = (_members(df, columns, brackets)
-               .groupBy((F.col("b") * slots + slot).alias("code"))
-               .agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
-               .toPandas().sort_values("code"))
-    narrowed = []
-    for i, b in enumerate(brackets):
-        own = counted[(counted["code"] >= i * slots) & (counted["code"] < (i + 1) * slots)]
-        below = b.below
-        for n, lo, hi in zip(own["n"].tolist(), own["lo"].tolist(), own["hi"].tolist(), strict=True):
-            ranks = [r for r in b.ranks if below <= r < below + n]
-            if ranks:
-                narrowed.append(_Bracket(b.column, lo, hi, below, n, ranks))
-            below += n
-    return narrowed
-
-
-def _count_values(df: DataFrame, columns: Mapping[str, Column], brackets: list[_Bracket],
-                  found: dict[str, dict[int, float]]) -> None:
-    counted = _members(df, columns, brackets).groupBy("b", "x").count().toPandas().sort_values(["b", "x"])
+    offset = (y - F.get(doubles(starts), b)) * F.get(doubles(scales), b)
+    slot = F.floor(F.greatest(F.lit(0.0), F.least(F.lit(slots - 1.0), offset)))
+    coded = values.select((b.cast("bigint") * slots + slot).alias("b"), "x")
+    counted = (coded.groupBy("b").agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+               .toPandas().sort_values("b"))
+    narrowed, numbers = [], {}
+    below = {}
+    for code, n, lo, hi in zip(*(counted[c].tolist() for c in ("b", "n", "lo", "hi")), strict=True):
+        parent = brackets[code // slots]
+        start = below.get(code // slots, parent.below)
+        ranks = [r for r in parent.ranks if start <= r < start + n]
+        if ranks:
+            numbers[code] = len(narrowed)
+            narrowed.append(_Bracket(parent.series, lo, hi, start, n, ranks))
+        below[code // slots] = start + n
+    return coded, narrowed, numbers
+
+
+def _count_values(values: DataFrame, brackets: list[_Bracket], found: list[dict[int, float]]) -> None:
+    counted = values.groupBy("b", "x").count().toPandas().sort_values(["b", "x"])
     for i, b in enumerate(brackets):
         own = counted[counted["b"] == i]
         last = own["count"].cumsum().to_numpy() + b.below
-        values = own["x"].to_numpy()
-        found[b.column].update({r: float(values[last.searchsorted(r, side="right")]) for r in b.ranks})
+        xs = own["x"].to_numpy()
+        found[b.series].update({r: float(xs[last.searchsorted(r, side="right")]) for r in b.ranks})
 
 
 def quantiles(df: DataFrame, columns: Mapping[str, Column] | Sequence[str],

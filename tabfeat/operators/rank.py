@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -37,53 +38,46 @@ def global_rank(df: DataFrame, order: Sequence[str | Column], name: str = "rank"
             .drop("_part", "_offset", "_id"))
 
 
-def digest_cutoffs(df: DataFrame, digest: Column, ranks: Sequence[int],
+def digest_cutoffs(df: DataFrame, digest: Column, ranks: Sequence[int], total: int,
                    collect_limit: int = 20_000) -> list[str | None]:
-    """The digests at the given 1-based ranks, found by counting prefixes.
+    """The digests at the given 1-based ranks of ``total`` rows, found by counting prefixes.
 
     Comparing a row's digest with such a cutoff splits a frame at an exact row count without
-    ranking, sorting or shuffling its rows. Rank 0 gives None. Each pass fixes four more hex
-    digits, and its shuffle holds at most 65,536 counts per remaining prefix.
+    ranking, sorting or shuffling its rows. Rank 0 gives None. Each pass fixes up to four more
+    hex digits, and its shuffle holds at most 65,536 counts per remaining prefix and task.
     """
-    return _cutoffs(df.select(digest.alias("h")), ranks, collect_limit)
-
-
-def _cutoffs(digests: DataFrame, ranks: Sequence[int], collect_limit: int) -> list[str | None]:
+    digests = df.select(digest.alias("h"))
     found: dict[int, str | None] = {0: None}
-    wanted = sorted({r for r in ranks if r > 0})
-    prefixes = {"": (0, wanted)}
-    length = 0
-    while prefixes:
-        length += 4
-        pool = digests if length == 4 else digests.where(F.substring("h", 1, length - 4).isin(list(prefixes)))
-        counts = sorted(pool.groupBy(F.substring("h", 1, length).alias("p")).count().collect())
-        narrowed: dict[str, tuple[int, list[int]]] = {}
-        rows = 0
-        running = {}
-        for prefix, count in counts:
-            parent = prefix[:length - 4]
-            below = running.get(parent, prefixes[parent][0])
-            inside = [r for r in prefixes[parent][1] if below < r <= below + count]
-            if inside:
-                narrowed[prefix] = (below, inside)
-                rows += count
-            running[parent] = below + count
+    prefixes: dict[str, tuple[int, list[int]]] = {"": (0, sorted({r for r in ranks if r > 0}))}
+    rows, length = total, 0
+    while prefixes[""][1] if "" in prefixes else prefixes:
         if rows <= collect_limit:
-            _read_cutoffs(digests, narrowed, length, found)
+            _read_cutoffs(digests, prefixes, length, found)
             break
         if length >= 32:
             raise ValueError("the key does not identify rows: one digest repeats too often")
+        known, length = length, min(32, length + min(4, math.ceil(math.log(rows / 1_000, 16))))
+        pool = digests.where(F.substring("h", 1, known).isin(list(prefixes))) if known else digests
+        counts = pool.groupBy(F.substring("h", 1, length).alias("p")).count().toPandas().sort_values("p")
+        narrowed: dict[str, tuple[int, list[int]]] = {}
+        rows, running = 0, {}
+        for prefix, count in zip(counts["p"].tolist(), counts["count"].tolist(), strict=True):
+            start, wanted = prefixes[prefix[:known]]
+            below = running.get(prefix[:known], start)
+            inside = [r for r in wanted if below < r <= below + count]
+            if inside:
+                narrowed[prefix] = (below, inside)
+                rows += count
+            running[prefix[:known]] = below + count
         prefixes = narrowed
     return [found[r] for r in ranks]
 
 
 def _read_cutoffs(digests: DataFrame, prefixes: dict[str, tuple[int, list[int]]], length: int,
                   found: dict[int, str | None]) -> None:
-    if not prefixes:
-        return
-    prefix = F.substring("h", 1, length)
+    near = digests.where(F.substring("h", 1, length).isin(list(prefixes))) if length else digests
     members: dict[str, list[str]] = {}
-    for (h,) in digests.where(prefix.isin(list(prefixes))).collect():
+    for (h,) in near.collect():
         members.setdefault(h[:length], []).append(h)
     for p, (below, ranks) in prefixes.items():
         ordered = sorted(members[p])

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabfeat.functions.shape import bin_code
 from tabfeat.operators.fitted import FittedStep
 from tabfeat.operators.quantiles import quantiles
 from tabfeat.operators.transformers import column_stats, inner_edges
@@ -29,38 +30,34 @@ def majority_shares(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     return {r["column"]: r["share"] or 0.0 for r in rows}
 
 
-def _candidates_and_prints(df: DataFrame, key: Sequence[str], columns: Sequence[str]):
-    """A value that must be the majority if there is one, and an order-free fingerprint per column."""
-    stats = column_stats(
-        df, columns,
-        middle=lambda c: F.percentile_approx(c, 0.5, 1000),
-        mark=lambda c: F.bit_xor(F.xxhash64(*key, F.col(c))),
-        filled=F.count)
-    return ({c: s["middle"] for c, s in stats.items()},
-            {c: (s["mark"], s["filled"]) for c, s in stats.items()})
-
-
 def fit_prune(df: DataFrame, key: Sequence[str], columns: Sequence[str], tol: float,
-              constant: bool = True, duplicate: bool = True) -> list[FittedStep]:
+              constant: bool = True, duplicate: bool = True,
+              levels: Mapping[str, Sequence[float]] | None = None) -> list[FittedStep]:
     """Drop near-constant columns, then columns equal to an earlier one: two scans for both.
 
     A value with more than half of the rows is also the median, so for ``tol`` above 0.5 the
-    candidate comes from a sketch and its exact share from the second scan. Columns with equal
-    fingerprints are compared cell by cell in that same scan.
+    candidate comes from a sketch and its exact share from the second scan; columns with few
+    known ``levels`` need no sketch. Columns with equal order-free fingerprints are compared
+    cell by cell in the second scan.
     """
     columns = list(columns)
-    by_count = constant and tol <= 0.5
-    middle, prints = _candidates_and_prints(df, key, columns)
+    by_count = constant and tol <= 0.5 and levels is None
+    measures = {"mark": lambda c: F.bit_xor(F.xxhash64(*key, F.col(c))), "filled": F.count}
+    if levels is None:
+        measures["middle"] = lambda c: F.percentile_approx(c, 0.5, 1000)
+    stats = column_stats(df, columns, **measures)
+    prints = {c: (s["mark"], s["filled"]) for c, s in stats.items()}
+    candidates = levels or {c: [] if s["middle"] is None else [s["middle"]] for c, s in stats.items()}
     groups: dict[tuple, list[str]] = {}
     for c in columns:
         groups.setdefault(prints[c], []).append(c)
     pairs = [(a, b) for g in groups.values() for i, a in enumerate(g) for b in g[i + 1:]] if duplicate else []
-    checks = [F.count_if(F.col(c) == F.lit(middle[c])).alias(f"m{i}")
-              for i, c in enumerate(columns) if middle[c] is not None]
+    checks = [F.greatest(F.lit(0), F.lit(0), *[F.count_if(F.col(c) == F.lit(v)) for v in candidates[c]]).alias(f"m{i}")
+              for i, c in enumerate(columns)]
     checks += [F.count_if(~F.col(a).eqNullSafe(F.col(b))).alias(f"d{i}") for i, (a, b) in enumerate(pairs)]
     row = df.agg(F.count("*").alias("rows"), *checks).first()
     shares = majority_shares(df, columns) if by_count else {
-        c: row[f"m{i}"] / row["rows"] if middle[c] is not None and row["rows"] else 0.0 for i, c in enumerate(columns)}
+        c: row[f"m{i}"] / row["rows"] if row["rows"] else 0.0 for i, c in enumerate(columns)}
     steps = []
     flat = [c for c in columns if constant and shares[c] >= tol]
     if constant:
@@ -94,6 +91,30 @@ def score_edges(df: DataFrame, spec: FeatureSpec, bins: int = 16, method: str =
     return quantiles(df, columns, [i / bins for i in range(bins + 1)], method)
 
 
+def _pair_counts(edges: Sequence[Sequence[float]]):
+    """Per partition: how often each feature's bin meets each bin of the last column."""
+    cuts = [np.asarray(e) for e in edges]
+    height = len(cuts[-1]) + 1
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = [np.zeros((len(c) + 1) * height, "int64") for c in cuts[:-1]]
+        for batch in batches:
+            y = batch.column(len(tables)).to_numpy(zero_copy_only=False)
+            down = np.searchsorted(cuts[-1], y, side="left")
+            for i, table in enumerate(tables):
+                x = batch.column(i).to_numpy(zero_copy_only=False)
+                known = ~(np.isnan(x) | np.isnan(y))
+                across = np.searchsorted(cuts[i], x[known], side="left")
+                table += np.bincount(across * height + down[known], minlength=len(table))
+        rows = [(i, int(k) // height, int(k) % height, int(t[k])) for i, t in enumerate(tables) for k in np.flatnonzero(t)]
+        if rows:
+            types = (pa.int32(), pa.int32(), pa.int32(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows, strict=True), types, strict=True)],
+                                             ("position", "bx", "by", "n"))
+
+    return count
+
+
 def mi_scores(df: DataFrame, spec: FeatureSpec, bins: int = 16, method: str = "exact",
               points: dict[str, list[float | None]] | None = None) -> DataFrame:
     """Mutual information ``(feature, position, score)`` of quantile-binned features with the target.
@@ -104,13 +125,10 @@ def mi_scores(df: DataFrame, spec: FeatureSpec, bins: int = 16, method: str = "e
     points = points or score_edges(df, spec, bins, method)
     target = spec.require_target()
 
-    def code(c: str):
-        return bin_code(F.col(c), inner_edges(points[c]))
-
-    cells = F.array(*[F.struct(F.lit(i).alias("position"), code(c).alias("bx")) for i, c in enumerate(spec.features)])
-    counts = (df.select(F.explode(cells).alias("s"), code(target).alias("by"))
-              .select("s.position", "s.bx", "by").where("bx is not null and by is not null")
-              .groupBy("position", "bx", "by").agg(F.count("*").alias("n")))
+    edges = [inner_edges(points[c]) for c in (*spec.features, target)]
+    columns = [F.col(c).cast("double").alias(c) for c in (*spec.features, target)]
+    counts = (df.select(*columns).mapInArrow(_pair_counts(edges), "position int, bx int, by int, n bigint")
+              .groupBy("position", "bx", "by").agg(F.sum("n").alias("n")))
     total, across, down = (Window.partitionBy(*k) for k in (("position",), ("position", "bx"), ("position", "by")))
     n = F.col("n")
     share = n / F.sum(n).over(total)

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabfeat.functions.hashing import digest_bucket, key_digest
+from tabfeat.functions.hashing import digest_bucket, key_digest, share_mark
 from tabfeat.operators.rank import digest_cutoffs
 from tabfeat.spec import FeatureSpec
 
@@ -38,8 +38,9 @@ class SplitOptions:
 def split_exact(df: DataFrame, spec: FeatureSpec, options: SplitOptions = SplitOptions()) -> DataFrame:
     """Exact split sizes: two digest cutoffs are found by counting, the split itself is a projection."""
     digest = key_digest(spec.key, options.seed)
-    test, validation = options.sizes(df.count())
-    test_cut, validation_cut = digest_cutoffs(df, digest, [test, test + validation])
+    rows = df.count()
+    test, validation = options.sizes(rows)
+    test_cut, validation_cut = digest_cutoffs(df, digest, [test, test + validation], rows)
     label = F.when(digest <= F.lit(test_cut), "test") if test_cut else F.when(F.lit(False), "test")
     if validation_cut:
         label = label.when(digest <= F.lit(validation_cut), "val")
@@ -48,11 +49,10 @@ def split_exact(df: DataFrame, spec: FeatureSpec, options: SplitOptions = SplitO
 
 def split_hash(df: DataFrame, spec: FeatureSpec, options: SplitOptions = SplitOptions()) -> DataFrame:
     """Approximate split sizes from the digest alone: no pass over the data, works on a stream."""
-    bucket = digest_bucket(key_digest(spec.key, options.seed), 10_000)
-    test = round(options.test_size * 10_000)
-    validation = test + round(options.validation_size * 10_000)
+    digest = key_digest(spec.key, options.seed)
+    test, validation = share_mark(options.test_size), share_mark(options.test_size + options.validation_size)
     return df.withColumn(
-        spec.split, F.when(bucket < test, "test").when(bucket < validation, "val").otherwise("train"))
+        spec.split, F.when(digest < test, "test").when(digest < validation, "val").otherwise("train"))
 
 
 def inject_missing(df: DataFrame, spec: FeatureSpec, column: str | None = None,
@@ -60,7 +60,8 @@ def inject_missing(df: DataFrame, spec: FeatureSpec, column: str | None = None,
     """Null exactly ``int(share * rows)`` randomly chosen values of one feature (the first by default)."""
     column = column or spec.features[0]
     digest = key_digest(spec.key, seed, "missing")
-    (cut,) = digest_cutoffs(df, digest, [int(share * df.count())])
+    rows = df.count()
+    (cut,) = digest_cutoffs(df, digest, [int(share * rows)], rows)
     if cut is None:
         return df
     return df.withColumn(column, F.when(digest > F.lit(cut), F.col(column)))

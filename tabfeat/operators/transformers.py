@@ -111,7 +111,8 @@ def fit_yeo_johnson(df: DataFrame, columns: Sequence[str], lambdas: Mapping[str,
 def bin_step(columns: Sequence[str], edges: Mapping[str, Sequence[float]], kind: str) -> FittedStep:
     return FittedStep("bin", kind, tuple(columns),
                       {c: bin_code(F.col(c), edges[c]) for c in columns},
-                      {c: ",".join(map(str, edges[c])) for c in columns})
+                      {c: ",".join(map(str, edges[c])) for c in columns},
+                      {c: list(range(len(set(edges[c])) + 1)) for c in columns})
 
 
 def fit_equal_frequency(df: DataFrame, columns: Sequence[str], bins: int = 4, method: str = "exact") -> FittedStep:
@@ -135,17 +136,20 @@ def fit_equal_width(df: DataFrame, columns: Sequence[str], bins: int = 4) -> Fit
 
 
 def _scaled(name: str, columns: Sequence[str], centre: Mapping[str, float | None],
-            width: Mapping[str, float | None]) -> FittedStep:
+            width: Mapping[str, float | None], levels: Mapping[str, Sequence[float]] | None = None) -> FittedStep:
     return FittedStep("scale", name, tuple(columns),
                       {c: (F.col(c) - F.lit(centre[c])) / F.lit(width[c] or 1.0) for c in columns},
-                      {c: f"{centre[c]},{width[c]}" for c in columns})
+                      {c: f"{centre[c]},{width[c]}" for c in columns},
+                      levels and {c: [(v - centre[c]) / (width[c] or 1.0) for v in levels[c] if centre[c] is not None]
+                                  for c in columns})
 
 
-def fit_scale_standard(df: DataFrame, columns: Sequence[str]) -> FittedStep:
+def fit_scale_standard(df: DataFrame, columns: Sequence[str],
+                       levels: Mapping[str, Sequence[float]] | None = None) -> FittedStep:
     """Population standard deviation; a constant column is only centred."""
     stats = column_stats(df, columns, mean=F.avg, std=F.stddev_pop)
     return _scaled("scale_standard", columns, {c: s["mean"] for c, s in stats.items()},
-                   {c: s["std"] for c, s in stats.items()})
+                   {c: s["std"] for c, s in stats.items()}, levels)
 
 
 def robust_step(columns: Sequence[str], quartiles: Mapping[str, Sequence[float | None]]) -> FittedStep:

@@ -99,14 +99,16 @@ class FeatureChain:
         if o.discretization:
             frame = self._add(frame, transformers.fit_equal_frequency(frame, columns, o.bins, o.quantile_method))
         if o.scaling:
-            frame = self._add(frame, transformers.fit_scale_standard(frame, columns))
+            frame = self._add(frame, transformers.fit_scale_standard(
+                frame, columns, self.steps[-1].levels if self.steps else None))
         self._prune(frame, spec, 0.95)
 
     def _prune(self, frame: DataFrame, spec: FeatureSpec, default_tol: float) -> DataFrame:
         o = self.options
         tol = default_tol if o.constant_tol is None else o.constant_tol
         return self._add(frame, *selection.fit_prune(
-            frame, spec.key, self._columns(spec), tol, o.drop_constant, o.drop_duplicates))
+            frame, spec.key, self._columns(spec), tol, o.drop_constant, o.drop_duplicates,
+            self.steps[-1].levels if self.steps else None))
 
     def _fit_advanced(self, frame: DataFrame, spec: FeatureSpec) -> None:
         o = self.options

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabfeat.fixed_values import HIGHER_IS_BETTER, T_95
-from tabfeat.functions.hashing import digest_bucket, key_digest
+from tabfeat.functions.hashing import key_digest, share_mark
 from tabfeat.operators.metrics import moment_metrics
 from tabfeat.operators.split import fold_number
 from tabfeat.plans.chain import ChainOptions, FeatureChain
@@ -108,11 +108,11 @@ def optimize(df: DataFrame, spec: FeatureSpec, n_trials: int = 100, timeout: flo
     rng = random.Random(seed)
     alive = [(i, families[i % len(families)], SPACE[families[i % len(families)]](rng)) for i in range(n_trials)]
     rows = known_target(training_rows(df, spec), spec)
-    sampled = digest_bucket(key_digest(spec.key, seed, "rung"), 10_000)
+    order = key_digest(spec.key, seed, "rung")
     log, deadline = [], time.monotonic() + timeout
     best: tuple[float, str, dict] | None = None
     for level, share in enumerate(rungs):
-        frame = rows if share >= 1 else rows.where(sampled < int(share * 10_000))
+        frame = rows if share >= 1 else rows.where(order < share_mark(share))
         scored = []
         for i, family, params in alive:
             if log and time.monotonic() > deadline:

@@ -6,10 +6,13 @@ import tempfile
 import uuid
 from collections.abc import Iterable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_ROWS = 500_000
+_ARROW = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "double": pa.float64(), "boolean": pa.bool_()}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -48,4 +51,11 @@ def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
 
 def tiny_table(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
     """A DataFrame from a handful of fitted values held by the driver."""
-    return spark.createDataFrame(list(rows), schema).coalesce(1)
+    fields = T.StructType.fromDDL(schema).fields
+    rows = list(rows)
+    if any(f.dataType.simpleString() not in _ARROW for f in fields):
+        return spark.createDataFrame(rows, schema).coalesce(1)
+    columns = list(zip(*rows, strict=True)) or [()] * len(fields)
+    # An Arrow table becomes a local relation: scanning it starts no Python worker.
+    arrays = [pa.array(c, _ARROW[f.dataType.simpleString()]) for c, f in zip(columns, fields, strict=True)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, [f.name for f in fields]), schema)

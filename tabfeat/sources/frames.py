@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabfeat.functions.hashing import key_digest, digest_bucket
-from tabfeat.operators.split import inject_missing, split_exact
+from tabfeat.operators.split import inject_missing, split_exact, split_hash
 from tabfeat.spec import FeatureSpec, nan_to_null
 
 LINE_KEY = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "price_cents")
@@ -80,13 +79,11 @@ def parts(spark: SparkSession, folder: str) -> DataFrame:
 
 def predictions(spark: SparkSession, folder: str) -> DataFrame:
     """Three closed-form predictors of the line charge, split by key hash: input of every metric query."""
-    bucket = digest_bucket(key_digest(LINE_KEY, 42), 10_000)
-    split = F.when(bucket < 2_000, "test").when(bucket < 4_000, "val").otherwise("train")
     price, discount = F.col("l_extendedprice"), F.col("l_discount")
     guesses = F.map_from_arrays(
         F.array(F.lit("list_price"), F.lit("net_price"), F.lit("typical_rate")),
         F.array(price, price * (1 - discount), price * 0.988))
-    return line(spark, folder).select(
-        F.explode(guesses).alias("model", "pred"), split.alias("split"),
-        *LINE_KEY, F.col("charge").alias("y"), "l_quantity", "line_no"
+    # The split is decided per line, before each line becomes one row per model.
+    return split_hash(line(spark, folder), LINE).select(
+        F.explode(guesses).alias("model", "pred"), "split", *LINE_KEY, F.col("charge").alias("y"), "line_no",
     ).select("model", "split", *LINE_KEY, "line_no", "y", "pred")
