@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tabfeat.functions.literals import doubles
 
-_SCHEMA = "c int, l int, n double, mean double, m2 double, jac double"
+_SCHEMA = "c int, l int, n double, mean double, m2 double, jac double, lo double, hi double"
 COARSE = tuple(np.arange(-5.0, 5.01, 0.5).tolist())
 FARTHEST = 40  # powers beyond this are not searched
 
@@ -44,23 +44,25 @@ def _partition_moments(grids: Sequence[Sequence[float]]):
 
     def moments(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = [(0, np.zeros(len(g)), np.zeros(len(g)), 0.0) for g in powers]
+        ranges = [(np.inf, -np.inf)] * len(powers)
         for batch in batches:
             for i, grid in enumerate(powers):
                 x = batch.column(i).to_numpy(zero_copy_only=False)
                 x = x[~np.isnan(x)]
                 if not len(x):
                     continue
+                ranges[i] = (min(ranges[i][0], float(x.min())), max(ranges[i][1], float(x.max())))
                 n, mean, m2, jac = state[i]
                 m, block_mean, block_m2, block_jac = _block_moments(x, grid)
                 with np.errstate(all="ignore"):
                     step = block_mean - mean
                     state[i] = (n + m, mean + step * m / (n + m),
                                 m2 + block_m2 + step * step * n * m / (n + m), jac + block_jac)
-        rows = [(i, j, float(n), float(mean[j]), float(m2[j]), jac)
+        rows = [(i, j, float(n), float(mean[j]), float(m2[j]), jac, *ranges[i])
                 for i, (n, mean, m2, jac) in enumerate(state) if n for j in range(len(powers[i]))]
         if rows:
-            types = (pa.int32(), pa.int32(), *(pa.float64(),) * 4)
-            names = ("c", "l", "n", "mean", "m2", "jac")
+            types = (pa.int32(), pa.int32(), *(pa.float64(),) * 6)
+            names = ("c", "l", "n", "mean", "m2", "jac", "lo", "hi")
             yield pa.RecordBatch.from_arrays(
                 [pa.array(v, t) for v, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
@@ -79,12 +81,13 @@ def log_likelihoods(df: DataFrame, columns: Sequence[str], grids: Mapping[str, S
               .withColumn("grand", F.sum(F.col("n") * F.col("mean")).over(cell) / F.sum("n").over(cell))
               .groupBy("c", "l")
               .agg(F.sum("n").alias("n"), F.sum("jac").alias("jac"), F.first("grand").alias("grand"),
+                   (F.min("lo") < F.max("hi")).alias("varies"),
                    F.sum(F.col("m2") + F.col("n") * F.pow(F.col("mean") - F.col("grand"), 2)).alias("m2")))
     power = F.get(F.get(F.array(*[doubles(grids[c]) for c in columns]), F.col("c")), F.col("l"))
     variance = F.col("m2") / F.col("n")
     return merged.select(
         "c", "l", power.alias("lam"), "n",
-        F.when(variance > 0, -F.col("n") / 2 * F.ln(variance) + (power - 1) * F.col("jac")).alias("llf"))
+        F.when(F.col("varies") & (variance > 0), -F.col("n") / 2 * F.ln(variance) + (power - 1) * F.col("jac")).alias("llf"))
 
 
 def _best(df: DataFrame, columns: Sequence[str], grids: Mapping[str, Sequence[float]]) -> dict[str, list[tuple[float, float]]]:

@@ -56,7 +56,7 @@ def digest_cutoffs(df: DataFrame, digest: Column, ranks: Sequence[int], total: i
             break
         if length >= 32:
             raise ValueError("the key does not identify rows: one digest repeats too often")
-        known, length = length, min(32, length + min(4, math.ceil(math.log(rows / 1_000, 16))))
+        known, length = length, min(32, length + max(1, min(4, math.ceil(math.log(rows / 1_000, 16)))))
         pool = digests.where(F.substring("h", 1, known).isin(list(prefixes))) if known else digests
         counts = pool.groupBy(F.substring("h", 1, length).alias("p")).count().toPandas().sort_values("p")
         narrowed: dict[str, tuple[int, list[int]]] = {}

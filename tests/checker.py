@@ -8,8 +8,6 @@ import os
 
 import duckdb
 
-TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
-
 
 def duck(folder: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
