@@ -11,6 +11,7 @@ from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -141,9 +142,15 @@ def metric_table(predictions: DataFrame, order_by: Sequence[str], by: Sequence[s
     table = rows.groupBy(*by).agg(*spans, *[plain[m].alias(m) for m in wanted])
     if not ordered:
         return table.select(*by, *metrics)
-    groups = table.limit(COUNTED_GROUPS + 1).collect()
-    if len(groups) <= COUNTED_GROUPS:
-        return _numbered_table(rows, groups, order_by, by, metrics, error)
+    # Several scans follow: keep the few columns they need, and let go of them before returning.
+    rows = rows.select(*dict.fromkeys([*by, *order_by, "y", "pred"])).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        table = rows.groupBy(*by).agg(*spans, *[plain[m].alias(m) for m in wanted])
+        groups = table.limit(COUNTED_GROUPS + 1).collect()
+        if len(groups) <= COUNTED_GROUPS:
+            return _numbered_table(rows, groups, order_by, by, metrics, error)
+    finally:
+        rows.unpersist()
     if "median_ae" in metrics:
         table = _same_group(table, _ranked_medians(rows, by, error, "median_ae"), by)
     if SCALED in metrics:

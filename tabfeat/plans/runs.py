@@ -61,8 +61,12 @@ def run_single(df: DataFrame, spec: FeatureSpec, chain: str = "basic", model: Re
     model = model or Regressor("linear_regression")
     name = name or f"{model.kind}_{chain}"
     fitted = FeatureChain(chain, options).fit(df, spec)
-    return _evaluated(name, fitted, Regressor(model.kind, model.params, name).fit(
-        fitted.transform(df), fitted.output_spec()), fitted.transform(df))
+    # The model's own scans and the evaluation share the features.
+    features = fitted.transform(df).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _evaluated(name, fitted, model.fit(features, fitted.output_spec()), features)
+    finally:
+        features.unpersist()
 
 
 def _evaluated(name: str, chain: FeatureChain, model: FittedModel, features: DataFrame) -> RunResult:
