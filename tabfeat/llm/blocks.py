@@ -55,8 +55,8 @@ def deal(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> tuple[DataFrame, in
     return dealt.repartition(partitions, "batch"), wanted
 
 
-_PACKED = "bucket int, batch int, keys binary"
-_ANSWER = "batch int, bucket int, answer binary"
+PACKED = "bucket int, batch int, keys binary"
+ANSWER = "batch int, bucket int, answer binary"
 
 
 def ask(dealt: DataFrame, keys_of: Callable, buckets: int, merge: Callable, width: int = 1,
@@ -89,9 +89,9 @@ def ask(dealt: DataFrame, keys_of: Callable, buckets: int, merge: Callable, widt
                          "answer": pa.array([x.tobytes() for x in found], pa.binary())})
 
     groups = dealt.groupBy("batch")
-    requests = (groups.applyInArrow(send, _PACKED) if told is None
-                else groups.cogroup(told.groupBy("batch")).applyInArrow(send_told, _PACKED))
-    return requests.groupBy("bucket").applyInArrow(answer, _ANSWER)
+    requests = (groups.applyInArrow(send, PACKED) if told is None
+                else groups.cogroup(told.groupBy("batch")).applyInArrow(send_told, PACKED))
+    return requests.groupBy("bucket").applyInArrow(answer, ANSWER)
 
 
 def answers(table: pa.Table, kind=np.uint64) -> np.ndarray:
@@ -198,15 +198,23 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def range_hashes(values: np.ndarray, starts: np.ndarray, stops: np.ndarray, power=None, seed: int = 0) -> np.ndarray:
-    """Hashes of the ranges of ``values``; equal content gives equal hashes wherever it stands."""
-    up, down = power if power is not None else powers(len(values) + 1)
+def prefix_sums(values: np.ndarray, up: np.ndarray, seed: int = 0) -> np.ndarray:
     sums = np.zeros(len(values) + 1, np.uint64)
     np.cumsum((values.astype(np.uint64) + np.uint64(1 + seed)) * up[:len(values)], out=sums[1:])
+    return sums
+
+
+def between(sums: np.ndarray, down: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """Hashes of ranges of the values behind ``sums``; equal content gives equal hashes wherever it stands."""
     lengths = (stops - starts).astype(np.uint64)
     return mixed((sums[stops] - sums[starts]) * down[starts] + lengths * np.uint64(0xD6E8FEB86659FD93))
 
 
+def range_hashes(values: np.ndarray, starts: np.ndarray, stops: np.ndarray, power=None, seed: int = 0) -> np.ndarray:
+    up, down = power if power is not None else powers(len(values) + 1)
+    return between(prefix_sums(values, up, seed), down, starts, stops)
+
+
 def window_rows(first: np.ndarray, k: int) -> np.ndarray:
     """Whether k items from here on lie in one document, for items numbered by ``first``."""
     counts = np.diff(first)

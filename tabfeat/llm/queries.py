@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tabfeat.llm.decontamination import find_benchmark_windows
 from tabfeat.llm.substring import remove_repeated_windows
+from tabfeat.llm.suffix_array import remove_repeated_strings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,3 +26,13 @@ def _query(function):
 @_query
 def op7_substring_dedup(spark, folder):
     return remove_repeated_windows(_documents(spark, folder))
+
+
+@_query
+def op8_suffix_array_dedup(spark, folder):
+    return remove_repeated_strings(_documents(spark, folder))
+
+
+@_query
+def op10_decontaminate(spark, folder):
+    return find_benchmark_windows(_documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
