@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tabfeat.llm.decontamination import find_benchmark_windows
+from tabfeat.llm.minhash import near_duplicates
 from tabfeat.llm.substring import remove_repeated_windows
 from tabfeat.llm.suffix_array import remove_repeated_strings
 
@@ -36,3 +37,8 @@ def op8_suffix_array_dedup(spark, folder):
 @_query
 def op10_decontaminate(spark, folder):
     return find_benchmark_windows(_documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
+@_query
+def op5_minhash_near_dedup(spark, folder):
+    return near_duplicates(_documents(spark, folder), size=4)
