@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tabfeat.llm.bpe import encode_documents
 from tabfeat.llm.decontamination import find_benchmark_windows
 from tabfeat.llm.minhash import near_duplicates
 from tabfeat.llm.substring import remove_repeated_windows
@@ -42,3 +44,8 @@ def op10_decontaminate(spark, folder):
 @_query
 def op5_minhash_near_dedup(spark, folder):
     return near_duplicates(_documents(spark, folder), size=4)
+
+
+@_query
+def op6_bpe(spark, folder):
+    return encode_documents(_documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json"))
