@@ -8,8 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tabfeat.llm.bpe import encode_documents
+from tabfeat.llm import chat
+from tabfeat.llm.chat import format_conversations
 from tabfeat.llm.decontamination import find_benchmark_windows
 from tabfeat.llm.minhash import near_duplicates
+from tabfeat.llm.simhash import edited_neighbours
 from tabfeat.llm.substring import remove_repeated_windows
 from tabfeat.llm.suffix_array import remove_repeated_strings
 
@@ -49,3 +52,16 @@ def op5_minhash_near_dedup(spark, folder):
 @_query
 def op6_bpe(spark, folder):
     return encode_documents(_documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@_query
+def op2_chat_format(spark, folder):
+    return format_conversations(spark.read.parquet(f"{folder}/conversations.parquet"))
+
+
+ORACLES["op2_chat_format"] = chat.ORACLE
+
+
+@_query
+def op4_simhash(spark, folder):
+    return edited_neighbours(_documents(spark, folder))
