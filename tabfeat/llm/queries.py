@@ -11,7 +11,9 @@ from tabfeat.llm.bpe import encode_documents
 from tabfeat.llm import chat
 from tabfeat.llm.chat import format_conversations
 from tabfeat.llm.decontamination import find_benchmark_windows
+from tabfeat.llm.language_id import identify_language
 from tabfeat.llm.minhash import near_duplicates
+from tabfeat.llm.quality import score_quality
 from tabfeat.llm.simhash import edited_neighbours
 from tabfeat.llm.substring import remove_repeated_windows
 from tabfeat.llm.suffix_array import remove_repeated_strings
@@ -65,3 +67,13 @@ ORACLES["op2_chat_format"] = chat.ORACLE
 @_query
 def op4_simhash(spark, folder):
     return edited_neighbours(_documents(spark, folder))
+
+
+@_query
+def op1_language_id(spark, folder):
+    return identify_language(_documents(spark, folder))
+
+
+@_query
+def op9_quality(spark, folder):
+    return score_quality(_documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
