@@ -32,13 +32,14 @@ LOWER_SPACED[0x41:0x5B] += 0x20
 
 # --- batches ------------------------------------------------------------------------------
 
-def deal(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> tuple[DataFrame, int]:
+def deal(docs: DataFrame, batch_bytes: int = BATCH_BYTES, carry: tuple[str, ...] = ()) -> tuple[DataFrame, int]:
     """(batch, id, text) dealt by batch, and the number of batches; batches ascend with doc_id.
 
-    Two narrow passes find the size of the texts and the borders of the batches. A null text is empty.
+    Columns in ``carry`` travel along as one struct. Two narrow passes find the size of the texts and the borders of the batches. A null text is empty.
     """
     spark = docs.sparkSession
-    known = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("id"), "text")
+    more = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("carry")] if carry else []
+    known = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("id"), "text", *more)
     total = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     wanted = max(MIN_BATCHES, total // batch_bytes)
     borders = known.agg(F.percentile_approx(
@@ -51,7 +52,8 @@ def deal(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> tuple[DataFrame, in
         return pd.Series(np.searchsorted(edges, ids.to_numpy()).astype(np.int32))
 
     partitions = max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    dealt = known.select(batch_of("id").alias("batch"), "id", F.coalesce("text", F.lit("")).alias("text"))
+    dealt = known.select(batch_of("id").alias("batch"), "id", F.coalesce("text", F.lit("")).alias("text"),
+                         *(["carry"] if carry else []))
     return dealt.repartition(partitions, "batch"), wanted
 
 

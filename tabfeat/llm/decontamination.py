@@ -88,7 +88,7 @@ def _joined(table: pa.Table) -> pa.Table:
     return pa.table({"chunk": table["chunk"][:1], "bits": pa.array([joined.tobytes()], pa.binary())})
 
 
-def find_benchmark_windows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def find_benchmark_windows(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Which words of a document lie in a window of a benchmark item, and which items occur.
 
     Words are runs of letters, digits and all non-ASCII characters, A-Z lower-cased. A window is 10
@@ -99,7 +99,7 @@ def find_benchmark_windows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     One row per input row: doc_id, n_words, n_hit, n_items (distinct item_ids with an occurring
     window; a null item_id is not counted), items_sha256, contaminated. Null and empty texts have no
-    words; an empty benchmark hits nothing. Other columns are ignored.
+    words; an empty benchmark hits nothing. Columns in ``keep`` stay, others are ignored.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
@@ -143,12 +143,13 @@ def find_benchmark_windows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     ["at", "n", "key"])
                 cuts = np.searchsorted(row, np.arange(stop - start + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(start, stop - start), pa.array(np.diff(first).astype(np.int64)),
-                     pa.ListArray.from_arrays(pa.array(cuts), inner)], ["doc_id", "n_words", "found"])
+                    [ids.slice(start, stop - start), *[batch.column(c).slice(start, stop - start) for c in keep],
+                     pa.array(np.diff(first).astype(np.int64)), pa.ListArray.from_arrays(pa.array(cuts), inner)],
+                    ["doc_id", *keep, "n_words", "found"])
 
     scanned = checkpointed(
-        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-        .mapInArrow(scan, "doc_id bigint, n_words bigint, found array<struct<at: bigint, n: int, key: bigint>>")
+        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *keep, "text")
+        .mapInArrow(scan, "doc_id bigint, " + "".join(f"`{c}` {dict(docs.dtypes)[c]}, " for c in keep) + "n_words bigint, found array<struct<at: bigint, n: int, key: bigint>>")
         .withColumn("row", F.monotonically_increasing_id()))
     places = scanned.select("row", F.inline("found"))
     hits = places.join(windows.select("n", "key").distinct(), ["n", "key"])
@@ -164,7 +165,7 @@ def find_benchmark_windows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
              .groupBy("row").agg(F.sort_array(F.collect_set("item_id")).alias("items")))
     items_of = F.coalesce("items", F.array().cast("array<string>"))
     return (scanned.drop("found").join(words, "row", "left").join(named, "row", "left")
-            .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
+            .select("doc_id", *keep, "n_words", F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
                     F.size(items_of).cast("bigint").alias("n_items"),
                     F.sha2(F.concat_ws(",", items_of), 256).alias("items_sha256"),
                     F.col("n_hit").isNotNull().alias("contaminated")))

@@ -176,7 +176,44 @@ def sampled_by_label(rows: DataFrame, label: str, per_label: int) -> tuple[DataF
     return rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < limit), counts
 
 
-def identify_language(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def _predictor(docs: DataFrame, per_language: int):
+    """A function from texts to languages and scores, learnt from a sample of labelled rows."""
+    rows, counts = sampled_by_label(
+        docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & learnable()).select("doc_id", "text", "lang"), "lang", per_language)
+    languages = sorted(counts)
+    sample = sorted((r["doc_id"], r["lang"], r["text"]) for r in rows.collect())
+    net = train([r[2] for r in sample], [languages.index(r[1]) for r in sample], len(languages)) if languages else None
+    shipped = docs.sparkSession.sparkContext.broadcast(net)
+
+    def predictor():
+        words = _Words(shipped.value) if languages else None
+
+        def predict(texts: list) -> tuple[list[str], np.ndarray]:
+            nonlocal words
+            named, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
+            some = [i for i, t in enumerate(texts) if languages and t and _LETTER.search(t)]
+            if some:
+                if len(words) > _REMEMBERED:
+                    words = _Words(shipped.value)
+                found = [[*map(words.__getitem__, texts[i].encode().split())] for i in some]
+                words.label_new()
+                for i, numbers in zip(some, found):
+                    total = words.sums[numbers].sum(axis=0)
+                    best = int(total[:-1].argmax())
+                    named[i], scores[i] = languages[best], min(1.0, total[best] / total[-1])
+            return named, scores
+        return predict
+
+    return predictor
+
+
+def _text_slices(batches):
+    for batch in batches:
+        for start, stop, _, _ in B.slices(*B.flatten(batch.column("text"))):
+            yield batch.slice(start, stop - start)
+
+
+def identify_language(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFrame:
     """Predict the language of every whole text with a network learnt from labelled rows.
 
     The network labels every byte from the gated states of both reading directions; it starts afresh at
@@ -184,38 +221,32 @@ def identify_language(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE,
     over its bytes. It learns from a bounded sample: about ``per_language`` documents of each non-null
     lang whose crc32(doc_id as text) mod 4 is not 2.
 
-    One row per input row: the columns in ``keep``, held_out (that remainder is 2, or the doc_id is
-    null), lang_pred, score. A text that is null or has no letter is ``und`` with score 0, and so is
-    every text if there is nothing to learn from. Other columns are ignored.
+    One row per input row: doc_id, held_out (that remainder is 2, or the doc_id is null), lang_pred,
+    score. A text that is null or has no letter is ``und`` with score 0, and so is every text if there
+    is nothing to learn from. Other columns are ignored.
     """
-    rows, counts = sampled_by_label(
-        docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & learnable()).select("doc_id", "text", "lang"), "lang", per_language)
-    languages = sorted(counts)
-    sample = sorted((r["doc_id"], r["lang"], r["text"]) for r in rows.collect())
-    net = train([r[2] for r in sample], [languages.index(r[1]) for r in sample], len(languages)) if languages else None
-    shipped = docs.sparkSession.sparkContext.broadcast(net)
+    predictor = _predictor(docs, per_language)
 
     def predict(batches):
-        words = _Words(shipped.value) if languages else None
-        for batch in batches:
-            for start, stop, _, _ in B.slices(*B.flatten(batch.column("text"))):
-                rows = batch.slice(start, stop - start)
-                texts = rows.column("text").to_pylist()
-                named, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-                some = [i for i, t in enumerate(texts) if languages and t and _LETTER.search(t)]
-                if some:
-                    if len(words) > _REMEMBERED:
-                        words = _Words(shipped.value)
-                    found = [[*map(words.__getitem__, texts[i].encode().split())] for i in some]
-                    words.label_new()
-                    for i, numbers in zip(some, found):
-                        total = words.sums[numbers].sum(axis=0)
-                        best = int(total[:-1].argmax())
-                        named[i], scores[i] = languages[best], min(1.0, total[best] / total[-1])
-                yield pa.RecordBatch.from_arrays(
-                    [*[rows.column(c) for c in keep], rows.column("held_out"), pa.array(named, pa.string()), pa.array(scores)],
-                    [*keep, "held_out", "lang_pred", "score"])
-
-    kinds = dict(docs.dtypes)
-    schema = ", ".join([f"`{c}` {kinds[c]}" for c in keep] + ["held_out boolean, lang_pred string, score double"])
-    return docs.select(*dict.fromkeys((*keep, "text")), (~learnable()).alias("held_out")).mapInArrow(predict, schema)
+        of = predictor()
+        for rows in _text_slices(batches):
+            named, scores = of(rows.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("doc_id"), rows.column("held_out"), pa.array(named, pa.string()), pa.array(scores)],
+                ["doc_id", "held_out", "lang_pred", "score"])
+
+    return docs.select("doc_id", "text", (~learnable()).alias("held_out")).mapInArrow(
+        predict, f"doc_id {dict(docs.dtypes)['doc_id']}, held_out boolean, lang_pred string, score double")
+
+
+def keep_identified(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFrame:
+    """The rows of ``docs`` whose text has a language: not those that would be ``und``. All columns stay."""
+    predictor = _predictor(docs, per_language)
+
+    def keep(batches):
+        of = predictor()
+        for rows in _text_slices(batches):
+            named, _ = of(rows.column("text").to_pylist())
+            yield rows.filter(pa.array([n != UNKNOWN for n in named], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)

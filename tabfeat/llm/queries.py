@@ -12,6 +12,7 @@ from tabfeat.llm import chat
 from tabfeat.llm.chat import format_conversations
 from tabfeat.llm.decontamination import find_benchmark_windows
 from tabfeat.llm.language_id import identify_language
+from tabfeat.llm.maxent import score_texts
 from tabfeat.llm.minhash import near_duplicates
 from tabfeat.llm.quality import score_quality
 from tabfeat.llm.simhash import edited_neighbours
@@ -77,3 +78,8 @@ def op1_language_id(spark, folder):
 @_query
 def op9_quality(spark, folder):
     return score_quality(_documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
+@_query
+def op3_maxent_lm(spark, folder):
+    return score_texts(_documents(spark, folder))

@@ -104,7 +104,7 @@ class _Batch:
     """The runs of a batch's texts; equal runs are one entry, owned by the smallest id that has it."""
 
     def __init__(self, table: pa.Table, length: int):
-        table = table.sort_by("id")
+        table = table.sort_by("id")  # stable: sorted rows keep their order
         self.ids = table["id"].to_numpy()
         self.data, self.offsets = B.flatten(table["text"])
         parts = list(B.slices(self.data, self.offsets, _SLICE))
@@ -143,7 +143,8 @@ def _compare_runs(keys: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
     return B.split_like(flags, counts)
 
 
-def remove_repeated_strings(docs: DataFrame, length: int = 50, keep_text: bool = False) -> DataFrame:
+def remove_repeated_strings(docs: DataFrame, length: int = 50, keep_text: bool = False,
+                            carry: tuple[str, ...] = ()) -> DataFrame:
     """Remove each byte covered by a ``length``-byte string that also starts in a document with a smaller doc_id.
 
     Texts are UTF-8 bytes, matches never cross documents, and strings are judged on the input. Windows
@@ -152,7 +153,7 @@ def remove_repeated_strings(docs: DataFrame, length: int = 50, keep_text: bool =
     windows are sorted and equal neighbours give way to the smallest doc_id.
 
     One row per input row: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 (and
-    kept_text on request, without the characters that a cut broke). A null text is empty; rows with the
+    kept_text on request, without the characters that a cut broke; columns in ``carry`` come as one struct). A null text is empty; rows with the
     same doc_id never remove each other's bytes; a null doc_id counts as larger than any other. Other
     columns are ignored.
     """
@@ -160,7 +161,7 @@ def remove_repeated_strings(docs: DataFrame, length: int = 50, keep_text: bool =
         raise ValueError(f"the length must be from {GRAM + 1} to {GRAM + 32}")
     widest = 2 * length - GRAM
     record = np.dtype([("id", "<i8"), ("n", "<u2"), ("bytes", "u1", (widest,))])
-    dealt, buckets = B.deal(docs)
+    dealt, buckets = B.deal(docs, carry=carry)
 
     def run_keys(table: pa.Table) -> np.ndarray:
         batch = _Batch(table, length)
@@ -195,6 +196,7 @@ def remove_repeated_strings(docs: DataFrame, length: int = 50, keep_text: bool =
             [x.tobytes() for x in B.split_like(found, np.array([len(b) for b in blocks]))], pa.binary())})
 
     def cleaned(table: pa.Table, told: pa.Table) -> pa.Table:
+        table = table.sort_by("id")
         batch = _Batch(table, length)
         told = told.sort_by("bucket")
         flags = np.frombuffer(told["answer"][0].as_py(), np.uint8)
@@ -223,6 +225,8 @@ def remove_repeated_strings(docs: DataFrame, length: int = 50, keep_text: bool =
                    "kept_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string())}
         if keep_text:
             columns["kept_text"] = pa.array([t.decode(errors="ignore") for t in texts], pa.string())
+        if carry:
+            columns["carry"] = table["carry"]
         return pa.table(columns)
 
     flags = B.ask(dealt, run_keys, buckets, _compare_runs, width=2)
@@ -230,7 +234,8 @@ def remove_repeated_strings(docs: DataFrame, length: int = 50, keep_text: bool =
     told = (groups.cogroup(flags.groupBy("batch")).applyInArrow(contested, B.PACKED)
             .groupBy("bucket").applyInArrow(sorted_suffixes, B.ANSWER))
     schema = ("doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-              + ", kept_text string" * keep_text)
+              + ", kept_text string" * keep_text
+              + (f", carry {dict(dealt.dtypes)['carry']}" if carry else ""))
     return groups.cogroup(told.groupBy("batch")).applyInArrow(cleaned, schema)
 
 
