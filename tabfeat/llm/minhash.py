@@ -17,7 +17,8 @@ SIDE = 8  # half keys on each side; every pair of a left and a right one is a ta
 HASHES = 4 * SIDE  # two hashes to a half key
 WORDS = HASHES // 4  # the 16-bit hashes are kept four to a number
 LEAST_EQUAL = 14  # of 32 hashes: at a similarity of 0.8, fewer agree once in a million pairs
-PIVOT_ROUNDS = 2
+PACK = 4096  # rows of small groups that a call takes together
+BLOCK = 1024  # classes in a block of a large bucket or cluster
 _SKETCH = [f"m{i}" for i in range(WORDS)]
 
 
@@ -92,29 +93,14 @@ def _tables(reps: DataFrame) -> DataFrame:
     return reps.select("id", F.inline(F.array(*keys))).select("t", "key", "id")
 
 
-def _equal_hashes(left: str, right: str) -> Column:
-    """How many of the 16-bit hashes of two sketches agree."""
+def _may_link(left: str, right: str, percent: int) -> Column:
+    """The sizes allow the similarity, and enough of the 16-bit hashes agree."""
     differ = [F.col(f"{left}.{name}").bitwiseXOR(F.col(f"{right}.{name}")) for name in _SKETCH]
     equal = [x.bitwiseAND(F.lit(0xFFFF << shift)) == 0 for x in differ for shift in (0, 16, 32)]
     equal += [F.shiftrightunsigned(x, 48) == 0 for x in differ]
-    return reduce(Column.__add__, [e.cast("int") for e in equal])
-
-
-def _first_table(left: str, right: str) -> Column:
-    """The number of the first table in which two sketches meet."""
-    def first(names: list[str]) -> Column:
-        found = F.lit(None).cast("int")
-        for i in reversed(range(SIDE)):
-            x = F.col(f"{left}.{names[i // 2]}").bitwiseXOR(F.col(f"{right}.{names[i // 2]}"))
-            found = F.when(_half(x, i % 2 == 0) == 0, F.lit(i)).otherwise(found)
-        return found
-    return first(_SKETCH[:WORDS // 2]) * SIDE + first(_SKETCH[WORDS // 2:])
-
-
-def _may_link(left: str, right: str, percent: int) -> Column:
-    """The sizes allow the similarity, and enough hashes agree."""
     a, b = F.col(f"{left}.n"), F.col(f"{right}.n")
-    return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & (_equal_hashes(left, right) >= LEAST_EQUAL)
+    return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & (
+        reduce(Column.__add__, [e.cast("int") for e in equal]) >= LEAST_EQUAL)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -134,6 +120,72 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(links, "a bigint, b bigint")
 
 
+def _in_blocks(members: DataFrame, group: list[str]) -> DataFrame:
+    """Rows of (group, id, component, …) sent to every pair of blocks in which they meet another component.
+
+    The members of a group's largest component and the others are cut into blocks of about ``BLOCK``;
+    a pair of blocks has one of the others at least. However large a group, a task gets two blocks.
+    """
+    counts = members.groupBy(*group, "component").agg(F.count("*").alias("c"))
+    sizes = (counts.groupBy(*group).agg(F.max(F.struct("c", "component")).alias("top"), F.sum("c").alias("all"))
+             .where("all > top.c").select(*group, F.col("top.component").alias("largest"),
+                                          F.ceil(F.expr("(all - top.c) / %d" % BLOCK)).cast("int").alias("others"),
+                                          F.ceil(F.expr("top.c / %d" % BLOCK)).cast("int").alias("blocks")))
+    inside = F.col("component") == F.col("largest")
+    turn = F.xxhash64("id")
+    own = F.when(inside, F.col("others") + F.pmod(turn, F.col("blocks"))).otherwise(F.pmod(turn, F.col("others"))).cast("int")
+    met = F.when(inside, F.sequence(F.lit(0), F.col("others") - 1)).otherwise(F.sequence(F.lit(0), F.col("others") + F.col("blocks") - 1))
+    return (members.join(sizes, group).withColumn("own", own).withColumn("met", F.explode(met))
+            .select(*members.columns, "own", F.least("own", "met").alias("i"), F.greatest("own", "met").alias("j")))
+
+
+def _block_links(members: DataFrame, group: list[str], percent: int, whole: bool) -> DataFrame:
+    """(a, b): links between components that meet in a group: by sketch, as components, or on whole sets, as ids.
+
+    Of the links that join the same two components one is enough. Pairs of blocks are packed into
+    groups of about ``PACK`` rows, as most of them are small.
+    """
+    def linked(ids, component, n, own, lanes, keys):
+        label = np.unique(component, return_inverse=True)[1]
+        if whole:
+            codes = np.unique(np.concatenate(keys), return_inverse=True)[1]
+            sizes = np.array([len(k) for k in keys])
+            begins = np.cumsum(sizes) - sizes
+            mark = np.zeros(codes.max() + 1, np.int64)
+        left, right = np.flatnonzero(own == own.min()), np.flatnonzero(own == own.max())
+        for x in left:
+            y = right[label[right] != label[x]]
+            y = y[100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x])]
+            y = y[(lanes[y] == lanes[x]).sum(axis=1) >= LEAST_EQUAL]
+            if whole and len(y):
+                own_codes = codes[begins[x]:begins[x] + sizes[x]]
+                mark[own_codes] = 1
+                ends = np.cumsum(sizes[y])
+                at = np.repeat(begins[y] - (ends - sizes[y]), sizes[y]) + np.arange(ends[-1])
+                same = np.add.reduceat(mark[codes[at]], ends - sizes[y])
+                mark[own_codes] = 0
+                y = y[100 * same >= percent * (n[x] + n[y] - same)]
+            for other, first in zip(*np.unique(label[y], return_index=True)):
+                yield (ids[x], ids[y[first]]) if whole else (component[x], component[y[first]])
+                label[label == other] = label[x]
+
+    def links(table: pa.Table) -> pa.Table:
+        table = table.sort_by("pair")
+        ids, component, n, own, pair = (table[c].to_numpy() for c in ("id", "component", "n", "own", "pair"))
+        lanes = np.column_stack([table[c].to_numpy() for c in _SKETCH]).astype(np.int64).view(np.uint16)
+        keys = [np.frombuffer(k, np.uint64) for k in table["keys"].to_pylist()] if whole else None
+        cuts = [0, *(np.flatnonzero(pair[1:] != pair[:-1]) + 1).tolist(), len(pair)]
+        found = [link for a, b in zip(cuts, cuts[1:]) if b - a > 1
+                 for link in linked(ids[a:b], component[a:b], n[a:b], own[a:b], lanes[a:b], keys and keys[a:b])]
+        return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+
+    packs = F.lit(1 + members.count() // PACK)
+    rows = _in_blocks(members, group).withColumn("pair", F.xxhash64(*group, "i", "j"))
+    return (rows.select(F.pmod(F.xxhash64("pair"), packs).alias("pack"), "pair", "id", "component", "n", "own", *_SKETCH,
+                        *(["keys"] if whole else []))
+            .groupBy("pack").applyInArrow(links, "a bigint, b bigint"))
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """Components of documents whose word shingles have a Jaccard similarity of ``percent`` or more.
 
@@ -141,8 +193,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     ``size``-word shingles, or its whole sequence if that is shorter. Equal sets are one class, found
     by a hash of the set. Classes meet in 8 x 8 tables, keyed by pairs of half keys from two
     collections of 16 hashes; a pair at the threshold is missed about once in 1,700. Each bucket
-    compares its members with pivots, and where its members are still in several components, all pairs
-    across these whose sketches allow the similarity. Every link is confirmed on the full sets.
+    compares its members with its smallest. Buckets whose members are then in several components
+    compare all sketches across components, in pairs of blocks of bounded size, and what may be linked
+    is compared on whole sets in the same way. Every link is confirmed on the full sets.
 
     One row per input row: doc_id, n_shingles, component_id (the smallest doc_id reachable, itself
     included) and kept (doc_id = component_id). A document without words, and one with a null doc_id
@@ -156,46 +209,33 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     classes = checkpointed(known.groupBy("n", "s0", "s1").agg(
         F.min("doc_id").alias("id"), *[F.min(name).alias(name) for name in _SKETCH]))
     reps = classes.select("id", "n", *_SKETCH)
-
     tables = _tables(reps)
-    shared = tables.groupBy("t", "key").agg(F.count("*").alias("members")).where("members > 1").select("t", "key")
-    members = checkpointed(tables.join(shared, ["t", "key"]))
-    ids = members.select("id").distinct()
-    sets = checkpointed(texts.select(F.col("doc_id").alias("id"), "text").join(small_side(ids), "id", "left_semi")
+    shared = tables.groupBy("t", "key").agg(F.count("*").alias("members"), F.min("id").alias("pivot")).where("members > 1")
+    members = checkpointed(tables.join(shared.drop("members"), ["t", "key"]))
+    sets = checkpointed(texts.select(F.col("doc_id").alias("id"), "text")
+                        .join(small_side(members.select("id").distinct()), "id", "left_semi")
                         .mapInArrow(_set_rows(size), "id bigint, keys binary"))
     # A doc_id with several sets joins their classes.
     repeated = known.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select("doc_id")
-    links = (known.join(repeated, "doc_id", "left_semi").join(classes.select("n", "s0", "s1", "id"), ["n", "s0", "s1"])
-             .select(F.col("id").alias("a"), F.col("doc_id").alias("b")))
-    open_ = members.withColumn("component", F.col("id"))
-    a_b = [F.col("a.id").alias("a"), F.col("b.id").alias("b")]
-    a, b = reps.alias("a"), reps.alias("b")
-    for turn in range(PIVOT_ROUNDS + 1):
-        if turn < PIVOT_ROUNDS:
-            order = F.col("id") if turn == 0 else F.xxhash64("id", F.lit(turn))
-            pivots = open_.groupBy("t", "key").agg(
-                F.min(F.struct(order.alias("o"), "id", "component"))["id"].alias("pivot"),
-                F.min(F.struct(order.alias("o"), "id", "component"))["component"].alias("its"))
-            met = (open_.join(pivots, ["t", "key"]).where("id <> pivot AND component <> its")
-                   .select(F.col("id").alias("x"), F.col("pivot").alias("y")).distinct())
-            pairs = met.join(a, F.col("x") == F.col("a.id")).join(b, F.col("y") == F.col("b.id")).where(
-                _may_link("a", "b", percent)).select(*a_b)
-        else:
-            wide = checkpointed(open_.join(reps, "id"))
-            if wide.isEmpty():
-                break
-            a, b = wide.alias("a"), wide.alias("b")
-            pairs = a.join(b, (F.col("a.t") == F.col("b.t")) & (F.col("a.key") == F.col("b.key"))
-                           & (F.col("a.id") < F.col("b.id")) & (F.col("a.component") != F.col("b.component"))
-                           & (F.col("a.t") == _first_table("a", "b")) & _may_link("a", "b", percent)).select(*a_b)
-        found = _verified(pairs, sets, percent)
-        links = checkpointed(links.union(found))
-        labels = checkpointed(components(links))
-        if turn < PIVOT_ROUNDS:
-            now = members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-            several = (now.groupBy("t", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                       .where("lo <> hi").select("t", "key"))
-            open_ = checkpointed(now.join(several, ["t", "key"]))
+    same = (known.join(repeated, "doc_id", "left_semi").join(classes.select("n", "s0", "s1", "id"), ["n", "s0", "s1"])
+            .select(F.col("id").alias("a"), F.col("doc_id").alias("b")))
+
+    met = members.where("id <> pivot").select("id", "pivot").distinct()
+    pairs = (met.join(reps.alias("a"), met["id"] == F.col("a.id")).join(reps.alias("b"), met["pivot"] == F.col("b.id"))
+             .where(_may_link("a", "b", percent)).select(F.col("a.id").alias("a"), F.col("b.id").alias("b")))
+    links = checkpointed(same.union(_verified(pairs, sets, percent)))
+    labels = checkpointed(components(links))
+
+    now = members.join(labels, "id", "left").select("t", "key", "id", F.coalesce("component", "id").alias("component"))
+    several = (now.groupBy("t", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+               .where("lo <> hi").select("t", "key"))
+    unsettled = checkpointed(now.join(several, ["t", "key"]).join(reps, "id"))
+    if not unsettled.isEmpty():
+        near = _block_links(unsettled, ["t", "key"], percent, False)
+        clusters = components(near).select(F.col("id").alias("component"), F.col("component").alias("cluster"))
+        wide = checkpointed(unsettled.drop("t", "key").distinct().join(clusters, "component").join(sets, "id"))
+        more = _block_links(wide, ["cluster"], percent, True)
+        labels = checkpointed(components(links.union(more)))
 
     named = classes.select("n", "s0", "s1", "id").join(labels, "id", "left").select(
         "n", "s0", "s1", F.coalesce("component", "id").alias("component"))
