@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 NO_ID = 2**63 - 1  # stands for a null doc_id, which counts as larger than any other
@@ -32,12 +32,24 @@ LOWER_SPACED[0x41:0x5B] += 0x20
 
 # --- batches ------------------------------------------------------------------------------
 
+_ARROW = "spark.sql.execution.arrow."
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Let tasks get texts in Arrow batches of bounded size; a smaller setting of the session stays."""
+    for name, most in (("maxRecordsPerBatch", 1_000), ("maxBytesPerBatch", 8 << 20)):
+        now = spark.conf.get(_ARROW + name, None)
+        if now is None or not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(_ARROW + name, str(most))
+
+
 def deal(docs: DataFrame, batch_bytes: int = BATCH_BYTES, carry: tuple[str, ...] = ()) -> tuple[DataFrame, int]:
     """(batch, id, text) dealt by batch, and the number of batches; batches ascend with doc_id.
 
     Columns in ``carry`` travel along as one struct. Two narrow passes find the size of the texts and the borders of the batches. A null text is empty.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     more = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("carry")] if carry else []
     known = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("id"), "text", *more)
     total = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0

@@ -328,6 +328,7 @@ def encode_documents(docs: DataFrame, path: str, keep_ids: bool = False, keep: t
     numbers), decoded_sha256 (and on request ``ids`` as these bytes and ``decoded``). A null text is
     empty and has no tokens. The strings of special tokens become their ids. Other columns are ignored.
     """
+    B.bounded_batches(docs.sparkSession)
     spark = docs.sparkSession
     vocabulary = Vocabulary(path)
     shipped = spark.sparkContext.broadcast(vars(vocabulary))

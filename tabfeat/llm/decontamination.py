@@ -101,6 +101,7 @@ def find_benchmark_windows(docs: DataFrame, benchmark: DataFrame, keep: tuple[st
     window; a null item_id is not counted), items_sha256, contaminated. Null and empty texts have no
     words; an empty benchmark hits nothing. Columns in ``keep`` stay, others are ignored.
     """
+    B.bounded_batches(docs.sparkSession)
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
     windows = checkpointed(items.mapInArrow(_item_windows, "item_id string, n int, key bigint").distinct())

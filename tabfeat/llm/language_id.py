@@ -178,6 +178,7 @@ def sampled_by_label(rows: DataFrame, label: str, per_label: int) -> tuple[DataF
 
 def _predictor(docs: DataFrame, per_language: int):
     """A function from texts to languages and scores, learnt from a sample of labelled rows."""
+    B.bounded_batches(docs.sparkSession)
     rows, counts = sampled_by_label(
         docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & learnable()).select("doc_id", "text", "lang"), "lang", per_language)
     languages = sorted(counts)

@@ -202,6 +202,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     (component_id null, kept), is linked with nothing; rows with one doc_id count as one document,
     also if their sets differ. Other columns are ignored.
     """
+    B.bounded_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     longs = ", ".join(f"{name} bigint" for name in ("doc_id", "n", "s0", "s1", *_SKETCH))
     sketches = checkpointed(texts.mapInArrow(_sketches(size), longs))

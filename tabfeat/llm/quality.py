@@ -124,6 +124,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PE
     with each; without labels of both kinds the score is the share of label 1, or 0.5. Other columns
     are ignored.
     """
+    B.bounded_batches(docs.sparkSession)
     known = labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").select("doc_id", F.col("quality").cast("int").alias("quality"))
     chosen, counts = sampled_by_label(known.where(learnable(3, 1)), "quality", per_label)
     rows = docs.select("doc_id", "text").join(chosen, "doc_id").collect()

@@ -179,7 +179,9 @@ def remove_repeated_strings(docs: DataFrame, length: int = 50, keep_text: bool =
         inside = np.arange(widest) < size[:, None]
         source = first[:, None] + np.arange(widest)
         records["bytes"][inside] = batch.data[source[inside]]
-        cuts = np.searchsorted(B.bucket_of(batch.keys[at], buckets), np.arange(buckets + 1))
+        del source, inside
+        # The suffixes take far more room than the runs, so their buckets are smaller.
+        cuts = np.searchsorted(B.bucket_of(batch.keys[at], 8 * buckets), np.arange(8 * buckets + 1))
         there = np.flatnonzero(np.diff(cuts)).tolist()
         number = table["batch"][0].as_py()
         packed = [records[cuts[b]:cuts[b + 1]].tobytes() for b in there]
@@ -211,17 +213,16 @@ def remove_repeated_strings(docs: DataFrame, length: int = 50, keep_text: bool =
         windows = batch.first[part[which]] + bit
         np.add.at(change, windows, 1)
         np.add.at(change, windows + length, -1)
-        gone = np.cumsum(change[:-1]) > 0
+        gone = np.cumsum(change[:-1], dtype=np.int32) > 0
         head = gone.copy()
         head[1:] &= ~gone[:-1]
         begins = batch.offsets[:-1][batch.offsets[:-1] < len(gone)]
         head[begins] = gone[begins]
-        removed = np.concatenate([[0], np.cumsum(gone)])[batch.offsets]
-        spans = np.concatenate([[0], np.cumsum(head)])[batch.offsets]
+        removed, spans = _counted(gone)[batch.offsets], _counted(head)[batch.offsets]
         left, cuts = batch.data[~gone].tobytes(), (batch.offsets - removed).tolist()
         texts = [left[a:b] for a, b in zip(cuts, cuts[1:])]
         columns = {"doc_id": B.ids_of(batch.ids), "n_bytes": pa.array(np.diff(batch.offsets)),
-                   "n_removed": pa.array(np.diff(removed)), "n_spans": pa.array(np.diff(spans)),
+                   "n_removed": pa.array(np.diff(removed).astype(np.int64)), "n_spans": pa.array(np.diff(spans).astype(np.int64)),
                    "kept_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string())}
         if keep_text:
             columns["kept_text"] = pa.array([t.decode(errors="ignore") for t in texts], pa.string())
@@ -239,6 +240,13 @@ def remove_repeated_strings(docs: DataFrame, length: int = 50, keep_text: bool =
     return groups.cogroup(told.groupBy("batch")).applyInArrow(cleaned, schema)
 
 
+def _counted(marks: np.ndarray) -> np.ndarray:
+    """How many marks there are before each place."""
+    sums = np.zeros(len(marks) + 1, np.int64 if len(marks) >> 31 else np.int32)
+    np.cumsum(marks, out=sums[1:])
+    return sums
+
+
 def _repeats(records: np.ndarray, length: int) -> np.ndarray:
     """Per record a bit for each window that a smaller id has too."""
     windows = records["n"].astype(np.int64) - length + 1
