@@ -186,8 +186,7 @@ def run_grid(spark, folder):
     df = frames.line_inter_split(spark, folder).persist()
     grid = runs.run_grid(df, LINE_INTER, {
         "classical": Regressor("linear_regression"),
-        "automl": {"n_trials": 3, "families": ["linear_regression", "ridge", "decision_tree"], "folds": 2,
-                   "rungs": (0.2, 1.0)},
+        "automl": {"n_trials": 3, "families": ["linear_regression", "ridge", "decision_tree"], "folds": 2},
     }, options=FIXED)
     df.unpersist()
     return grid.metrics
@@ -434,7 +433,7 @@ def _fit_metrics(spark, folder, kind, **params):
 
 @query
 def fit_random_forest(spark, folder):
-    return _fit_metrics(spark, folder, "random_forest", n_estimators=20, max_depth=6)
+    return _fit_metrics(spark, folder, "random_forest")
 
 
 @query
@@ -449,7 +448,7 @@ def fit_decision_tree(spark, folder):
 
 @query
 def fit_kernel_robust(spark, folder):
-    return _fit_metrics(spark, folder, "svr", components=40)
+    return _fit_metrics(spark, folder, "svr")
 
 
 @query
@@ -496,8 +495,8 @@ def cv_interval(spark, folder):
 
 @query
 def optimize(spark, folder):
-    found = search.optimize(frames.line_inter_split(spark, folder), LINE_INTER, n_trials=6, folds=2,
-                            families=["linear_regression", "ridge", "decision_tree"], rungs=(0.2, 1.0), refit=False)
+    found = search.optimize(frames.line_inter_split(spark, folder), LINE_INTER, n_trials=6,
+                            families=["linear_regression", "ridge", "decision_tree"], refit=False)
     return found.trials.drop("seconds")
 
 

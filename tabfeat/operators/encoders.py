@@ -12,16 +12,23 @@ from tabfeat.session import small_side
 COLUMN_LIMIT = 1_000
 
 
-def encode_onehot(df: DataFrame, column: str, column_limit: int = COLUMN_LIMIT) -> DataFrame:
-    """One 0/1 column per category in sorted order; very many categories become one sparse vector instead."""
-    categories = [r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct()
-                  .limit(column_limit + 1).collect()]
-    if len(categories) > column_limit:
+def encode_onehot(df: DataFrame, column: str, form: str = "columns", column_limit: int = COLUMN_LIMIT) -> DataFrame:
+    """One 0/1 column per category in sorted order, or with ``form="vector"`` one sparse vector.
+
+    The form never depends on the data: too many categories for columns are an error.
+    """
+    if form not in ("columns", "vector"):
+        raise ValueError(f"unknown form: {form}")
+    if form == "vector":
         indexer = StringIndexer(inputCol=column, outputCol=f"{column}_index", handleInvalid="keep",
                                 stringOrderType="alphabetAsc").fit(df)
         indexed = indexer.transform(df)
         encoder = OneHotEncoder(inputCol=f"{column}_index", outputCol=f"{column}_onehot", dropLast=False)
         return encoder.fit(indexed).transform(indexed).drop(f"{column}_index", column)
+    categories = [r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct()
+                  .limit(column_limit + 1).collect()]
+    if len(categories) > column_limit:
+        raise ValueError(f"more than {column_limit} categories: use form='vector'")
     flags = [F.col(column).eqNullSafe(F.lit(v)).cast("int").alias(f"{column}_{v}") for v in sorted(categories)]
     return df.select(*[c for c in df.columns if c != column], *flags)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -12,7 +13,7 @@ from tabfeat import fixed_values as fixed
 from tabfeat.operators.profile import per_column
 from tabfeat.operators.quantiles import quantiles
 from tabfeat.session import tiny_table
-from tabfeat.spec import numeric_columns, text_columns
+from tabfeat.spec import nan_to_null, numeric_columns, text_columns
 
 FINDING = "check string, item string, severity string, message string, value double"
 
@@ -32,6 +33,7 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
 
 
 def high_missing(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    df = nan_to_null(df)
     shares = per_column(df, columns or df.columns, share=lambda c: F.avg(F.col(c).isNull().cast("double")))
     return _findings(shares.where(F.col("share") > fixed.HIGH_MISSING_SHARE),
                      "quality", "warning", "more than half of the values are missing", "column", "share")
@@ -39,6 +41,7 @@ def high_missing(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 
 def constant_columns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """At most one distinct value: smallest equals largest, or nothing but nulls."""
+    df = nan_to_null(df)
     rows = per_column(df, columns or df.columns,
                       same=lambda c: F.min(c).eqNullSafe(F.max(c)), filled=lambda c: F.count(c))
     return _findings(rows.where("same"), "quality", "warning", "at most one distinct value", "column", "filled")
@@ -49,7 +52,7 @@ def duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None, method:
 
     ``hash`` shuffles 16 bytes per row instead of the row, for wide or long-text tables.
     """
-    columns = list(columns or df.columns)
+    df, columns = nan_to_null(df), list(columns or df.columns)
     if method == "hash":
         marks = [F.xxhash64(*columns, *[F.col(c).isNull() for c in columns]).alias("h1"),
                  F.xxhash64(F.lit(7), *columns, *[F.col(c).isNull() for c in columns]).alias("h2")]
@@ -69,7 +72,7 @@ def high_outliers(df: DataFrame, columns: Sequence[str] | None = None, method: s
 
 
 def outlier_shares(df: DataFrame, columns: Sequence[str] | None = None, method: str = "exact") -> DataFrame:
-    columns = list(columns or numeric_columns(df))
+    df, columns = nan_to_null(df), list(columns or numeric_columns(df))
     fences = {}
     for c, (q1, q3) in quantiles(df, columns, (0.25, 0.75), method).items():
         if q1 is not None:
@@ -85,7 +88,7 @@ def outlier_shares(df: DataFrame, columns: Sequence[str] | None = None, method:
 
 
 def data_quality(df: DataFrame, columns: Sequence[str] | None = None, method: str = "exact") -> DataFrame:
-    """All four quality checks; missing shares and constants share a scan."""
+    """All four quality checks, each in a scan of its own; NaN counts as missing."""
     columns = list(columns or df.columns)
     numeric = [c for c in numeric_columns(df) if c in columns]
     parts = [high_missing(df, columns), constant_columns(df, columns), duplicate_rows(df, columns)]
@@ -96,8 +99,11 @@ def data_quality(df: DataFrame, columns: Sequence[str] | None = None, method: st
 
 def pii_columns(df: DataFrame) -> DataFrame:
     """Columns whose name contains a personal keyword, with how many values they hold."""
-    pattern = "(?i)" + "|".join(fixed.PII_KEYWORDS)
-    rows = per_column(df, df.columns, filled=lambda c: F.count(c)).where(F.col("column").rlike(pattern))
+    pattern = re.compile("|".join(fixed.PII_KEYWORDS), re.IGNORECASE)
+    columns = [c for c in df.columns if pattern.search(c)]
+    if not columns:
+        return no_findings(df.sparkSession)
+    rows = per_column(df, columns, filled=lambda c: F.count(c))
     return _findings(rows, "privacy", "failed", "the column name suggests personal data", "column", "filled")
 
 

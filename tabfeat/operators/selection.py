@@ -13,7 +13,7 @@ from tabfeat.operators.fitted import FittedStep
 from tabfeat.operators.quantiles import quantiles
 from tabfeat.operators.transformers import column_stats, inner_edges
 from tabfeat.session import tiny_table
-from tabfeat.spec import FeatureSpec
+from tabfeat.spec import FeatureSpec, text_columns
 
 
 def _keep(name: str, kind: str, columns: Sequence[str], dropped: Sequence[str], **params: str) -> FittedStep:
@@ -35,23 +35,25 @@ def fit_prune(df: DataFrame, key: Sequence[str], columns: Sequence[str], tol: fl
               levels: Mapping[str, Sequence[float]] | None = None) -> list[FittedStep]:
     """Drop near-constant columns, then columns equal to an earlier one: two scans for both.
 
-    A value with more than half of the rows is also the median, so for ``tol`` above 0.5 the
-    candidate comes from a sketch and its exact share from the second scan; columns with few
-    known ``levels`` need no sketch. Columns with equal order-free fingerprints are compared
+    A value with more than half of the rows reaches from the median well to one side, so for
+    ``tol`` above 0.5 two candidates beside the median come from a sketch and their exact shares
+    from the second scan; columns with few known ``levels`` need no sketch, and text is counted. Columns with equal order-free fingerprints are compared
     cell by cell in the second scan.
     """
     columns = list(columns)
-    by_count = constant and tol <= 0.5 and levels is None
+    text = [c for c in columns if c in text_columns(df)]
+    by_count = constant and levels is None and (tol <= 0.5 or bool(text))
     measures = {"mark": lambda c: F.bit_xor(F.xxhash64(*key, F.col(c))), "filled": F.count}
-    if levels is None:
-        measures["middle"] = lambda c: F.percentile_approx(c, 0.5, 1000)
+    if levels is None and not by_count:
+        measures["middle"] = lambda c: F.percentile_approx(c, [0.499, 0.501], 10_000)
     stats = column_stats(df, columns, **measures)
     prints = {c: (s["mark"], s["filled"]) for c, s in stats.items()}
-    candidates = levels or {c: [] if s["middle"] is None else [s["middle"]] for c, s in stats.items()}
+    candidates = levels or {c: [] for c in columns} if by_count or levels else {c: list(dict.fromkeys(s["middle"] or [])) for c, s in stats.items()}
     groups: dict[tuple, list[str]] = {}
     for c in columns:
         groups.setdefault(prints[c], []).append(c)
-    pairs = [(a, b) for g in groups.values() for i, a in enumerate(g) for b in g[i + 1:]] if duplicate else []
+    # Equality carries over, so the first of a group stands for the others.
+    pairs = [(g[0], b) for g in groups.values() for b in g[1:]] if duplicate else []
     checks = [F.greatest(F.lit(0), F.lit(0), *[F.count_if(F.col(c) == F.lit(v)) for v in candidates[c]]).alias(f"m{i}")
               for i, c in enumerate(columns)]
     checks += [F.count_if(~F.col(a).eqNullSafe(F.col(b))).alias(f"d{i}") for i, (a, b) in enumerate(pairs)]

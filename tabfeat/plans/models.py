@@ -59,9 +59,10 @@ class FittedModel:
         return self.predictions(df).agg(moment_metrics()["r2"]).first()[0]
 
     def importance(self, df: DataFrame) -> DataFrame:
-        """``(model, feature, importance)``; empty for models without one."""
+        """``(model, feature, importance)``, shares that add up to 1; empty for models without one."""
         rows = self.weights() if self.weights else {}
-        return tiny_table(df.sparkSession, [(self.name, f, float(v)) for f, v in rows.items()],
+        total = sum(rows.values()) or 1.0
+        return tiny_table(df.sparkSession, [(self.name, f, float(v) / total) for f, v in rows.items()],
                           "model string, feature string, importance double")
 
 

@@ -94,7 +94,7 @@ def run_grid(df: DataFrame, spec: FeatureSpec, models: Mapping[str, Regressor |
     as a mapping is a search: the mapping holds the arguments of ``optimize``.
     """
     spark = df.sparkSession
-    models = models or {"classical": Regressor("linear_regression"), "automl": {"n_trials": 10}}
+    models = models or {"classical": Regressor("linear_regression"), "automl": {"n_trials": 100}}
     results, failures = {}, []
     for chain_kind in chains:
         chosen = options if isinstance(options, ChainOptions) else options[chain_kind]

@@ -9,16 +9,16 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabfeat.fixed_values import HIGHER_IS_BETTER, T_95
-from tabfeat.functions.hashing import key_digest, share_mark
 from tabfeat.operators.metrics import moment_metrics
 from tabfeat.operators.split import fold_number
 from tabfeat.plans.chain import ChainOptions, FeatureChain
 from tabfeat.plans.models import FittedModel, Regressor
-from tabfeat.session import tiny_table
+from tabfeat.session import small_side, tiny_table
 from tabfeat.spec import FeatureSpec, known_target, training_rows
 
 
@@ -76,6 +76,8 @@ SPACE: Mapping[str, Callable[[random.Random], dict]] = {
     "elastic_net": lambda r: {"alpha": 10 ** r.uniform(-1, 2), "l1_ratio": r.uniform(0.1, 0.9)},
     "decision_tree": lambda r: {"max_depth": r.randint(3, 10)},
     "random_forest": lambda r: {"n_estimators": r.choice([20, 50, 100]), "max_depth": r.randint(4, 10)},
+    "knn": lambda r: {"k": r.randint(2, 20)},
+    "svr": lambda r: {"epsilon": r.uniform(1.1, 2.0), "alpha": 10 ** r.uniform(-5, -2)},
     "gradient_boosting": lambda r: {"n_estimators": r.choice([20, 50, 100]), "max_depth": r.randint(3, 6),
                                     "learning_rate": 10 ** r.uniform(-2, -0.5)},
 }
@@ -88,55 +90,47 @@ class SearchResult:
     best_params: dict
     trials: DataFrame
     model: FittedModel | None = None
+    unscored: int = 0
 
     def as_dict(self) -> dict:
         return {"best_score": self.best_score, "best_params": {"model_type": self.best_kind, **self.best_params}}
 
 
-def optimize(df: DataFrame, spec: FeatureSpec, n_trials: int = 100, timeout: float = 3600, folds: int = 3,
+def optimize(df: DataFrame, spec: FeatureSpec, n_trials: int = 100, timeout: float = 3600, folds: int = 5,
              scoring: str = "neg_mean_squared_error", seed: int = 42, families: Sequence[str] | None = None,
-             rungs: Sequence[float] = (1 / 9, 1 / 3, 1.0), refit: bool = True) -> SearchResult:
-    """Seeded random search with successive halving.
+             refit: bool = True) -> SearchResult:
+    """Seeded random search: every trial is scored on every row, by cross-validation.
 
-    All trials are scored on a small hash sample of the rows, the best third goes on to a
-    larger one, and the finalists are compared on every row. The time limit is checked
-    between trials; trials cut off by it keep their last score in the log.
+    The time limit is checked between trials, after the first. A trial that it cut off, or that no fold
+    could score, stands in ``trials`` with a null fold and score, and is counted in ``unscored``.
     """
     families = list(families or SPACE)
     if unknown := [f for f in families if f not in SPACE]:
         raise ValueError(f"no search space for: {unknown}")
     rng = random.Random(seed)
-    alive = [(i, families[i % len(families)], SPACE[families[i % len(families)]](rng)) for i in range(n_trials)]
-    rows = known_target(training_rows(df, spec), spec)
-    order = key_digest(spec.key, seed, "rung")
-    log, deadline = [], time.monotonic() + timeout
+    drawn = [(i, families[i % len(families)], SPACE[families[i % len(families)]](rng)) for i in range(n_trials)]
+    rows = known_target(training_rows(df, spec), spec).persist(StorageLevel.MEMORY_AND_DISK)
+    log, deadline, unscored = [], time.monotonic() + timeout, 0
     best: tuple[float, str, dict] | None = None
-    for level, share in enumerate(rungs):
-        frame = rows if share >= 1 else rows.where(order < share_mark(share))
-        scored = []
-        for i, family, params in alive:
-            if log and time.monotonic() > deadline:
-                break
-            begun = time.monotonic()
-            results = fold_scores(frame, spec, Regressor(family, params), folds, scoring, seed)
-            if not results:
-                continue
-            mean = sum(s for _, s in results) / len(results)
-            seconds = time.monotonic() - begun
-            log += [(i, level, float(share), family, json.dumps(params, sort_keys=True), fold, score, seconds)
-                    for fold, score in results]
-            scored.append((mean, i, family, params))
-        if not scored:
-            break
-        scored.sort(key=lambda s: (-s[0], s[1]))
-        best = (scored[0][0], scored[0][2], scored[0][3])
-        alive = [(i, family, params) for _, i, family, params in scored[:max(1, len(scored) // 3)]]
+    for i, family, params in drawn:
+        text, begun, results = json.dumps(params, sort_keys=True), time.monotonic(), []
+        if not log or begun <= deadline:
+            results = fold_scores(rows, spec, Regressor(family, params), folds, scoring, seed)
+        if not results:
+            unscored += 1
+            log.append((i, family, text, None, None, None))
+            continue
+        seconds = time.monotonic() - begun
+        log += [(i, family, text, fold, score, seconds) for fold, score in results]
+        mean = sum(s for _, s in results) / len(results)
+        if best is None or mean > best[0]:
+            best = (mean, family, params)
+    rows.unpersist()
     if best is None:
         raise ValueError("no trial could be scored")
-    trials = tiny_table(df.sparkSession, log, "trial int, rung int, share double, family string, params string, "
-                                              "fold int, score double, seconds double")
+    trials = tiny_table(df.sparkSession, log, "trial int, family string, params string, fold int, score double, seconds double")
     model = Regressor(best[1], best[2], "automl").fit(df, spec) if refit else None
-    return SearchResult(best[0], best[1], best[2], trials, model)
+    return SearchResult(best[0], best[1], best[2], trials, model, unscored)
 
 
 def pareto_trials(trials: DataFrame, objectives: Sequence[str], ident: str = "model") -> DataFrame:
@@ -151,4 +145,4 @@ def pareto_trials(trials: DataFrame, objectives: Sequence[str], ident: str = "mo
 
     dominated = (reduce(lambda x, y: x & y, [no_worse(o) for o in objectives])
                  & reduce(lambda x, y: x | y, [F.col(f"a.{o}") != F.col(f"b.{o}") for o in objectives]))
-    return trials.alias("a").join(F.broadcast(trials).alias("b"), dominated, "left_anti").select(ident, *objectives)
+    return trials.alias("a").join(small_side(trials).alias("b"), dominated, "left_anti").select(ident, *objectives)

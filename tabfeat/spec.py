@@ -29,7 +29,7 @@ class FeatureSpec:
     def infer(cls, df: DataFrame, key: Sequence[str], target: str | None = None,
               split: str = "split", order_by: Sequence[str] = ()) -> FeatureSpec:
         """Take every numeric column that has no other role as a feature."""
-        taken = {*key, target, split}
+        taken = {*key, target, split, *order_by}
         features = tuple(
             f.name for f in df.schema.fields
             if isinstance(f.dataType, T.NumericType) and f.name not in taken

@@ -93,13 +93,16 @@ def test_model_contract(df):
 
 
 def test_search(df):
-    found = search.optimize(df, SPEC, n_trials=4, folds=2, families=["linear_regression", "ridge"], rungs=(0.5, 1.0))
+    found = search.optimize(df, SPEC, n_trials=4, folds=2, families=["linear_regression", "ridge"])
     assert set(found.as_dict()) == {"best_score", "best_params"} and found.model.predict(df).count() == 400
-    again = search.optimize(df, SPEC, n_trials=4, folds=2, families=["linear_regression", "ridge"], rungs=(0.5, 1.0), refit=False)
+    again = search.optimize(df, SPEC, n_trials=4, folds=2, families=["linear_regression", "ridge"], refit=False)
     assert (again.best_score, again.best_params) == (pytest.approx(found.best_score), found.best_params)
-    assert found.trials.where("rung = 0").select("trial").distinct().count() == 4
+    assert found.trials.where("score IS NOT NULL").count() == 8 and found.unscored == 0
     short = search.optimize(df, SPEC, n_trials=50, timeout=0, folds=2, families=["ridge"], refit=False)
-    assert short.trials.select("trial").distinct().count() == 1
+    assert short.trials.where("score IS NOT NULL").select("trial").distinct().count() == 1
+    assert short.unscored == 49 and short.trials.where("score IS NULL").count() == 49
+    full = sum(s for _, s in search.fold_scores(df, SPEC, Regressor("ridge", short.best_params), 2)) / 2
+    assert short.best_score == pytest.approx(full)
 
 
 def test_cross_validation_fits_the_chain_in_each_fold(df):

@@ -2,6 +2,9 @@ import pytest
 
 from tabfeat.fixed_values import RECOMMENDATIONS
 from tabfeat.operators import quality
+from tabfeat.operators.selection import fit_prune
+from tabfeat.plans.models import Regressor
+from tabfeat.spec import FeatureSpec
 
 
 @pytest.fixture(scope="module")
@@ -60,3 +63,30 @@ def test_bias(spark):
     narrow = spark.createDataFrame([("m", 0.0, 5.0), ("m", 10.0, 5.5)], "model string, y double, pred double")
     assert items(quality.bias_pred_range(narrow)) == {("m", 0.05)}
     assert quality.bias_check(importance, narrow, enabled=False).count() == 0
+
+
+def test_nan_counts_as_missing(spark):
+    df = spark.createDataFrame([(float("nan") if i < 7 else float(i), i) for i in range(10)], "a double, i int")
+    found = {(r["check"], r["message"]) for r in quality.data_quality(df, ["a"]).collect()}
+    assert any("missing" in m for _, m in found) and not any("quartile" in m for _, m in found)
+
+
+def test_importance_of_a_linear_model_is_in_shares(spark):
+    rows = [(i, float(i % 7), float(i % 5), 200.0 * (i % 7) + 140.0 * (i % 5)) for i in range(200)]
+    spec = FeatureSpec(("id",), ("a", "b"), "y")
+    df = spark.createDataFrame(rows, "id int, a double, b double, y double")
+    importance = Regressor("linear_regression").fit(df, spec).importance(df)
+    assert importance.agg({"importance": "sum"}).first()[0] == pytest.approx(1)
+    assert quality.bias_importance(importance).where("item like '%dominates%' or message like '%dominates%'").count() == 0
+
+
+def test_ordering_columns_are_no_features(spark):
+    df = spark.createDataFrame([(1, 2, 3.0, 4.0)], "id int, hour int, x double, y double")
+    assert FeatureSpec.infer(df, ("id",), "y", order_by=("hour",)).features == ("x",)
+
+
+def test_near_half_share_and_text_columns_are_pruned(spark):
+    df = spark.createDataFrame([(i, 1.0 if i < 5004 else float(i), "a" if i < 9600 else "b", float(i)) for i in range(10000)],
+                               "id int, x double, t string, z double")
+    assert fit_prune(df, ["id"], ["x", "z"], 0.5002)[0].features == ("z",)
+    assert fit_prune(df, ["id"], ["t", "z"], 0.95)[0].features == ("z",)

@@ -177,7 +177,9 @@ def test_encoders(spark):
     codes = encoders.encode_ordinal(df, "c", "y")
     assert [r["c_code"] for r in codes.orderBy("id").collect()] == [0, 1, 0, None]
     assert [r["c_code"] for r in encoders.encode_ordinal(df, "c").orderBy("id").collect()] == [1, 0, 1, None]
-    wide = encoders.encode_onehot(df.dropna(), "c", column_limit=1)
+    with pytest.raises(ValueError):
+        encoders.encode_onehot(df, "c", column_limit=1)
+    wide = encoders.encode_onehot(df.dropna(), "c", form="vector")
     assert "c_onehot" in wide.columns
     filled = tr.fit_impute_categorical(df, ["c"], "frequent").apply(df)
     assert filled.where(F.col("c") == "b").count() == 3
