@@ -104,8 +104,9 @@ def edited_neighbours(docs: DataFrame, radius: int = 3, query_step: int = 50) ->
     # Each document's first characters go to the one before it, as many as that may need.
     follows = checkpointed(ranked.select((F.pmod(F.col("rank") - 2, total) + 1).alias("rank"), F.col("id").alias("next"), "h")
                            .join(ranked.select("rank", F.col("id").alias("to"), F.floor(F.col("n") / 2).cast("int").alias("need")), "rank"))
-    heads = (texts.join(follows.withColumnRenamed("next", "id"), "id").where(hashed == F.col("h"))
-             .select(F.col("to").alias("id"), F.left("text", "need").alias("head"))
+    # The hash is compared behind the join, which so shares the shuffle of the texts by id.
+    heads = (texts.join(follows.withColumnRenamed("next", "id"), "id")
+             .select(F.col("to").alias("id"), F.when(hashed == F.col("h"), F.left("text", "need")).alias("head"))
              .groupBy("id").agg(F.max("head").alias("head")))
     half = F.floor(size / 2).cast("int")
     edited = F.concat(F.left("text", size - half), F.left("head", half))
