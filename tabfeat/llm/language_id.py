@@ -169,8 +169,8 @@ def learnable(fold: int = 4, left_out: int = 2) -> Column:
 def sampled_by_label(rows: DataFrame, label: str, per_label: int) -> tuple[DataFrame, dict]:
     """About ``per_label`` rows of each label, chosen by a hash of doc_id, and the rows of each label."""
     counts = {r[0]: r[1] for r in rows.groupBy(label).count().collect()}
-    scale = 1 << 20
-    limit = F.lit(0)
+    scale = 1 << 60  # fine enough for a share of any number of rows
+    limit = F.lit(0).cast("bigint")
     for value, n in counts.items():
         limit = F.when(F.col(label) == F.lit(value), F.lit(int(scale * min(1, per_label / n)))).otherwise(limit)
     return rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < limit), counts
