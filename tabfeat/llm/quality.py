@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tabfeat.llm import blocks as B
 from tabfeat.llm.language_id import learnable, sampled_by_label
+from tabfeat.session import small_side
 
 PASSAGE_WORDS = 64
 PAIRS = 508
@@ -127,7 +128,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PE
     B.bounded_batches(docs.sparkSession)
     known = labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").select("doc_id", F.col("quality").cast("int").alias("quality"))
     chosen, counts = sampled_by_label(known.where(learnable(3, 1)), "quality", per_label)
-    rows = docs.select("doc_id", "text").join(chosen, "doc_id").collect()
+    # Bounded by per_label and counted, so the texts need not be shuffled to find the sample's.
+    rows = docs.select("doc_id", "text").join(small_side(chosen), "doc_id").collect()
     rows = sorted((r["doc_id"], r["quality"], r["text"] or "") for r in rows)
     label = np.array([r[1] for r in rows], np.float32)
     fixed = 0.5 if not counts else counts.get(1, 0) / sum(counts.values())
