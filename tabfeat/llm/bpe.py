@@ -6,6 +6,7 @@ import hashlib
 import heapq
 import json
 import uuid
+from collections import Counter
 from itertools import islice
 
 import numpy as np
@@ -22,7 +23,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 LEXICON_WORDS = 1 << 15
 WORD_SHARE = 2e-6  # a word with this share of the corpus has it in some task too, and is counted there
 _REMEMBERED = 400_000
-_LONG = 48
+_LONG = 48  # bytes of a word that is merged by itself
+_NEVER = 2**62
 
 
 # --- vocabulary ---------------------------------------------------------------------------
@@ -53,6 +55,11 @@ class Vocabulary:
         self.merges = {}
         for rank, (a, b) in enumerate(content["model"]["merges"]):
             self.merges.setdefault((vocab[a], vocab[b]), (rank, vocab[a + b]))
+        known = sorted((a * len(self.tokens) + b, rank) for (a, b), (rank, _) in self.merges.items())
+        self.pairs, self.pair_ranks = np.array(known, np.int64).reshape(-1, 2).T.copy()
+        self.merged = np.zeros(len(content["model"]["merges"]), np.int64)
+        for rank, token in self.merges.values():
+            self.merged[rank] = token
 
     @classmethod
     def of(cls, state: dict) -> Vocabulary:
@@ -61,22 +68,58 @@ class Vocabulary:
         vars(vocabulary).update(state)
         return vocabulary
 
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank at which each pair is merged, _NEVER for a pair that isn't."""
+        if not len(self.pairs):
+            return np.full(len(left), _NEVER)
+        key = left * len(self.tokens) + right
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == key, self.pair_ranks[at], _NEVER)
+
     def merge(self, word: bytes) -> list[int]:
-        """The ids of one word: the pair that was learnt first is merged first, the leftmost of equal ones."""
-        ids = [self.single[b] for b in word]
-        if len(ids) > _LONG:
-            return self._merge_long(ids)
-        merges = self.merges
-        while len(ids) > 1:
-            best, at = None, -1
-            for i, pair in enumerate(zip(ids, ids[1:])):
-                found = merges.get(pair)
-                if found is not None and (best is None or found[0] < best[0]):
-                    best, at = found, i
-            if best is None:
-                break
-            ids[at:at + 2] = [best[1]]
-        return ids
+        return self.merge_all([word])[0]
+
+    def merge_all(self, words: list[bytes]) -> list[list[int]]:
+        """The ids of each word: the pair that was learnt first is merged first, the leftmost of equal ones.
+
+        All words that aren't long take their next merge together, until none has one left.
+        """
+        merged: list[list[int]] = [[] for _ in words]
+        number = np.array([i for i, w in enumerate(words) if 0 < len(w) <= _LONG], np.int64)
+        for i, word in enumerate(words):
+            if len(word) > _LONG:
+                merged[i] = self._merge_long([self.single[b] for b in word])
+        sizes = np.array([len(words[i]) for i in number.tolist()], np.int64)
+        data = np.frombuffer(b"".join(words[i] for i in number.tolist()), np.uint8)
+        ids = np.array(self.single, np.int64)[data]
+        rank = np.append(self._ranks(ids[:-1], ids[1:]), _NEVER)[:len(ids)]
+        rank[np.cumsum(sizes) - 1] = _NEVER  # the last token of a word has no partner
+        while len(number):
+            owner = np.repeat(np.arange(len(number)), sizes)
+            best = np.minimum.reduceat(rank, np.cumsum(sizes) - sizes)
+            done = best == _NEVER
+            if done.any():
+                left = ids[done[owner]].tolist()
+                ends = np.cumsum(sizes[done]).tolist()
+                for i, start, stop in zip(number[done].tolist(), [0, *ends], ends):
+                    merged[i] = left[start:stop]
+                go = ~done[owner]
+                ids, rank, number, sizes, best = ids[go], rank[go], number[~done], sizes[~done], best[~done]
+                owner = np.repeat(np.arange(len(number)), sizes)
+            hit = np.flatnonzero(rank == best[owner])
+            at = hit[np.diff(owner[hit], prepend=-1) > 0]  # the leftmost of each word
+            ids[at] = self.merged[best]
+            rank[at] = _NEVER
+            stay = np.ones(len(ids), bool)
+            stay[at + 1] = False
+            ids, rank, sizes = ids[stay], rank[stay], sizes - 1
+            at -= np.arange(len(at))
+            ends = np.cumsum(sizes)
+            right = at[at + 1 < ends]
+            left = at[at > ends - sizes] - 1
+            place = np.concatenate([right, left])
+            rank[place] = self._ranks(ids[place], ids[place + 1])
+        return merged
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same with a heap of pairs and a chain of places, for words of any length."""
@@ -221,8 +264,9 @@ class Encoder:
         raw = [w.encode() for w in new]
         numbers = self.transducer.numbers(raw)
         cuts, ids = self.transducer.offsets, self.transducer.ids
-        for word, data, number in zip(new, raw, numbers.tolist()):
-            self.words[word] = self.vocabulary.merge(data) if number < 0 else ids[cuts[number]:cuts[number + 1]].tolist()
+        unseen = iter(self.vocabulary.merge_all([raw[i] for i in np.flatnonzero(numbers < 0).tolist()]))
+        for word, number in zip(new, numbers.tolist()):
+            self.words[word] = next(unseen) if number < 0 else ids[cuts[number]:cuts[number + 1]].tolist()
 
     def _learn_chunks(self) -> None:
         """Chunks begin with the space before them. One that touches more white space can't be cut alone."""
@@ -280,19 +324,16 @@ class Encoder:
 def _frequent(share: float):
     """Words with at least this share of the task's words, and their counts."""
     def words(batches):
-        cut, counts, total = regex.compile(PATTERN).findall, {}, 0
+        cut, counts, total = regex.compile(PATTERN).findall, Counter(), 0
         for batch in batches:
             for start, stop, part, at in B.slices(*B.flatten(batch.column("text"))):
-                chunks: dict[str, int] = {}
                 for text in batch.column("text").slice(start, stop - start).to_pylist():
-                    for chunk in (text or "").replace(" ", "\0 ").split("\0"):
-                        chunks[chunk] = chunks.get(chunk, 0) + 1
-                for chunk, n in chunks.items():
-                    total += n
-                    counts[chunk] = counts.get(chunk, 0) + n
+                    chunks = (text or "").replace(" ", "\0 ").split("\0")
+                    total += len(chunks)
+                    counts.update(chunks)
             # What is rarer than the share by now can only reach it by coming often later: it starts anew.
             if len(counts) > _REMEMBERED:
-                counts = {w: n for w, n in counts.items() if n >= share * total}
+                counts = Counter({w: n for w, n in counts.items() if n >= share * total})
         words: dict[str, int] = {}
         for chunk, n in counts.items():
             if n >= share * total and n > 1:
@@ -310,7 +351,8 @@ def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, words: int = LEXICON_
     spark = docs.sparkSession
     top = (docs.select("text").mapInArrow(_frequent(WORD_SHARE), "word string, n bigint")
            .groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(words).collect())
-    flat = Transducer.compile(sorted(r[0].encode() for r in top), vocabulary.merge)
+    frequent = sorted(r[0].encode() for r in top)
+    flat = Transducer.compile(frequent, dict(zip(frequent, vocabulary.merge_all(frequent))).get)
     name = f"lexicon-{uuid.uuid4().hex}.bin"
     path = f"{shared_folder(spark).rstrip('/')}/{name}"
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
