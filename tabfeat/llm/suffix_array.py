@@ -14,6 +14,11 @@ GRAM = 20
 _SLICE = 1 << 18
 _POSITION = np.uint64(0xFFFFFFFF)
 _SHALLOW = 16
+RUNS_A_BATCH = 128  # distinct runs of one gram that a batch sends to the gram's bucket; with more the gram is heavy
+RUNS = 4096  # distinct runs that a gram's bucket sorts; with more the gram is heavy
+_HEAVY = np.uint64(2**64 - 1)
+_BASES = (0x9E3779B97F4A7C55, 0xC2B2AE3D27D4EB4D)
+_WINDOW = np.dtype([("a", "<u8"), ("b", "<u8"), ("id", "<i8")])
 
 
 def deep_shallow(suffixes: np.ndarray, shallow: int = _SHALLOW) -> tuple[np.ndarray, np.ndarray]:
@@ -103,7 +108,7 @@ def _anchors(part: np.ndarray, at: np.ndarray, length: int, up: np.ndarray, down
 class _Batch:
     """The runs of a batch's texts; equal runs are one entry, owned by the smallest id that has it."""
 
-    def __init__(self, table: pa.Table, length: int):
+    def __init__(self, table: pa.Table, length: int, most: int):
         table = table.sort_by("id")  # stable: sorted rows keep their order
         self.ids = table["id"].to_numpy()
         self.data, self.offsets = B.flatten(table["text"])
@@ -126,10 +131,71 @@ class _Batch:
         self.entry = np.empty(len(order), np.int64)
         self.entry[order] = np.cumsum(new) - 1
         self.own = own
+        # Of a gram with more than ``most`` distinct runs one mark is sent.
+        head = np.ones(len(at), bool)
+        head[1:] = self.keys[1:] != self.keys[:-1]
+        gram = np.cumsum(head) - 1
+        self.light = np.bincount(gram, minlength=1)[gram] <= most
+        self.sent = self.light | head
 
+    def run_keys(self) -> np.ndarray:
+        return np.column_stack([self.keys, np.where(self.light, self.whole, _HEAVY)])[self.sent].ravel()
 
-def _compare_runs(keys: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
-    """1: an earlier batch has the same run; 2: the gram stands in different runs."""
+    def flags(self, answered: np.ndarray) -> np.ndarray:
+        """The answers to ``run_keys`` for every distinct run."""
+        return np.where(self.light, answered[np.cumsum(self.sent) - 1], np.uint8(4)) if len(self.sent) else answered
+
+    def windows(self, flags: np.ndarray, length: int):
+        """The distinct windows in runs of heavy grams with their smallest ids, sorted by hash.
+
+        With them for each window its entry, its number in the run, whether a smaller id here has it, and its place among the distinct ones.
+        """
+        widest = 2 * length - GRAM
+        heavy = np.flatnonzero(flags & 5 == 4)
+        powers = [_small_powers(base, widest) for base in _BASES]
+        found, entries, bits = [np.zeros(0, _WINDOW)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for start in range(0, len(heavy), 1 << 14):
+            entry = heavy[start:start + (1 << 14)]
+            place = self.owner_at[entry]
+            first = self.first[place]
+            inside = np.arange(widest - length + 1) <= (self.last[place] - first)[:, None]
+            own = self.data[np.minimum(first[:, None] + np.arange(widest), len(self.data) - 1)].astype(np.uint64) + np.uint64(1)
+            row, bit = np.nonzero(inside)
+            part = np.zeros(len(row), _WINDOW)
+            for name, (up, down) in zip("ab", powers):
+                sums = np.zeros((len(entry), widest + 1), np.uint64)
+                np.cumsum(own * up, axis=1, out=sums[:, 1:])
+                part[name] = B.mixed((sums[:, length:] - sums[:, :-length]) * down[:widest - length + 1])[inside]
+            part["id"] = self.owner[entry[row]]
+            found.append(part)
+            entries.append(entry[row])
+            bits.append(bit)
+        windows = np.concatenate(found)
+        order, least, new = _least_ids(windows)
+        at, inverse = order[new], np.empty(len(order), np.int64)
+        inverse[order] = np.cumsum(new) - 1
+        later = np.empty(len(order), bool)
+        later[order] = least < windows["id"][order]
+        return windows[at], np.concatenate(entries), np.concatenate(bits), later, inverse
+
+
+def _small_powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    inverse = pow(base, -1, 1 << 64)
+    return (np.array([pow(base, i, 1 << 64) for i in range(n)], np.uint64),
+            np.array([pow(inverse, i, 1 << 64) for i in range(n)], np.uint64))
+
+
+def _least_ids(windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of the windows by hash and id, the smallest id of each sorted window, and where a new one begins."""
+    order = np.lexsort((windows["id"], windows["b"], windows["a"]))
+    a, b, ids = (windows[c][order] for c in ("a", "b", "id"))
+    new = np.ones(len(order), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return order, ids[np.flatnonzero(new)][np.cumsum(new) - 1] if len(ids) else ids, new
+
+
+def _compare_runs(keys: np.ndarray, counts: np.ndarray, most: int = RUNS) -> list[np.ndarray]:
+    """1: an earlier batch has the same run; 2: the gram stands in different runs; 4: in too many for one bucket."""
     gram, whole = keys[::2], keys[1::2]
     order = np.lexsort((whole, gram))
     gram, whole = gram[order], whole[order]
@@ -138,8 +204,9 @@ def _compare_runs(keys: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
         same_gram = np.concatenate([[False], gram[1:] == gram[:-1]])
         same = same_gram & np.concatenate([[False], whole[1:] == whole[:-1]])
         start = np.flatnonzero(~same_gram)
-        several = np.add.reduceat(~same, start) > 1
-        flags[order] = same + 2 * several[np.cumsum(~same_gram) - 1].astype(np.uint8)
+        runs = np.add.reduceat(~same, start)
+        heavy = (runs > most) | np.logical_or.reduceat(whole == _HEAVY, start)
+        flags[order] = same + (2 * (runs > 1) + 4 * heavy).astype(np.uint8)[np.cumsum(~same_gram) - 1]
     return B.split_like(flags, counts)
 
 
@@ -150,7 +217,9 @@ def remove_repeated_strings(docs: DataFrame, length: int = 50, keep_text: bool =
     Texts are UTF-8 bytes, matches never cross documents, and strings are judged on the input. Windows
     fall into runs by the gram they choose. A run that an earlier document has whole goes whole; runs
     that share a gram but differ are sent to the gram's bucket, where the suffixes that start their
-    windows are sorted and equal neighbours give way to the smallest doc_id.
+    windows are sorted and equal neighbours give way to the smallest doc_id. A gram with more runs than
+    one bucket should sort is heavy: the windows of its runs are dealt by two 64-bit hashes of all their
+    bytes, each once per batch with its smallest doc_id, so that only equal windows need to meet.
 
     One row per input row: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 (and
     kept_text on request, without the characters that a cut broke; columns in ``carry`` come as one struct). A null text is empty; rows with the
@@ -162,15 +231,18 @@ def remove_repeated_strings(docs: DataFrame, length: int = 50, keep_text: bool =
     widest = 2 * length - GRAM
     record = np.dtype([("id", "<i8"), ("n", "<u2"), ("bytes", "u1", (widest,))])
     dealt, buckets = B.deal(docs, carry=carry)
+    a_batch, a_gram = RUNS_A_BATCH, RUNS
 
     def run_keys(table: pa.Table) -> np.ndarray:
-        batch = _Batch(table, length)
-        return np.column_stack([batch.keys, batch.whole]).ravel()
+        return _Batch(table, length, a_batch).run_keys()
+
+    def compare(keys: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
+        return _compare_runs(keys, counts, a_gram)
 
     def contested(table: pa.Table, told: pa.Table) -> pa.Table:
         """Runs that this batch owns and that differ from others with their gram, and a note for itself."""
-        batch = _Batch(table, length)
-        flags = B.answers(told, np.uint8)
+        batch = _Batch(table, length, a_batch)
+        flags = batch.flags(B.answers(told, np.uint8))
         at = np.flatnonzero(flags == 2)
         place = batch.owner_at[at]
         first, size = batch.first[place], batch.last[place] - batch.first[place] + length
@@ -185,6 +257,11 @@ def remove_repeated_strings(docs: DataFrame, length: int = 50, keep_text: bool =
         there = np.flatnonzero(np.diff(cuts)).tolist()
         number = table["batch"][0].as_py()
         packed = [records[cuts[b]:cuts[b + 1]].tobytes() for b in there]
+        windows = batch.windows(flags, length)[0]
+        cuts = np.searchsorted(B.bucket_of(windows["a"], 8 * buckets), np.arange(8 * buckets + 1))
+        full = np.flatnonzero(np.diff(cuts)).tolist()
+        packed += [windows[cuts[b]:cuts[b + 1]].tobytes() for b in full]
+        there += [8 * buckets + b for b in full]
         return pa.table({"bucket": pa.array([*there, -1 - number], pa.int32()),
                          "batch": pa.array([number] * (len(there) + 1), pa.int32()),
                          "keys": pa.array([*packed, flags.tobytes()], pa.binary())})
@@ -192,18 +269,23 @@ def remove_repeated_strings(docs: DataFrame, length: int = 50, keep_text: bool =
     def sorted_suffixes(table: pa.Table) -> pa.Table:
         if table["bucket"][0].as_py() < 0:
             return table.select(["batch", "bucket", "keys"]).rename_columns(["batch", "bucket", "answer"])
-        blocks = [np.frombuffer(k, record) for k in table["keys"].to_pylist()]
-        found = _repeats(np.concatenate(blocks), length)
+        heavy = table["bucket"][0].as_py() >= 8 * buckets
+        blocks = [np.frombuffer(k, _WINDOW if heavy else record) for k in table["keys"].to_pylist()]
+        found = (_later_windows if heavy else _repeats)(np.concatenate(blocks), length)
         return pa.table({"batch": table["batch"], "bucket": table["bucket"], "answer": pa.array(
             [x.tobytes() for x in B.split_like(found, np.array([len(b) for b in blocks]))], pa.binary())})
 
     def cleaned(table: pa.Table, told: pa.Table) -> pa.Table:
         table = table.sort_by("id")
-        batch = _Batch(table, length)
+        batch = _Batch(table, length, a_batch)
         told = told.sort_by("bucket")
         flags = np.frombuffer(told["answer"][0].as_py(), np.uint8)
         masks = np.zeros(len(flags), np.uint32)
-        masks[flags == 2] = B.answers(told.slice(1), np.uint32)
+        light = np.searchsorted(told["bucket"].to_numpy(), 8 * buckets)
+        masks[flags == 2] = B.answers(told.slice(1, light - 1), np.uint32)
+        _, entry, bit, later, inverse = batch.windows(flags, length)
+        hit = later | (B.answers(told.slice(light), np.uint8) > 0)[inverse]
+        np.bitwise_or.at(masks, entry[hit], np.uint32(1) << bit[hit].astype(np.uint32))
         whole = (flags[batch.entry] & 1 > 0) | (batch.own > batch.owner[batch.entry])
         change = np.zeros(len(batch.data) + 1, np.int32)
         np.add.at(change, batch.first[whole], 1)
@@ -230,7 +312,7 @@ def remove_repeated_strings(docs: DataFrame, length: int = 50, keep_text: bool =
             columns["carry"] = table["carry"]
         return pa.table(columns)
 
-    flags = B.ask(dealt, run_keys, buckets, _compare_runs, width=2)
+    flags = B.ask(dealt, run_keys, buckets, compare, width=2)
     groups = dealt.groupBy("batch")
     told = (groups.cogroup(flags.groupBy("batch")).applyInArrow(contested, B.PACKED)
             .groupBy("bucket").applyInArrow(sorted_suffixes, B.ANSWER))
@@ -260,3 +342,11 @@ def _repeats(records: np.ndarray, length: int) -> np.ndarray:
     masks = np.zeros(len(records), np.uint32)
     np.bitwise_or.at(masks, owner[hit], np.uint32(1) << offset[hit].astype(np.uint32))
     return masks
+
+
+def _later_windows(windows: np.ndarray, length: int) -> np.ndarray:
+    """Whether a smaller id has the window too."""
+    order, least, _ = _least_ids(windows)
+    found = np.empty(len(order), np.uint8)
+    found[order] = least < windows["id"][order]
+    return found

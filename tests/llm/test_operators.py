@@ -6,6 +6,7 @@ import random
 import brute
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -87,6 +88,32 @@ def test_suffix_array(documents, pairs, odd, odd_rows):
     assert by_id(suffix_array.remove_repeated_strings(odd)) == brute.byte_strings(odd_rows)
 
 
+def test_suffix_array_with_a_gram_in_very_many_runs(spark, monkeypatch):
+    rng = random.Random(6)
+    def noise(n):
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz é") for _ in range(n))
+    phrases = [noise(90) for _ in range(3)]
+    rows = [(i, noise(60) + p[:rng.randint(30, 90)] + noise(60) + p[rng.randint(0, 40):] + noise(9)) for i in range(150, 0, -1) for p in [rng.choice(phrases)]]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    expected = brute.byte_strings(rows)
+    assert sum(v[1] for v in expected.values()) > 1000
+    assert by_id(suffix_array.remove_repeated_strings(docs)) == expected
+    for a_batch, a_gram in ((1, 4096), (128, 2), (2, 5), (0, 0)):
+        monkeypatch.setattr(suffix_array, "RUNS_A_BATCH", a_batch)
+        monkeypatch.setattr(suffix_array, "RUNS", a_gram)
+        assert by_id(suffix_array.remove_repeated_strings(docs)) == expected
+
+
+def test_a_batch_sends_no_more_runs_of_a_gram_than_its_limit():
+    rng = random.Random(7)
+    phrase = "".join(rng.choice("abcdefgh") for _ in range(60))
+    texts = ["".join(rng.choice("ijklmnop") for _ in range(60)) + phrase + str(i) * 20 for i in range(10**5, 10**5 + 500)]
+    table = pa.table({"id": pa.array(range(500), pa.int64()), "text": pa.array(texts)})
+    batch = suffix_array._Batch(table, 50, 128)
+    distinct, sent = (np.unique(k, return_counts=True)[1].max() for k in (batch.keys, batch.run_keys()[::2]))
+    assert distinct > 128 >= sent
+
+
 def test_deep_shallow_sorts_and_marks_equal_rows():
     rows = np.random.default_rng(1).integers(0, 3, (900, 50)).astype(np.uint8)
     rows[300:600] = rows[:300]
