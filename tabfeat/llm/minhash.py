@@ -17,8 +17,9 @@ SIDE = 8  # half keys on each side; every pair of a left and a right one is a ta
 HASHES = 4 * SIDE  # two hashes to a half key
 WORDS = HASHES // 4  # the 16-bit hashes are kept four to a number
 LEAST_EQUAL = 14  # of 32 hashes: at a similarity of 0.8, fewer agree once in a million pairs
-PACK = 4096  # rows of small groups that a call takes together
-BLOCK = 1024  # classes in a block of a large bucket or cluster
+PACK = 4096  # weight of the pairs of blocks that a call takes together
+BLOCK = 1024  # weight of a block of a large bucket or cluster
+UNIT = 4096  # a row weighs 1, and 1 more for so many bytes of its set
 _SKETCH = [f"m{i}" for i in range(WORDS)]
 
 
@@ -120,30 +121,43 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(links, "a bigint, b bigint")
 
 
-def _in_blocks(members: DataFrame, group: list[str]) -> DataFrame:
-    """Rows of (group, id, component, …) sent to every pair of blocks in which they meet another component.
+def _in_blocks(members: DataFrame, group: list[str], weight: Column) -> tuple[DataFrame, int]:
+    """Rows of (group, id, component, …) sent to every pair of blocks in which they meet another component, and their whole weight.
 
-    The members of a group's largest component and the others are cut into blocks of about ``BLOCK``;
-    a pair of blocks has one of the others at least. However large a group, a task gets two blocks.
+    The members of a group's largest component and the others are cut into blocks that weigh about
+    ``BLOCK``; a pair of blocks has one of the others at least. However large a group, a task gets two blocks.
     """
-    counts = members.groupBy(*group, "component").agg(F.count("*").alias("c"))
+    counts = members.groupBy(*group, "component").agg(F.sum(weight).alias("c"))
     sizes = (counts.groupBy(*group).agg(F.max(F.struct("c", "component")).alias("top"), F.sum("c").alias("all"))
-             .where("all > top.c").select(*group, F.col("top.component").alias("largest"),
+             .where("all > top.c").select(*group, F.col("top.component").alias("largest"), F.col("top.c").alias("most"), "all",
                                           F.ceil(F.expr("(all - top.c) / %d" % BLOCK)).cast("int").alias("others"),
                                           F.ceil(F.expr("top.c / %d" % BLOCK)).cast("int").alias("blocks")))
+    sent = sizes.agg(F.expr("sum(most * others + (all - most) * (others + blocks))")).first()[0] or 0
+    sizes = sizes.drop("most", "all")
     inside = F.col("component") == F.col("largest")
     turn = F.xxhash64("id")
     own = F.when(inside, F.col("others") + F.pmod(turn, F.col("blocks"))).otherwise(F.pmod(turn, F.col("others"))).cast("int")
     met = F.when(inside, F.sequence(F.lit(0), F.col("others") - 1)).otherwise(F.sequence(F.lit(0), F.col("others") + F.col("blocks") - 1))
     return (members.join(sizes, group).withColumn("own", own).withColumn("met", F.explode(met))
-            .select(*members.columns, "own", F.least("own", "met").alias("i"), F.greatest("own", "met").alias("j")))
+            .select(*members.columns, "own", F.least("own", "met").alias("i"), F.greatest("own", "met").alias("j"))), sent
+
+
+def _packed(members: DataFrame, group: list[str], whole: bool) -> DataFrame:
+    """Pairs of blocks, packed into groups that weigh about ``PACK``, as most of them are small.
+
+    What a pack weighs is counted after the rows were copied to every pair of blocks.
+    """
+    weight = F.lit(1) + (F.expr("8 * n div %d" % UNIT) if whole else F.lit(0))
+    rows, sent = _in_blocks(members, group, weight.cast("bigint"))
+    return (rows.withColumn("pair", F.xxhash64(*group, "i", "j"))
+            .select(F.pmod(F.xxhash64("pair"), F.lit(1 + sent // PACK)).alias("pack"), "pair", "id", "component", "n", "own", *_SKETCH,
+                    *(["keys"] if whole else [])))
 
 
 def _block_links(members: DataFrame, group: list[str], percent: int, whole: bool) -> DataFrame:
     """(a, b): links between components that meet in a group: by sketch, as components, or on whole sets, as ids.
 
-    Of the links that join the same two components one is enough. Pairs of blocks are packed into
-    groups of about ``PACK`` rows, as most of them are small.
+    Of the links that join the same two components one is enough.
     """
     def linked(ids, component, n, own, lanes, keys):
         label = np.unique(component, return_inverse=True)[1]
@@ -179,11 +193,7 @@ def _block_links(members: DataFrame, group: list[str], percent: int, whole: bool
                  for link in linked(ids[a:b], component[a:b], n[a:b], own[a:b], lanes[a:b], keys and keys[a:b])]
         return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
 
-    packs = F.lit(1 + members.count() // PACK)
-    rows = _in_blocks(members, group).withColumn("pair", F.xxhash64(*group, "i", "j"))
-    return (rows.select(F.pmod(F.xxhash64("pair"), packs).alias("pack"), "pair", "id", "component", "n", "own", *_SKETCH,
-                        *(["keys"] if whole else []))
-            .groupBy("pack").applyInArrow(links, "a bigint, b bigint"))
+    return _packed(members, group, whole).groupBy("pack").applyInArrow(links, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:

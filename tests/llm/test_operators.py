@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from tabfeat.llm import queries, suffix_array
+from tabfeat.llm import minhash, queries, suffix_array
 from tabfeat.llm.bpe import Encoder, Transducer, Vocabulary, encode_documents
 from tabfeat.llm.chat import format_conversations
 from tabfeat.llm.components import components
@@ -141,6 +141,18 @@ def test_near_duplicates_in_one_large_group(spark):
     assert by_id(near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), 4)) == brute.near(rows)
 
 
+def test_packs_are_bounded_however_large_a_group_or_a_set(spark, monkeypatch):
+    sketch = [F.lit(0).cast("bigint").alias(name) for name in minhash._SKETCH]
+    members = spark.range(3000).select(F.lit(7).alias("cluster"), "id", F.col("id").alias("component"), F.lit(40).cast("bigint").alias("n"),
+                                       *sketch, F.lit(b"").alias("keys"))
+    monkeypatch.setattr(minhash, "BLOCK", 64)
+    monkeypatch.setattr(minhash, "PACK", 512)
+    for rows, largest in ((members, 2048), (members.where("id < 300").withColumn("n", F.lit(512 * 9).cast("bigint")), 205)):
+        packs = minhash._packed(rows, ["cluster"], True).groupBy("pack").count()
+        assert packs.agg(F.max("count")).first()[0] <= largest
+        assert minhash._block_links(rows, ["cluster"], 80, False).count() > 0
+
+
 def test_components(spark):
     rng = random.Random(3)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(400 + i, 401 + i) for i in range(40)]
