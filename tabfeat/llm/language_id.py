@@ -177,7 +177,7 @@ def sampled_by_label(rows: DataFrame, label: str, per_label: int) -> tuple[DataF
 
 
 def _predictor(docs: DataFrame, per_language: int):
-    """A function from texts to languages and scores, learnt from a sample of labelled rows."""
+    """A function from texts to languages and scores, learnt from a sample of labelled rows, and whether there were any."""
     B.bounded_batches(docs.sparkSession)
     rows, counts = sampled_by_label(
         docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & learnable()).select("doc_id", "text", "lang"), "lang", per_language)
@@ -205,7 +205,7 @@ def _predictor(docs: DataFrame, per_language: int):
             return named, scores
         return predict
 
-    return predictor
+    return predictor, bool(languages)
 
 
 def _text_slices(batches):
@@ -226,7 +226,7 @@ def identify_language(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE)
     score. A text that is null or has no letter is ``und`` with score 0, and so is every text if there
     is nothing to learn from. Other columns are ignored.
     """
-    predictor = _predictor(docs, per_language)
+    predictor, _ = _predictor(docs, per_language)
 
     def predict(batches):
         of = predictor()
@@ -241,13 +241,17 @@ def identify_language(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE)
 
 
 def keep_identified(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFrame:
-    """The rows of ``docs`` whose text has a language: not those that would be ``und``. All columns stay."""
-    predictor = _predictor(docs, per_language)
+    """The rows of ``docs`` whose text has a language: not those that would be ``und``. All columns stay.
+
+    If there is nothing to learn from, every text with a letter stays.
+    """
+    predictor, learnt = _predictor(docs, per_language)
 
     def keep(batches):
         of = predictor()
         for rows in _text_slices(batches):
-            named, _ = of(rows.column("text").to_pylist())
-            yield rows.filter(pa.array([n != UNKNOWN for n in named], pa.bool_()))
+            texts = rows.column("text").to_pylist()
+            kept = [n != UNKNOWN for n in of(texts)[0]] if learnt else [bool(t and _LETTER.search(t)) for t in texts]
+            yield rows.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

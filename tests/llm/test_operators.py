@@ -16,7 +16,7 @@ from tabfeat.llm.bpe import Encoder, Transducer, Vocabulary, encode_documents
 from tabfeat.llm.chat import format_conversations
 from tabfeat.llm.components import components
 from tabfeat.llm.decontamination import find_benchmark_windows
-from tabfeat.llm.language_id import _gradient, _new_network, identify_language, label_positions
+from tabfeat.llm.language_id import _gradient, _new_network, identify_language, keep_identified, label_positions
 from tabfeat.llm.maxent import score_texts
 from tabfeat.llm.minhash import near_duplicates
 from tabfeat.llm.quality import score_quality
@@ -235,6 +235,13 @@ def test_language_of_held_out_documents(spark, folder, documents, odd):
     assert all(found[i][1:] == ("und", 0.0) for i in (1, 11, 21, 151)) and all(0 <= v[2] <= 1 for v in found.values())
 
 
+def test_a_corpus_without_labels_keeps_its_texts_with_letters(spark):
+    rows = [(1, "Hello", None), (2, None, None), (3, "12 !", None), (4, "漢字", None), (None, "x", None), (5, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert sorted(r["text"] for r in keep_identified(docs).collect()) == ["Hello", "x", "漢字"]
+    assert {r["lang_pred"] for r in identify_language(docs).collect()} == {"und"}
+
+
 def test_gradient_of_the_recurrent_network():
     rng = np.random.default_rng(0)
     net = {k: v.astype(np.float64) for k, v in _new_network(3, 1).items()}
