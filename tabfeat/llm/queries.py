@@ -14,6 +14,7 @@ from tabfeat.llm.decontamination import find_benchmark_windows
 from tabfeat.llm.language_id import identify_language
 from tabfeat.llm.maxent import score_texts
 from tabfeat.llm.minhash import near_duplicates
+from tabfeat.llm.near_prints import near_prints
 from tabfeat.llm.quality import score_quality
 from tabfeat.llm.simhash import edited_neighbours
 from tabfeat.llm.substring import remove_repeated_windows
@@ -83,3 +84,8 @@ def op9_quality(spark, folder):
 @_query
 def op3_maxent_lm(spark, folder):
     return score_texts(_documents(spark, folder))
+
+
+@_query
+def op13_simhash_near_dedup(spark, folder):
+    return near_prints(_documents(spark, folder))

@@ -122,3 +122,26 @@ def edited(rows, step=50):
                   1 - (own ^ prints[j]).bit_count() / 64,
                   sum((own ^ x).bit_count() <= 3 for x in prints.values()) - 1 if i % step == 0 else None)
     return out
+
+
+def print_components(rows, size=3, radius=2):
+    import xxhash
+    prints = {}
+    for i, t in rows:
+        w = WORDS.findall(lower(t))
+        shingles = [" ".join(w[p:p + size]) for p in range(len(w) - size + 1)] or ([" ".join(w)] if w else [])
+        hashes = [xxhash.xxh64_intdigest(s.encode(), seed=42) for s in shingles]
+        prints[i] = sum(1 << j for j in range(64) if 2 * sum(h >> j & 1 for h in hashes) > len(hashes))
+    parent = {i: i for i in prints}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in prints:
+        for b in prints:
+            if a < b and (prints[a] ^ prints[b]).bit_count() <= radius:
+                x, y = root(a), root(b)
+                parent[max(x, y)] = min(x, y)
+    return {i: (f"{p:016x}", root(i)) for i, p in prints.items()}
