@@ -91,7 +91,7 @@ def _counts(fingerprint: Column, parts: int, radius: int) -> Column:
     number, low = F.lit(0).cast("bigint"), 0
     for i, width in enumerate(_widths(parts)):
         part = F.shiftrightunsigned(fingerprint, low).bitwiseAND(F.lit((1 << width) - 1 if width < 63 else -1).cast("bigint"))
-        number = number + (F.bit_count(part) + radius) * F.lit(_base(parts, radius) ** i)
+        number = number + (F.bit_count(part) + radius).cast("bigint") * F.lit(_base(parts, radius) ** i).cast("bigint")
         low += width
     return number
 
@@ -142,32 +142,33 @@ def _packed_tiles(prints: DataFrame, sizes: DataFrame, parts: int, radius: int,
     return numbered.withColumn("pack", group).groupBy("pack").applyInArrow(packed, "counts bigint, no bigint, prints binary")
 
 
-def _forest(a: np.ndarray, b: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of the links between numbers below ``size`` those that are enough to connect the same ones."""
-    label = np.arange(size)
-    for x, y in zip(a.tolist(), b.tolist()):
-        while label[x] != x:
-            label[x] = x = label[label[x]]
-        while label[y] != y:
-            label[y] = y = label[label[y]]
-        label[max(x, y)] = min(x, y)
-    while (label[label] != label).any():
-        label = label[label]
-    at = np.flatnonzero(label != np.arange(size))
-    return label[at], at
-
-
 def compare_tiles(left: np.ndarray, right: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links (as places in both tiles, one behind the other) that connect all that differ in at most ``radius`` bits."""
-    size, offset = len(left) + len(right), len(left)
-    links = [np.zeros(0, np.int64)] * 2
+    """Links, as places in both tiles one behind the other, that connect all prints that differ in at most ``radius`` bits.
+
+    Of the links within a group that is connected already none is kept, so thousands of near prints give
+    a spanning forest.
+    """
+    label, offset = np.arange(len(left) + len(right)), len(left)
+    found = []
     for start in range(0, len(left), _ROWS):
-        near = np.bitwise_count(left[start:start + _ROWS, None] ^ right[None, :]) <= radius
-        x, y = np.nonzero(near)
-        if len(x):
-            # Only a spanning forest is kept, so that a group of thousands of near prints stays small.
-            links = _forest(np.concatenate([links[0], x + start]), np.concatenate([links[1], y + offset]), size)
-    return links
+        x, y = np.nonzero(np.bitwise_count(left[start:start + _ROWS, None] ^ right[None, :]) <= radius)
+        x, y = x + start, y + offset
+        while True:
+            apart = np.flatnonzero(label[x] != label[y])
+            if not len(apart):
+                break
+            # Every group that has a smaller neighbour hangs itself on the smallest, by one link.
+            x, y = x[apart], y[apart]
+            low, high = np.minimum(label[x], label[y]), np.maximum(label[x], label[y])
+            order = np.lexsort((low, high))
+            first = order[np.flatnonzero(np.diff(high[order], prepend=-1))]
+            found.append((x[first], y[first]))
+            label[high[first]] = low[first]
+            while (label[label] != label).any():
+                label = label[label]
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
 def print_links(prints: DataFrame, radius: int = 2, tile: int = TILE) -> DataFrame:
