@@ -145,3 +145,22 @@ def print_components(rows, size=3, radius=2):
                 x, y = root(a), root(b)
                 parent[max(x, y)] = min(x, y)
     return {i: (f"{p:016x}", root(i)) for i, p in prints.items()}
+
+
+def ranked(rows, items, k=10):
+    """(item, rank, doc, score) of every item; rows and items are lists of (id, text)."""
+    term = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    held = [(i, Counter(term.findall(lower(t)))) for i, t in rows]
+    held = [(i, c, sum(c.values())) for i, c in held if c]
+    total, df = sum(n for _, _, n in held), Counter(t for _, c, _ in held for t in c)
+    out = []
+    for item, text in items:
+        asked, scores = Counter(term.findall(lower(text))), []
+        for i, c, n in held:
+            m = 25 + (75 * n * len(held)) // total
+            s = sum(times * math.floor(1000 * math.log((2 * len(held) + 2) / (2 * df[t] + 1))) * ((10**9 * c[t]) // (1000 * c[t] + 8 * m))
+                    for t, times in asked.items() if t in c)
+            if s > 0:
+                scores.append((-s, 2**63 if i is None else i, i))
+        out += [(item, r, i, -s) for r, (s, _, i) in enumerate(sorted(scores)[:k], 1)]
+    return sorted(out, key=str)
