@@ -2,9 +2,11 @@
 
 The items' words are the terms. One scan turns each document into the counts of the terms it holds. From
 a few documents with high contributions each item gets a first threshold; terms whose greatest
-contributions together stay below it need no list. Every other term's postings are clustered by the
-documents' likeness into blocks, each with its documents' vectors and the coordinatewise maximum of them.
-A block is skipped only if its maximum, scored as if it were a document, can't enter the best ones.
+contributions together stay below it need no list. The index is written in segments of some thousand
+documents, so that nothing is shuffled and a term in a third of all documents is spread over all tasks.
+A segment holds its documents' vectors and, for every other term, a list of its documents, clustered by
+their likeness into blocks, with the coordinatewise maximum of each. A block is skipped only if its
+maximum, scored as if it were a document, can't enter the best ones.
 """
 
 from __future__ import annotations
@@ -14,18 +16,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabfeat.llm import blocks as B
-from tabfeat.session import checkpointed, small_side, tiny_table
+from tabfeat.session import checkpointed, scratch_path, tiny_table
 
 ITEMS = 4_096  # items searched at once, and
 ITEM_WORDS = 2_000_000  # their words: the search of more items takes one scan for each batch of them
+SEGMENT = 8_192  # documents of a segment, at most, and
+SEGMENT_TERMS = 1 << 20  # their terms, unless one document has more
 BLOCK = 32  # documents of a block, about
 PIECE = 1_024  # postings that are clustered together
-PACK = 8_192  # postings in a group of pieces
-COORDINATES = 256  # to which terms are folded when documents are clustered
+COORDINATES = 64  # to which terms are folded when documents are clustered
 PAIRS = 1 << 21  # pairs of terms looked at together
 
 TABLE = np.full(256, 0x20, np.uint8)
@@ -126,16 +130,38 @@ class _Weights:
         return self.weight[term] * ((1_000_000_000 * count) // (1000 * count + 8 * m))
 
 
+def _segments(batches) -> Iterator[pa.Table]:
+    """Rows of a task in runs of bounded size."""
+    held, rows, terms = [], 0, 0
+    for batch in batches:
+        # The binary lengths tell the numbers of terms.
+        ends = np.cumsum(pc.binary_length(batch.column("terms")).to_numpy(zero_copy_only=False).astype(np.int64) // 4)
+        start, before = 0, 0
+        while start < batch.num_rows:
+            stop = min(start + SEGMENT - rows, int(np.searchsorted(ends, before + SEGMENT_TERMS - terms, side="right")), batch.num_rows)
+            if stop <= start and not rows:
+                stop = start + 1
+            if stop > start:
+                held.append(batch.slice(start, stop - start))
+                rows, terms = rows + stop - start, terms + int(ends[stop - 1]) - before
+                start, before = stop, int(ends[stop - 1])
+            if start < batch.num_rows:
+                yield pa.Table.from_batches(held)
+                held, rows, terms = [], 0, 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 class _Vectors:
-    """The documents of an Arrow batch as sparse vectors of contributions."""
+    """The documents of a segment as sparse vectors of contributions."""
 
-    def __init__(self, batch, weights: _Weights):
+    def __init__(self, batch: pa.Table, weights: _Weights):
         terms = batch.column("terms").to_pylist()
         self.size = np.array([len(t) // 4 for t in terms], np.int64)
         self.start = np.cumsum(self.size) - self.size
         self.term = np.frombuffer(b"".join(terms), np.int32).astype(np.int64)
         count = np.frombuffer(b"".join(batch.column("counts").to_pylist()), np.int32).astype(np.int64)
-        self.doc = batch.column("doc").to_numpy()
+        self.doc, self.row = batch.column("doc").to_numpy(), batch.column("row").to_numpy()
         self.owner = np.repeat(np.arange(len(self.doc)), self.size)
         self.value = weights.contributions(self.term, count, batch.column("n").to_numpy()[self.owner])
 
@@ -181,9 +207,9 @@ def _firsts(items, weights, counted: DataFrame, k: int) -> DataFrame:
         for q, (terms, _) in enumerate(known.of):
             for t in terms.tolist():
                 holders.setdefault(t, []).append(q)
-        most, best, base = np.zeros(len(known.terms), np.int64), _Best(k), 0
-        for batch in batches:
-            v = _Vectors(batch, corpus)
+        most, best = np.zeros(len(known.terms), np.int64), _Best(k)
+        for segment in _segments(batches):
+            v = _Vectors(segment, corpus)
             np.maximum.at(most, v.term, v.value)
             order = np.lexsort((v.doc[v.owner], -v.value, v.term))
             term = v.term[order]
@@ -201,13 +227,12 @@ def _firsts(items, weights, counted: DataFrame, k: int) -> DataFrame:
                 weight[terms] = times
                 score = v.scores(which, weight)
                 weight[terms] = 0
-                best.add(q, score, v.doc[which], base + which)
-            base += len(v.doc)
+                best.add(q, score, v.doc[which], v.row[which])
         there = np.flatnonzero(most)
         yield best.batch()
         yield pa.RecordBatch.from_arrays([pa.array(-1 - there), pa.array(most[there]), pa.array(there * 0), pa.array(there * 0)],
                                          ["item", "score", "doc", "row"])
-    return counted.select("doc", "n", "terms", "counts").mapInArrow(rows, BEST)
+    return counted.mapInArrow(rows, BEST)
 
 
 def _grouped(keys: np.ndarray, values: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
@@ -224,150 +249,150 @@ def _best(rows: DataFrame, k: int) -> DataFrame:
 class _Lists:
     """Which terms need a list, for which items, and which coordinates these items can ask for."""
 
-    def __init__(self, items: _Items, weights: _Weights, most: np.ndarray, thresholds: dict[int, tuple[int, int]]):
+    def __init__(self, items: _Items, most: np.ndarray, thresholds: dict[int, tuple[int, int]]):
         self.threshold = [thresholds.get(q, (0, -B.NO_ID)) for q in range(len(items.of))]
         self.askers: dict[int, list[int]] = {}
+        self.needed: list[list[int]] = []
         for q, (terms, times) in enumerate(items.of):
             greatest = times * most[terms]
             order = np.argsort(greatest, kind="stable")
             # A document with no more than the terms before has a score below the threshold.
             need = np.cumsum(greatest[order]) >= max(1, self.threshold[q][0])
-            for t in terms[order[need]].tolist():
+            self.needed.append(terms[order[need]].tolist())
+            for t in self.needed[-1]:
                 self.askers.setdefault(t, []).append(q)
         width = len(items.terms)
-        keys = [t * width + items.of[q][0] for t, askers in self.askers.items() for q in askers]
-        self.width, self.keys = width, np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.int64)
-        self.maybe = np.zeros(1 << 22, bool)
-        self.maybe[self._bit(self.keys)] = True
         self.listed = np.zeros(width, bool)
         self.listed[list(self.askers)] = True
-        self.pieces = -(-weights.holders // PIECE)
-        self.postings = int(weights.holders[self.listed].sum())
-
-    @staticmethod
-    def _bit(keys: np.ndarray) -> np.ndarray:
-        return B.mixed(keys.astype(np.uint64)) >> np.uint64(42)
-
-    def asked(self, keys: np.ndarray) -> np.ndarray:
-        """Whether each pair of a list's term and another term (t * width + other) is asked for."""
-        good = self.maybe[self._bit(keys)]
-        at = np.flatnonzero(good)
-        good[at] = B.among(keys[at], self.keys)
-        return good
-
-
-POSTING = "term int, piece int, row bigint, doc bigint, terms binary, vals binary"
-
-
-def _postings(lists, weights, counted: DataFrame) -> DataFrame:
-    """The postings of the listed terms, each with its document's vector as far as the term's items ask for it."""
-    def rows(batches):
-        known, corpus = lists.value, weights.value
-        for batch in batches:
-            v, row = _Vectors(batch, corpus), batch.column("row").to_numpy()
-            places = np.flatnonzero(known.listed[v.term])
-            sizes = v.size[v.owner[places]]
-            cuts = [0, *np.flatnonzero(np.diff(np.cumsum(sizes) // PAIRS)).tolist(), len(places)]
-            for a, b in zip(cuts, cuts[1:]):
-                at, size = places[a:b], sizes[a:b]
-                if not len(at):
-                    continue
-                other = _gathered(v.start[v.owner[at]], size)
-                good = known.asked(np.repeat(v.term[at], size) * known.width + v.term[other])
-                kept, ends = other[good], np.cumsum(_sums(good, size))
-                begins = np.concatenate([[0], ends[:-1]])
-                terms, values = v.term[kept].astype(np.int32).tobytes(), v.value[kept].tobytes()
-                own, term = row[v.owner[at]], v.term[at]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(term.astype(np.int32)),
-                     pa.array((B.mixed(own.astype(np.uint64)) % known.pieces[term].astype(np.uint64)).astype(np.int32)),
-                     pa.array(own), pa.array(v.doc[v.owner[at]]),
-                     pa.array([terms[4 * x:4 * y] for x, y in zip(begins, ends)], pa.binary()),
-                     pa.array([values[8 * x:8 * y] for x, y in zip(begins, ends)], pa.binary())],
-                    ["term", "piece", "row", "doc", "terms", "vals"])
-    return counted.mapInArrow(rows, POSTING)
-
-
-BLOCKS = ("term int, least bigint, row binary, doc binary, size binary, terms binary, vals binary, "
-          "peak_terms binary, peak_vals binary")
-
-
-def _clusters(owner: np.ndarray, term: np.ndarray, value: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """A cluster per document: that of the most similar among evenly spaced documents.
-
-    Clusters decide only how tight the bounds are, so folding many terms to one coordinate is harmless.
-    """
-    n = len(doc)
-    if n <= BLOCK:
-        return np.zeros(n, np.int64)
-    x = np.zeros((n, COORDINATES), np.float32)
-    np.add.at(x, (owner, B.mixed(term.astype(np.uint64)) % np.uint64(COORDINATES)), value.astype(np.float32))
-    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+        # A mark for each pair of a list's term and another one that its items ask for; a pair marked by chance does no harm.
+        self.left, self.right = ((B.mixed(np.arange(1, width + 1, dtype=np.uint64) + np.uint64(seed << 40)) >> np.uint64(40)).astype(np.int32)
+                                 for seed in (1, 2))
+        self.marks = np.zeros(1 << 24, bool)
+        for t, askers in self.askers.items():
+            for q in askers:
+                self.marks[self.left[t] ^ self.right[items.of[q][0]]] = True
+
+    def asked(self, term: np.ndarray, other: np.ndarray) -> np.ndarray:
+        return self.marks[self.left[term] ^ self.right[other]]
+
+
+def _clusters(points: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """A cluster per document: that of the most similar among evenly spaced documents."""
+    if len(doc) <= BLOCK:
+        return np.zeros(len(doc), np.int64)
     pivots = np.argsort(doc, kind="stable")[::BLOCK]
-    return (x @ x[pivots].T).argmax(axis=1)
-
-
-def _blocks(table: pa.Table) -> pa.Table:
-    """The postings of some pieces as blocks of similar documents, with their coordinatewise maxima."""
-    table = table.sort_by([("term", "ascending"), ("piece", "ascending")])
-    pair = table["term"].to_numpy().astype(np.int64) << 32 | table["piece"].to_numpy()
-    out = {name.split()[0]: [] for name in BLOCKS.split(", ")}
-    cuts = np.append(np.flatnonzero(np.diff(pair, prepend=-1)), len(pair))
+    return (points @ points[pivots].T).argmax(axis=1)
+
+
+def _blocks(v: _Vectors, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The postings at ``places``, ordered by term and by cluster, and where blocks begin among them."""
+    # Clusters decide only how tight the bounds are, so folding many terms to one coordinate is harmless.
+    points = np.zeros((len(v.doc), COORDINATES), np.float32)
+    np.add.at(points, (v.owner, B.mixed(v.term.astype(np.uint64)) % np.uint64(COORDINATES)), v.value.astype(np.float32))
+    points /= np.maximum(np.linalg.norm(points, axis=1, keepdims=True), 1e-9)
+    places = places[np.argsort(v.term[places], kind="stable")]
+    term, owner = v.term[places], v.owner[places]
+    cuts = np.append(np.flatnonzero(np.diff(term, prepend=-1)), len(places))
+    cluster = np.zeros(len(places), np.int64)
+    for a, b in zip(cuts, cuts[1:]):
+        for x in range(a, b, PIECE):
+            y = min(x + PIECE, b)
+            cluster[x:y] = x + _clusters(points[owner[x:y]], v.doc[owner[x:y]])
+    order = np.lexsort((owner, v.doc[owner], cluster, term))
+    places, cluster, term = places[order], cluster[order], term[order]
+    begins = np.flatnonzero((np.diff(cluster, prepend=-1) != 0) | (np.diff(term, prepend=-1) != 0))
+    rank = np.arange(len(places)) - np.repeat(begins, np.diff(np.append(begins, len(places))))
+    return places, np.flatnonzero(rank % (2 * BLOCK) == 0)
+
+
+def _peaks(v: _Vectors, lists: _Lists, places: np.ndarray, heads: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The coordinatewise maxima of the blocks: how many coordinates each has, which, and the values."""
+    found, sizes = [], v.size[v.owner[places]]
+    ends = np.append(heads, len(places))[1:]
+    sums = np.concatenate([[0], np.cumsum(sizes)])
+    # Whole blocks together, about PAIRS pairs at once.
+    cuts = [0, *(np.flatnonzero(np.diff(sums[ends] // PAIRS)) + 1).tolist(), len(heads)]
     for a, b in zip(cuts, cuts[1:]):
-        part = table.slice(a, b - a)
-        doc, row = part["doc"].to_numpy(), part["row"].to_numpy()
-        terms, values = part["terms"].to_pylist(), part["vals"].to_pylist()
-        size = np.array([len(t) // 4 for t in terms], np.int64)
-        term, value = np.frombuffer(b"".join(terms), np.int32), np.frombuffer(b"".join(values), np.int64)
-        cluster = _clusters(np.repeat(np.arange(b - a), size), term, value, doc)
-        order = np.lexsort((row, doc, cluster))
-        begins = np.flatnonzero(np.diff(cluster[order], prepend=-1))
-        place = np.arange(b - a) - np.repeat(begins, np.diff(np.append(begins, b - a)))
-        heads = np.append(np.flatnonzero(place % (2 * BLOCK) == 0), b - a)
-        start = np.cumsum(size) - size
-        for x, y in zip(heads, heads[1:]):
-            own = order[x:y]
-            at = _gathered(start[own], size[own])
-            peak = np.unique(term[at])
-            peaks = np.zeros(len(peak), np.int64)
-            np.maximum.at(peaks, np.searchsorted(peak, term[at]), value[at])
-            for name, made in (("term", int(pair[a] >> 32)), ("least", int(doc[own].min())), ("row", row[own].tobytes()), ("doc", doc[own].tobytes()),
-                               ("size", size[own].astype(np.int32).tobytes()), ("terms", term[at].tobytes()), ("vals", value[at].tobytes()),
-                               ("peak_terms", peak.tobytes()), ("peak_vals", peaks.tobytes())):
-                out[name].append(made)
-    kinds = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary()}
-    return pa.table({n: pa.array(out[n], kinds[k]) for n, k in (c.split() for c in BLOCKS.split(", "))})
+        if a == b:
+            continue
+        first, last = heads[a], ends[b - 1]
+        at, size = places[first:last], sizes[first:last]
+        block = np.repeat(np.arange(a, b), np.append(heads[a + 1:b], last) - heads[a:b])
+        other = _gathered(v.start[v.owner[at]], size)
+        good = lists.asked(np.repeat(v.term[at], size), v.term[other])
+        other = other[good]
+        keys = np.repeat(block, size)[good] * width + v.term[other]
+        order = np.argsort(keys)
+        keys = keys[order]
+        new = np.flatnonzero(np.diff(keys, prepend=-1))
+        found.append((keys[new], np.maximum.reduceat(v.value[other[order]], new) if len(new) else np.zeros(0, np.int64)))
+    keys, values = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
+    return np.bincount(keys // width, minlength=len(heads)), keys % width, values
+
+
+#: Of a segment: its documents and their vectors; its blocks with term, smallest doc_id, size and members; their maxima.
+_PARTS = {"doc": "i8", "row": "i8", "size": "i4", "term": "i4", "value": "i8", "block_term": "i4", "block_least": "i8", "block_size": "i4",
+          "member": "i4", "peak_size": "i4", "peak_term": "i4", "peak": "i8"}
+INDEX = ", ".join(f"{name} binary" for name in _PARTS)
+
+
+def _indexed(lists, weights, counted: DataFrame) -> DataFrame:
+    """The index, a segment a row."""
+    def rows(batches):
+        known, corpus = lists.value, weights.value
+        width = max(1, len(known.listed))
+        for segment in _segments(batches):
+            v = _Vectors(segment, corpus)
+            places, heads = _blocks(v, np.flatnonzero(known.listed[v.term]))
+            if not len(places):
+                continue
+            peak_size, peak_term, peak = _peaks(v, known, places, heads, width)
+            member = v.owner[places]
+            made = {"doc": v.doc, "row": v.row, "size": v.size, "term": v.term, "value": v.value, "block_term": v.term[places[heads]],
+                    "block_least": np.minimum.reduceat(v.doc[member], heads), "block_size": np.diff(np.append(heads, len(places))), "member": member,
+                    "peak_size": peak_size, "peak_term": peak_term, "peak": peak}
+            yield pa.RecordBatch.from_arrays([pa.array([made[name].astype(kind).tobytes()], pa.binary()) for name, kind in _PARTS.items()], list(_PARTS))
+    return counted.mapInArrow(rows, INDEX)
+
+
+class _Segment(_Vectors):
+    """A segment of the index, as it was written."""
+
+    def __init__(self, row: dict[str, bytes]):
+        for name, kind in _PARTS.items():
+            setattr(self, name, np.frombuffer(row[name], kind).astype(np.int64))
+        self.start, self.block_start, self.peak_start = (np.cumsum(x) - x for x in (self.size, self.block_size, self.peak_size))
+        at = np.flatnonzero(np.diff(self.block_term, prepend=-1))
+        # Blocks of one term stand together.
+        self.blocks = dict(zip(self.block_term[at].tolist(), zip(at.tolist(), np.append(at[1:], len(self.block_term)).tolist())))
 
 
 def _searched(items, lists, index: DataFrame, k: int) -> DataFrame:
     """What the blocks that can hold one of an item's best documents give, as (item, score, doc, row)."""
     def rows(batches):
         known, asked = items.value, lists.value
-        best = _Best(k)
+        best, weight = _Best(k), np.zeros(len(known.terms), np.int64)
         for batch in batches:
-            columns = {name: batch.column(name).to_pylist() for name in batch.schema.names}
-            for i, t in enumerate(columns["term"]):
-                peak = np.frombuffer(columns["peak_terms"][i], np.int32)
-                peaks = np.frombuffer(columns["peak_vals"][i], np.int64)
-                vectors = None
-                for q in asked.askers[t]:
-                    terms, times = known.of[q]
-                    at = np.minimum(np.searchsorted(peak, terms), len(peak) - 1)
-                    weight = np.zeros(len(peak), np.int64)
-                    good = peak[at] == terms
-                    weight[at[good]] = times[good]
-                    least = best.threshold(q, asked.threshold[q])
-                    if (int(weight @ peaks), -columns["least"][i]) < least:
+            for record in batch.to_pylist():
+                segment = _Segment(record)
+                for q, listed in enumerate(asked.needed):
+                    ranges = [segment.blocks[t] for t in listed if t in segment.blocks]
+                    if not ranges:
                         continue
-                    if vectors is None:
-                        row, doc = (np.frombuffer(columns[c][i], np.int64) for c in ("row", "doc"))
-                        size = np.frombuffer(columns["size"][i], np.int32).astype(np.int64)
-                        vectors = np.searchsorted(peak, np.frombuffer(columns["terms"][i], np.int32)), np.frombuffer(columns["vals"][i], np.int64)
-                    score = _sums(weight[vectors[0]] * vectors[1], size)
-                    good = (score > least[0]) | (score == least[0]) & (doc <= -least[1])
-                    good &= score > 0
-                    if good.any():
-                        best.add(q, score[good], doc[good], row[good])
+                    terms, times = known.of[q]
+                    weight[terms] = times
+                    block = np.concatenate([np.arange(a, b) for a, b in ranges])
+                    size = segment.peak_size[block]
+                    at = _gathered(segment.peak_start[block], size)
+                    bound = _sums(weight[segment.peak_term[at]] * segment.peak[at], size)
+                    score, least = best.threshold(q, asked.threshold[q])
+                    block = block[(bound > score) | (bound == score) & (segment.block_least[block] <= -least)]
+                    if len(block):
+                        which = np.unique(segment.member[_gathered(segment.block_start[block], segment.block_size[block])])
+                        scores = segment.scores(which, weight)
+                        good = (scores > 0) & ((scores > score) | (scores == score) & (segment.doc[which] <= -least))
+                        best.add(q, scores[good], segment.doc[which[good]], segment.row[which[good]])
+                    weight[terms] = 0
         yield best.batch()
     return index.mapInArrow(rows, BEST)
 
@@ -444,12 +469,12 @@ def _search(docs: DataFrame, texts: list, k: int) -> DataFrame | None:
     for t, value in firsts.where("item < 0").groupBy("item").agg(F.max("score")).collect():
         most[-1 - t] = value
     last = _best(firsts.where("item >= 0 AND score > 0"), k).where(F.col("rank") == k).select("item", "score", "doc").collect()
-    lists_now = _Lists(known, corpus, most, {q: (score, -doc) for q, score, doc in last})
-    lists = context.broadcast(lists_now)
+    lists = context.broadcast(_Lists(known, most, {q: (score, -doc) for q, score, doc in last}))
 
-    pack = F.pmod(F.xxhash64("term", "piece"), F.lit(1 + lists_now.postings // PACK))
-    index = checkpointed(_postings(lists, weights, counted).withColumn("pack", pack).groupBy("pack").applyInArrow(_blocks, BLOCKS))
-    return _best(checkpointed(_searched(items, lists, index, k).distinct()), k)
+    path = scratch_path(docs.sparkSession, "lexical_index")
+    _indexed(lists, weights, counted).write.parquet(path)
+    index = docs.sparkSession.read.parquet(path)
+    return _best(checkpointed(_searched(items, lists, index, k)), k)
 
 
 #: The same by SQL, over every pair of an item's term and a document that has it.

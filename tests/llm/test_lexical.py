@@ -3,6 +3,8 @@
 import random
 
 import brute
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from tabfeat.llm import lexical as L
@@ -29,11 +31,12 @@ def test_odd_texts_and_items(spark):
     assert found(spark, rows, items, 3) == brute.ranked(rows, items, 3)
 
 
-@pytest.mark.parametrize("block, piece, pack", [(32, 1024, 8192), (2, 16, 64), (4, 7, 1)])
-def test_a_hot_term_and_a_third_of_copies(spark, monkeypatch, block, piece, pack):
+@pytest.mark.parametrize("block, piece, segment", [(32, 1024, 8192), (2, 16, 64), (4, 7, 1)])
+def test_a_hot_term_and_a_third_of_copies(spark, monkeypatch, block, piece, segment):
     monkeypatch.setattr(L, "BLOCK", block)
     monkeypatch.setattr(L, "PIECE", piece)
-    monkeypatch.setattr(L, "PACK", pack)
+    monkeypatch.setattr(L, "SEGMENT", segment)
+    monkeypatch.setattr(L, "SEGMENT_TERMS", 20 * segment)
     rng = random.Random(4)
     rows = [(i, "hot " + " ".join(f"w{min(rng.randrange(1, 40), rng.randrange(1, 40))}" for _ in range(rng.randint(1, 30)))) for i in range(300)]
     rows += [(1000 + i, "hot copy of one text w3 w4") for i in range(200)] + [(i, "cold text w1") for i in range(2000, 2100)]
@@ -50,11 +53,56 @@ def test_empty_tables_and_batches_of_items(spark, monkeypatch):
     assert found(spark, rows, items) == whole == brute.ranked(rows, items)
 
 
-def test_blocks_bound_their_documents_and_lists_leave_weak_terms_out():
-    import numpy as np
+def _counted(texts, items):
+    class Held:
+        def __init__(self, value):
+            self.value = value
+
+        def mapInArrow(self, rows, schema):
+            return list(rows(iter(self.value)))
+
+    docs = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["doc", "text"])
+    return [b.append_column("row", b.column("doc")) for b in L._counted(Held(items), Held([docs]))]
+
+
+def test_segments_are_bounded_and_blocks_bound_their_documents(monkeypatch):
+    rng = random.Random(5)
+    texts = [" ".join(f"w{min(rng.randrange(50), rng.randrange(50))}" for _ in range(rng.randint(1, 60))) for _ in range(500)]
+    items = L._Items([" ".join(f"w{i}" for i in range(a, a + 20)) for a in (0, 10, 25)])
+    batches = _counted(texts, items)
+    monkeypatch.setattr(L, "SEGMENT", 70)
+    monkeypatch.setattr(L, "SEGMENT_TERMS", 900)
+    parts = list(L._segments(batches))
+    assert sum(p.num_rows for p in parts) == 500 and max(p.num_rows for p in parts) <= 70 and len(parts) < 20
+    assert all(sum(len(t) for t in p["terms"].to_pylist()) <= 4 * 900 for p in parts)
+    monkeypatch.setattr(L, "SEGMENT", 500)
+    monkeypatch.setattr(L, "SEGMENT_TERMS", 10**6)
+    (segment,) = L._segments(batches)
+    weights = L._Weights(500, 15_000, np.bincount(np.frombuffer(b"".join(segment["terms"].to_pylist()), np.int32), minlength=len(items.terms)))
+    lists = L._Lists(items, np.full(len(items.terms), 10**9), {})
+    v = L._Vectors(segment, weights)
+    places, heads = L._blocks(v, np.flatnonzero(lists.listed[v.term]))
+    sizes, coordinates, values = L._peaks(v, lists, places, heads, len(items.terms))
+    ends = np.append(heads, len(places))[1:]
+    assert sorted(places) == np.flatnonzero(lists.listed[v.term]).tolist() and (ends - heads).max() <= 2 * L.BLOCK
+    begin = np.cumsum(sizes) - sizes
+    tight = 0
+    for q, (terms, times) in enumerate(items.of):
+        weight = np.zeros(len(items.terms), np.int64)
+        weight[terms] = times
+        for i in range(len(heads)):
+            if int(v.term[places[heads[i]]]) in lists.needed[q]:
+                peak = {int(t): int(x) for t, x in zip(coordinates[begin[i]:begin[i] + sizes[i]], values[begin[i]:begin[i] + sizes[i]])}
+                scores = v.scores(v.owner[places[heads[i]:ends[i]]], weight)
+                bound = sum(n * peak.get(t, 0) for t, n in zip(terms.tolist(), times.tolist()))
+                assert bound >= scores.max()
+                tight += bound < 1.6 * scores.max()
+    assert tight > len(heads) / 3
+
+
+def test_lists_leave_weak_terms_out():
     items = L._Items(["rare common", "common"])
-    weights = L._Weights(100, 1000, np.array([90, 2]))
     most = np.array([1_000_000, 9_000_000])
-    lists = L._Lists(items, weights, most, {0: (8_000_000, -5), 1: (900_000, -5)})
+    lists = L._Lists(items, most, {0: (8_000_000, -5), 1: (900_000, -5)})
     assert lists.askers == {1: [0], 0: [1]}  # the first item reaches its threshold by its rare term only
-    assert L._Lists(items, weights, most, {}).askers == {0: [0, 1], 1: [0]}
+    assert L._Lists(items, most, {}).askers == {0: [0, 1], 1: [0]}
