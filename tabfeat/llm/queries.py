@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tabfeat.llm.bpe import encode_documents
-from tabfeat.llm import chat, lexical
+from tabfeat.llm import chat, hard_negatives, lexical
 from tabfeat.llm.chat import format_conversations
 from tabfeat.llm.decontamination import find_benchmark_windows
 from tabfeat.llm.language_id import identify_language
@@ -91,6 +91,14 @@ def op13_simhash_near_dedup(spark, folder):
     return near_prints(_documents(spark, folder))
 
 
+@_query
+def op11_hard_negatives(spark, folder):
+    return hard_negatives.mine_hard_negatives(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
+ORACLES["op11_hard_negatives"] = hard_negatives.ORACLE
+
+
 @_query
 def op12_lexical_search(spark, folder):
     return lexical.search_items(_documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))

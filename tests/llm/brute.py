@@ -164,3 +164,20 @@ def ranked(rows, items, k=10):
                 scores.append((-s, 2**63 if i is None else i, i))
         out += [(item, r, i, -s) for r, (s, _, i) in enumerate(sorted(scores)[:k], 1)]
     return sorted(out, key=str)
+
+
+def hard_negatives(rows, positives=5, negatives=10):
+    """(anchor, positive, rank, negative, positive score, negative score); rows are (vec_id, vector, label)."""
+    good = []
+    for i, v, label in rows:
+        if v is not None and label is not None and all(x is not None and math.isfinite(x) for x in v):
+            good.append((i, [math.floor(256 * x) for x in v], int(math.fmod(label + 1, 10)) if i is not None and i % 7 == 0 else label))
+    out = []
+    for a, (i, v, label) in enumerate(good):
+        if i is None or i % 100:
+            continue
+        scored = sorted((-sum(x * y for x, y in zip(v, w)), 2**63 - 1 if j is None else j, m == label) for b, (j, w, m) in enumerate(good) if b != a)
+        for s, p, _ in [x for x in scored if x[2]][:positives]:
+            inside = [x for x in scored if not x[2] and 30 * -s <= 100 * -x[0] <= 90 * -s][:negatives]
+            out += [(i, None if p == 2**63 - 1 else p, r, None if n == 2**63 - 1 else n, -s, -t) for r, (t, n, _) in enumerate(inside, 1)]
+    return sorted(out, key=str)

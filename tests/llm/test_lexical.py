@@ -31,8 +31,36 @@ def test_odd_texts_and_items(spark):
     assert found(spark, rows, items, 3) == brute.ranked(rows, items, 3)
 
 
+class Held:
+    """Stands for a broadcast value, or for a frame whose batches are mapped here."""
+
+    def __init__(self, value):
+        self.value = value
+
+    def mapInArrow(self, rows, schema):
+        return list(rows(iter(self.value)))
+
+
+def _counted(texts, items, ids=None):
+    docs = pa.RecordBatch.from_arrays([pa.array(ids or range(len(texts)), pa.int64()), pa.array(texts)], ["doc", "text"])
+    made, row = [], 0
+    for b in L._counted(Held(items), Held([docs])):
+        made.append(b.append_column("row", pa.array(range(row, row + b.num_rows), pa.int64())))
+        row += b.num_rows
+    return made
+
+
+def _best(batches):
+    best = {}
+    for batch in batches:
+        for r in batch.to_pylist():
+            if r["item"] >= 0 and r["score"] > 0:
+                best.setdefault(r["item"], set()).add((-r["score"], r["doc"], r["row"]))
+    return {q: sorted(v)[:10] for q, v in best.items()}
+
+
 @pytest.mark.parametrize("block, piece, segment", [(32, 1024, 8192), (2, 16, 64), (4, 7, 1)])
-def test_a_hot_term_and_a_third_of_copies(spark, monkeypatch, block, piece, segment):
+def test_a_hot_term_and_a_third_of_copies(monkeypatch, block, piece, segment):
     monkeypatch.setattr(L, "BLOCK", block)
     monkeypatch.setattr(L, "PIECE", piece)
     monkeypatch.setattr(L, "SEGMENT", segment)
@@ -41,8 +69,19 @@ def test_a_hot_term_and_a_third_of_copies(spark, monkeypatch, block, piece, segm
     rows = [(i, "hot " + " ".join(f"w{min(rng.randrange(1, 40), rng.randrange(1, 40))}" for _ in range(rng.randint(1, 30)))) for i in range(300)]
     rows += [(1000 + i, "hot copy of one text w3 w4") for i in range(200)] + [(i, "cold text w1") for i in range(2000, 2100)]
     rng.shuffle(rows)
-    items = [(1, "hot"), (2, "copy text"), (3, "w3 w4 hot"), (4, "w1 w1 w2"), (5, "text hot one w39 w38"), (6, "cold cold hot")]
-    assert found(spark, rows, items) == brute.ranked(rows, items)
+    asked = [(0, "hot"), (1, "copy text"), (2, "w3 w4 hot"), (3, "w1 w1 w2"), (4, "text hot one w39 w38"), (5, "cold cold hot")]
+    items = L._Items([t for _, t in asked])
+    counted = _counted([t for _, t in rows], items, [i for i, _ in rows])
+    terms = np.concatenate([np.frombuffer(b"".join(b.column("terms").to_pylist()), np.int32) for b in counted])
+    weights = L._Weights(len(rows), sum(sum(b.column("n").to_pylist()) for b in counted), np.bincount(terms, minlength=len(items.terms)))
+    firsts = L._firsts(Held(items), Held(weights), Held(counted), 10)
+    most = np.zeros(len(items.terms), np.int64)
+    for r in (r for b in firsts for r in b.to_pylist() if r["item"] < 0):
+        most[-1 - r["item"]] = max(most[-1 - r["item"]], r["score"])
+    lists = L._Lists(items, most, {q: (-v[9][0], -v[9][1]) for q, v in _best(firsts).items() if len(v) == 10})
+    index = L._indexed(Held(lists), Held(weights), Held(counted))
+    got = [(q, r, doc, -score) for q, v in _best(L._searched(Held(items), Held(lists), Held(index), 10)).items() for r, (score, doc, _) in enumerate(v, 1)]
+    assert sorted(got, key=str) == brute.ranked(rows, asked)
 
 
 def test_empty_tables_and_batches_of_items(spark, monkeypatch):
@@ -53,18 +92,6 @@ def test_empty_tables_and_batches_of_items(spark, monkeypatch):
     assert found(spark, rows, items) == whole == brute.ranked(rows, items)
 
 
-def _counted(texts, items):
-    class Held:
-        def __init__(self, value):
-            self.value = value
-
-        def mapInArrow(self, rows, schema):
-            return list(rows(iter(self.value)))
-
-    docs = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["doc", "text"])
-    return [b.append_column("row", b.column("doc")) for b in L._counted(Held(items), Held([docs]))]
-
-
 def test_segments_are_bounded_and_blocks_bound_their_documents(monkeypatch):
     rng = random.Random(5)
     texts = [" ".join(f"w{min(rng.randrange(50), rng.randrange(50))}" for _ in range(rng.randint(1, 60))) for _ in range(500)]
