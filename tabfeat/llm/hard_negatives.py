@@ -298,7 +298,8 @@ def _read(pairs: DataFrame, tiles: DataFrame, blocks: DataFrame, moments: _Momen
         for batch in batches:
             for record in batch.to_pylist():
                 tile = _Rows(record, moments)
-                floor, ceiling = _limits(record, len(tile.ids))[:2]
+                floor, ceiling, score, _ = _limits(record, len(tile.ids))
+                floor = np.maximum(floor, score)  # as many as are wanted were found up to there
                 block = _Rows({c: record[f"block_{c}"] for c in ("ids", "labels", "rows", "v")}, moments)
                 best = held.setdefault(record["tile"], _Best(*floor.shape, k))
                 best.add(*_in_windows(tile, block, floor, ceiling, k, same))
