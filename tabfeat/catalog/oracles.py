@@ -337,6 +337,9 @@ for _key, _metric in (
 Q["all_metrics"] = f"WITH {_measured} SELECT model, split, metric, {r('value', 4)} AS value FROM long"
 Q["save_results"] = f"WITH {_measured} SELECT model, split, metric, {r('value')} AS value FROM long"
 Q["load_results"] = f"WITH {PREDICTIONS} SELECT model, split, {KEY}, {rs(('y', 'pred'))} FROM pred_rows"
+Q["metric_counts"] = f"""WITH {LINE_NULL}, p AS (
+  SELECT CASE WHEN line_no > 3 THEN 'test' ELSE 'val' END AS split, l_quantity IS NOT NULL AND l_discount < 0.09 AS good FROM line_null)
+SELECT 'net_price' AS model, split, count(*) FILTER (good) AS n, count(*) FILTER (NOT good) AS n_dropped FROM p GROUP BY split"""
 Q["mase_by_time"] = f"""WITH {EVENTS}, s AS (SELECT abs(value - hour / 2) AS e,
   abs(value - lag(value) OVER (ORDER BY ts, event_id)) AS step FROM evt)
 SELECT 'half_day' AS model, 'all' AS split, 'mean_absolute_scaled_error' AS metric, {r('avg(e) / avg(step)')} AS value FROM s"""

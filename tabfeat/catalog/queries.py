@@ -543,6 +543,16 @@ def all_metrics(spark, folder):
     return rounded(_metrics(spark, folder), value=4)
 
 
+@query
+def metric_counts(spark, folder):
+    """Predictions that lack a target where the quantity is missing, and a prediction for large discounts."""
+    rows = frames.line_null(spark, folder).select(
+        F.lit("net_price").alias("model"), F.when(F.col("line_no") > 3, "test").otherwise("val").alias("split"),
+        F.when(F.col("l_quantity").isNotNull(), F.col("charge")).alias("y"),
+        F.when(F.col("l_discount") < 0.09, F.col("l_extendedprice")).alias("pred"))
+    return metrics.scored_counts(rows)
+
+
 @query
 def evaluate_model(spark, folder):
     df = frames.line_split(spark, folder)

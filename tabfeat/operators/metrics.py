@@ -7,21 +7,18 @@ because every aggregate combines before its shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
-import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabfeat.fixed_values import HIGHER_IS_BETTER, METRICS
-from tabfeat.operators.quantiles import exact_series_quantiles
-from tabfeat.operators.rank import global_rank
-from tabfeat.session import small_side, tiny_table
+from tabfeat.operators.quantiles import grouped_medians
+from tabfeat.session import checkpointed
 
 GROUP = ("model", "split")
-COUNTED_GROUPS = 256
 SCALED = "mean_absolute_scaled_error"
 _INF = float("inf")
 
@@ -53,106 +50,50 @@ def moment_metrics() -> dict[str, Column]:
     }
 
 
-def _ranked_medians(df: DataFrame, by: Sequence[str], value: Column, name: str) -> DataFrame:
-    valued = df.select(*by, value.cast("double").alias("_v")).where("_v is not null")
-    # Equal values are interchangeable, so a random tie-break may spread them over partitions.
-    ranked = global_rank(valued.withColumn("_tie", F.rand(0)), [*by, "_v", "_tie"], "_rank")
-    spans = ranked.groupBy(*by).agg(F.min("_rank").alias("_first"), F.count("*").alias("_n"))
-    keys = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in by]
-    joined = ranked.alias("l").join(small_side(spans).alias("r"), reduce(lambda a, b: a & b, keys))
-    low = F.col("_first") + F.floor((F.col("_n") - 1) / 2)
-    high = F.col("_first") + F.ceil((F.col("_n") - 1) / 2)
-    return (joined.where((F.col("_rank") == low) | (F.col("_rank") == high))
-            .groupBy(*[F.col(f"l.{c}").alias(c) for c in by]).agg(F.avg("_v").alias(name)))
-
-
 def naive_errors(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str = "y") -> DataFrame:
-    """Mean absolute step between neighbours in ``order``, per group: ``(by..., steps, total)``.
+    """Absolute steps between neighbours in ``order``, per group: ``(by..., steps, total)``.
 
-    Rows are range-sorted by group and order, each partition sums its own steps, and the
-    partitions' end values are joined up in a table with one row per group and partition.
+    Rows are dealt to buckets by ranges of group and order, so a group with most of the rows has most of
+    the buckets. A window looks back inside a bucket only; what steps from one bucket to the next comes
+    from a table with one row per bucket and group. Steps from or to a null value do not count.
     """
-    types = dict(df.dtypes)
     names = {c: f"o{i}" for i, c in enumerate(order)}
-    rows = df.select(*by, *[F.col(c).alias(names[c]) for c in order], F.col(value).alias("v"))
-    ordered = rows.repartitionByRange(*by, *names.values()).sortWithinPartitions(*by, *names.values())
-    by, names = list(by), list(names.values())
-
-    def runs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Collapse consecutive rows of a group into (first, last, steps, total)."""
-        held = None
-        for frame in frames:
-            if frame.empty:
-                continue
-            same = pd.Series(True, index=frame.index)
-            for c in by:
-                previous = frame[c].shift()
-                same &= (frame[c] == previous) | (frame[c].isna() & previous.isna())
-            same.iloc[0] = False
-            run = (~same).cumsum()
-            step = frame["v"].diff().abs().where(same)
-            heads = frame[run != run.shift()].reset_index(drop=True)
-            out = heads[[*by, *names]].copy()
-            groups = frame["v"].groupby(run)
-            out["first_v"] = groups.first().to_numpy()
-            out["last_v"] = groups.last().to_numpy()
-            out["steps"] = step.groupby(run).count().to_numpy()
-            out["total"] = step.groupby(run).sum().to_numpy()
-            if held is not None:
-                head = out.iloc[0]
-                if all(head[c] == held[c] or (pd.isna(head[c]) and pd.isna(held[c])) for c in by):
-                    joined = held.copy()
-                    joined["steps"] += head["steps"] + 1
-                    joined["total"] += head["total"] + abs(head["first_v"] - held["last_v"])
-                    joined["last_v"] = head["last_v"]
-                    out = pd.concat([joined.to_frame().T, out.iloc[1:]], ignore_index=True)
-                else:
-                    out = pd.concat([held.to_frame().T, out], ignore_index=True)
-            held = out.iloc[-1].copy()
-            if len(out) > 1:
-                yield out.iloc[:-1]
-        if held is not None:
-            yield held.to_frame().T
-
-    schema = ", ".join([f"`{c}` {t}" for c, t in rows.dtypes if c != "v"]
-                       + ["first_v double", "last_v double", "steps bigint", "total double"])
-    pieces = ordered.mapInPandas(runs, schema)
-    along = Window.partitionBy(*by).orderBy(*names)
-    before = F.lag("last_v").over(along)
-    return (pieces
-            .withColumn("joint", F.abs(F.col("first_v") - before))
-            .groupBy(*by)
-            .agg((F.sum("steps") + F.count("joint")).alias("steps"),
-                 (F.sum("total") + F.coalesce(F.sum("joint"), F.lit(0.0))).alias("total")))
+    groups = {c: f"g{i}" for i, c in enumerate(by)}
+    rows = df.select(*[F.col(c).alias(g) for c, g in groups.items()], *[F.col(c).alias(n) for c, n in names.items()],
+                     F.col(value).cast("double").alias("v"))
+    bucketed = rows.repartitionByRange(*groups.values(), *names.values()).withColumn("bucket", F.spark_partition_id())
+    place = F.struct(*names.values())
+    inside = Window.partitionBy("bucket", *groups.values()).orderBy(*names.values())
+    pieces = (bucketed.withColumn("step", F.abs(F.col("v") - F.lag("v").over(inside)))
+              .groupBy("bucket", *groups.values())
+              .agg(F.count("step").alias("steps"), F.coalesce(F.sum("step"), F.lit(0.0)).alias("total"),
+                   F.min_by("v", place).alias("first_v"), F.max_by("v", place).alias("last_v")))
+    along = Window.partitionBy(*groups.values()).orderBy("bucket")
+    joint = F.abs(F.col("first_v") - F.lag("last_v").over(along))
+    return (pieces.withColumn("joint", joint).groupBy(*groups.values())
+            .agg((F.sum("steps") + F.count("joint")).alias("steps"), (F.sum("total") + F.coalesce(F.sum("joint"), F.lit(0.0))).alias("total"))
+            .withColumnsRenamed({g: c for c, g in groups.items()}))
 
 
 def metric_table(predictions: DataFrame, order_by: Sequence[str], by: Sequence[str] = GROUP,
                  metrics: Sequence[str] = METRICS) -> DataFrame:
     """One row per group, one column per metric; only what the named metrics need is computed.
 
-    While the groups are few, they are numbered: medians come from counting scans over the
-    numbered errors, and the result is a small local table. Many groups stay distributed.
+    Ten groups and ten thousand take the same path: nothing about a group is held by the driver.
     """
     rows = _scored(predictions)
     plain = moment_metrics()
     error = F.abs(F.col("y") - F.col("pred"))
     wanted = [m for m in plain if m in metrics or (m == "mae" and SCALED in metrics)]
-    ordered = "median_ae" in metrics or SCALED in metrics
-    spans = [F.count("*").alias("_n"), F.min(error).alias("_lo"), F.max(error).alias("_hi")] if ordered else []
-    table = rows.groupBy(*by).agg(*spans, *[plain[m].alias(m) for m in wanted])
-    if not ordered:
-        return table.select(*by, *metrics)
-    # Several scans follow: keep the few columns they need, and let go of them before returning.
-    rows = rows.select(*dict.fromkeys([*by, *order_by, "y", "pred"])).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        table = rows.groupBy(*by).agg(*spans, *[plain[m].alias(m) for m in wanted])
-        groups = table.limit(COUNTED_GROUPS + 1).collect()
-        if len(groups) <= COUNTED_GROUPS:
-            return _numbered_table(rows, groups, order_by, by, metrics, error)
-    finally:
-        rows.unpersist()
+    table = rows.groupBy(*by).agg(F.count("*").alias("_n"), *[plain[m].alias(m) for m in wanted])
     if "median_ae" in metrics:
-        table = _same_group(table, _ranked_medians(rows, by, error, "median_ae"), by)
+        # Several scans follow: keep the few columns they need, and let go of them before returning.
+        kept = rows.select(*by, "y", "pred").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            medians = checkpointed(grouped_medians(kept, by, error, "median_ae"))
+        finally:
+            kept.unpersist()
+        table = _same_group(table, medians, by)
     if SCALED in metrics:
         table = _same_group(table, naive_errors(rows, by, order_by), by)
         table = table.withColumn(SCALED, F.when(
@@ -161,26 +102,10 @@ def metric_table(predictions: DataFrame, order_by: Sequence[str], by: Sequence[s
     return table.select(*by, *metrics)
 
 
-def _numbered_table(rows: DataFrame, groups: Sequence, order_by: Sequence[str], by: Sequence[str],
-                    metrics: Sequence[str], error: Column) -> DataFrame:
-    spark, types = rows.sparkSession, dict(rows.dtypes)
-    keys = ", ".join(f"`{c}` {types[c]}" for c in by)
-    # At most COUNTED_GROUPS rows.
-    numbers = F.broadcast(tiny_table(spark, [(*(g[c] for c in by), i) for i, g in enumerate(groups)], f"{keys}, b int"))
-    same = reduce(lambda a, b: a & b, [rows[c].eqNullSafe(numbers[c]) for c in by])
-    values = [g.asDict() for g in groups]
-    if "median_ae" in metrics:
-        errors = rows.join(numbers, same).select(numbers["b"], error.alias("x"))
-        medians = exact_series_quantiles(errors, [(g["_n"], g["_lo"], g["_hi"]) for g in groups], (0.5,))
-        for g, m in zip(values, medians, strict=True):
-            g["median_ae"] = m[0]
-    if SCALED in metrics:
-        steps = naive_errors(rows.join(numbers, same).select(numbers["b"], *order_by, "y"), ["b"], order_by)
-        naive = {r["b"]: r["total"] / r["steps"] if r["steps"] else 0.0 for r in steps.collect()}
-        for i, g in enumerate(values):
-            g[SCALED] = g["mae"] / naive[i] if naive.get(i) else _INF
-    schema = ", ".join([keys, *(f"{m} double" for m in metrics)])
-    return tiny_table(spark, [tuple(g[c] for c in (*by, *metrics)) for g in values], schema)
+def scored_counts(predictions: DataFrame, by: Sequence[str] = GROUP) -> DataFrame:
+    """How many rows of each group the metrics are of, and how many have no target or no prediction: (by…, n, n_dropped)."""
+    good = F.col("y").isNotNull() & F.col("pred").isNotNull()
+    return predictions.groupBy(*by).agg(F.count_if(good).alias("n"), F.count_if(~good).alias("n_dropped"))
 
 
 def _same_group(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:

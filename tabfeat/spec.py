@@ -63,7 +63,7 @@ def _null_if_nan(name: str) -> Column:
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Make null the only form of a missing value."""
     floating = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
-    return df.select(*[_null_if_nan(c) if c in floating else F.col(c) for c in df.columns])
+    return df.select(*[(_null_if_nan(f"`{c}`") if c in floating else F.col(f"`{c}`")).alias(c) for c in df.columns])
 
 
 def known_target(df: DataFrame, spec: FeatureSpec) -> DataFrame:

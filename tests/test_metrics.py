@@ -1,11 +1,12 @@
 import math
 import random
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
 
 from tabfeat.fixed_values import METRICS
-from tabfeat.operators import metrics
+from tabfeat.operators import metrics, quantiles
 
 SCHEMA = "model string, split string, i int, y double, pred double"
 
@@ -60,12 +61,58 @@ def _many_groups(spark, groups, rows=4_000):
     return spark.createDataFrame(data, SCHEMA)
 
 
-def test_many_groups_agree_with_few(spark, monkeypatch):
-    df = _many_groups(spark, 7).cache()
-    few = {tuple(r) for r in metrics.all_metrics(df, ["i"]).withColumn("value", F.round("value", 9)).collect()}
-    monkeypatch.setattr(metrics, "COUNTED_GROUPS", 2)
-    many = {tuple(r) for r in metrics.all_metrics(df, ["i"]).withColumn("value", F.round("value", 9)).collect()}
-    assert few == many and len(few) == 70
+def test_ten_groups_and_ten_thousand_take_the_same_path(spark):
+    """A third of the rows in one group, groups of one row, ties, all kinds of magnitudes."""
+    rng = random.Random(3)
+    rows = [(None if k == 5 else k, rng.choice([0.0, 1.0, rng.random(), rng.gauss(0, 1e-9), rng.gauss(0, 1e200), -5e-324, float("inf")]))
+            for k in (rng.randrange(10_000) if rng.random() > 0.35 else 0 for _ in range(30_000))]
+    rows += [(None, None), (20_000, None), (20_001, 4.5)]
+    by = {}
+    for k, x in rows:
+        if x is not None:
+            by.setdefault(k, []).append(x)
+    df = spark.createDataFrame(rows, "g int, x double").cache()
+
+    def middle(xs):
+        low, high = sorted(xs)[(len(xs) - 1) // 2], sorted(xs)[len(xs) // 2]
+        return low if low == high else (low + high) / 2
+
+    for few in (100_000, 50):
+        got = dict(map(tuple, quantiles.grouped_medians(df, ["g"], F.col("x"), "m", few).collect()))
+        assert got.keys() == by.keys() and all(got[k] == middle(xs) for k, xs in by.items())
+    ten = df.where("x IS NOT NULL").select((F.col("g") % 10).alias("g"), F.lit("s").alias("h"), "x")
+    want = {}
+    for k, x in rows:
+        if x is not None:
+            want.setdefault(None if k is None else k % 10, []).append(x)
+    got = {r["g"]: r["m"] for r in quantiles.grouped_medians(ten, ["g", "h"], F.col("x"), "m", 50).collect()}
+    assert got == {k: middle(xs) for k, xs in want.items()}
+
+
+def test_metrics_of_many_groups(spark):
+    df = _many_groups(spark, 700).cache()
+    rows = metrics.metric_table(df, ["i"]).collect()
+    series = {}
+    for r in sorted(df.collect(), key=lambda r: r["i"]):
+        series.setdefault(r["model"], []).append(r["y"])
+    assert len(rows) == len(series) > 500
+    for r in rows:
+        ys = series[r["model"]]
+        errors, steps = [abs(y - 5) for y in ys], [abs(a - b) for a, b in zip(ys, ys[1:])]
+        assert r["median_ae"] == pytest.approx(statistics.median(errors))
+        scaled = math.inf if not sum(steps) else statistics.mean(errors) / statistics.mean(steps)
+        assert r["mean_absolute_scaled_error"] == pytest.approx(scaled)
+
+
+def test_order_based_error_runs_no_python(spark):
+    plan = metrics.naive_errors(_many_groups(spark, 5), ["model"], ["i"])._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_dropped_rows_are_counted(spark):
+    rows = [("m", "test", 0, 1.0, 1.5), ("m", "test", 1, None, 9.0), ("m", "test", 2, 2.0, None), ("m", "val", 3, None, None)]
+    got = {(r["split"], r["n"], r["n_dropped"]) for r in metrics.scored_counts(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {("test", 1, 2), ("val", 0, 1)}
 
 
 @pytest.mark.parametrize("partitions", [1, 4, 7])

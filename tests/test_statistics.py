@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tabfeat.operators import plotdata, profile, quantiles, rank, split
+from tabfeat.operators import plotdata, profile, quantiles, rank, selection, split
 from tabfeat.spec import FeatureSpec, nan_to_null
 
 PROBS = [0, 0.1, 0.25, 0.5, 0.75, 0.9, 1]
@@ -129,3 +129,60 @@ def test_probability_plot(spark):
 def test_radar_of_one_model_is_null(spark):
     df = spark.createDataFrame([("m", 0.5, 1.0, 1.0)], "model string, test_r2 double, test_rmse double, test_mae double")
     assert plotdata.radar_scores(df).first()["test_rmse"] is None
+
+
+def test_quantiles_and_selection_of_all_interactions_of_fifty_features(spark):
+    rng = np.random.default_rng(7)
+    x = np.round(rng.normal(size=(400, 50)) * np.exp(rng.normal(size=50) * 3), 6)
+    df = spark.createDataFrame([(i, *map(float, r), float(r[0] + r[1])) for i, r in enumerate(x)],
+                               "id int, " + ", ".join(f"x{i} double" for i in range(50)) + ", y double").repartition(3).cache()
+    pairs = [(i, j) for i in range(50) for j in range(i, 50)]
+    columns = {f"x{i}*x{j}" if i != j else f"x{i}": F.col(f"x{i}") * F.col(f"x{j}") if i != j else F.col(f"x{i}") for i, j in pairs}
+    assert len(columns) == 1275
+    probs = [i / 16 for i in range(17)]
+    got = quantiles.exact_quantiles(df, columns, probs, collect_limit=100_000)
+    for (i, j), own in zip(pairs, got.values()):
+        np.testing.assert_allclose(own, np.quantile(x[:, i] * x[:, j] if i != j else x[:, i], probs), rtol=1e-12, atol=1e-300)
+    spec = FeatureSpec(("id",), tuple(columns), "y")
+    wide = df.select("id", "y", *[e.alias(c) for c, e in columns.items()])
+    step, scores = selection.fit_select(wide, spec, 20)
+    assert len(step.features) == 20 and "x0" in step.features and scores.count() == 1275
+
+
+def test_a_scan_counts_into_a_fixed_number_of_slots_however_wide(spark):
+    for columns in (1, 50, 1275, quantiles.SCAN_COLUMNS):
+        own = {c: [quantiles._Bracket(k * 10**12, k * 10**12 + 10**11, 0, 9, [0]) for k in range(34)] for c in range(columns)}
+        slots = min(quantiles.COLUMN_SLOTS, quantiles.SLOTS // columns)
+        total = sum(len(quantiles._edges(b, slots // 34)) + 1 for b in own[0]) * columns
+        assert total <= 2 * quantiles.SLOTS
+
+
+def test_quantiles_next_to_zero_and_at_the_ends_of_doubles(spark):
+    x = [5e-324 * k for k in range(40)] + [-5e-324 * k for k in range(40)] + [1.7e308, -1.7e308, 1e-310, 0.0, -0.0]
+    df = spark.createDataFrame([(v,) for v in x], "x double")
+    for limit in (300_000, 0):
+        assert quantiles.exact_quantiles(df, ["x"], [0.25, 0.5, 0.75], limit)["x"] == np.quantile(x, [0.25, 0.5, 0.75]).tolist()
+    odd = spark.createDataFrame([(1.0,), (float("nan"),), (float("inf"),), (None,)], "x double")
+    assert quantiles.exact_quantiles(odd, ["x"], [0, 0.5], 0)["x"] == [1.0, math.inf]
+
+
+@pytest.mark.parametrize("tile", [512, 90])
+def test_correlations_of_two_hundred_columns_with_gaps(spark, monkeypatch, tile):
+    monkeypatch.setattr(profile, "TILE_COLUMNS", tile)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(300, 200)) @ rng.normal(size=(200, 200)) + 1e6
+    x[rng.random(x.shape) < 0.2] = np.nan
+    x[:, 7], x[:, 8], x[2:, 9], x[:, 10] = 0.1, np.nan, np.nan, np.where(np.arange(300) % 2, np.nan, x[:, 10])
+    x[:, 11] = np.where(np.isnan(x[:, 10]), 3.0, np.nan)  # never together with column 10
+    names = [f"c.{i}" if i == 3 else f"c{i}" for i in range(200)]
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in r) for r in x],
+                               ", ".join(f"`{c}` double" for c in names)).repartition(5)
+    result = profile.corr_matrix(df, names)
+    got = {(r["a"], r["b"]): r["r"] for r in result.collect()}
+    assert len(got) == 40_000 and got["c10", "c11"] is None and got["c8", "c0"] is None and math.isnan(got["c7", "c0"])
+    for i, a in enumerate(names):
+        for j in range(i, 200):
+            if i in (7, 8, 9, 11) or j in (7, 8, 9, 11):
+                continue
+            both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+            assert got[a, names[j]] == pytest.approx(np.corrcoef(x[both, i], x[both, j])[0, 1], abs=1e-9) == got[names[j], a]
