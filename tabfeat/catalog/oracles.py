@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from tabfeat.fixed_values import (
-    EMAIL_STRICT, HIGHER_IS_BETTER, METRICS, PHONE_LOOSE, PHONE_STRICT, PII_KEYWORDS, RECOMMENDATIONS, SUMMARY,
+    EMAIL_STRICT, HIGHER_IS_BETTER, INVERSE_NORMAL, METRICS, PHONE_LOOSE, PHONE_STRICT, PII_KEYWORDS, RECOMMENDATIONS, SUMMARY,
 )
+from tabfeat.plans.search import drawn_trials
 
 KEY = "l_orderkey, l_partkey, l_suppkey, l_linenumber, price_cents"
 FEATURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "line_no")
@@ -223,10 +224,19 @@ mi AS (SELECT feature, position, greatest(sum(n / t * ln(n * t / (px * py))), 0)
 Q["poly_interactions"] = f"""WITH {LINE}, t AS (SELECT {KEY}, {poly(INTER)} FROM line)
 SELECT {KEY}, {rs([f'poly_{i}' for i in range(10)])} FROM t"""
 Q["mi_scores"] = f"WITH {LINE}, {mi('line', INTER, 'discount_amount')} SELECT feature, position, {r('score')} AS score FROM mi"
-Q["f_scores"] = f"WITH {LINE} " + " UNION ALL ".join(
+def beta_fraction(a: str, b: str, x: str) -> str:
+    """The continued fraction of the incomplete beta function, 64 steps from the last to the first."""
+    return f"""(1 / list_reduce(list_transform(range(64, 0, -1), lambda k: k::DOUBLE), lambda v, m: 1 + (CASE WHEN m % 2 = 0
+      THEN (m / 2) * ({b} - m / 2) ELSE -({a} + (m - 1) / 2) * ({a} + {b} + (m - 1) / 2) END) * {x} / (({a} + m - 1) * ({a} + m)) / v, 1.0::DOUBLE))"""
+
+
+Q["f_scores"] = f"""WITH {LINE}, s AS (""" + " UNION ALL ".join(
     f"""SELECT '{c}' AS feature, {i}::BIGINT AS position,
-    {r(f'pow(corr({c}, discount_amount), 2) / (1 - pow(corr({c}, discount_amount), 2)) * (count(*) - 2)', 2)} AS score FROM line"""
-    for i, c in enumerate(INTER))
+    pow(corr({c}, discount_amount), 2) / (1 - pow(corr({c}, discount_amount), 2)) * (count(*) - 2) AS score, (count(*) - 2) / 2 AS a FROM line"""
+    for i, c in enumerate(INTER)) + f"""),
+x AS (SELECT *, 2 * a / (2 * a + score) AS x, score / (2 * a + score) AS y, exp(a * ln(x) + ln(y) / 2 + lgamma(a + 0.5) - lgamma(a) - lgamma(0.5)) AS front FROM s)
+SELECT feature, position, {r('score', 2)} AS score, {r(f"CASE WHEN x < (a + 1) / (a + 2.5) THEN front / a * {beta_fraction('a', '0.5', 'x')} ELSE 1 - 2 * front * {beta_fraction('0.5', 'a', 'y')} END")} AS p_value
+FROM x"""
 Q["select_mi"] = f"""WITH {LINE}, {mi('line', INTER, 'discount_amount')},
 w AS (SELECT feature FROM mi ORDER BY score DESC, position LIMIT 2),
 u AS (UNPIVOT (SELECT {KEY}, {', '.join(INTER)} FROM line) ON {', '.join(INTER)} INTO NAME feature VALUE value)
@@ -311,6 +321,17 @@ fits AS (SELECT k.fold, regr_slope(charge, l_extendedprice) AS slope, regr_inter
   FROM folded l JOIN (SELECT unnest(range(5)) AS fold) k ON l.fold <> k.fold GROUP BY 1),
 scores AS (SELECT fold, -avg(pow(charge - (slope * l_extendedprice + intercept), 2)) AS score FROM folded JOIN fits USING (fold) GROUP BY 1)"""
 Q["cross_validate"] = f"WITH {_cv} SELECT fold, {r('score', 2)} AS score FROM scores"
+_trials = ", ".join(f"({i}, '{kind}', {0.0 if kind == 'linear_regression' else params['alpha']!r}, {params.get('l1_ratio', 1.0)!r})"
+                    for i, kind, params in drawn_trials(100, ["linear_regression", "ridge", "lasso", "elastic_net"]))
+Q["optimize"] = f"""WITH {_cv}, t(trial, family, alpha, ratio) AS (VALUES {_trials}),
+f AS (SELECT k.fold, count(*) AS n, avg(l_extendedprice) AS mx, avg(charge) AS my, var_pop(l_extendedprice) AS xx, covar_pop(charge, l_extendedprice) AS xy
+  FROM folded l JOIN (SELECT unnest(range(5)) AS fold) k ON l.fold <> k.fold GROUP BY 1),
+h AS (SELECT fold, avg(l_extendedprice) AS hx, avg(charge) AS hy, var_pop(l_extendedprice) AS hxx, covar_pop(charge, l_extendedprice) AS hxy, var_pop(charge) AS hyy
+  FROM folded GROUP BY 1),
+b AS (SELECT *, CASE family WHEN 'linear_regression' THEN xy / xx WHEN 'ridge' THEN n * xy / (n * xx + alpha)
+    ELSE sign(xy) * greatest(abs(xy) - alpha * (CASE family WHEN 'lasso' THEN 1 ELSE ratio END), 0)
+         / (xx + (CASE family WHEN 'lasso' THEN 0 ELSE alpha * (1 - ratio) END)) END AS slope FROM t, f JOIN h USING (fold))
+SELECT trial::BIGINT AS trial, family, fold, {r('-(hyy - 2 * slope * hxy + slope * slope * hxx + pow(hy - my - slope * (hx - mx), 2))', 1)} AS score FROM b"""
 Q["cv_interval"] = f"""WITH {_cv}, s AS (SELECT count(*) AS n, avg(score) AS mean, stddev_samp(score) AS std FROM scores)
 SELECT n, {rs(('mean', 'std'), 2)}, {r('mean - 2.776 * std / sqrt(n)', 2)} AS low, {r('mean + 2.776 * std / sqrt(n)', 2)} AS high FROM s"""
 Q["fit_knn"] = f"""WITH x AS (SELECT p_partkey, p_size::DOUBLE AS p_size, p_partkey::DOUBLE AS part_no, p_retailprice,
@@ -484,6 +505,34 @@ Q["hist_residuals"] = f"""WITH {PREDICTIONS}, net AS (SELECT y - pred AS residua
 {histogram('net', ['residual'], 30)}"""
 Q["qq_order"] = f"""WITH {PREDICTIONS} SELECT row_number() OVER (ORDER BY y - pred, {KEY}) AS rank, {r('y - pred')} AS ordered
 FROM pred_rows WHERE model = 'net_price'"""
+def polynomial(coefficients, x: str) -> str:
+    value = repr(coefficients[0])
+    for c in coefficients[1:]:
+        value = f"({value} * {x} + {c!r})"
+    return value
+
+
+def inverse_normal(p: str) -> str:
+    a, b, c, d, tail = (INVERSE_NORMAL[k] for k in ("a", "b", "c", "d", "tail"))
+    t, q = f"sqrt(-2 * ln(least({p}, 1 - {p})))", f"({p} - 0.5)"
+    outer = f"{polynomial(c, t)} / {polynomial((*d, 1.0), t)}"
+    return f"""CASE WHEN {p} < {tail} THEN {outer} WHEN {p} > 1 - {tail} THEN -({outer})
+      ELSE {polynomial(a, f'({q} * {q})')} * {q} / {polynomial((*b, 1.0), f'({q} * {q})')} END"""
+
+
+def probability_plot(where: str) -> str:
+    """CTE ``q`` with rank, ordered residual and normal quantile."""
+    return f"""{PREDICTIONS}, o AS (SELECT row_number() OVER (ORDER BY y - pred, {KEY}) AS rank, y - pred AS ordered, count(*) OVER () AS n
+  FROM pred_rows WHERE {where}),
+p AS (SELECT *, CASE WHEN rank = n THEN pow(0.5, 1.0::DOUBLE / n) WHEN rank = 1 THEN 1 - pow(0.5, 1.0::DOUBLE / n) ELSE (rank - 0.3175::DOUBLE) / (n + 0.365::DOUBLE) END AS p FROM o),
+q AS (SELECT rank, n, ordered, {inverse_normal('p')} AS theoretical FROM p)"""
+
+
+Q["qq_points"] = f"""WITH {probability_plot("model = 'net_price'")} SELECT rank, {rs(('theoretical', 'ordered'))} FROM q"""
+Q["qq_line"] = f"""WITH {probability_plot("model = 'net_price'")} SELECT {r('regr_slope(ordered, theoretical)')} AS slope,
+  {r('regr_intercept(ordered, theoretical)')} AS intercept, {r('corr(ordered, theoretical)')} AS r FROM q"""
+Q["qq_quantiles"] = f"""WITH {probability_plot("model = 'net_price' AND split = 'test'")} SELECT DISTINCT rank, {rs(('theoretical', 'ordered'))}
+FROM q, (SELECT unnest(range(101)) AS k) WHERE rank = 1 + k * (n - 1) // 100 OR n <= 101"""
 Q["radar_scores"] = f"""WITH {_measured}, t AS (SELECT * FROM m WHERE split = 'test')
 SELECT model, {r('r2')} AS test_r2, {', '.join(
     f"{r(f'1 - ({c} - min({c}) OVER ()) / nullif(max({c}) OVER () - min({c}) OVER (), 0)')} AS test_{c}" for c in ('rmse', 'mae'))} FROM t"""

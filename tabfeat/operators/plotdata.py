@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabfeat.functions.shape import inverse_normal
 from tabfeat.operators.profile import histograms
+from tabfeat.operators.quantiles import exact_ranks
 from tabfeat.operators.rank import global_rank
+from tabfeat.session import tiny_table
 
 
 def residuals(predictions: DataFrame) -> DataFrame:
@@ -25,11 +27,26 @@ def qq_points(predictions: DataFrame, key: Sequence[str]) -> DataFrame:
     values = residuals(predictions).select(*key, F.col("residual").alias("ordered")).where("ordered is not null")
     ranked = global_rank(values, ["ordered", *key])
     n = ranked.count()
+    return ranked.select("rank", inverse_normal(_plot_position(F.col("rank"), n)).alias("theoretical"), "ordered")
+
+
+def _plot_position(rank: Column, n: int) -> Column:
     end = 0.5 ** (1 / n) if n else 0.5
-    i = F.col("rank").cast("double")
-    position = (F.when(F.col("rank") == n, end).when(F.col("rank") == 1, 1 - end)
-                .otherwise((i - 0.3175) / (n + 0.365)))
-    return ranked.select("rank", inverse_normal(position).alias("theoretical"), "ordered")
+    return F.when(rank == n, end).when(rank == 1, 1 - end).otherwise((rank.cast("double") - 0.3175) / (n + 0.365))
+
+
+def qq_quantiles(predictions: DataFrame, points: int = 1_001) -> DataFrame:
+    """The probability plot thinned to evenly spaced ranks, first and last included: ``(rank, theoretical, ordered)``.
+
+    The residuals at these ranks are found by counting, so nothing is sorted and only ``points`` rows are
+    kept; with no more residuals than that all of them are shown.
+    """
+    def ranks(n: int) -> set[int]:
+        return {k * (n - 1) // (points - 1) for k in range(points)} if n > points else set(range(n))
+
+    n, found = exact_ranks(residuals(predictions), F.col("residual"), ranks)
+    table = tiny_table(predictions.sparkSession, [(r + 1, v) for r, v in sorted(found.items())], "rank bigint, ordered double")
+    return table.select("rank", inverse_normal(_plot_position(F.col("rank"), n)).alias("theoretical"), "ordered")
 
 
 def qq_line(points: DataFrame) -> DataFrame:

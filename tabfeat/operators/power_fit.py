@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterable, Iterator, Mapping, Sequence
 
 import numpy as np
@@ -13,7 +14,9 @@ from tabfeat.functions.literals import doubles
 
 _SCHEMA = "c int, l int, n double, mean double, m2 double, jac double, lo double, hi double"
 COARSE = tuple(np.arange(-5.0, 5.01, 0.5).tolist())
-FARTHEST = 40  # powers beyond this are not searched
+WIDEST = 2.0**40  # steps of a grid whose likelihood still rises at its end: there is no optimum
+NARROWEST = 1e-6  # steps beside which the likelihood still can't be computed
+RELATIVE = 1e-3  # steps need not be finer than this share of the power
 
 
 def _powered(base: np.ndarray, exponent: float) -> np.ndarray:
@@ -112,31 +115,45 @@ def fit_lambdas(df: DataFrame, columns: Sequence[str], coarse: Sequence[float] =
                 refinements: int = 1) -> dict[str, float]:
     """Coarse grid, finer grids around the best power, then a parabola through the best three.
 
-    Every scan serves all columns still open, each on its own grid. A grid whose best power is
-    at its end moves there before it gets finer. A constant or empty column keeps power 1.
+    Every scan serves all columns still open, each on its own grid. While the best power is at an end of
+    its grid, the grid moves there with steps twice as wide; it gets finer only when the likelihood is
+    seen to fall on both sides. A column for which it never falls has no optimum: that is warned of, and it
+    keeps power 1, like a constant or empty column.
     """
     chosen = dict.fromkeys(columns, 1.0)
     grids = {c: list(coarse) for c in columns}
     steps = dict.fromkeys(columns, coarse[1] - coarse[0])
-    levels = dict.fromkeys(columns, 0)
+    finest = (coarse[1] - coarse[0]) / 10 ** refinements
     while grids:
         for c, rows in _best(df, list(grids), grids).items():
             if not rows:
+                if steps[c] > coarse[1] - coarse[0]:
+                    _without_optimum(c, chosen)
                 del grids[c]
                 continue
             chosen[c] = rows[_top(rows)][0]
-            at_end = chosen[c] in (grids[c][0], grids[c][-1]) and abs(chosen[c]) < FARTHEST
-            if not at_end and levels[c] == refinements:
+            at = grids[c].index(chosen[c])
+            at_end = at in (0, len(grids[c]) - 1)
+            # Beside the best power the likelihood may be beyond doubles: nearer to it, it is not.
+            falls = not at_end and {grids[c][at - 1], grids[c][at + 1]} <= {lam for lam, _ in rows}
+            if falls and steps[c] <= max(finest, abs(chosen[c]) * RELATIVE):
                 chosen[c] = _parabola_top(rows)
                 del grids[c]
                 continue
-            if not at_end:
-                levels[c] += 1
-                steps[c] /= 10
+            steps[c] = steps[c] * 2 if at_end else steps[c] / 10
+            if not NARROWEST <= steps[c] <= WIDEST:
+                _without_optimum(c, chosen)
+                del grids[c]
+                continue
             grids[c] = [chosen[c] + k * steps[c] for k in range(-10, 11)]
     return chosen
 
 
+def _without_optimum(column: str, chosen: dict[str, float]) -> None:
+    warnings.warn(f"the power of {column} has no optimum: its likelihood is not seen to fall on both sides of {chosen[column]:g}", stacklevel=3)
+    chosen[column] = 1.0
+
+
 def _parabola_top(scored: Sequence[tuple[float, float]]) -> float:
     i = _top(scored)
     if i in (0, len(scored) - 1):

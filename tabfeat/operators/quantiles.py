@@ -10,7 +10,7 @@ share a fixed number of slots, so neither a task nor the driver holds more howev
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -127,12 +127,33 @@ def exact_quantiles(df: DataFrame, columns: Mapping[str, Column] | Sequence[str]
     return found
 
 
+def exact_ranks(df: DataFrame, column: Column, ranks_of: Callable[[int], Iterable[int]], collect_limit: int = COLLECT_LIMIT) -> tuple[int, dict[int, float]]:
+    """The number of values, and those at the ranks (from 0) that ``ranks_of`` wants of so many."""
+    spans, found = _order_statistics(df, {"x": column.cast("double")}, ranks_of, collect_limit)
+    return (spans[0]["n"], {r: _double(v) for r, v in found[0].items()}) if spans else (0, {})
+
+
 def _exact(df: DataFrame, columns: Mapping[str, Column], probs: Sequence[float], collect_limit: int) -> dict[str, list[float | None]]:
+    spans, found = _order_statistics(df, columns, lambda n: {r for p in probs for r in _around(n, p)}, collect_limit)
+
+    def answer(c: int, p: float) -> float | None:
+        if c not in spans:
+            return None
+        left, right = (_double(found[c][r]) for r in _around(spans[c]["n"], p))
+        position = (spans[c]["n"] - 1) * p
+        return left if left == right else left + (right - left) * (position - math.floor(position))
+
+    return {name: [answer(c, p) for p in probs] for c, name in enumerate(columns)}
+
+
+def _order_statistics(df: DataFrame, columns: Mapping[str, Column], ranks_of: Callable[[int], Iterable[int]],
+                      collect_limit: int) -> tuple[dict, dict[int, dict[int, int]]]:
+    """Per column number its count and ends, and the numbers at the wanted ranks."""
     cells = df.select(*[e.alias(f"c{i}") for i, e in enumerate(columns.values())])
     spans = {r["c"]: r for r in cells.mapInArrow(_spans(len(columns)), "c bigint, n bigint, lo bigint, hi bigint")
              .groupBy("c").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).collect()}
     found: dict[int, dict[int, int]] = {c: {} for c in spans}
-    brackets = {c: [_Bracket(s["lo"], s["hi"], 0, s["n"], sorted({r for p in probs for r in _around(s["n"], p)}))]
+    brackets = {c: [_Bracket(s["lo"], s["hi"], 0, s["n"], sorted(ranks_of(s["n"])))]
                 for c, s in spans.items()}
     while True:
         for c, own in brackets.items():
@@ -147,15 +168,7 @@ def _exact(df: DataFrame, columns: Mapping[str, Column], probs: Sequence[float],
             _read(part, brackets, found)
             break
         brackets = _narrowed(part, brackets)
-
-    def answer(c: int, p: float) -> float | None:
-        if c not in spans:
-            return None
-        left, right = (_double(found[c][r]) for r in _around(spans[c]["n"], p))
-        position = (spans[c]["n"] - 1) * p
-        return left if left == right else left + (right - left) * (position - math.floor(position))
-
-    return {name: [answer(c, p) for p in probs] for c, name in enumerate(columns)}
+    return spans, found
 
 
 def _around(n: int, p: float) -> tuple[int, int]:

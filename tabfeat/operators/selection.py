@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabfeat.functions.beta import f_tail
 from tabfeat.operators.fitted import FittedStep
 from tabfeat.operators.quantiles import quantiles
 from tabfeat.operators.transformers import column_stats, inner_edges
@@ -142,15 +143,23 @@ def mi_scores(df: DataFrame, spec: FeatureSpec, bins: int = 16, method: str = "e
 
 
 def f_scores(df: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """Univariate regression F statistic of every feature, one scan."""
-    target = spec.require_target()
-    flat = df.agg(*[a for i, c in enumerate(spec.features) for a in (
-        F.corr(c, target).alias(f"r{i}"),
-        F.count_if(F.col(c).isNotNull() & F.col(target).isNotNull()).alias(f"n{i}"))])
-    rows = [F.struct(F.lit(c).alias("feature"), F.lit(i).alias("position"),
-                     F.try_divide(F.pow(f"r{i}", 2) * (F.col(f"n{i}") - 2), 1 - F.pow(f"r{i}", 2)).alias("score"))
-            for i, c in enumerate(spec.features)]
-    return flat.select(F.inline(F.array(*rows)))
+    """Univariate regression F statistic of every feature and its p-value, one scan.
+
+    Over the rows that have both feature and target; null for a constant or with fewer than three rows. A
+    perfect line scores infinity with p-value 0.
+    """
+    target = F.col(f"`{spec.require_target()}`")
+    pairs = [(F.col(f"`{c}`"), i) for i, c in enumerate(spec.features)]
+    flat = df.agg(*[a for x, i in pairs for a in (
+        F.covar_pop(x, target).alias(f"xy{i}"), F.var_pop(F.when(target.isNotNull(), x)).alias(f"xx{i}"),
+        F.var_pop(F.when(x.isNotNull(), target)).alias(f"yy{i}"), F.count_if(x.isNotNull() & target.isNotNull()).alias(f"n{i}"))])
+    rows = [F.struct(F.lit(c).alias("feature"), F.lit(i).alias("position"), F.pow(f"xy{i}", 2).alias("shared"),
+                     (F.col(f"xx{i}") * F.col(f"yy{i}")).alias("whole"), (F.col(f"n{i}") - 2).alias("degrees")) for i, c in enumerate(spec.features)]
+    left = F.col("whole") - F.col("shared")
+    score = F.when((F.col("degrees") > 0) & (F.col("whole") > 0), F.when(left <= 0, F.lit(float("inf"))).otherwise(
+        F.try_divide(F.col("shared") * F.col("degrees"), left)))
+    return (flat.select(F.inline(F.array(*rows))).withColumn("score", score)
+            .select("feature", "position", "score", f_tail(F.col("score"), F.col("degrees")).alias("p_value")))
 
 
 def top_scores(scores: DataFrame, k: int) -> DataFrame:

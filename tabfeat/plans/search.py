@@ -6,6 +6,7 @@ import json
 import random
 import time
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from tabfeat.fixed_values import HIGHER_IS_BETTER, T_95
 from tabfeat.operators.metrics import moment_metrics
 from tabfeat.operators.split import fold_number
+from tabfeat.plans import gram
 from tabfeat.plans.chain import ChainOptions, FeatureChain
 from tabfeat.plans.models import FittedModel, Regressor
 from tabfeat.session import small_side, tiny_table
@@ -32,12 +34,21 @@ def _score_column(scoring: str) -> Column:
     return moment_metrics()[metric] * sign
 
 
+def _folded(df: DataFrame, spec: FeatureSpec, folds: int, seed: int) -> DataFrame:
+    return known_target(training_rows(df, spec), spec).withColumn("_fold", fold_number(spec, folds, seed))
+
+
 def fold_scores(df: DataFrame, spec: FeatureSpec, model: Regressor, folds: int = 5,
                 scoring: str = "neg_mean_squared_error", seed: int = 42, chain: str | None = None,
                 options: ChainOptions = ChainOptions()) -> list[tuple[int, float]]:
-    """Score of every held-out fold; chain and model are fitted on the other folds only."""
-    rows = known_target(training_rows(df, spec), spec).withColumn("_fold", fold_number(spec, folds, seed))
+    """Score of every held-out fold; chain and model are fitted on the other folds only.
+
+    Linear families without a chain are solved from the folds' moments, which one scan adds up.
+    """
+    rows = _folded(df, spec, folds, seed)
     score = _score_column(scoring)
+    if chain is None and gram.fits(model.kind, scoring, spec):
+        return gram.moment_scores(gram.fold_moments(rows, spec), model.kind, model.params, scoring)
     result = []
     for fold in range(folds):
         train, held = rows.where(F.col("_fold") != fold), rows.where(F.col("_fold") == fold)
@@ -96,36 +107,59 @@ class SearchResult:
         return {"best_score": self.best_score, "best_params": {"model_type": self.best_kind, **self.best_params}}
 
 
+def drawn_trials(n_trials: int, families: Sequence[str], seed: int = 42) -> list[tuple[int, str, dict]]:
+    """Number, family and parameters of every trial; the families take turns."""
+    rng = random.Random(seed)
+    return [(i, families[i % len(families)], SPACE[families[i % len(families)]](rng)) for i in range(n_trials)]
+
+
 def optimize(df: DataFrame, spec: FeatureSpec, n_trials: int = 100, timeout: float = 3600, folds: int = 5,
              scoring: str = "neg_mean_squared_error", seed: int = 42, families: Sequence[str] | None = None,
-             refit: bool = True) -> SearchResult:
+             refit: bool = True, parallel: int = 4) -> SearchResult:
     """Seeded random search: every trial is scored on every row, by cross-validation.
 
-    The time limit is checked between trials, after the first. A trial that it cut off, or that no fold
-    could score, stands in ``trials`` with a null fold and score, and is counted in ``unscored``.
+    All trials of linear families are solved from one scan; of the others ``parallel`` run at a time. The
+    time limit is checked before each trial but the first. A trial that it cut off, or that no fold could
+    score, stands in ``trials`` with a null fold and score, and is counted in ``unscored``.
     """
     families = list(families or SPACE)
     if unknown := [f for f in families if f not in SPACE]:
         raise ValueError(f"no search space for: {unknown}")
-    rng = random.Random(seed)
-    drawn = [(i, families[i % len(families)], SPACE[families[i % len(families)]](rng)) for i in range(n_trials)]
+    drawn = drawn_trials(n_trials, families, seed)
     rows = known_target(training_rows(df, spec), spec).persist(StorageLevel.MEMORY_AND_DISK)
-    log, deadline, unscored = [], time.monotonic() + timeout, 0
-    best: tuple[float, str, dict] | None = None
-    for i, family, params in drawn:
-        text, begun, results = json.dumps(params, sort_keys=True), time.monotonic(), []
-        if not log or begun <= deadline:
+    deadline = time.monotonic() + timeout
+    moments: dict = {}
+    if any(gram.fits(family, scoring, spec) for _, family, _ in drawn):
+        moments = gram.fold_moments(_folded(rows, spec, folds, seed), spec)
+
+    def scored(trial: tuple[int, str, dict]) -> tuple[list[tuple[int, float]], float]:
+        i, family, params = trial
+        begun = time.monotonic()
+        if i and begun > deadline:
+            return [], 0.0
+        if gram.fits(family, scoring, spec):
+            results = gram.moment_scores(moments, family, params, scoring)
+        else:
             results = fold_scores(rows, spec, Regressor(family, params), folds, scoring, seed)
+        return results, time.monotonic() - begun
+
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+            outcomes = list(pool.map(scored, drawn))
+    finally:
+        rows.unpersist()
+    log, unscored = [], 0
+    best: tuple[float, str, dict] | None = None
+    for (i, family, params), (results, seconds) in zip(drawn, outcomes, strict=True):
+        text = json.dumps(params, sort_keys=True)
         if not results:
             unscored += 1
             log.append((i, family, text, None, None, None))
             continue
-        seconds = time.monotonic() - begun
         log += [(i, family, text, fold, score, seconds) for fold, score in results]
         mean = sum(s for _, s in results) / len(results)
         if best is None or mean > best[0]:
             best = (mean, family, params)
-    rows.unpersist()
     if best is None:
         raise ValueError("no trial could be scored")
     trials = tiny_table(df.sparkSession, log, "trial int, family string, params string, fold int, score double, seconds double")

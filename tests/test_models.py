@@ -105,6 +105,36 @@ def test_search(df):
     assert short.best_score == pytest.approx(full)
 
 
+@pytest.mark.parametrize("kind, params", [("linear_regression", {}), ("ridge", {"alpha": 30.0}), ("lasso", {"alpha": 0.2}),
+                                          ("elastic_net", {"alpha": 0.3, "l1_ratio": 0.4})])
+@pytest.mark.parametrize("scoring", ["neg_mean_squared_error", "neg_root_mean_squared_error", "r2"])
+def test_folds_solved_from_moments_score_as_those_fitted_by_scans(df, monkeypatch, kind, params, scoring):
+    rows = df.withColumn("b", F.col("b") + 1e5)
+    solved = search.fold_scores(rows, SPEC, Regressor(kind, params), 3, scoring)
+    monkeypatch.setattr(search.gram, "FAMILIES", ())
+    scanned = search.fold_scores(rows, SPEC, Regressor(kind, params), 3, scoring)
+    assert [f for f, _ in solved] == [f for f, _ in scanned] == [0, 1, 2]
+    assert [s for _, s in solved] == pytest.approx([s for _, s in scanned], rel=2e-4)
+
+
+def test_a_search_of_linear_families_reads_its_rows_once(df, monkeypatch):
+    calls = []
+    moments = search.gram.fold_moments
+    monkeypatch.setattr(search.gram, "fold_moments", lambda *a: calls.append(1) or moments(*a))
+    monkeypatch.setattr(Regressor, "fit", lambda *a: pytest.fail("no model is fitted by a scan"))
+    found = search.optimize(df, SPEC, families=list(search.gram.FAMILIES), refit=False)
+    assert len(calls) == 1 and found.trials.where("score IS NOT NULL").count() == 500
+
+
+def test_moments_refuse_gaps_and_know_constants(spark):
+    df = spark.createDataFrame([(i, float(i), 0.1, 3.0 * i + 1, i % 2) for i in range(20)], "id int, a double, b double, y double, _fold int")
+    spec = FeatureSpec(("id",), ("a", "b"), "y")
+    moments = search.gram.fold_moments(df, spec)
+    assert search.gram.moment_scores(moments, "linear_regression", {}, "r2") == [(0, pytest.approx(1)), (1, pytest.approx(1))]
+    with pytest.raises(Exception, match="missing"):
+        search.gram.fold_moments(df.withColumn("a", F.when(F.col("id") > 3, F.col("a"))), spec)
+
+
 def test_cross_validation_fits_the_chain_in_each_fold(df):
     scores = search.cross_validate(df, SPEC, Regressor("linear_regression"), 3, chain="advanced")
     interval = search.confidence(scores).first()

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tabfeat.functions.beta import f_tail
 from tabfeat.operators import encoders, power_fit, selection, transformers as tr
 from tabfeat.spec import FeatureSpec
 
@@ -183,3 +184,36 @@ def test_encoders(spark):
     assert "c_onehot" in wide.columns
     filled = tr.fit_impute_categorical(df, ["c"], "frequent").apply(df)
     assert filled.where(F.col("c") == "b").count() == 3
+
+
+def test_p_values_of_f_scores(spark):
+    """Closed forms for one and two degrees of freedom, table values beyond, and the normal tail for very many."""
+    closed = [(t * t, 1, 1 - 2 / math.pi * math.atan(t)) for t in (1e-6, 0.3, 1.0, 1.7, 5.0, 1e3)]
+    closed += [(t * t, 2, 1 - t / math.sqrt(t * t + 2)) for t in (1e-6, 0.3, 1.0, 1.7, 5.0, 1e3)]
+    closed += [(2.228138852**2, 10, 0.05), (3.169272667**2, 10, 0.01), (2.042272456**2, 30, 0.05), (2.749995654**2, 30, 0.01), (4.0 * 0, 7, 1.0)]
+    closed += [(t * t, 10**10, math.erfc(t / math.sqrt(2))) for t in (0.1, 1.0, 1.7, 1.8, 3.0, 8.0)]
+    df = spark.createDataFrame([(float(f), d, p) for f, d, p in closed], "f double, d bigint, p double")
+    for r in df.withColumn("got", f_tail(F.col("f"), F.col("d"))).collect():
+        assert r["got"] == pytest.approx(r["p"], rel=2e-7), r
+    rows = [(1.0, 2.0, 1.0, None, 1.0), (2.0, 4.0, 1.0, None, 5.0), (3.0, 6.1, 1.0, 2.0, 3.0), (4.0, 7.9, 1.0, 1.0, None)]
+    table = spark.createDataFrame(rows, "`y` double, `a.b` double, flat double, few double, gap double")
+    got = {r["feature"]: r for r in selection.f_scores(table, FeatureSpec((), ("a.b", "flat", "few", "gap", "y"), "y")).collect()}
+    r2 = np.corrcoef([1, 2, 3, 4], [2, 4, 6.1, 7.9])[0, 1] ** 2
+    t = math.sqrt(r2 * 2 / (1 - r2))
+    assert got["a.b"]["score"] == pytest.approx(t * t) and got["a.b"]["p_value"] == pytest.approx(1 - t / math.sqrt(t * t + 2))
+    assert got["flat"]["score"] is None and got["flat"]["p_value"] is None and got["few"]["score"] is None
+    t = math.sqrt(0.25 / 0.75)
+    assert got["gap"]["p_value"] == pytest.approx(1 - 2 / math.pi * math.atan(t))
+    assert (got["y"]["score"], got["y"]["p_value"]) == (math.inf, 0.0)
+
+
+def test_powers_far_out_are_found_and_a_likelihood_without_optimum_is_told(spark, monkeypatch):
+    x = [1e-3 * math.log(i / 200 + 1.3) ** -2 for i in range(200)]
+    df = frame(spark, small=x, plain=[v * 1e3 for v in x])
+    found = power_fit.fit_lambdas(df, ["small", "plain"])
+    grid = [found["small"] * (1 + k / 100) for k in (-5, 0, 5)]
+    scores = {r["l"]: r["llf"] for r in power_fit.log_likelihoods(df, ["small"], {"small": grid}).collect()}
+    assert abs(found["small"]) > 40 and scores[1] > max(scores[0], scores[2])
+    monkeypatch.setattr(power_fit, "WIDEST", 2.0)
+    with pytest.warns(UserWarning, match="no optimum"):
+        assert power_fit.fit_lambdas(df, ["small"]) == {"small": 1.0}
