@@ -24,7 +24,7 @@ from tabfeat.session import checkpointed, small_side
 ACCURACY = 10_000
 COLLECT_LIMIT = 300_000
 SLOTS = 1 << 19  # of all columns of a scan together
-COLUMN_SLOTS = 4_096  # of one column
+COLUMN_SLOTS = 16_384  # of one column
 SCAN_COLUMNS = 2_048  # more columns take turns
 GROUP_SLOTS = 1_024  # of a bracket of a group
 FEW = 100_000  # values of a bracket that are ordered in one task
@@ -194,9 +194,8 @@ def _narrowed(cells: DataFrame, brackets: Mapping[int, list[_Bracket]]) -> dict[
     sizes = [len(e) + 1 for e in cuts.values()]
     starts = dict(zip(cuts, np.cumsum([0, *sizes]).tolist()))
     total = np.zeros(sum(sizes), np.int64)
-    for slot, n in (cells.mapInArrow(_counts(cuts, starts, len(total)), "slot bigint, n bigint")
-                    .groupBy("slot").agg(F.sum("n").alias("n")).collect()):
-        total[slot] = n
+    counted = cells.mapInArrow(_counts(cuts, starts, len(total)), "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    total[counted["slot"].to_numpy()] = counted["n"].to_numpy()
     found = {}
     for c, own in brackets.items():
         edges, counts = cuts[c], total[starts[c]:starts[c] + len(cuts[c]) + 1]
