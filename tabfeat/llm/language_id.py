@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import re
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +18,7 @@ HIDDEN = 16
 LONGEST = 24  # a longer word is read in pieces of so many bytes
 STEPS, BATCH, RATE = 500, 256, 0.02
 _REMEMBERED = 300_000
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 # --- the network --------------------------------------------------------------------------
@@ -241,7 +241,7 @@ def identify_language(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE)
 
 
 def keep_identified(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFrame:
-    """The rows of ``docs`` whose text has a language: not those that would be ``und``. All columns stay.
+    """The rows of ``docs`` whose text has a language: not those that are null or have no letter. All columns stay.
 
     If there is nothing to learn from, every text with a letter stays.
     """
@@ -251,7 +251,8 @@ def keep_identified(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) ->
         of = predictor()
         for rows in _text_slices(batches):
             texts = rows.column("text").to_pylist()
-            kept = [n != UNKNOWN for n in of(texts)[0]] if learnt else [bool(t and _LETTER.search(t)) for t in texts]
+            # A learnt language may be called ``und`` too; only a text without letters scores 0.
+            kept = (of(texts)[1] > 0).tolist() if learnt else [bool(t and _LETTER.search(t)) for t in texts]
             yield rows.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

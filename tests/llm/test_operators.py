@@ -242,6 +242,17 @@ def test_a_corpus_without_labels_keeps_its_texts_with_letters(spark):
     assert {r["lang_pred"] for r in identify_language(docs).collect()} == {"und"}
 
 
+def test_numbers_are_no_letters_and_a_learnt_language_may_be_called_und(spark):
+    texts = ["½ ²", "①", "Ⅷ 12", "ª", "ß", "x½", "漢", "_", ""]
+    rows = [(i, t, None) for i, t in enumerate(texts)] + [(100 + i, f"wort{i} und", "und") for i in range(40)] + [(200 + i, f"the word{i}", "en") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = by_id(identify_language(docs))
+    assert [got[i][2] > 0 for i in range(9)] == [False, False, False, True, True, True, True, False, False]
+    assert all(got[i][1] == "und" for i in (0, 1, 2, 7, 8))
+    kept = {r["doc_id"] for r in keep_identified(docs).collect()}
+    assert kept == {3, 4, 5, 6, *range(100, 140), *range(200, 240)} and any(got[i][1] == "und" for i in range(100, 140))
+
+
 def test_gradient_of_the_recurrent_network():
     rng = np.random.default_rng(0)
     net = {k: v.astype(np.float64) for k, v in _new_network(3, 1).items()}
