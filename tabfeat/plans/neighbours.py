@@ -1,28 +1,34 @@
 """Exact k-nearest-neighbour regression as a partitioned join.
 
-Training rows go to the cell of their nearest pivot. For a query, distances to the pivots and
-the cells' radii bound the k-th neighbour's distance, so only cells that can reach within the
-bound are joined. Cells and their queries are cut into blocks of bounded size, each block pair
-returns its own best k, and the best k over all of a query's blocks are averaged. The answer
-is that of comparing every pair; no pair outside a block pair's best k leaves a task.
+Training rows lie in a tree of cells: a cell of more than one block of rows is split by pivots
+taken from its own rows, level by level, until it fits a block or holds a single point. The
+tree is a table of children per level and is never held by the driver. A query walks down the
+same levels: distances to a cell's pivots and the children's radii bound the k-th neighbour's
+distance, and only children that can reach within the bound are visited. Cells that cannot be
+split, and the queries of a cell, are cut into blocks of bounded size; each block pair returns
+its own best k, and the best k over all of a query's blocks are averaged. The answer is that of
+comparing every pair; no pair outside a block pair's best k leaves a task.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabfeat.functions.hashing import key_digest
-from tabfeat.session import tiny_table
+from tabfeat.session import checkpointed, small_side
 from tabfeat.spec import FeatureSpec
 
 BLOCK_ROWS = 4_096
-MAX_PIVOTS = 2_048
+FANOUT = 256
+# Ids of cells are numbers with digits 1 to FANOUT, one a level, so that seven fit a bigint.
+LEVELS = 7
+_TASK_ROWS = 65_536
 _SLICE = 512
 
 
@@ -34,35 +40,49 @@ def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return total
 
 
-def _nearest_pivot(features: Sequence[str], pivots: np.ndarray):
-    def assign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            x = frame[list(features)].to_numpy(float)
-            cells, reach = np.zeros(len(x), int), np.zeros(len(x))
-            for at in range(0, len(x), _SLICE):
-                d = _distances(x[at:at + _SLICE], pivots)
-                cells[at:at + _SLICE] = d.argmin(axis=1)
-                reach[at:at + _SLICE] = np.sqrt(d.min(axis=1))
-            yield frame.assign(cell=cells.astype("int32"), reach=reach)
+def _points(pivots: pd.DataFrame) -> np.ndarray:
+    return np.array([list(p) for p in pivots["point"]], float)
+
+
+def _to_nearest_pivot(columns: Sequence[str], features: Sequence[str]):
+    def assign(rows: pd.DataFrame, pivots: pd.DataFrame) -> pd.DataFrame:
+        if rows.empty or pivots.empty:
+            return pd.DataFrame({c: [] for c in columns})
+        pivots = pivots.sort_values("child")
+        points, children = _points(pivots), pivots["child"].to_numpy()
+        x = rows[list(features)].to_numpy(float)
+        nearest, reach = np.zeros(len(x), int), np.zeros(len(x))
+        for at in range(0, len(x), _SLICE):
+            d = _distances(x[at:at + _SLICE], points)
+            nearest[at:at + _SLICE] = d.argmin(axis=1)
+            reach[at:at + _SLICE] = np.sqrt(d.min(axis=1))
+        return rows.assign(cell=children[nearest], reach=reach)[list(columns)]
 
     return assign
 
 
-def _reachable_cells(features: Sequence[str], pivots: np.ndarray, counts: np.ndarray, radii: np.ndarray, k: int):
-    def visit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            x = frame[list(features)].to_numpy(float)
-            lists = []
-            for at in range(0, len(x), _SLICE):
-                d = np.sqrt(_distances(x[at:at + _SLICE], pivots))
-                farthest = d + radii
-                order = np.argsort(farthest, axis=1)
-                enough = np.cumsum(counts[order], axis=1) >= k
-                stop = np.where(enough.any(axis=1), enough.argmax(axis=1), len(pivots) - 1)
-                bound = np.take_along_axis(np.take_along_axis(farthest, order, 1), stop[:, None], 1)
-                hit = (d - radii <= bound * (1 + 1e-9)) & (counts > 0)
-                lists += [np.flatnonzero(h).astype("int32").tolist() for h in hit]
-            yield frame.assign(cells=lists)
+def _to_reachable_children(columns: Sequence[str], features: Sequence[str], k: int):
+    def visit(queries: pd.DataFrame, nodes: pd.DataFrame) -> pd.DataFrame:
+        if queries.empty or nodes.empty:
+            return pd.DataFrame({c: [] for c in columns})
+        points, children = _points(nodes), nodes["child"].to_numpy()
+        counts, radii = nodes["n"].to_numpy("int64"), nodes["radius"].to_numpy(float)
+        x = queries[[f"q_{c}" for c in features]].to_numpy(float)
+        known = queries["bound"].to_numpy(float)
+        parts = []
+        for at in range(0, len(x), _SLICE):
+            d = np.sqrt(_distances(x[at:at + _SLICE], points))
+            farthest = d + radii
+            order = np.argsort(farthest, axis=1)
+            enough = np.cumsum(counts[order], axis=1) >= k
+            stop = np.take_along_axis(order, enough.argmax(axis=1)[:, None], 1)
+            own = np.where(enough.any(axis=1), np.take_along_axis(farthest, stop, 1)[:, 0], np.inf)
+            bound = np.minimum(known[at:at + _SLICE], own)
+            # Rounding errors grow with the distances, not with their difference.
+            lower = d - radii - 1e-12 * farthest
+            q, c = np.nonzero(lower <= (bound * (1 + 1e-9))[:, None])
+            parts.append(queries.iloc[q + at].assign(cell=children[c], bound=bound[q], lower=lower[q, c]))
+        return pd.concat(parts)[list(columns)]
 
     return visit
 
@@ -97,40 +117,115 @@ def _block_best(query_key: Sequence[str], row_key: Sequence[str], features: Sequ
     return best
 
 
+def _schema(df: DataFrame) -> str:
+    return ", ".join(f"`{c}` {t}" for c, t in df.dtypes)
+
+
+def _renewed(df: DataFrame) -> DataFrame:
+    """The same rows as columns of their own, for a cogroup with a frame they were made from."""
+    return df.toDF(*df.columns)
+
+
+def _pieces(count: Column, size: int) -> Column:
+    return F.greatest(F.ceil(count / size), F.lit(1)).cast("int")
+
+
+@dataclass(frozen=True)
+class CellTree:
+    """``rows`` with their leaf ``cell``; per level the children ``(cell, child, point, n, radius)`` of
+    its split cells; ``leaves`` ``(cell, n)``."""
+
+    rows: DataFrame
+    levels: tuple[DataFrame, ...]
+    leaves: DataFrame
+
+
+def cell_tree(rows: DataFrame, features: Sequence[str], row_key: Sequence[str], seed: int = 42) -> CellTree:
+    """Split ``rows`` into cells of at most ``BLOCK_ROWS`` rows.
+
+    A larger cell is left only where all its rows are one point (or after ``LEVELS`` levels). The
+    pivots of a cell are a sample of its distinct points, about four a block of rows and at most
+    ``FANOUT``, with its nearest and its farthest row: a cell of more than one point always falls
+    apart, and copies of one point, however many, are no more likely to be drawn than another.
+    """
+    features, row_key = list(features), list(row_key)
+    point, mark = F.array(*features), F.xxhash64(F.lit(seed), *features)
+    norm = F.sqrt(reduce(Column.__add__, [F.col(c) * F.col(c) for c in features]))
+    open_rows = checkpointed(rows.withColumn("cell", F.lit(0).cast("bigint")).withColumn("reach", norm))
+    finished, leaves, levels, pivots = [], [], [], None
+    for level in range(LEVELS + 1):
+        cells = checkpointed(open_rows.groupBy("cell").agg(
+            F.count("*").alias("n"), F.max("reach").alias("radius"), F.approx_count_distinct(mark).alias("points"),
+            F.min_by(point, "reach").alias("near"), F.max_by(point, "reach").alias("far")))
+        if pivots is not None:
+            levels.append(checkpointed(pivots.join(cells.select(F.col("cell").alias("child"), "n", "radius"), "child")))
+        too_large = (F.col("n") > BLOCK_ROWS) & (F.col("radius") > 0) & F.lit(level < LEVELS)
+        large = cells.where(too_large)
+        leaves.append(cells.where(~too_large).select("cell", "n"))
+        if large.isEmpty():
+            finished.append(open_rows.drop("reach"))
+            break
+        wanted = F.least(F.ceil(4 * F.col("n") / BLOCK_ROWS), F.lit(FANOUT - 2))
+        sizes = small_side(large.select("cell", "points", wanted.alias("wanted"), _pieces(F.col("n"), _TASK_ROWS).alias("pieces")))
+        finished.append(open_rows.join(sizes, "cell", "left_anti").drop("reach"))
+        # Twice the wanted points are drawn, so the window ranks no more than some hundred a cell.
+        drawn = (open_rows.join(sizes, "cell").withColumn("mark", mark)
+                 .where(F.pmod("mark", F.lit(1 << 30)) / (1 << 30) * F.col("points") < 2 * F.col("wanted"))
+                 .select("cell", "wanted", "mark", point.alias("point")).distinct()
+                 .withColumn("place", F.row_number().over(Window.partitionBy("cell").orderBy("mark", "point")))
+                 .where("place <= wanted").select("cell", "point"))
+        ends = large.select("cell", F.explode(F.array("near", "far")).alias("point"))
+        order = Window.partitionBy("cell").orderBy("point")
+        pivots = checkpointed(drawn.unionByName(ends).distinct().withColumn(
+            "child", F.col("cell") * (FANOUT + 1) + F.row_number().over(order)))
+        dealt = open_rows.join(sizes.select("cell", "pieces"), "cell").withColumn(
+            "piece", F.pmod(F.xxhash64(*row_key), F.col("pieces")).cast("int")).drop("pieces")
+        asked = pivots.join(sizes.select("cell", "pieces"), "cell").withColumn(
+            "piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).drop("pieces")
+        open_rows = checkpointed(
+            dealt.groupBy("cell", "piece").cogroup(_renewed(asked).groupBy("cell", "piece")).applyInPandas(
+                _to_nearest_pivot(open_rows.columns, features), _schema(open_rows)))
+    return CellTree(reduce(DataFrame.unionByName, finished), tuple(levels), reduce(DataFrame.unionByName, leaves))
+
+
+def visited_cells(queries: DataFrame, tree: CellTree, features: Sequence[str], query_key: Sequence[str], k: int) -> DataFrame:
+    """``queries`` (features named ``q_``) once for every leaf that may hold one of the k nearest rows."""
+    visits = (queries.withColumn("cell", F.lit(0).cast("bigint")).withColumn("bound", F.lit(float("inf")))
+              .withColumn("lower", F.lit(0.0)))
+    least = F.min("bound").over(Window.partitionBy(*query_key))
+    for nodes in tree.levels:
+        pieces = small_side(visits.join(nodes.select("cell").distinct(), "cell", "left_semi").groupBy("cell").count()
+                            .select("cell", _pieces(F.col("count"), _TASK_ROWS).alias("pieces")))
+        dealt = visits.join(pieces, "cell").withColumn(
+            "piece", F.pmod(F.xxhash64(*query_key), F.col("pieces")).cast("int")).drop("pieces")
+        asked = nodes.join(pieces, "cell").withColumn(
+            "piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).drop("pieces")
+        down = dealt.groupBy("cell", "piece").cogroup(_renewed(asked).groupBy("cell", "piece")).applyInPandas(
+            _to_reachable_children(visits.columns, features, k), _schema(visits))
+        stay = visits.join(pieces, "cell", "left_anti")
+        visits = checkpointed(stay.unionByName(down).withColumn("bound", least)
+                              .where(F.col("lower") <= F.col("bound") * (1 + 1e-9)))
+    return visits.drop("bound", "lower")
+
+
 def nearest_mean(train: DataFrame, queries: DataFrame, spec: FeatureSpec, k: int = 5, seed: int = 42) -> DataFrame:
     """``queries`` with ``pred``: the mean target of the k nearest training rows, ties by key."""
-    spark, features, key = queries.sparkSession, list(spec.features), list(spec.key)
+    features, key = list(spec.features), list(spec.key)
     row_key, query_key = [f"r_{c}" for c in key], [f"q_{c}" for c in key]
     rows = train.dropna(subset=features).select(
         *[F.col(c).alias(r) for c, r in zip(key, row_key, strict=True)],
         *[F.col(c).cast("double").alias(c) for c in features], F.col(spec.target).cast("double").alias("v"))
-    n = rows.count()
-    if n == 0:
+    if rows.isEmpty():
         raise ValueError("nearest neighbours need at least one training row")
-    wanted = max(1, min(MAX_PIVOTS, math.isqrt(n)))
-    sample = rows.orderBy(key_digest(row_key, seed, "pivot"), *row_key).limit(wanted)
-    pivots = np.unique(np.array([list(r) for r in sample.select(*features).collect()], float), axis=0)
-
     types = dict(rows.dtypes)
-    schema = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes) + ", cell int, reach double"
-    assigned = rows.mapInPandas(_nearest_pivot(features, pivots), schema)
-    counts, radii = np.zeros(len(pivots), "int64"), np.zeros(len(pivots))
-    for cell, count, radius in assigned.groupBy("cell").agg(F.count("*"), F.max("reach")).collect():
-        counts[cell], radii[cell] = count, radius
-
-    wanted_queries = queries.select(*[F.col(c).alias(q) for c, q in zip(key, query_key, strict=True)],
-                                    *[F.col(c).cast("double").alias(c) for c in features]).dropna()
-    query_schema = ", ".join(f"`{c}` {t}" for c, t in wanted_queries.dtypes) + ", cells array<int>"
-    visits = (wanted_queries.mapInPandas(_reachable_cells(features, pivots, counts, radii, k), query_schema)
-              .select(*query_key, *[F.col(c).alias(f"q_{c}") for c in features if f"q_{c}" not in query_key],
-                      F.explode("cells").alias("cell")))
-    demand = dict(visits.groupBy("cell").count().collect())
-    cuts = tiny_table(spark, [(c, max(1, math.ceil(int(counts[c]) / BLOCK_ROWS)),
-                               max(1, math.ceil(demand.get(c, 0) / BLOCK_ROWS))) for c in range(len(pivots))],
-                      "cell int, blocks int, chunks int")
-    # One row per pivot: bounded by MAX_PIVOTS.
-    cuts = F.broadcast(cuts)
-    left = (assigned.drop("reach").join(cuts, "cell")
+    tree = cell_tree(rows, features, row_key, seed)
+    asked = (queries.select(*[F.col(c).alias(q) for c, q in zip(key, query_key, strict=True)],
+                            *[F.col(c).cast("double").alias(f"q_{c}") for c in features if c not in key]).dropna())
+    visits = visited_cells(asked, tree, features, query_key, k)
+    demand = visits.groupBy("cell").agg(F.count("*").alias("asked"))
+    cuts = small_side(tree.leaves.join(demand, "cell").select(
+        "cell", _pieces(F.col("n"), BLOCK_ROWS).alias("blocks"), _pieces(F.col("asked"), BLOCK_ROWS).alias("chunks")))
+    left = (tree.rows.join(cuts, "cell")
             .withColumn("block", F.pmod(F.xxhash64(*row_key), F.col("blocks")).cast("int"))
             .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
             .drop("blocks", "chunks"))

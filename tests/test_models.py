@@ -83,6 +83,33 @@ def test_neighbours_are_exact_with_a_third_of_the_rows_on_one_spot(spark, monkey
     np.testing.assert_allclose(got, _nearest(x, y, 7), rtol=1e-12)
 
 
+def test_cells_fit_a_block_at_a_hundred_blocks_of_rows_but_for_single_points(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 40)
+    monkeypatch.setattr(neighbours, "FANOUT", 8)
+    monkeypatch.setattr(neighbours, "_TASK_ROWS", 300)
+    rng = np.random.default_rng(13)
+    x = rng.normal(size=(4000, 2))
+    x[:1300] = 0.25
+    x[1300:2000] = x[1300:2000] * 1e-4 + 3
+    y = rng.normal(size=4000)
+    frame = spark.createDataFrame([(i, *map(float, r), float(t)) for i, (r, t) in enumerate(zip(x, y))],
+                                  "id int, a double, b double, y double")
+    rows = frame.withColumnsRenamed({"id": "r_id", "y": "v"})
+    tree = neighbours.cell_tree(rows, ["a", "b"], ["r_id"])
+    sizes = tree.rows.groupBy("cell").agg(F.count("*").alias("n"), F.countDistinct("a", "b").alias("points")).collect()
+    assert sum(r["n"] for r in sizes) == 4000 and len(tree.levels) > 2
+    assert max(r["n"] for r in sizes if r["points"] > 1) <= 40
+    assert {r["cell"]: r["n"] for r in sizes} == dict(tree.leaves.collect())
+    assert max(n.groupBy("cell").count().agg(F.max("count")).first()[0] for n in tree.levels) <= 8
+    asked = frame.where("id % 40 = 0")
+    visits = neighbours.visited_cells(asked.select(F.col("id").alias("q_id"), F.col("a").alias("q_a"), F.col("b").alias("q_b")),
+                                      tree, ["a", "b"], ["q_id"], 5)
+    assert visits.count() < 0.2 * asked.count() * len(sizes)
+    got = [r["pred"] for r in neighbours.nearest_mean(frame, asked, FeatureSpec(("id",), ("a", "b"), "y")).orderBy("id").collect()]
+    want = [y[np.lexsort((np.arange(4000), (x[:, 0] - q[0]) ** 2 + (x[:, 1] - q[1]) ** 2))[:5]].mean() for q in x[::40]]
+    np.testing.assert_allclose(got, want, rtol=1e-12)
+
+
 def test_model_contract(df):
     model = Regressor("linear_regression").fit(df, SPEC)
     assert model.predict(df).count() == 400 and isinstance(model.score(df), float)
