@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabfeat.functions.hashing import digest_bucket, key_digest, share_mark
-from tabfeat.operators.rank import digest_cutoffs
+from tabfeat.operators.rank import joint_cutoffs
 from tabfeat.spec import FeatureSpec
 
 
@@ -34,19 +34,42 @@ class SplitOptions:
         share = self.validation_size / (1 - self.test_size)
         return test, math.ceil(share * (rows - test))
 
+    def ranks(self, rows: int) -> list[int]:
+        """Ranks of the last test row and the last validation row."""
+        test, validation = self.sizes(rows)
+        return [test, test + validation]
 
-def split_exact(df: DataFrame, spec: FeatureSpec, options: SplitOptions = SplitOptions()) -> DataFrame:
-    """Exact split sizes: two digest cutoffs are found by counting, the split itself is a projection."""
-    digest = key_digest(spec.key, options.seed)
-    rows = df.count()
-    test, validation = options.sizes(rows)
-    test_cut, validation_cut = digest_cutoffs(df, digest, [test, test + validation], rows)
+
+def _labelled(df: DataFrame, spec: FeatureSpec, digest: Column, cuts: list[str | None]) -> DataFrame:
+    test_cut, validation_cut = cuts
     label = F.when(digest <= F.lit(test_cut), "test") if test_cut else F.when(F.lit(False), "test")
     if validation_cut:
         label = label.when(digest <= F.lit(validation_cut), "val")
     return df.withColumn(spec.split, label.otherwise("train"))
 
 
+def _nulled(df: DataFrame, column: str, digest: Column, cut: str | None) -> DataFrame:
+    return df if cut is None else df.withColumn(column, F.when(digest > F.lit(cut), F.col(column)))
+
+
+def split_exact(df: DataFrame, spec: FeatureSpec, options: SplitOptions = SplitOptions()) -> DataFrame:
+    """Exact split sizes: two digest cutoffs are found by counting, the split itself is a projection."""
+    digest = key_digest(spec.key, options.seed)
+    (cuts,) = joint_cutoffs(df, [digest], lambda rows: [options.ranks(rows)])
+    return _labelled(df, spec, digest, cuts)
+
+
+def split_with_missing(df: DataFrame, spec: FeatureSpec, options: SplitOptions = SplitOptions(),
+                       column: str | None = None, share: float = 0.05) -> DataFrame:
+    """``inject_missing`` and ``split_exact`` at once: all their cutoffs come from the same two scans."""
+    column = column or spec.features[0]
+    if column in spec.key:
+        raise ValueError("a key column may not be nulled: the split is made by it")
+    missing, digest = key_digest(spec.key, options.seed, "missing"), key_digest(spec.key, options.seed)
+    (cut,), cuts = joint_cutoffs(df, [missing, digest], lambda rows: [[int(share * rows)], options.ranks(rows)])
+    return _labelled(_nulled(df, column, missing, cut), spec, digest, cuts)
+
+
 def split_hash(df: DataFrame, spec: FeatureSpec, options: SplitOptions = SplitOptions()) -> DataFrame:
     """Approximate split sizes from the digest alone: no pass over the data, works on a stream."""
     digest = key_digest(spec.key, options.seed)
@@ -60,11 +83,8 @@ def inject_missing(df: DataFrame, spec: FeatureSpec, column: str | None = None,
     """Null exactly ``int(share * rows)`` randomly chosen values of one feature (the first by default)."""
     column = column or spec.features[0]
     digest = key_digest(spec.key, seed, "missing")
-    rows = df.count()
-    (cut,) = digest_cutoffs(df, digest, [int(share * rows)], rows)
-    if cut is None:
-        return df
-    return df.withColumn(column, F.when(digest > F.lit(cut), F.col(column)))
+    ((cut,),) = joint_cutoffs(df, [digest], lambda rows: [[int(share * rows)]])
+    return _nulled(df, column, digest, cut)
 
 
 def fold_number(spec: FeatureSpec, folds: int, seed: int = 42) -> Column:

@@ -10,7 +10,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from tabfeat.operators.metrics import all_metrics
-from tabfeat.operators.split import SplitOptions, inject_missing, split_exact
+from tabfeat.operators.split import SplitOptions, split_exact, split_with_missing
 from tabfeat.plans.chain import ChainOptions, FeatureChain
 from tabfeat.plans.models import FittedModel, Regressor
 from tabfeat.plans.search import optimize
@@ -42,9 +42,8 @@ def prepare_data(df: DataFrame, spec: FeatureSpec, path: str, options: SplitOpti
     Later scans then read plain columns of one split's folder instead of hashing keys again.
     """
     df = nan_to_null(df)
-    if missing_share:
-        df = inject_missing(df, spec, missing_column, missing_share, options.seed)
-    split = split_exact(df, spec, options)
+    split = (split_with_missing(df, spec, options, missing_column, missing_share) if missing_share
+             else split_exact(df, spec, options))
     save_splits(split, spec, path)
     return load_splits(df.sparkSession, path, split.schema, split_column=spec.split)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabfeat.operators.split import inject_missing, split_exact, split_hash
+from tabfeat.operators.split import SplitOptions, inject_missing, split_exact, split_hash, split_with_missing
 from tabfeat.spec import FeatureSpec, nan_to_null
 
 LINE_KEY = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "price_cents")
@@ -46,7 +46,7 @@ def line_null(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def line_split(spark: SparkSession, folder: str) -> DataFrame:
-    return split_exact(line_null(spark, folder), LINE)
+    return split_with_missing(line(spark, folder), LINE, SplitOptions(), "l_quantity", 0.05)
 
 
 def line_inter_split(spark: SparkSession, folder: str) -> DataFrame:

@@ -52,11 +52,30 @@ def test_global_rank(spark, partitions):
 
 
 @pytest.mark.parametrize("limit", [20_000, 10])
-def test_digest_cutoffs(spark, limit):
-    df = spark.range(3000).select(F.md5(F.col("id").cast("string")).alias("h"))
-    ordered = sorted(hashlib.md5(str(i).encode()).hexdigest() for i in range(3000))
-    got = rank.digest_cutoffs(df, F.col("h"), [0, 1, 600, 3000], 3000, limit)
-    assert got == [None, ordered[0], ordered[599], ordered[2999]]
+def test_joint_cutoffs(spark, limit):
+    columns = [F.md5(F.col("id").cast("string")), F.sha2(F.col("id").cast("string"), 256)]
+    ordered = [sorted(kind(str(i).encode()).hexdigest() for i in range(3000)) for kind in (hashlib.md5, hashlib.sha256)]
+    got = rank.joint_cutoffs(spark.range(3000), columns, lambda rows: [[0, 1, rows // 5, rows], [7, 0]], limit)
+    assert got == [[None, ordered[0][0], ordered[0][599], ordered[0][2999]], [ordered[1][6], None]]
+
+
+def test_nulls_and_split_are_cut_by_two_scans(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    spec = FeatureSpec(("id",), ("x",))
+    plain = spark.range(5000).select("id", F.lit(1.0).alias("x"))
+    joint = split.split_with_missing(plain.mapInArrow(counted, "id bigint, x double"), spec, split.SplitOptions(), "x", 0.1)
+    assert seen.value == 2 * 5000
+    apart = split.split_exact(split.inject_missing(plain, spec, "x", 0.1), spec)
+    assert joint.orderBy("id").collect() == apart.orderBy("id").collect()
+    assert joint.where("x IS NULL").count() == 500
+    with pytest.raises(ValueError, match="key"):
+        split.split_with_missing(plain, spec, split.SplitOptions(), "id", 0.1)
 
 
 def test_repeated_keys_are_refused(spark):
