@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,10 +13,11 @@ from pyspark.sql import functions as F
 from tabfeat import fixed_values as fixed
 from tabfeat.operators.profile import per_column
 from tabfeat.operators.quantiles import quantiles
-from tabfeat.session import tiny_table
+from tabfeat.session import checkpointed, small_side, tiny_table
 from tabfeat.spec import nan_to_null, numeric_columns, text_columns
 
 FINDING = "check string, item string, severity string, message string, value double"
+_MARK = "_row_mark"
 
 
 def _findings(rows: DataFrame, check: str, severity: str, message: str, item: str | Column, value: str) -> DataFrame:
@@ -32,108 +34,178 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+@dataclass(frozen=True)
+class ColumnCheck:
+    """A check of single columns: an aggregate that tells whether one is conspicuous, and the value to report."""
+
+    check: str
+    severity: str
+    message: str
+    columns: Sequence[str]
+    found: Callable[[str], Column]
+    value: Callable[[str], Column]
+
+
+def column_findings(df: DataFrame, checks: Sequence[ColumnCheck]) -> DataFrame:
+    """The findings of any number of column checks, all from a single scan."""
+    asked = [(check, c) for check in checks for c in check.columns]
+    if not asked:
+        return no_findings(df.sparkSession)
+    flat = df.agg(*[a for i, (check, c) in enumerate(asked)
+                    for a in (check.found(_quoted(c)).alias(f"found_{i}"), check.value(_quoted(c)).cast("double").alias(f"value_{i}"))])
+    rows = [F.struct(F.lit(check.check).alias("check"), F.lit(c).alias("item"), F.lit(check.severity).alias("severity"),
+                     F.lit(check.message).alias("message"), F.col(f"value_{i}").alias("value"), F.col(f"found_{i}").alias("found"))
+            for i, (check, c) in enumerate(asked)]
+    return flat.select(F.inline(F.filter(F.array(*rows), lambda r: r["found"]))).drop("found")
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _missing_check(columns: Sequence[str]) -> ColumnCheck:
+    def share(c: str) -> Column:
+        return F.avg(F.col(c).isNull().cast("double"))
+
+    return ColumnCheck("quality", "warning", "more than half of the values are missing", columns,
+                       lambda c: share(c) > fixed.HIGH_MISSING_SHARE, share)
+
+
+def _constant_check(columns: Sequence[str]) -> ColumnCheck:
+    return ColumnCheck("quality", "warning", "at most one distinct value", columns,
+                       lambda c: F.min(c).eqNullSafe(F.max(c)), F.count)
+
+
+def _outlier_check(fences: Mapping[str, tuple[float, float]]) -> ColumnCheck:
+    by_name = {_quoted(c): f for c, f in fences.items()}
+
+    def share(c: str) -> Column:
+        return F.try_divide(_outside(c, by_name[c]), F.count("*"))
+
+    return ColumnCheck("quality", "info", "many values beyond the quartile fences", list(fences),
+                       lambda c: share(c) > fixed.HIGH_OUTLIER_SHARE, share)
+
+
 def high_missing(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    df = nan_to_null(df)
-    shares = per_column(df, columns or df.columns, share=lambda c: F.avg(F.col(c).isNull().cast("double")))
-    return _findings(shares.where(F.col("share") > fixed.HIGH_MISSING_SHARE),
-                     "quality", "warning", "more than half of the values are missing", "column", "share")
+    return column_findings(nan_to_null(df), [_missing_check(columns or df.columns)])
 
 
 def constant_columns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """At most one distinct value: smallest equals largest, or nothing but nulls."""
-    df = nan_to_null(df)
-    rows = per_column(df, columns or df.columns,
-                      same=lambda c: F.min(c).eqNullSafe(F.max(c)), filled=lambda c: F.count(c))
-    return _findings(rows.where("same"), "quality", "warning", "at most one distinct value", "column", "filled")
+    return column_findings(nan_to_null(df), [_constant_check(columns or df.columns)])
+
+
+def _row_mark(columns: Sequence[str]) -> Column:
+    return F.xxhash64(*columns, *[F.col(c).isNull() for c in columns])
 
 
 def duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None, method: str = "exact") -> DataFrame:
     """Rows beyond the first of each group of equal rows; missing equals missing.
 
-    ``hash`` shuffles 16 bytes per row instead of the row, for wide or long-text tables.
+    ``hash``, for wide or long-text tables, counts the rows by a hash of 8 bytes first. Only rows that
+    share theirs with another row are then shuffled and compared as a whole, so the number is exact
+    whatever collides. Copies are added up before they are shuffled, and rows that only share a hash
+    go to different tasks.
     """
-    df, columns = nan_to_null(df), list(columns or df.columns)
+    names = list(columns or df.columns)
+    df, columns = nan_to_null(df).select(*map(_quoted, names)), [_quoted(c) for c in names]
     if method == "hash":
-        marks = [F.xxhash64(*columns, *[F.col(c).isNull() for c in columns]).alias("h1"),
-                 F.xxhash64(F.lit(7), *columns, *[F.col(c).isNull() for c in columns]).alias("h2")]
-        df, columns = df.select(*marks), ["h1", "h2"]
+        marked = df.withColumn(_MARK, _row_mark(columns))
+        shared = checkpointed(marked.groupBy(_MARK).count().where("count > 1").select(_MARK))
+        df = marked.join(small_side(shared), _MARK, "left_semi")
     elif method != "exact":
         raise ValueError(f"unknown duplicate method: {method}")
-    extra = df.groupBy(*columns).agg((F.count("*") - 1).alias("extra")).agg(F.sum("extra").alias("extra"))
+    extra = df.groupBy(*columns).agg((F.count("*") - 1).alias(_MARK)).agg(F.sum(_MARK).alias("extra"))
     return _findings(extra.where("extra > 0"), "quality", "info", "rows equal to an earlier row",
                      F.lit("rows"), "extra")
 
 
-def high_outliers(df: DataFrame, columns: Sequence[str] | None = None, method: str = "exact") -> DataFrame:
-    """Columns with more than a tenth of the rows beyond the Tukey fences."""
-    return outlier_shares(df, columns, method).transform(
-        lambda rows: _findings(rows.where(F.col("share") > fixed.HIGH_OUTLIER_SHARE), "quality", "info",
-                               "many values beyond the quartile fences", "column", "share"))
+def _outside(c: str, fences: tuple[float, float]) -> Column:
+    return F.count_if((F.col(c) < fences[0]) | (F.col(c) > fences[1]))
 
 
-def outlier_shares(df: DataFrame, columns: Sequence[str] | None = None, method: str = "exact") -> DataFrame:
-    df, columns = nan_to_null(df), list(columns or numeric_columns(df))
+def outlier_fences(df: DataFrame, columns: Sequence[str], method: str = "exact") -> dict[str, tuple[float, float]]:
+    """The Tukey fences of every column that has a value."""
     fences = {}
     for c, (q1, q3) in quantiles(df, columns, (0.25, 0.75), method).items():
         if q1 is not None:
             reach = fixed.OUTLIER_FENCE * (q3 - q1)
             fences[c] = (q1 - reach, q3 + reach)
+    return fences
+
+
+def high_outliers(df: DataFrame, columns: Sequence[str] | None = None, method: str = "exact") -> DataFrame:
+    """Columns with more than a tenth of the rows beyond the Tukey fences."""
+    df = nan_to_null(df)
+    return column_findings(df, [_outlier_check(outlier_fences(df, list(columns or numeric_columns(df)), method))])
+
+
+def outlier_shares(df: DataFrame, columns: Sequence[str] | None = None, method: str = "exact") -> DataFrame:
+    df = nan_to_null(df)
+    fences = outlier_fences(df, list(columns or numeric_columns(df)), method)
     if not fences:
         return tiny_table(df.sparkSession, [], "column string, outliers bigint, share double")
-    return per_column(
-        df, list(fences),
-        outliers=lambda c: F.count_if((F.col(c) < fences[c][0]) | (F.col(c) > fences[c][1])),
-        share=lambda c: F.try_divide(
-            F.count_if((F.col(c) < fences[c][0]) | (F.col(c) > fences[c][1])), F.count("*")))
+    return per_column(df, list(fences), outliers=lambda c: _outside(c, fences[c]),
+                      share=lambda c: F.try_divide(_outside(c, fences[c]), F.count("*")))
+
 
+def data_quality(df: DataFrame, columns: Sequence[str] | None = None, method: str = "exact",
+                 duplicates: str = "exact") -> DataFrame:
+    """All four quality checks; NaN counts as missing.
 
-def data_quality(df: DataFrame, columns: Sequence[str] | None = None, method: str = "exact") -> DataFrame:
-    """All four quality checks, each in a scan of its own; NaN counts as missing."""
+    The column checks share one scan, behind those that find the quartiles; duplicates take their own.
+    """
     columns = list(columns or df.columns)
+    df = nan_to_null(df)
     numeric = [c for c in numeric_columns(df) if c in columns]
-    parts = [high_missing(df, columns), constant_columns(df, columns), duplicate_rows(df, columns)]
-    if numeric:
-        parts.append(high_outliers(df, numeric, method))
-    return _union(parts)
+    fences = outlier_fences(df, numeric, method) if numeric else {}
+    checks = [_missing_check(columns), _constant_check(columns), _outlier_check(fences)]
+    return _union([column_findings(df, checks), duplicate_rows(df, columns, duplicates)])
 
 
-def pii_columns(df: DataFrame) -> DataFrame:
-    """Columns whose name contains a personal keyword, with how many values they hold."""
+def _name_check(df: DataFrame) -> ColumnCheck:
     pattern = re.compile("|".join(fixed.PII_KEYWORDS), re.IGNORECASE)
-    columns = [c for c in df.columns if pattern.search(c)]
-    if not columns:
-        return no_findings(df.sparkSession)
-    rows = per_column(df, columns, filled=lambda c: F.count(c))
-    return _findings(rows, "privacy", "failed", "the column name suggests personal data", "column", "filled")
-
+    return ColumnCheck("privacy", "failed", "the column name suggests personal data",
+                       [c for c in df.columns if pattern.search(c)], lambda c: F.lit(True), F.count)
 
-def _text_hits(df: DataFrame, columns: Sequence[str], pattern: str, message: str) -> DataFrame:
-    if not columns:
-        return no_findings(df.sparkSession)
 
+def _text_check(columns: Sequence[str], pattern: str, message: str) -> ColumnCheck:
     def hits(c: str) -> Column:
-        found = F.col(c).contains(pattern) if pattern == fixed.EMAIL_LOOSE else F.col(c).rlike(pattern)
-        return F.count_if(found)
+        return F.count_if(F.col(c).contains(pattern) if pattern == fixed.EMAIL_LOOSE else F.col(c).rlike(pattern))
+
+    return ColumnCheck("privacy", "failed", message, columns, lambda c: hits(c) > 0, hits)
+
 
-    return _findings(per_column(df, columns, hits=hits).where("hits > 0"),
-                     "privacy", "failed", message, "column", "hits")
+def _email_check(columns: Sequence[str], mode: str) -> ColumnCheck:
+    return _text_check(columns, {"loose": fixed.EMAIL_LOOSE, "strict": fixed.EMAIL_STRICT}[mode],
+                       "values look like email addresses")
+
+
+def _phone_check(columns: Sequence[str], mode: str) -> ColumnCheck:
+    return _text_check(columns, {"loose": fixed.PHONE_LOOSE, "strict": fixed.PHONE_STRICT}[mode],
+                       "values look like phone numbers")
+
+
+def pii_columns(df: DataFrame) -> DataFrame:
+    """Columns whose name contains a personal keyword, with how many values they hold."""
+    return column_findings(df, [_name_check(df)])
 
 
 def pii_email(df: DataFrame, columns: Sequence[str] | None = None, mode: str = "loose") -> DataFrame:
     """Text columns holding addresses, with the number of such values. ``loose`` looks for ``@`` only."""
-    pattern = {"loose": fixed.EMAIL_LOOSE, "strict": fixed.EMAIL_STRICT}[mode]
-    return _text_hits(df, columns or text_columns(df), pattern, "values look like email addresses")
+    return column_findings(df, [_email_check(columns or text_columns(df), mode)])
 
 
 def pii_phone(df: DataFrame, columns: Sequence[str] | None = None, mode: str = "loose") -> DataFrame:
-    pattern = {"loose": fixed.PHONE_LOOSE, "strict": fixed.PHONE_STRICT}[mode]
-    return _text_hits(df, columns or text_columns(df), pattern, "values look like phone numbers")
+    return column_findings(df, [_phone_check(columns or text_columns(df), mode)])
 
 
 def privacy_check(df: DataFrame, mode: str = "loose", enabled: bool = True) -> DataFrame:
+    """Names, addresses and phone numbers, from one scan."""
     if not enabled:
         return no_findings(df.sparkSession)
-    return _union([pii_columns(df), pii_email(df, mode=mode), pii_phone(df, mode=mode)])
+    texts = text_columns(df)
+    return column_findings(df, [_name_check(df), _email_check(texts, mode), _phone_check(texts, mode)])
 
 
 def mask_pii(df: DataFrame, texts: Sequence[str], identifiers: Sequence[str] = (), salt: str = "") -> DataFrame:

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tabfeat.fixed_values import RECOMMENDATIONS
 from tabfeat.operators import quality
@@ -36,6 +37,32 @@ def test_duplicate_rows_treat_missing_as_equal(spark, method):
     assert quality.duplicate_rows(df.distinct(), method=method).count() == 0
 
 
+def test_hashed_duplicates_are_exact_when_everything_collides(spark, monkeypatch):
+    monkeypatch.setattr(quality, "_row_mark", lambda columns: F.pmod(F.xxhash64(*columns), F.lit(3)))
+    rows = [(i % 40 if i < 100 else i, f"t{i % 40 if i < 100 else i}") for i in range(160)]
+    df = spark.createDataFrame(rows, "`a.b` int, t string").repartition(5)
+    assert items(quality.duplicate_rows(df, method="hash")) == {("rows", 60.0)}
+    monkeypatch.setattr(quality, "_row_mark", lambda columns: F.lit(7))
+    assert items(quality.duplicate_rows(df, method="hash")) == {("rows", 60.0)}
+    assert quality.duplicate_rows(df.distinct(), method="hash").count() == 0
+
+
+def test_column_checks_share_a_scan(spark, phones):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    read = phones.mapInArrow(counted, phones.schema)
+    apart = quality.pii_columns(phones).union(quality.pii_email(phones)).union(quality.pii_phone(phones))
+    assert sorted(quality.privacy_check(read).collect()) == sorted(apart.collect()) and seen.value == 4
+    dotted = phones.withColumnsRenamed({"contact": "k.contact", "n": "k.n"})
+    assert items(quality.privacy_check(dotted)) == {("k.contact", 1.0)}
+    assert quality.constant_columns(dotted.where("`k.n` = 1")).count() == 2
+
+
 def test_columns(spark):
     rows = [(1.0, None, 5.0, None if i < 6 else 1.0, 0.0 if i < 8 else 1e6 * i) for i in range(10)]
     df = spark.createDataFrame(rows, "one double, nothing double, five double, gaps double, tail double")
