@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+
 from tabfeat.fixed_values import (
     EMAIL_STRICT, HIGHER_IS_BETTER, INVERSE_NORMAL, METRICS, PHONE_LOOSE, PHONE_STRICT, PII_KEYWORDS, RECOMMENDATIONS, SUMMARY,
 )
@@ -545,3 +547,56 @@ FROM m WHERE split = 'test'"""
 Q["identity_line"] = f"""WITH {PREDICTIONS} SELECT {r('least(min(y), min(pred))')} AS low, {r('greatest(max(y), max(pred))')} AS high FROM pred_rows"""
 Q["shape_change"] = f"""WITH {_advanced} SELECT 'before' AS stage, count(*) AS n_rows, 4::BIGINT AS n_columns FROM split_rows
 UNION ALL SELECT 'after', count(*), (SELECT count(*) FROM w)::BIGINT FROM expanded"""
+
+
+# --- features and trees of the models -----------------------------------------------------
+
+def _cosines(columns, components: int, gamma: float, seed: int) -> str:
+    rng = np.random.default_rng(seed)
+    directions = rng.normal(0.0, np.sqrt(2 * gamma), (components, len(columns))).tolist()
+    phases = rng.uniform(0.0, 2 * np.pi, components).tolist()
+    angles = [" + ".join([repr(b), *(f"({c} - mu_{c}) / sd_{c} * ({w!r})" for c, w in zip(columns, ws, strict=True))])
+              for ws, b in zip(directions, phases, strict=True)]
+    return ", ".join(f"{r(f'cos({a}) * sqrt(2.0 / {components})')} AS cos_{i}" for i, a in enumerate(angles))
+
+
+Q["kernel_features"] = f"""WITH {INTER_SPLIT},
+moments AS (SELECT {', '.join(f"avg({c}) AS mu_{c}, stddev_pop({c}) AS sd_{c}" for c in INTER)} FROM train)
+SELECT {KEY}, {_cosines(INTER, 6, 0.25, 42)} FROM split_rows, moments"""
+
+
+def grown(name: str, cells: str, features, depth: int) -> str:
+    """CTE ``name``: the ``cells`` (n rows, sum s) with the mean ``fit`` of their leaf in the tree of best splits."""
+    parts = [f"{name}_0 AS (SELECT *, 1 AS node FROM {cells})"]
+    for k in range(depth):
+        long = " UNION ALL ".join(
+            f"SELECT node, '{c}' AS feature, {c} AS x, sum(n) AS n, sum(s) AS s FROM {name}_{k} GROUP BY node, {c}" for c in features)
+        side = " ".join(f"WHEN b.feature = '{c}' AND c.{c} > b.x THEN 1" for c in features)
+        parts.append(f"""{name}_best_{k} AS (
+  SELECT node, feature, x, sl * sl / nl + (ss - sl) * (ss - sl) / (nn - nl) - ss * ss / nn AS gain
+  FROM (SELECT *, sum(n) OVER (PARTITION BY node, feature ORDER BY x) AS nl, sum(s) OVER (PARTITION BY node, feature ORDER BY x) AS sl,
+          sum(n) OVER (PARTITION BY node, feature) AS nn, sum(s) OVER (PARTITION BY node, feature) AS ss FROM ({long}))
+  WHERE nl < nn QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, feature) = 1),
+{name}_{k + 1} AS (SELECT c.* REPLACE (2 * c.node + CASE {side} ELSE 0 END AS node)
+  FROM {name}_{k} c LEFT JOIN {name}_best_{k} b ON c.node = b.node)""")
+    parts.append(f"{name} AS (SELECT *, sum(s) OVER (PARTITION BY node) / sum(n) OVER (PARTITION BY node) AS fit FROM {name}_{depth})")
+    return ", ".join(parts)
+
+
+_BY_DISCOUNT = f"{INTER_SPLIT}, cells AS (SELECT l_discount, count(*) AS n, sum(discount_amount) AS s FROM train GROUP BY l_discount)"
+Q["tree_by_discount"] = f"""WITH {_BY_DISCOUNT}, {grown('tree', 'cells', ['l_discount'], 2)}
+SELECT l_discount, {r('fit', 4)} AS pred FROM tree"""
+Q["forest_by_discount"] = Q["tree_by_discount"]
+# A round fits twice the residuals and adds a tenth of the result; the first one counts in full.
+Q["boosting_by_discount"] = f"""WITH {_BY_DISCOUNT}, {grown('one', 'cells', ['l_discount'], 1)},
+after_one AS (SELECT l_discount, n, s AS y, 2 * (s - n * fit) AS s, fit AS sofar FROM one), {grown('two', 'after_one', ['l_discount'], 1)},
+after_two AS (SELECT l_discount, n, 2 * (y - n * (sofar + 0.1 * fit)) AS s, sofar + 0.1 * fit AS sofar FROM two),
+{grown('three', 'after_two', ['l_discount'], 1)}
+SELECT l_discount, {r('sofar + 0.1 * fit', 4)} AS pred FROM three"""
+Q["tree_importance"] = f"""WITH {LINE_SPLIT},
+cells AS (SELECT l_discount, l_tax, count(*) AS n, sum(charge) AS s FROM train GROUP BY l_discount, l_tax),
+{grown('tree', 'cells', ['l_discount', 'l_tax'], 2)},
+gains AS (SELECT feature, gain FROM tree_best_0 UNION ALL SELECT feature, gain FROM tree_best_1),
+f AS (SELECT unnest(['l_discount', 'l_tax']) AS feature)
+SELECT 'decision_tree' AS model, f.feature, {r('coalesce(sum(gain), 0) / (SELECT sum(gain) FROM gains)')} AS importance
+FROM f LEFT JOIN gains ON f.feature = gains.feature GROUP BY f.feature"""

@@ -452,6 +452,46 @@ def fit_kernel_robust(spark, folder):
     return _fit_metrics(spark, folder, "svr")
 
 
+@query
+def kernel_features(spark, folder):
+    """Six random cosine features of every row, scaled by the training rows."""
+    df = frames.line_inter_split(spark, folder)
+    lift = models.CosineFeatures.drawn(training_rows(df, LINE_INTER), LINE_INTER.features, 6, 0.25, 42)
+    return (df.select(*LINE_KEY, lift.column().alias("lift"))
+            .select(*LINE_KEY, *[F.col("lift")[i].alias(f"cos_{i}") for i in range(6)]))
+
+
+def _by_discount(spark, folder, kind, **params):
+    df, model = _fitted(spark, folder, kind, LINE_INTER.with_features(("l_discount",)), **params)
+    return rounded(model.predict(df).groupBy("l_discount").agg(F.max("pred").alias("pred")), pred=4)
+
+
+@query
+def tree_by_discount(spark, folder):
+    """What a tree of two levels predicts for every discount."""
+    return _by_discount(spark, folder, "decision_tree", max_depth=2)
+
+
+@query
+def forest_by_discount(spark, folder):
+    """Trees that draw neither rows nor features agree with the single tree."""
+    return _by_discount(spark, folder, "random_forest", max_depth=2, n_estimators=3, bootstrap=False)
+
+
+@query
+def boosting_by_discount(spark, folder):
+    """Three rounds of one split each."""
+    return _by_discount(spark, folder, "gradient_boosting", max_depth=1, n_estimators=3)
+
+
+@query
+def tree_importance(spark, folder):
+    """Shares of the squared error that the splits of a tree of two levels remove, by feature."""
+    df = frames.line_split(spark, folder)
+    model = Regressor("decision_tree", {"max_depth": 2}).fit(df, LINE.with_features(("l_discount", "l_tax")))
+    return model.importance(df)
+
+
 @query
 def fit_knn(spark, folder):
     df = split.split_hash(frames.parts(spark, folder), PARTS)

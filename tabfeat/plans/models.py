@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 from pyspark.ml import Model as SparkModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
@@ -15,7 +16,7 @@ from pyspark.ml.regression import (
     LinearRegression,
     RandomForestRegressor,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabfeat.operators.metrics import moment_metrics
@@ -149,7 +150,7 @@ def _decision_tree(p: Mapping) -> DecisionTreeRegressor:
 
 def _random_forest(p: Mapping) -> RandomForestRegressor:
     return RandomForestRegressor(numTrees=p.get("n_estimators", 100), maxDepth=p.get("max_depth", 10),
-                                 seed=p.get("seed", 42))
+                                 bootstrap=p.get("bootstrap", True), seed=p.get("seed", 42))
 
 
 def _gradient_boosting(p: Mapping) -> GBTRegressor:
@@ -162,6 +163,41 @@ def _fit_neighbours(df: DataFrame, spec: FeatureSpec, params: Mapping, name: str
     return FittedModel(name, spec, lambda d: nearest_mean(rows, d, spec, params.get("k", 5)))
 
 
+@dataclass(frozen=True)
+class CosineFeatures:
+    """Random cosine features of scaled inputs: one matrix product per Arrow batch.
+
+    ``sqrt(2 / components) * cos(phase + direction . (x - mean) / std)`` per component. A missing input
+    makes all of a row's features missing. The plan has one node whatever the number of components.
+    """
+
+    columns: tuple[str, ...]
+    means: np.ndarray
+    stds: np.ndarray
+    directions: np.ndarray
+    phases: np.ndarray
+
+    @classmethod
+    def drawn(cls, rows: DataFrame, columns: Sequence[str], components: int, gamma: float, seed: int) -> CosineFeatures:
+        stats = column_stats(rows, columns, mean=F.avg, std=F.stddev_pop)
+        rng = np.random.default_rng(seed)
+        directions = rng.normal(0.0, np.sqrt(2 * gamma), (components, len(columns)))
+        return cls(tuple(columns), np.array([stats[c]["mean"] for c in columns], float),
+                   np.array([stats[c]["std"] or 1.0 for c in columns], float),
+                   directions, rng.uniform(0.0, 2 * np.pi, components))
+
+    def column(self) -> Column:
+        means, weights, phases = self.means, (self.directions / self.stds).T, self.phases
+
+        @F.pandas_udf("array<double>")
+        def lifted(x: pd.DataFrame) -> pd.Series:
+            values = np.cos((x.to_numpy(float) - means) @ weights + phases) * np.sqrt(2 / len(phases))
+            known = ~np.isnan(values).any(axis=1)
+            return pd.Series([v if k else None for v, k in zip(values, known, strict=True)], dtype=object)
+
+        return lifted(F.struct(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(self.columns)]))
+
+
 def _fit_kernel(df: DataFrame, spec: FeatureSpec, params: Mapping, name: str) -> FittedModel:
     """Random cosine features of the scaled inputs under a Huber loss.
 
@@ -169,25 +205,11 @@ def _fit_kernel(df: DataFrame, spec: FeatureSpec, params: Mapping, name: str) ->
     epsilon-insensitive one of support-vector regression.
     """
     rows = _train_rows(df, spec)
-    stats = column_stats(rows, spec.features, mean=F.avg, std=F.stddev_pop)
-    width, seed = params.get("components", 100), params.get("seed", 42)
-    gamma = params.get("gamma", 1.0 / max(1, len(spec.features)))
-    rng = np.random.default_rng(seed)
-    directions = rng.normal(0.0, np.sqrt(2 * gamma), (width, len(spec.features)))
-    phases = rng.uniform(0.0, 2 * np.pi, width)
-
-    def lifted(d: DataFrame) -> DataFrame:
-        scaled = [(F.col(c) - F.lit(stats[c]["mean"])) / F.lit(stats[c]["std"] or 1.0) for c in spec.features]
-        features = []
-        for w, b in zip(directions, phases, strict=True):
-            angle = F.lit(float(b))
-            for value, weight in zip(scaled, w, strict=True):
-                angle = angle + value * F.lit(float(weight))
-            features.append(F.cos(angle) * float(np.sqrt(2 / width)))
-        return d.withColumn("_lift", F.array(*features))
+    lift = CosineFeatures.drawn(rows, spec.features, params.get("components", 100),
+                                params.get("gamma", 1.0 / max(1, len(spec.features))), params.get("seed", 42))
 
     def vectors(d: DataFrame) -> DataFrame:
-        return lifted(d).withColumn(_VECTOR, array_to_vector("_lift")).drop("_lift")
+        return d.withColumn(_VECTOR, array_to_vector(lift.column()))
 
     model = LinearRegression(loss="huber", epsilon=params.get("epsilon", 1.35), regParam=params.get("alpha", 1e-4),
                              maxIter=params.get("max_iter", 200), featuresCol=_VECTOR, labelCol=spec.target,
