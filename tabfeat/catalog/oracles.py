@@ -318,6 +318,16 @@ f AS (SELECT regr_slope(charge, x) AS slope, regr_intercept(charge, x) AS interc
 p AS (SELECT 'linear_regression_basic' AS model, split, {KEY}, charge AS y, slope * x + intercept AS pred FROM x, f),
 {measure_ctes('p', 'model, split', KEY)}
 SELECT model, split, metric, {r('value', 4)} AS value FROM long"""
+_pairs = [(s, m) for s in ("test", "val") for m in METRICS]
+Q["grid_comparison"] = f"""WITH {_basic},
+x AS (SELECT {KEY}, b.split, {_standard('b.l_extendedprice').replace('avg(b.', 'avg(').replace('stddev_pop(b.', 'stddev_pop(')} AS x,
+  charge FROM binned b JOIN split_rows USING ({KEY})),
+f AS (SELECT avg(x) AS mx, avg(charge) AS my, covar_pop(x, charge) * count(*) AS c, var_pop(x) * count(*) AS v FROM x WHERE split = 'train'),
+p AS (SELECT g.model, split, {KEY}, charge AS y, my + (x - mx) * c / (v + g.alpha) AS pred
+  FROM x, f, (VALUES ('plain_basic', 0), ('shrunk_basic', 20000)) g(model, alpha)),
+{measure_ctes('p', 'model, split', KEY)}
+SELECT model, {', '.join(f"round(max(value) FILTER (split = '{s}' AND metric = '{m}'), 3) + 0.0 AS {s}_{m}" for s, m in _pairs)}
+FROM long GROUP BY model"""
 _cv = f"""{LINE}, folded AS (SELECT *, len(list_filter(['33333333', '66666666', '99999999', 'cccccccc'], lambda e: {digest('fold')} >= e))::BIGINT AS fold FROM line),
 fits AS (SELECT k.fold, regr_slope(charge, l_extendedprice) AS slope, regr_intercept(charge, l_extendedprice) AS intercept
   FROM folded l JOIN (SELECT unnest(range(5)) AS fold) k ON l.fold <> k.fold GROUP BY 1),

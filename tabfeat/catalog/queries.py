@@ -193,6 +193,16 @@ def run_grid(spark, folder):
     return grid.metrics
 
 
+@query
+def grid_comparison(spark, folder):
+    """Two linear models on one chain, compared: SQL knows their solutions."""
+    df = frames.line_split(spark, folder).persist()
+    grid = runs.run_grid(df, PRICE_ONLY, {"plain": Regressor("linear_regression"), "shrunk": Regressor("ridge", {"alpha": 2e4})},
+                         chains=("basic",), options=FIXED)
+    df.unpersist()
+    return tidy(grid.comparison, 3)
+
+
 # --- feature transformers -----------------------------------------------------------------
 
 @query

@@ -5,17 +5,19 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from tabfeat.operators.metrics import all_metrics
+from tabfeat.operators.metrics import all_metrics, best_model, compare_models, importance_pivot
+from tabfeat.operators.profile import data_info
 from tabfeat.operators.split import SplitOptions, split_exact, split_with_missing
 from tabfeat.plans.chain import ChainOptions, FeatureChain
 from tabfeat.plans.models import FittedModel, Regressor
 from tabfeat.plans.search import optimize
 from tabfeat.session import tiny_table
-from tabfeat.sources.io import load_splits, save_splits
+from tabfeat.sources.io import export_table, load_splits, save_results, save_splits
 from tabfeat.spec import FeatureSpec, nan_to_null
 
 log = logging.getLogger(__name__)
@@ -78,10 +80,31 @@ def _evaluated(name: str, chain: FeatureChain, model: FittedModel, features: Dat
 
 @dataclass
 class GridResult:
+    """What a grid of experiments leaves; all but the predictions in ``results`` are small tables.
+
+    ``comparison`` has a row per experiment, best test error first; ``best`` the one with the least
+    (null if none was evaluated); ``importance_summary`` a column per experiment that has importances;
+    ``info`` describes the table they were run on.
+    """
+
     metrics: DataFrame
     importance: DataFrame
     failures: DataFrame
     results: Mapping[str, RunResult]
+    comparison: DataFrame
+    best: DataFrame
+    importance_summary: DataFrame
+    info: DataFrame
+
+
+def save_grid(grid: GridResult, path: str) -> None:
+    """Metrics and predictions in the form ``load_results`` reads; comparison, importance, failures and info as CSV."""
+    parts = [r.predictions for r in grid.results.values()]
+    if parts:
+        save_results(grid.metrics, reduce(DataFrame.unionByName, parts), path)
+    for name, rows in (("comparison", grid.comparison), ("importance", grid.importance_summary),
+                       ("failures", grid.failures), ("info", grid.info)):
+        export_table(rows, f"{path}/{name}")
 
 
 def run_grid(df: DataFrame, spec: FeatureSpec, models: Mapping[str, Regressor | Mapping] | None = None,
@@ -116,10 +139,10 @@ def run_grid(df: DataFrame, spec: FeatureSpec, models: Mapping[str, Regressor |
                 failures.append((name, str(error)))
                 log.exception("experiment %s failed", name)
         features.unpersist()
-    return GridResult(
-        _collected(spark, [r.metrics for r in results.values()], METRIC_ROWS),
-        _collected(spark, [r.importance for r in results.values()], IMPORTANCE_ROWS),
-        tiny_table(spark, failures, "experiment string, error string"), results)
+    scores = _collected(spark, [r.metrics for r in results.values()], METRIC_ROWS)
+    importance = _collected(spark, [r.importance for r in results.values()], IMPORTANCE_ROWS)
+    return GridResult(scores, importance, tiny_table(spark, failures, "experiment string, error string"), results,
+                      compare_models(scores), best_model(scores), importance_pivot(importance), data_info(df, spec))
 
 
 def _collected(spark: SparkSession, tables: Sequence[DataFrame], schema: str) -> DataFrame:

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from tabfeat.operators import split
 from tabfeat.plans.chain import ChainEstimator, ChainOptions, FeatureChain
 from tabfeat.plans.models import Regressor
-from tabfeat.plans.runs import run_grid
+from tabfeat.plans.runs import run_grid, save_grid
+from tabfeat.sources.io import load_results
 from tabfeat.streaming.apply import prepared_stream, read_feature_stream, write_features
 
 QUICK = ChainOptions(lambdas=0.5)
@@ -76,3 +77,24 @@ def test_grid_reports_failures_as_rows(sample, sample_spec):
                     chains=("basic",), options=QUICK)
     assert [r["experiment"] for r in grid.failures.collect()] == ["bad_basic"]
     assert {r["model"] for r in grid.metrics.collect()} == {"good_basic"} and grid.metrics.count() == 30
+    assert grid.comparison.count() == 1 and grid.best.first()["model"] == "good_basic"
+    assert grid.info.first()["n_rows"] == 100 and grid.importance_summary.count() > 0
+
+
+def test_grid_is_stored_and_read_back(spark, sample, sample_spec, tmp_path):
+    df = split.split_exact(sample, sample_spec).cache()
+    grid = run_grid(df, sample_spec, {"one": Regressor("ridge"), "two": Regressor("linear_regression")},
+                    chains=("basic",), options=QUICK)
+    save_grid(grid, f"{tmp_path}/grid")
+    one = next(iter(grid.results.values()))
+    scores, predictions = load_results(spark, f"{tmp_path}/grid", one.predictions.schema)
+    assert rows(scores.select(*grid.metrics.columns)) == rows(grid.metrics) and predictions.count() == 2 * one.predictions.count()
+    assert spark.read.option("header", True).csv(f"{tmp_path}/grid/comparison").count() == 2
+    assert spark.read.option("header", True).csv(f"{tmp_path}/grid/info").first()["n_rows"] == "100"
+
+
+def test_grid_without_a_single_success_is_empty(sample, sample_spec, tmp_path):
+    df = split.split_exact(sample, sample_spec).cache()
+    grid = run_grid(df, sample_spec, {"bad": {"n_trials": 1, "families": ["unheard"]}}, chains=("basic",), options=QUICK)
+    save_grid(grid, f"{tmp_path}/grid")
+    assert grid.comparison.count() == 0 and grid.best.first()["model"] is None and grid.failures.count() == 1
