@@ -2,16 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabfeat.session import checkpointed
+
+
+_WORDS = 2
+
+
+def _turn_marks() -> list[Column]:
+    """Two 64-bit hashes of a turn at its place."""
+    return [F.xxhash64(F.lit(seed), "k", F.char_length("role"), "role", "text").alias(f"t{seed}") for seed in range(_WORDS)]
+
 
 def format_conversations(turns: DataFrame, opening: str = "<|", closing: str = "|>", end: str = "<|end|>") -> DataFrame:
     """Render the maximal conversations of a log that also holds their earlier snapshots.
 
-    Every turn prefix of a conversation has a rolling hash over the roles and texts so far. A conversation
-    whose last hash is that of a shorter prefix of another one is a snapshot of it and is left out; of
-    conversations with the same turns the smallest conv_id stays.
+    Every turn prefix of a conversation has a rolling hash over the places, roles and texts so far: its
+    number of turns and 128 bits that each turn changes once. A conversation whose last hash is that of a
+    shorter prefix of another one is a snapshot of it and is left out; of conversations with the same
+    turns the smallest conv_id stays.
+
+    The hashes are running values of a window over hashes of the turns, so the work is linear in the
+    turns; a conversation that holds a third of all turns is sorted by one task, which spills what it
+    can't hold. Only a kept conversation is put together.
 
     Input: conv_id, turn, role, text; turns are ordered by turn, equal numbers by role and text. Null
     roles and texts count as empty; rows with a null conv_id are left out, a null turn comes first. Other
@@ -19,22 +34,23 @@ def format_conversations(turns: DataFrame, opening: str = "<|", closing: str = "
     the same turns), rendered.
     """
     clean = turns.where("conv_id IS NOT NULL").select(
-        "conv_id", F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).alias("t"))
-    whole = clean.groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("turns"))
-    said = F.transform("turns", lambda t: F.sha2(F.concat(F.char_length(t["role"]).cast("string"), F.lit(":"), t["role"], t["text"]), 256))
-    start = F.struct(F.lit("").alias("last"), F.array().cast("array<string>").alias("all"))
-    rolling = F.aggregate(
-        said, start,
-        lambda done, one: F.struct(F.sha2(F.concat(done["last"], one), 256).alias("last"),
-                                   F.concat(done["all"], F.array(done["last"])).alias("all")))
-    # The first entry of "all" is the empty prefix; the others are the shorter prefixes.
-    hashed = whole.withColumn("r", rolling).select("conv_id", "turns", F.col("r.last").alias("last"), F.slice("r.all", 2, F.size("turns")).alias("shorter"))
-    prefixes = hashed.select(F.explode("shorter").alias("last")).distinct()
-    firsts = hashed.groupBy("last").agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n_copies"))
-    kept = firsts.join(prefixes, "last", "left_anti").select("conv_id", "n_copies")
-    lines = F.transform("turns", lambda t: F.concat(F.lit(opening), t["role"], F.lit(closing), F.lit("\n"), t["text"], F.lit(end)))
-    return hashed.join(kept, "conv_id").select(
-        "conv_id", F.size("turns").cast("bigint").alias("n_turns"), "n_copies", F.array_join(lines, "\n").alias("rendered"))
+        "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    whole = Window.partitionBy("conv_id")
+    order = whole.orderBy(F.asc_nulls_first("turn"), "role", "text")
+    placed = clean.withColumn("k", F.row_number().over(order))
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    prefix = ["k", *[f"h{seed}" for seed in range(_WORDS)]]
+    rolling = (placed.select("*", *_turn_marks())
+               .select("conv_id", "k", *[F.bit_xor(f"t{seed}").over(so_far).alias(f"h{seed}") for seed in range(_WORDS)],
+                       F.count("*").over(whole).alias("n_turns")))
+    hashed = checkpointed(rolling)
+    shorter = hashed.where("k < n_turns").select(*prefix).distinct()
+    firsts = hashed.where("k = n_turns").groupBy(*prefix).agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n_copies"))
+    kept = firsts.join(shorter, prefix, "left_anti").select("conv_id", "n_copies", F.col("k").cast("bigint").alias("n_turns"))
+    line = F.concat(F.lit(opening), F.col("role"), F.lit(closing), F.lit("\n"), F.col("text"), F.lit(end))
+    lines = F.array_sort(F.collect_list(F.struct("k", line.alias("line"))))
+    return (placed.join(kept, "conv_id").groupBy("conv_id", "n_turns", "n_copies")
+            .agg(F.array_join(F.transform(lines, lambda t: t["line"]), "\n").alias("rendered")))
 
 
 ORACLE = r"""

@@ -292,6 +292,19 @@ def test_chat_snapshots_collapse(spark):
     assert rows == {2: (2, 2, "<|user|>\nhi<|end|>\n<|bot|>\nyo<|end|>"), 4: (2, 1, "<|user|>\nh<|end|>\n<|bot|>\n<|end|>"), 5: (1, 1, "<||>\n<|end|>")}
 
 
+def test_a_conversation_with_most_of_the_turns_collapses_its_snapshots(spark):
+    n = 30_000
+    turns = spark.range(n).select(F.lit(9).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), F.lit("u").alias("role"),
+                                  F.concat(F.lit("t"), (F.col("id") % 7).cast("string")).alias("text"))
+    log = (turns.union(turns.where(f"turn < {n - 1}").withColumn("conv_id", F.lit(1).cast("bigint")))
+           .union(turns.withColumn("conv_id", F.lit(4).cast("bigint")))
+           .union(turns.where("turn < 2").withColumns({"conv_id": F.lit(2).cast("bigint"), "turn": 1 - F.col("turn")})))
+    rows = by_id(format_conversations(log.repartition(6)))
+    assert {k: r[:2] for k, r in rows.items()} == {4: (n, 2), 2: (2, 1)}
+    assert rows[4][2] == "\n".join(f"<|u|>\nt{i % 7}<|end|>" for i in range(n))
+    assert rows[2][2] == "<|u|>\nt1<|end|>\n<|u|>\nt0<|end|>"
+
+
 def test_chat_is_the_sql(spark, folder):
     import checker
     connection = checker.duck(folder)
