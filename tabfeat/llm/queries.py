@@ -16,7 +16,7 @@ from tabfeat.llm.maxent import score_texts
 from tabfeat.llm.minhash import near_duplicates
 from tabfeat.llm.near_prints import near_prints
 from tabfeat.llm.quality import score_quality
-from tabfeat.llm.simhash import edited_neighbours
+from tabfeat.llm.simhash import document_links, edited_neighbours
 from tabfeat.llm.substring import remove_repeated_windows
 from tabfeat.llm.suffix_array import remove_repeated_strings
 
@@ -71,6 +71,12 @@ def op4_simhash(spark, folder):
     return edited_neighbours(_documents(spark, folder))
 
 
+@_query
+def simhash_links(spark, folder):
+    """The links that op4's ``n_near`` counts."""
+    return document_links(_documents(spark, folder))
+
+
 @_query
 def op1_language_id(spark, folder):
     return identify_language(_documents(spark, folder))

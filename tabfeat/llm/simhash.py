@@ -67,20 +67,53 @@ def _block_keys(fingerprint: Column, radius: int, blocks: int) -> Column:
                      for t, chosen in enumerate(combinations(range(blocks), blocks - radius))])
 
 
-def within_radius(queries: DataFrame, corpus: DataFrame, radius: int = 3, blocks: int = 5) -> DataFrame:
-    """(fingerprint, n_near): for each distinct fingerprint of ``queries``, the rows of ``corpus`` within the radius.
+def near_links(queries: DataFrame, corpus: DataFrame, radius: int = 3, blocks: int = 5) -> DataFrame:
+    """(fingerprint, other, n_other): for each distinct fingerprint of ``queries``, every fingerprint of
+    ``corpus`` within the radius, itself included, and the rows of ``corpus`` that have it.
 
     If at most ``radius`` bits differ, some choice of ``blocks - radius`` blocks is equal: every choice is
     a table, keyed by its blocks. Equal fingerprints are one entry with their count, so a group of copies
-    is one row of each table. A pair that meets in several tables counts once.
+    is one row of each table; who is in it tells the corpus itself. A pair that meets in several tables
+    is one link.
     """
     entries = corpus.groupBy("fingerprint").agg(F.count("*").alias("n")).select(
         "n", F.col("fingerprint").alias("other"), F.inline(_block_keys(F.col("fingerprint"), radius, blocks)))
     asked = queries.select("fingerprint").distinct().select(
         "fingerprint", F.inline(_block_keys(F.col("fingerprint"), radius, blocks)))
-    near = (asked.join(entries, ["table", "block"]).where(distance(F.col("fingerprint"), F.col("other")) <= radius)
-            .groupBy("fingerprint", "other").agg(F.max("n").alias("n")))
-    return near.groupBy("fingerprint").agg(F.sum("n").alias("n_near"))
+    return (asked.join(entries, ["table", "block"]).where(distance(F.col("fingerprint"), F.col("other")) <= radius)
+            .groupBy("fingerprint", "other").agg(F.max("n").alias("n_other")))
+
+
+def within_radius(queries: DataFrame, corpus: DataFrame, radius: int = 3, blocks: int = 5) -> DataFrame:
+    """(fingerprint, n_near): for each distinct fingerprint of ``queries``, the rows of ``corpus`` within the radius."""
+    return near_links(queries, corpus, radius, blocks).groupBy("fingerprint").agg(F.sum("n_other").alias("n_near"))
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("id"),
+                       F.coalesce("text", F.lit("")).alias("text"))
+
+
+def _asked(query_step: int) -> Column:
+    return F.col("id").isNotNull() & (F.col("id") % query_step == 0) & (F.col("id") != NO_ID)
+
+
+def document_links(docs: DataFrame, radius: int = 3, query_step: int = 50) -> DataFrame:
+    """Links of the fingerprints of all rows whose doc_id is divisible by ``query_step`` with those of all rows.
+
+    One row per link: fingerprint, other (16 hexadecimal digits, never the same), n_bits (those that differ)
+    and n_other (rows that have the other). Together with the fingerprints that ``edited_neighbours`` gives
+    of every row these are all pairs of rows within the radius; pairs of copies are not written out. Null
+    and empty texts have fingerprint 0 and are linked like others; null doc_ids ask nothing but are found.
+    """
+    texts, hashed = _texts(docs), F.xxhash64("text")
+    rows = texts.groupBy("id", hashed.alias("h")).agg(F.count("*").alias("copies"))
+    # Copies of a row vote alike, so they leave the fingerprint as it is.
+    own = checkpointed(fingerprints(texts.select("id", hashed.alias("h"), "text"), ["id", "h"]).join(rows, ["id", "h"]))
+    corpus = own.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    links = near_links(own.where(_asked(query_step)), corpus, radius).where("fingerprint <> other")
+    return links.select(hexadecimal(F.col("fingerprint")).alias("fingerprint"), hexadecimal(F.col("other")).alias("other"),
+                        distance(F.col("fingerprint"), F.col("other")).cast("bigint").alias("n_bits"), "n_other")
 
 
 def edited_neighbours(docs: DataFrame, radius: int = 3, query_step: int = 50) -> DataFrame:
@@ -95,8 +128,7 @@ def edited_neighbours(docs: DataFrame, radius: int = 3, query_step: int = 50) ->
     doc_id the next document is the one with the smallest hash; a single document is its own next.
     Likeness is the share of equal bits. Other columns are ignored.
     """
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("id"),
-                        F.coalesce("text", F.lit("")).alias("text"))
+    texts = _texts(docs)
     hashed, size = F.xxhash64("text"), F.char_length("text")
     variants = checkpointed(texts.groupBy("id", hashed.alias("h"), size.alias("n")).agg(F.count("*").alias("copies")))
     ranked = global_rank(variants.groupBy("id").agg(F.min("h").alias("h"), F.max("n").alias("n")), ["id"], "rank")
@@ -120,7 +152,7 @@ def edited_neighbours(docs: DataFrame, radius: int = 3, query_step: int = 50) ->
              .select(F.col("to").alias("id"), "next_fingerprint"))
     rows = (variants.join(own, ["id", "h"]).join(changed, ["id", "h"]).join(after, "id")
             .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))))
-    asked = F.col("id").isNotNull() & (F.col("id") % query_step == 0) & (F.col("id") != NO_ID)
+    asked = _asked(query_step)
     near = within_radius(own.where(asked), variants.select("id", "h", "copies").join(own, ["id", "h"])
                          .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))), radius)
 

@@ -20,7 +20,7 @@ from tabfeat.llm.language_id import _gradient, _new_network, identify_language,
 from tabfeat.llm.maxent import score_texts
 from tabfeat.llm.minhash import near_duplicates
 from tabfeat.llm.quality import score_quality
-from tabfeat.llm.simhash import distance, edited_neighbours, within_radius
+from tabfeat.llm.simhash import distance, document_links, edited_neighbours, within_radius
 from tabfeat.llm.substring import remove_repeated_windows
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, n_words string, keys int, score double"
@@ -285,6 +285,23 @@ def test_quality_of_held_out_documents(spark, folder, documents, odd, labels):
     assert by_id(score_quality(odd, labels.limit(0)))[1][1] == 0.5
 
 
+def test_simhash_links_are_all_pairs_within_the_radius(spark, documents):
+    base = [(r["doc_id"], r["text"]) for r in documents.select("doc_id", "text").orderBy("doc_id").limit(300).collect()]
+    copies = [(10_000 + i, (t or "") + " tail") for i, t in base[:100]] + [(None, base[0][1]), (None, None), (50_000, base[0][1]), (50_000, base[0][1])]
+    docs = spark.createDataFrame(base + copies, "doc_id bigint, text string")
+    prints = [(r["doc_id"], int(r["fingerprint"], 16), r["n_near"]) for r in edited_neighbours(docs).collect()]
+    asked = {f for i, f, _ in prints if i is not None and i % 50 == 0}
+    count = {}
+    for _, f, _ in prints:
+        count[f] = count.get(f, 0) + 1
+    want = {(f, g): ((f ^ g).bit_count(), n) for f in asked for g, n in count.items() if f != g and (f ^ g).bit_count() <= 3}
+    got = {(int(r["fingerprint"], 16), int(r["other"], 16)): (r["n_bits"], r["n_other"]) for r in document_links(docs).collect()}
+    assert got == want and want
+    for i, f, near in prints:
+        if i is not None and i % 50 == 0:
+            assert near == count[f] - 1 + sum(n for (a, _), (_, n) in want.items() if a == f)
+
+
 def test_chat_snapshots_collapse(spark):
     turns = [(1, 0, "user", "hi"), (2, 0, "user", "hi"), (2, 1, "bot", "yo"), (3, 0, "user", "hi"), (3, 1, "bot", "yo"),
              (4, 0, "user", "h"), (4, 1, "bot", None), (5, None, None, ""), (None, 0, "user", "x")]
