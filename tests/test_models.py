@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tabfeat.operators import split
 from tabfeat.plans import neighbours, search
-from tabfeat.plans.models import Regressor
+from tabfeat.plans.models import CosineFeatures, Regressor
 from tabfeat.spec import FeatureSpec
 
 SPEC = FeatureSpec(("id",), ("a", "b", "c"), "y")
@@ -110,6 +110,21 @@ def test_cells_fit_a_block_at_a_hundred_blocks_of_rows_but_for_single_points(spa
     np.testing.assert_allclose(got, want, rtol=1e-12)
 
 
+def test_a_thousand_cosine_features_are_one_node(spark, df, data):
+    lift = CosineFeatures.drawn(df, ["a", "b", "c"], 1000, 0.5, 3)
+    frame = df.withColumn("lift", lift.column())
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and len(plan) < 5000
+    x, _ = data
+    rng = np.random.default_rng(3)
+    directions, phases = rng.normal(0.0, 1.0, (1000, 3)), rng.uniform(0.0, 2 * np.pi, 1000)
+    want = np.cos((x - x.mean(0)) / x.std(0) @ directions.T + phases) * np.sqrt(2 / 1000)
+    got = np.array([r["lift"] for r in frame.orderBy("id").select("lift").collect()])
+    np.testing.assert_allclose(got, want, atol=1e-9)
+    gaps = df.withColumn("b", F.when(F.col("id") > 3, F.col("b"))).withColumn("lift", lift.column())
+    assert gaps.where("lift IS NULL").count() == 4
+
+
 def test_model_contract(df):
     model = Regressor("linear_regression").fit(df, SPEC)
     assert model.predict(df).count() == 400 and isinstance(model.score(df), float)
