@@ -449,7 +449,7 @@ def fit_random_forest(spark, folder):
 
 @query
 def fit_gbt(spark, folder):
-    return _fit_metrics(spark, folder, "gradient_boosting", n_estimators=20)
+    return _fit_metrics(spark, folder, "gradient_boosting")
 
 
 @query
