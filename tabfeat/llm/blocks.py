@@ -1,16 +1,19 @@
 """Shared pieces of the text operators: batches of documents, vectorised words and hashes, key exchange.
 
 Several operators ask one question of every position of every text: who else has this key?
-``deal`` puts documents into batches of bounded size, in order of doc_id. A batch sends its distinct
+``deal`` puts documents into batches of bounded size, in order of doc_id; an id with very many rows has
+several. A batch sends its distinct
 64-bit keys as packed blocks, one per bucket of the key space; each bucket compares the blocks of all
 batches and answers each of them. A key held by a third of all documents is one entry per batch.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -43,45 +46,104 @@ def bounded_batches(spark: SparkSession) -> None:
             spark.conf.set(_ARROW + name, str(most))
 
 
-def deal(docs: DataFrame, batch_bytes: int = BATCH_BYTES, carry: tuple[str, ...] = ()) -> tuple[DataFrame, int]:
-    """(batch, id, text) dealt by batch, and the number of batches; batches ascend with doc_id.
+class Dealing:
+    """Borders of the batches: an upper edge for each cell of ids, and the batches of each cell.
 
-    Columns in ``carry`` travel along as one struct. Two narrow passes find the size of the texts and the borders of the batches. A null text is empty.
+    ``borders`` holds ids in ascending order that cut the rows into parts of equal weight. An id that
+    stands there more than once holds whole parts; it gets a cell of its own with as many batches.
+    """
+
+    def __init__(self, borders: np.ndarray):
+        ids, times = np.unique(np.asarray(borders, np.int64), return_counts=True)
+        hot = ids[times > 1]
+        before = hot[hot > np.iinfo(np.int64).min] - 1
+        self.edges = np.union1d(ids, before)
+        parts = np.ones(len(self.edges) + 1, np.int64)
+        parts[np.searchsorted(self.edges, ids)] = times
+        self.first = np.concatenate([[0], np.cumsum(parts)])
+
+    def batches(self, ids: np.ndarray, salts: np.ndarray) -> np.ndarray:
+        cell = np.searchsorted(self.edges, ids)
+        return (self.first[cell] + salts % np.diff(self.first)[cell]).astype(np.int32)
+
+    def cells(self, batches: np.ndarray) -> np.ndarray:
+        """Batches of one cell hold one id only, or are one batch."""
+        return np.searchsorted(self.first, batches, side="right") - 1
+
+    def __len__(self) -> int:
+        return int(self.first[-1])
+
+
+def _borders(weighed: DataFrame, wanted: int) -> np.ndarray:
+    """Ids that cut rows of (id, weight) into ``wanted`` parts or more of about equal weight, found in two levels of its root."""
+    parts = math.isqrt(max(1, wanted - 1)) + 1
+
+    def cuts():
+        return F.percentile_approx("id", [i / parts for i in range(1, parts)] or [0.5], max(2_000, 20 * parts))
+
+    copies = F.explode(F.sequence(F.lit(1), "weight"))
+    coarse = Dealing(np.array(weighed.select("id", copies).agg(cuts()).first()[0] or [], np.int64))
+
+    @F.pandas_udf("int")
+    def cell_of(ids: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(coarse.edges, ids.to_numpy()).astype(np.int32))
+
+    fine = (weighed.select(cell_of("id").alias("cell"), "id", "weight").select("cell", "id", copies)
+            .groupBy("cell").agg(cuts().alias("cuts")).collect())
+    times = np.diff(coarse.first)
+    borders = [np.repeat(np.array(r["cuts"], np.int64), times[r["cell"]]) for r in fine]
+    # A cell of one id is cut by hash alone, and its upper edge is one of its cuts.
+    return np.sort(np.concatenate([coarse.edges, *borders]))
+
+
+def deal(docs: DataFrame, batch_bytes: int = BATCH_BYTES, carry: tuple[str, ...] = ()) -> tuple[DataFrame, Dealing]:
+    """(batch, id, text) dealt by batch, and the borders; batches ascend with doc_id.
+
+    A row weighs 1, and 4 more for every mean size of a text, so batches are of about equal bytes. The
+    rows of an id that holds many (or of none: a null) are dealt to several batches by a hash of the
+    text. Columns in ``carry`` travel along as one struct. Three narrow passes find the size of the
+    texts and the borders: one long a batch, from sketches of the root of their number. A null text is empty.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    more = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("carry")] if carry else []
+    more = [F.struct(*[F.col(quoted(c)) for c in carry]).alias("carry")] if carry else []
     known = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("id"), "text", *more)
-    total = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    rows, total = known.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     wanted = max(MIN_BATCHES, total // batch_bytes)
-    borders = known.agg(F.percentile_approx(
-        "id", [i / wanted for i in range(1, wanted)], max(10_000, 20 * wanted))).first()[0]
-    edges = np.unique(np.array(borders or [], dtype=np.int64))
+    weight = 1 + F.coalesce(4 * rows * F.octet_length("text").cast("double") / max(1, total), F.lit(0.0)).cast("int")
+    dealing = Dealing(_borders(known.select("id", weight.alias("weight")), wanted))
 
     @F.pandas_udf("int")
-    def batch_of(ids):
-        import pandas as pd
-        return pd.Series(np.searchsorted(edges, ids.to_numpy()).astype(np.int32))
+    def batch_of(ids: pd.Series, salts: pd.Series) -> pd.Series:
+        return pd.Series(dealing.batches(ids.to_numpy(), salts.to_numpy()))
 
-    partitions = max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    dealt = known.select(batch_of("id").alias("batch"), "id", F.coalesce("text", F.lit("")).alias("text"),
+    partitions = max(len(dealing), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    text = F.coalesce("text", F.lit(""))
+    dealt = known.select(batch_of("id", F.pmod(F.xxhash64(text), F.lit(1 << 62))).alias("batch"), "id", text.alias("text"),
                          *(["carry"] if carry else []))
-    return dealt.repartition(partitions, "batch"), wanted
+    return dealt.repartition(partitions, "batch"), dealing
+
+
+def quoted(name: str) -> str:
+    """A column name that may hold dots or back-quotes, for ``F.col``."""
+    return "`" + name.replace("`", "``") + "`"
 
 
 PACKED = "bucket int, batch int, keys binary"
 ANSWER = "batch int, bucket int, answer binary"
 
 
-def ask(dealt: DataFrame, keys_of: Callable, buckets: int, merge: Callable, width: int = 1,
+def ask(dealt: DataFrame, keys_of: Callable, dealing: Dealing, merge: Callable, width: int = 1,
         told: DataFrame | None = None) -> DataFrame:
     """Send each batch's sorted keys to their buckets; (batch, bucket, answer) come back.
 
     ``keys_of(table)``, or ``keys_of(table, answers)`` with the answers ``told`` before, returns the
     batch's keys as one uint64 array of ``width`` numbers each, sorted by the first, which deals them
-    out. ``merge(keys, counts)`` gets the blocks of a bucket in order of batch, with their numbers of
-    keys, and returns one array per block.
+    out. ``merge(keys, counts, cells)`` gets the blocks of a bucket in order of batch, with their numbers of
+    keys and their cells (a larger one has larger ids only), and returns one array per block.
     """
+    buckets = len(dealing)
+
     def packed(table: pa.Table, keys: np.ndarray) -> pa.Table:
         cuts = np.searchsorted(bucket_of(keys[::width], buckets), np.arange(buckets + 1))
         there = np.flatnonzero(np.diff(cuts)).tolist()
@@ -98,7 +160,7 @@ def ask(dealt: DataFrame, keys_of: Callable, buckets: int, merge: Callable, widt
     def answer(table: pa.Table) -> pa.Table:
         table = table.sort_by("batch")
         sent = [np.frombuffer(k, np.uint64) for k in table["keys"].to_pylist()]
-        found = merge(np.concatenate(sent), np.array([len(k) // width for k in sent]))
+        found = merge(np.concatenate(sent), np.array([len(k) // width for k in sent]), dealing.cells(table["batch"].to_numpy()))
         return pa.table({"batch": table["batch"], "bucket": table["bucket"],
                          "answer": pa.array([x.tobytes() for x in found], pa.binary())})
 
@@ -125,18 +187,17 @@ def picked(keys: np.ndarray, flags: np.ndarray, counts: np.ndarray) -> list[np.n
     return [k[f] for k, f in zip(split_like(keys, counts), split_like(flags, counts), strict=True)]
 
 
-def shared_keys(keys: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
+def shared_keys(keys: np.ndarray, counts: np.ndarray, cells: np.ndarray) -> list[np.ndarray]:
     """Of each block the keys that another batch has too."""
     _, inverse, sizes = np.unique(keys, return_inverse=True, return_counts=True)
     return picked(keys, sizes[inverse] > 1, counts)
 
 
-def later_keys(keys: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
-    """Of each block the keys that an earlier batch has too."""
-    _, first = np.unique(keys, return_index=True)
-    flags = np.ones(len(keys), bool)
-    flags[first] = False
-    return picked(keys, flags, counts)
+def later_keys(keys: np.ndarray, counts: np.ndarray, cells: np.ndarray) -> list[np.ndarray]:
+    """Of each block the keys that a batch of an earlier cell has too."""
+    _, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
+    cell = np.repeat(cells, counts)
+    return picked(keys, cell[first][inverse] < cell, counts)
 
 
 def among(keys: np.ndarray, pool: np.ndarray) -> np.ndarray:

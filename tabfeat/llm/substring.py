@@ -55,7 +55,7 @@ def remove_repeated_windows(docs: DataFrame, window: int = 13, keep_text: bool =
     """
     if window < PERIOD:
         raise ValueError(f"a window needs at least {PERIOD} words")
-    dealt, batches = B.deal(docs)
+    dealt, dealing = B.deal(docs)
 
     def anchor_keys(table: pa.Table) -> np.ndarray:
         return np.unique(np.concatenate([p["anchor_keys"] for p in _slices(table, window, True)]))
@@ -106,7 +106,7 @@ def remove_repeated_windows(docs: DataFrame, window: int = 13, keep_text: bool =
             columns["kept_text"] = pa.array([t.decode() for t in rows["text"]], pa.string())
         return pa.table(columns)
 
-    anchors = B.ask(dealt, anchor_keys, batches, B.shared_keys)
-    earlier = B.ask(dealt, candidate_keys, batches, B.later_keys, told=anchors)
+    anchors = B.ask(dealt, anchor_keys, dealing, B.shared_keys)
+    earlier = B.ask(dealt, candidate_keys, dealing, B.later_keys, told=anchors)
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string" + ", kept_text string" * keep_text
     return dealt.groupBy("batch").cogroup(earlier.groupBy("batch")).applyInArrow(cleaned, schema)

@@ -7,6 +7,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from tabfeat.llm import blocks as B
 
@@ -194,8 +195,8 @@ def _least_ids(windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return order, ids[np.flatnonzero(new)][np.cumsum(new) - 1] if len(ids) else ids, new
 
 
-def _compare_runs(keys: np.ndarray, counts: np.ndarray, most: int = RUNS) -> list[np.ndarray]:
-    """1: an earlier batch has the same run; 2: the gram stands in different runs; 4: in too many for one bucket."""
+def _compare_runs(keys: np.ndarray, counts: np.ndarray, cells: np.ndarray, most: int = RUNS) -> list[np.ndarray]:
+    """1: a batch of an earlier cell has the same run; 2: the gram stands in different runs; 4: in too many for one bucket."""
     gram, whole = keys[::2], keys[1::2]
     order = np.lexsort((whole, gram))
     gram, whole = gram[order], whole[order]
@@ -206,7 +207,9 @@ def _compare_runs(keys: np.ndarray, counts: np.ndarray, most: int = RUNS) -> lis
         start = np.flatnonzero(~same_gram)
         runs = np.add.reduceat(~same, start)
         heavy = (runs > most) | np.logical_or.reduceat(whole == _HEAVY, start)
-        flags[order] = same + (2 * (runs > 1) + 4 * heavy).astype(np.uint8)[np.cumsum(~same_gram) - 1]
+        cell = np.repeat(cells, counts)[order]  # ascends within equal runs
+        later = cell > cell[np.flatnonzero(~same)][np.cumsum(~same) - 1]
+        flags[order] = later + (2 * (runs > 1) + 4 * heavy).astype(np.uint8)[np.cumsum(~same_gram) - 1]
     return B.split_like(flags, counts)
 
 
@@ -230,14 +233,15 @@ def remove_repeated_strings(docs: DataFrame, length: int = 50, keep_text: bool =
         raise ValueError(f"the length must be from {GRAM + 1} to {GRAM + 32}")
     widest = 2 * length - GRAM
     record = np.dtype([("id", "<i8"), ("n", "<u2"), ("bytes", "u1", (widest,))])
-    dealt, buckets = B.deal(docs, carry=carry)
+    dealt, dealing = B.deal(docs, carry=carry)
+    buckets = len(dealing)
     a_batch, a_gram = RUNS_A_BATCH, RUNS
 
     def run_keys(table: pa.Table) -> np.ndarray:
         return _Batch(table, length, a_batch).run_keys()
 
-    def compare(keys: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
-        return _compare_runs(keys, counts, a_gram)
+    def compare(keys: np.ndarray, counts: np.ndarray, cells: np.ndarray) -> list[np.ndarray]:
+        return _compare_runs(keys, counts, cells, a_gram)
 
     def contested(table: pa.Table, told: pa.Table) -> pa.Table:
         """Runs that this batch owns and that differ from others with their gram, and a note for itself."""
@@ -312,13 +316,14 @@ def remove_repeated_strings(docs: DataFrame, length: int = 50, keep_text: bool =
             columns["carry"] = table["carry"]
         return pa.table(columns)
 
-    flags = B.ask(dealt, run_keys, buckets, compare, width=2)
+    flags = B.ask(dealt, run_keys, dealing, compare, width=2)
     groups = dealt.groupBy("batch")
     told = (groups.cogroup(flags.groupBy("batch")).applyInArrow(contested, B.PACKED)
             .groupBy("bucket").applyInArrow(sorted_suffixes, B.ANSWER))
-    schema = ("doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-              + ", kept_text string" * keep_text
-              + (f", carry {dict(dealt.dtypes)['carry']}" if carry else ""))
+    schema = T.StructType.fromDDL("doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
+                                  + ", kept_text string" * keep_text)
+    if carry:
+        schema.add(dealt.schema["carry"])
     return groups.cogroup(told.groupBy("batch")).applyInArrow(cleaned, schema)
 
 

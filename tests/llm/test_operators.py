@@ -1,6 +1,7 @@
 """The text operators against plain versions, on the smallest tables and on edge cases."""
 
 import hashlib
+import math
 import random
 
 import brute
@@ -11,7 +12,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from tabfeat.llm import minhash, queries, suffix_array
+from tabfeat.llm import blocks, minhash, queries, suffix_array
 from tabfeat.llm.bpe import Encoder, Transducer, Vocabulary, encode_documents
 from tabfeat.llm.chat import format_conversations
 from tabfeat.llm.components import components
@@ -88,6 +89,72 @@ def test_suffix_array(documents, pairs, odd, odd_rows):
     assert by_id(suffix_array.remove_repeated_strings(odd)) == brute.byte_strings(odd_rows)
 
 
+def _hot_rows(n=600):
+    """A third of the rows without an id, a third with one id; many copies, one text far longer than the others."""
+    rng = random.Random(8)
+    shared = [" ".join(f"w{rng.randint(0, 400)}" for _ in range(40)) for _ in range(8)]
+    rows = []
+    for k in range(n):
+        text = " ".join(f"v{rng.randint(0, 10**6)}" for _ in range(rng.randint(1, 60))) + " " + rng.choice(shared) * (k % 4 > 0)
+        rows.append(((None, 700, 3 * k)[k % 3], text))
+    return [*rows, (5, " ".join(f"long{i}" for i in range(3000)) + " " + shared[0])]
+
+
+def _removed_of_rows(rows, k, items):
+    """Numbers of covered positions; rows of one id judge by the smaller ids only, no id is larger than any."""
+    texts = [(math.inf if i is None else i, items(t)) for i, t in rows]
+    first = {}
+    for i, w in texts:
+        for p in range(len(w) - k + 1):
+            first[w[p:p + k]] = min(i, first.get(w[p:p + k], math.inf))
+    out = []
+    for i, w in texts:
+        gone = set()
+        for p in range(len(w) - k + 1):
+            if first[w[p:p + k]] < i:
+                gone.update(range(p, p + k))
+        out.append((i, len(w), len(gone)))
+    return sorted(out)
+
+
+def test_ids_with_a_third_of_all_rows(spark):
+    rows = _hot_rows()
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    for removed, k, items in ((remove_repeated_windows(docs), 13, lambda t: tuple(t.split())),
+                              (suffix_array.remove_repeated_strings(docs), 50, str.encode)):
+        found = sorted((math.inf if r[0] is None else r[0], r[1], r[2]) for r in removed.collect())
+        assert found == _removed_of_rows(rows, k, items)
+
+
+@pytest.mark.parametrize("batch_bytes", [2_000, 12_000])
+def test_batches_are_bounded_in_bytes_whatever_the_ids(spark, monkeypatch, batch_bytes):
+    monkeypatch.setattr(blocks, "MIN_BATCHES", 1)
+    rows = _hot_rows()
+    dealt, dealing = blocks.deal(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5), batch_bytes)
+    held = {}
+    for r in dealt.collect():
+        held.setdefault(r["batch"], []).append((r["id"], len(r["text"])))
+    assert sum(map(len, held.values())) == len(rows) and max(held) < len(dealing)
+    longest = max(len(t) for _, t in rows)
+    assert sorted(sum(n for _, n in b) for b in held.values())[-2] <= 2 * batch_bytes + 1_000
+    assert max(sum(n for _, n in b) for b in held.values()) <= longest + 2 * batch_bytes
+    # Cells ascend with ids, and only batches of one id share a cell.
+    cells = {}
+    for b in sorted(held):
+        cells.setdefault(int(dealing.cells(np.array([b]))[0]), []).append({i for i, _ in held[b]})
+    assert all(len(c) == 1 or len(set.union(*c)) == 1 for c in cells.values())
+    spans = [(min(set.union(*cells[c])), max(set.union(*cells[c]))) for c in sorted(cells)]
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_borders_at_the_ends_of_the_numbers():
+    least, most = -2**63, 2**63 - 1
+    dealing = blocks.Dealing(np.array([least, least, 4, 9, 9, 9, most, most]))
+    ids = np.array([least, least + 1, 4, 5, 8, 9, 10, most - 1, most])
+    cells = dealing.cells(dealing.batches(ids, np.arange(len(ids))))
+    assert cells.tolist() == [0, 1, 1, 2, 2, 3, 4, 4, 5] and len(blocks.Dealing(np.zeros(0))) == 1
+
+
 def test_suffix_array_with_a_gram_in_very_many_runs(spark, monkeypatch):
     rng = random.Random(6)
     def noise(n):
