@@ -193,11 +193,24 @@ def shared_keys(keys: np.ndarray, counts: np.ndarray, cells: np.ndarray) -> list
     return picked(keys, sizes[inverse] > 1, counts)
 
 
-def later_keys(keys: np.ndarray, counts: np.ndarray, cells: np.ndarray) -> list[np.ndarray]:
-    """Of each block the keys that a batch of an earlier cell has too."""
-    _, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
-    cell = np.repeat(cells, counts)
-    return picked(keys, cell[first][inverse] < cell, counts)
+def new_pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Places of the distinct pairs, in ascending order of the pairs; of equal ones the first."""
+    order = np.lexsort((b, a))
+    new = np.ones(len(order), bool)
+    new[1:] = (a[order[1:]] != a[order[:-1]]) | (b[order[1:]] != b[order[:-1]])
+    return order[new]
+
+
+def later_pairs(keys: np.ndarray, counts: np.ndarray, cells: np.ndarray) -> list[np.ndarray]:
+    """Of each block the pairs of numbers that a batch of an earlier cell has too."""
+    a, b = keys[::2], keys[1::2]
+    order = np.lexsort((b, a))  # equal pairs stay in order of batch
+    new = np.ones(len(order), bool)
+    new[1:] = (a[order[1:]] != a[order[:-1]]) | (b[order[1:]] != b[order[:-1]])
+    cell = np.repeat(cells, counts)[order]
+    flags = np.empty(len(order), bool)
+    flags[order] = cell[new][np.cumsum(new) - 1] < cell
+    return [k[f].ravel() for k, f in zip(split_like(keys.reshape(-1, 2), counts), split_like(flags, counts), strict=True)]
 
 
 def among(keys: np.ndarray, pool: np.ndarray) -> np.ndarray:

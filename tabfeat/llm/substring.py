@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from tabfeat.llm import blocks as B
 
 PERIOD = 7
+_ANEW = np.uint64(0xC2B2AE3D27D4EB4F)
 COVER = (0, 1, 3)  # every difference modulo 7 occurs between two of these
 
 
@@ -32,10 +33,16 @@ def _slices(table: pa.Table, window: int, anchors: bool):
             found["anchor_keys"] = B.range_hashes(word, at, at + span, power, 1)
         else:
             found["windows"] = at = np.flatnonzero(B.window_rows(first, window))
-            found["window_keys"] = B.range_hashes(word, at, at + window, power, 2)
+            found["window_keys"], found["checks"] = _window_hashes(word, at, window, power)
         yield found
 
 
+def _window_hashes(word: np.ndarray, at: np.ndarray, window: int, power) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent hashes of each window: the words' hashes are mixed anew for the second."""
+    return (B.range_hashes(word, at, at + window, power, 2),
+            B.range_hashes(B.mixed(word ^ _ANEW), at, at + window, power, 2))
+
+
 def _ids_of_keys(parts: list[dict], places: str, keys: str):
     return B.least_and_most(np.concatenate([p[keys] for p in parts]),
                             np.concatenate([p["ids"][p["row"][p[places]]] for p in parts]))
@@ -47,7 +54,7 @@ def remove_repeated_windows(docs: DataFrame, window: int = 13, keep_text: bool =
     Words are runs without ASCII white space; windows are judged on the input. Anchors are hashed only
     where the word's number modulo 7 lies in a difference cover: any two equal windows hold an anchor
     of ``window - 6`` words at the same offset. Around the anchors that another document has too, the
-    whole windows are compared.
+    whole windows are compared, by two 64-bit hashes across batches.
 
     One row per input row: doc_id, n_words, n_removed, kept_sha256 (and kept_text on request: words
     joined by one space). A null or empty text has no words; rows with the same doc_id never remove
@@ -71,13 +78,15 @@ def remove_repeated_windows(docs: DataFrame, window: int = 13, keep_text: bool =
             marks[p["anchors"][B.among(p["anchor_keys"], shared)]] = True
             near = B.covered(marks[::-1], PERIOD)[::-1]
             at = np.flatnonzero(near & B.window_rows(p["first"], window))
-            found.append(B.range_hashes(p["word"], at, at + window, p["power"], 2))
-        return np.unique(np.concatenate(found))
+            found.append(np.column_stack(_window_hashes(p["word"], at, window, p["power"])))
+        pairs = np.concatenate(found)
+        return pairs[B.new_pairs(pairs[:, 0], pairs[:, 1])].ravel()
 
     def cleaned(table: pa.Table, told: pa.Table) -> pa.Table:
         parts = list(_slices(table, window, False))
         keys, least, most = _ids_of_keys(parts, "windows", "window_keys")
-        earlier = np.sort(B.answers(told))
+        # Two hashes of one window are in the same pair but for a chance far below one in 2^64.
+        earlier, checks = np.sort(B.answers(told).reshape(-1, 2), axis=0).T
         twice = least != most
         keys, least = keys[twice], least[twice]
         rows = {"id": [], "n_words": [], "n_removed": [], "text": []}
@@ -86,7 +95,7 @@ def remove_repeated_windows(docs: DataFrame, window: int = 13, keep_text: bool =
             here = B.among(p["window_keys"], keys)
             here[here] = least[np.searchsorted(keys, p["window_keys"][here])] < own[here]
             marks = np.zeros(len(p["word"]), bool)
-            marks[p["windows"][here | B.among(p["window_keys"], earlier)]] = True
+            marks[p["windows"][here | (B.among(p["window_keys"], earlier) & B.among(p["checks"], checks))]] = True
             kept = ~B.covered(marks, window)
             first = p["first"]
             sums = np.concatenate([[0], np.cumsum(kept)])[first]
@@ -107,6 +116,6 @@ def remove_repeated_windows(docs: DataFrame, window: int = 13, keep_text: bool =
         return pa.table(columns)
 
     anchors = B.ask(dealt, anchor_keys, dealing, B.shared_keys)
-    earlier = B.ask(dealt, candidate_keys, dealing, B.later_keys, told=anchors)
+    earlier = B.ask(dealt, candidate_keys, dealing, B.later_pairs, width=2, told=anchors)
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string" + ", kept_text string" * keep_text
     return dealt.groupBy("batch").cogroup(earlier.groupBy("batch")).applyInArrow(cleaned, schema)

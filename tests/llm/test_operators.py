@@ -126,6 +126,14 @@ def test_ids_with_a_third_of_all_rows(spark):
         assert found == _removed_of_rows(rows, k, items)
 
 
+def test_windows_with_one_hash_in_common_are_not_the_same():
+    keys = np.array([[1, 7], [2, 7], [1, 7], [1, 8], [2, 7]], np.uint64)
+    found = blocks.later_pairs(keys.ravel(), np.array([2, 2, 1]), np.array([0, 1, 1]))
+    assert [f.tolist() for f in found] == [[], [1, 7], [2, 7]]
+    # Batches of one cell hold one id, so they don't come before each other.
+    assert [f.tolist() for f in blocks.later_pairs(keys.ravel(), np.array([2, 2, 1]), np.array([3, 3, 3]))] == [[], [], []]
+
+
 @pytest.mark.parametrize("batch_bytes", [2_000, 12_000])
 def test_batches_are_bounded_in_bytes_whatever_the_ids(spark, monkeypatch, batch_bytes):
     monkeypatch.setattr(blocks, "MIN_BATCHES", 1)
