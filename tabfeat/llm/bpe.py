@@ -23,6 +23,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 LEXICON_WORDS = 1 << 15
 WORD_SHARE = 2e-6  # a word with this share of the corpus has it in some task too, and is counted there
 _REMEMBERED = 400_000
+_REMEMBERED_BYTES = 64 << 20
 _LONG = 48  # bytes of a word that is merged by itself
 _NEVER = 2**62
 
@@ -234,8 +235,11 @@ class Transducer:
 # --- texts --------------------------------------------------------------------------------
 
 class _Numbered(dict):
+    held = 0  # characters of all keys
+
     def __missing__(self, key):
         self[key] = number = len(self)
+        self.held += len(key)
         return number
 
 
@@ -252,7 +256,7 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.chunks, self.words = _Numbered(), {}
+        self.chunks, self.words, self.held = _Numbered(), {}, 0
         self.chunk_ids, self.sizes, self.odd = [], np.zeros(0, np.int64), np.zeros(0, bool)
         self.flat = np.zeros(0, np.uint32)
 
@@ -262,6 +266,7 @@ class Encoder:
         if not new:
             return
         raw = [w.encode() for w in new]
+        self.held += sum(map(len, raw))
         numbers = self.transducer.numbers(raw)
         cuts, ids = self.transducer.offsets, self.transducer.ids
         unseen = iter(self.vocabulary.merge_all([raw[i] for i in np.flatnonzero(numbers < 0).tolist()]))
@@ -292,7 +297,8 @@ class Encoder:
         return np.array(ids, np.uint32)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.chunks) > _REMEMBERED or len(self.words) > _REMEMBERED:
+        # Words are parts of chunks, or of texts that were cut as a whole.
+        if max(len(self.chunks), len(self.words)) > _REMEMBERED or self.chunks.held + self.held > _REMEMBERED_BYTES:
             self.forget()
         alone = [any(s in t for s in self.vocabulary.special) or "\0" in t for t in texts]
         chunks = [[] if not t or a else t.replace(" ", "\0 ").split("\0") for t, a in zip(texts, alone)]

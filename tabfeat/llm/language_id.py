@@ -7,7 +7,7 @@ from itertools import islice
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabfeat.llm import blocks as B
@@ -18,6 +18,8 @@ HIDDEN = 16
 LONGEST = 24  # a longer word is read in pieces of so many bytes
 STEPS, BATCH, RATE = 500, 256, 0.02
 _REMEMBERED = 300_000
+_REMEMBERED_BYTES = 64 << 20
+SAMPLE_BYTES = 32 << 20  # bound on the texts of each label that are learnt from
 _LETTER = regex.compile(r"\p{L}")
 
 
@@ -137,10 +139,11 @@ class _Words(dict):
 
     def __init__(self, net: dict):
         super().__init__()
-        self.net, self.sums = net, np.zeros((0, len(net["bias"]) + 1))
+        self.net, self.sums, self.bytes = net, np.zeros((0, len(net["bias"]) + 1)), 0
 
     def __missing__(self, word):
         self[word] = number = len(self)
+        self.bytes += len(word)
         return number
 
     def label_new(self) -> None:
@@ -166,23 +169,30 @@ def learnable(fold: int = 4, left_out: int = 2) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % fold != left_out, F.lit(False))
 
 
-def sampled_by_label(rows: DataFrame, label: str, per_label: int) -> tuple[DataFrame, dict]:
-    """About ``per_label`` rows of each label, chosen by a hash of doc_id, and the rows of each label."""
+def sampled_by_label(rows: DataFrame, label: str, per_label: int, by: tuple[str, ...] = ("doc_id",)) -> tuple[DataFrame, dict]:
+    """About ``per_label`` rows of each label, chosen by a hash of ``by``, and the rows of each label. Equal rows count once."""
     counts = {r[0]: r[1] for r in rows.groupBy(label).count().collect()}
     scale = 1 << 60  # fine enough for a share of any number of rows
     limit = F.lit(0).cast("bigint")
     for value, n in counts.items():
         limit = F.when(F.col(label) == F.lit(value), F.lit(int(scale * min(1, per_label / n)))).otherwise(limit)
-    return rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < limit), counts
+    return rows.where(F.pmod(F.xxhash64(*by), F.lit(scale)) < limit).distinct(), counts
+
+
+def within_bytes(rows: DataFrame, label: str, most: int = SAMPLE_BYTES) -> DataFrame:
+    """Of a sample's texts so many for each label, in order of a hash, that they stay within ``most`` bytes. A row counts 100 more."""
+    order = Window.partitionBy(label).orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text")
+    return (rows.withColumn("held", F.sum(F.octet_length(F.coalesce("text", F.lit(""))) + 100).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+            .where(F.col("held") <= most).drop("held"))
 
 
 def _predictor(docs: DataFrame, per_language: int):
     """A function from texts to languages and scores, learnt from a sample of labelled rows, and whether there were any."""
     B.bounded_batches(docs.sparkSession)
     rows, counts = sampled_by_label(
-        docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & learnable()).select("doc_id", "text", "lang"), "lang", per_language)
+        docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & learnable()).select("doc_id", "text", "lang"), "lang", per_language, ("doc_id", "text"))
     languages = sorted(counts)
-    sample = sorted((r["doc_id"], r["lang"], r["text"]) for r in rows.collect())
+    sample = sorted((r["doc_id"], r["lang"], r["text"]) for r in within_bytes(rows, "lang").collect())
     net = train([r[2] for r in sample], [languages.index(r[1]) for r in sample], len(languages)) if languages else None
     shipped = docs.sparkSession.sparkContext.broadcast(net)
 
@@ -194,7 +204,7 @@ def _predictor(docs: DataFrame, per_language: int):
             named, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
             some = [i for i, t in enumerate(texts) if languages and t and _LETTER.search(t)]
             if some:
-                if len(words) > _REMEMBERED:
+                if len(words) > _REMEMBERED or words.bytes > _REMEMBERED_BYTES:
                     words = _Words(shipped.value)
                 found = [[*map(words.__getitem__, texts[i].encode().split())] for i in some]
                 words.label_new()
@@ -219,8 +229,8 @@ def identify_language(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE)
 
     The network labels every byte from the gated states of both reading directions; it starts afresh at
     ASCII white space, so equal words are read once per task. A document's probabilities are the means
-    over its bytes. It learns from a bounded sample: about ``per_language`` documents of each non-null
-    lang whose crc32(doc_id as text) mod 4 is not 2.
+    over its bytes. It learns from a bounded sample: about ``per_language`` documents, of at most
+    ``SAMPLE_BYTES`` in all, of each non-null lang whose crc32(doc_id as text) mod 4 is not 2.
 
     One row per input row: doc_id, held_out (that remainder is 2, or the doc_id is null), lang_pred,
     score. A text that is null or has no letter is ``und`` with score 0, and so is every text if there
@@ -253,6 +263,9 @@ def keep_identified(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) ->
             texts = rows.column("text").to_pylist()
             # A learnt language may be called ``und`` too; only a text without letters scores 0.
             kept = (of(texts)[1] > 0).tolist() if learnt else [bool(t and _LETTER.search(t)) for t in texts]
-            yield rows.filter(pa.array(kept, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(rows.filter(pa.array(kept, pa.bool_())).columns, docs_columns)
 
-    return docs.mapInArrow(keep, docs.schema)
+    # Other names may hold dots, which mapInArrow would take for fields.
+    docs_columns = docs.columns
+    plain = docs.toDF(*[c if c == "text" else f"c{i}" for i, c in enumerate(docs_columns)])
+    return plain.mapInArrow(keep, docs.schema)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabfeat.llm import blocks as B
-from tabfeat.llm.language_id import learnable, sampled_by_label
+from tabfeat.llm.language_id import learnable, sampled_by_label, within_bytes
 from tabfeat.session import small_side
 
 PASSAGE_WORDS = 64
@@ -118,7 +118,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PE
 
     Every passage is encoded; gated attention, learnt from document labels only, weighs the passages, and
     the weighted code is scored. It learns from a bounded sample: about ``per_label`` documents of each
-    label whose crc32(doc_id as text) mod 3 is not 1, weighted back to the labels' shares.
+    label, of at most ``SAMPLE_BYTES`` in all, whose crc32(doc_id as text) mod 3 is not 1, weighted back to
+    the labels' shares; one text of each doc_id, that with the least hash.
 
     One row per input row: doc_id, held_out (that remainder is 1, or the doc_id is null), score,
     predicted (1 if score >= 0.5). Null texts are scored as empty; a doc_id with several labels counts
@@ -129,8 +130,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PE
     known = labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").select("doc_id", F.col("quality").cast("int").alias("quality"))
     chosen, counts = sampled_by_label(known.where(learnable(3, 1)), "quality", per_label)
     # Bounded by per_label and counted, so the texts need not be shuffled to find the sample's.
-    rows = docs.select("doc_id", "text").join(small_side(chosen), "doc_id").collect()
-    rows = sorted((r["doc_id"], r["quality"], r["text"] or "") for r in rows)
+    rows = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(small_side(chosen), "doc_id")
+            .groupBy("doc_id", "quality").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")))
+    rows = sorted((r["doc_id"], r["quality"], r["text"]) for r in within_bytes(rows, "quality").collect())
     label = np.array([r[1] for r in rows], np.float32)
     fixed = 0.5 if not counts else counts.get(1, 0) / sum(counts.values())
     net = None

@@ -12,7 +12,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from tabfeat.llm import blocks, minhash, queries, suffix_array
+from tabfeat.llm import blocks, bpe, language_id, minhash, queries, suffix_array
 from tabfeat.llm.bpe import Encoder, Transducer, Vocabulary, encode_documents
 from tabfeat.llm.chat import format_conversations
 from tabfeat.llm.components import components
@@ -328,6 +328,26 @@ def test_numbers_are_no_letters_and_a_learnt_language_may_be_called_und(spark):
     assert kept == {3, 4, 5, 6, *range(100, 140), *range(200, 240)} and any(got[i][1] == "und" for i in range(100, 140))
 
 
+def test_a_sample_is_bounded_whatever_the_ids(spark):
+    rows = [(5, "same", "en")] * 3000 + [(5, f"text {k}", "en") for k in range(3000)] + [(k, f"das {k}", "de") for k in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    sample, counts = language_id.sampled_by_label(docs, "lang", 300, ("doc_id", "text"))
+    taken = {r[0]: r[1] for r in sample.groupBy("lang").count().collect()}
+    assert counts == {"en": 6000, "de": 3000} and 100 < taken["en"] < 220 and 230 < taken["de"] < 370
+    held = language_id.within_bytes(sample, "lang", 1_500).groupBy("lang").agg(F.sum(F.octet_length("text"))).collect()
+    assert len(held) == 2 and all(0 < r[1] <= 500 for r in held)
+
+
+def test_remembered_words_are_bounded_in_bytes(monkeypatch):
+    monkeypatch.setattr(bpe, "_REMEMBERED_BYTES", 5_000)
+    vocabulary = Vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    encoder = Encoder(vocabulary, Transducer(Transducer.compile([], lambda w: [])))
+    for k in range(30):
+        text = f"{k}abc" * 300 + " é  end"
+        assert encoder.decode(encoder.encode([text])[0]).decode() == text
+        assert encoder.chunks.held + encoder.held < 5_000 + 6 * len(text)
+
+
 def test_gradient_of_the_recurrent_network():
     rng = np.random.default_rng(0)
     net = {k: v.astype(np.float64) for k, v in _new_network(3, 1).items()}
@@ -449,4 +469,12 @@ def test_pipeline_stages(spark, folder, documents, tmp_path):
     assert docs.count() == before.count() and {"n_tokens", "ids", "ids_sha256", "decoded_sha256"} <= set(docs.columns)
     odd = spark.createDataFrame([(1, None, "en", "s", 0), (2, "Hello the world", None, None, None), (3, "12 34", "en", "s", 5)],
                                 "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    # Columns with names that the operators use themselves, and with dots, go through all stages.
+    clashing = odd
+    for name in ("gone_id", "a.b", "carry", "id", "batch", "row", "weight", "cell", "kept", "text_hash", "held"):
+        clashing = clashing.withColumn(name, F.lit("x"))
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        after = stage(spark, clashing, folder)
+        assert after.columns == clashing.columns and after.count() == (1 if name == "language_id" else 3), name
+    assert corpus_pipeline.STAGES[4][1](spark, clashing, folder).count() == 3
     assert corpus_pipeline.STAGES[2][1](spark, odd, folder).count() == 3 and corpus_pipeline.STAGES[3][1](spark, odd, folder).count() == 3
