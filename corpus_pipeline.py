@@ -10,6 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabfeat.llm.blocks import quoted
 from tabfeat.llm.bpe import encode_documents
 from tabfeat.llm.decontamination import find_benchmark_windows
 from tabfeat.llm.language_id import keep_identified
@@ -32,7 +33,7 @@ def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """
     found = near_duplicates(docs, size=5, percent=80)
     gone = found.where("NOT kept").select("doc_id").distinct()
-    return docs.join(small_side(gone), "doc_id", "left_anti").select(*docs.columns)
+    return docs.alias("docs").join(small_side(gone).alias("gone"), F.col("docs.doc_id") == F.col("gone.doc_id"), "left_anti")
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,9 +45,9 @@ def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     text = F.col("kept_text")
     changed = {"text": F.when(F.col("n_removed") > 0, text).otherwise(F.col("carry.text")),
                "n_chars": F.when(F.col("n_removed") > 0, F.char_length(text)).otherwise(F.col("carry.n_chars"))}
-    kinds = dict(docs.dtypes)
+    kinds = {field.name: field.dataType for field in docs.schema}
     return (cut.where("n_removed = 0 OR trim(kept_text) <> ''")
-            .select(*[changed.get(c, F.col(f"carry.`{c}`")).cast(kinds[c]).alias(c) for c in docs.columns]))
+            .select(*[changed.get(c, F.col("carry." + quoted(c))).cast(kinds[c]).alias(c) for c in docs.columns]))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,9 +55,9 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     known = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     gone = (find_benchmark_windows(known, benchmark, keep=("text_hash",)).where("contaminated")
-            .select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct())
-    return docs.join(small_side(gone), docs["doc_id"].eqNullSafe(F.col("gone_id"))
-                     & (F.xxhash64(docs["text"]) == F.col("gone_hash")), "left_anti")
+            .select("doc_id", "text_hash").distinct())
+    same = F.col("docs.doc_id").eqNullSafe(F.col("gone.doc_id")) & (F.xxhash64("docs.text") == F.col("gone.text_hash"))
+    return docs.alias("docs").join(small_side(gone).alias("gone"), same, "left_anti")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
