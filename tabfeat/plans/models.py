@@ -21,11 +21,13 @@ from pyspark.sql import functions as F
 
 from tabfeat.operators.metrics import moment_metrics
 from tabfeat.operators.transformers import column_stats
+from tabfeat.plans import cells
 from tabfeat.plans.neighbours import nearest_mean
 from tabfeat.session import shared_folder, tiny_table
 from tabfeat.spec import FeatureSpec, known_target, training_rows
 
-_VECTOR = "_x"
+_VECTOR = cells.VECTOR
+ROWS_A_CELL = 4  # with fewer, a forest reads the rows themselves
 
 
 def assembled(df: DataFrame, features: tuple[str, ...]) -> DataFrame:
@@ -132,16 +134,50 @@ def _elastic_net(rows: DataFrame, spec: FeatureSpec, params: Mapping) -> LinearR
 def _tree(estimator_of: Callable[[Mapping], object]):
     def fit(df: DataFrame, spec: FeatureSpec, params: Mapping, name: str) -> FittedModel:
         shared_folder(df.sparkSession)  # boosting cuts its lineage there
-        rows = assembled(_train_rows(df, spec), spec.features)
-        model = estimator_of(params).setFeaturesCol(_VECTOR).setLabelCol(spec.target).setPredictionCol("pred").fit(rows)
+        rows, estimator = _train_rows(df, spec), estimator_of(params).setFeaturesCol(_VECTOR).setPredictionCol("pred")
+        if len(spec.features) > cells.MOST_FEATURES:
+            return _of_rows(rows, spec, estimator, name)
+        found, table, _ = _added_up(rows, spec, params)
+        model = estimator.setLabelCol("y").setWeightCol("n").fit(found.vectors(table, F.col("cell")))
+        return FittedModel(name, spec, lambda d: cells.predicted(d, found, [model]), lambda: _shares(spec, [model]), model)
 
-        def weights() -> dict[str, float]:
-            return dict(zip(spec.features, map(float, model.featureImportances.toArray()), strict=True))
+    return fit
 
-        return FittedModel(name, spec, lambda d: model.transform(assembled(d, spec.features)).drop(_VECTOR),
-                           weights, model)
 
-    return fit
+def _of_rows(rows: DataFrame, spec: FeatureSpec, estimator, name: str) -> FittedModel:
+    model = estimator.setLabelCol(spec.target).fit(assembled(rows, spec.features))
+    return FittedModel(name, spec, lambda d: model.transform(assembled(d, spec.features)).drop(_VECTOR),
+                       lambda: _shares(spec, [model]), model)
+
+
+def _added_up(rows: DataFrame, spec: FeatureSpec, params: Mapping) -> tuple[cells.Cells, DataFrame, float]:
+    """Thresholds, cells, and how many rows there are to a cell."""
+    found = cells.Cells.of(rows, spec.features, params.get("seed", 42))
+    table = found.added_up(rows, spec.target)
+    n, most, missing = table.agg(F.sum("n"), F.count("*"), F.count_if(F.col("cell").isNull())).first()
+    if missing:
+        raise ValueError("a tree model cannot be fitted on rows with missing features")
+    return found, table, (n or 0.0) / max(1, most)
+
+
+def _shares(spec: FeatureSpec, trees: Sequence) -> dict[str, float]:
+    total = np.mean([t.featureImportances.toArray() for t in trees], axis=0)
+    return dict(zip(spec.features, map(float, total), strict=True))
+
+
+def _fit_forest(df: DataFrame, spec: FeatureSpec, params: Mapping, name: str) -> FittedModel:
+    """A forest. Where rows share cells, every tree draws rows and learns from the sums of its cells."""
+    rows, estimator = _train_rows(df, spec), _random_forest(params).setFeaturesCol(_VECTOR).setPredictionCol("pred")
+    if len(spec.features) > cells.MOST_FEATURES:
+        return _of_rows(rows, spec, estimator, name)
+    found, table, share = _added_up(rows, spec, params)
+    if not estimator.getBootstrap():
+        model = estimator.setLabelCol("y").setWeightCol("n").fit(found.vectors(table, F.col("cell")))
+        return FittedModel(name, spec, lambda d: cells.predicted(d, found, [model]), lambda: _shares(spec, [model]), model)
+    if share < ROWS_A_CELL:
+        return _of_rows(rows, spec, estimator, name)
+    trees = cells.fit_forest(rows, found, spec.target, estimator.getNumTrees(), estimator.getMaxDepth(), estimator.getSeed())
+    return FittedModel(name, spec, lambda d: cells.predicted(d, found, trees), lambda: _shares(spec, trees))
 
 
 def _decision_tree(p: Mapping) -> DecisionTreeRegressor:
@@ -222,7 +258,7 @@ _FITTERS = {
     "ridge": _linear(_ridge),
     "lasso": _linear(_lasso),
     "elastic_net": _linear(_elastic_net),
-    "random_forest": _tree(_random_forest),
+    "random_forest": _fit_forest,
     "gradient_boosting": _tree(_gradient_boosting),
     "decision_tree": _tree(_decision_tree),
     "knn": _fit_neighbours,

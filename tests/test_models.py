@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabfeat.operators import split
-from tabfeat.plans import neighbours, search
+from tabfeat.plans import cells, models, neighbours, search
 from tabfeat.plans.models import CosineFeatures, Regressor
 from tabfeat.spec import FeatureSpec
 
@@ -181,3 +181,51 @@ def test_cross_validation_fits_the_chain_in_each_fold(df):
     scores = search.cross_validate(df, SPEC, Regressor("linear_regression"), 3, chain="advanced")
     interval = search.confidence(scores).first()
     assert scores.count() == 3 and interval["low"] < interval["mean"] < min(0, interval["high"])
+
+
+def test_thresholds_are_middles_or_equal_shares():
+    assert cells.thresholds(np.array([1.0, 1.0, 4.0, 2.0])) == [1.5, 3.0]
+    many = cells.thresholds(np.arange(640.0))
+    assert len(many) == 31 and np.ptp(np.diff(many)) <= 1
+
+
+@pytest.mark.parametrize("kind", ["decision_tree", "gradient_boosting"])
+def test_trees_learn_from_cells_as_from_rows(spark, df, data, kind):
+    x, y = data
+    found, table, share = models._added_up(df.union(df).union(df), SPEC, {})
+    assert table.count() <= 400 and share >= 3
+    assert table.agg(F.sum("n")).first()[0] == 1200
+    model = Regressor(kind, {"n_estimators": 4}).fit(df, SPEC)
+    got = np.array([r[0] for r in model.predict(df).orderBy("id").select("pred").collect()])
+    plain = models._FITTERS[kind].__closure__[0].cell_contents({"n_estimators": 4}).setFeaturesCol("_x").setLabelCol("y")
+    # Spark's own tree of the rows, which may place a threshold elsewhere between two rows.
+    own = plain.setPredictionCol("pred").fit(models.assembled(df, SPEC.features))
+    want = np.array([r[0] for r in own.transform(models.assembled(df, SPEC.features)).orderBy("id").select("pred").collect()])
+    assert np.mean((got - y) ** 2) == pytest.approx(np.mean((want - y) ** 2), rel=0.1)
+
+
+def test_forest_draws_rows_and_learns_from_cells(spark, df, data, monkeypatch):
+    x, y = data
+    rough = df.select("id", *[F.round(c).alias(c) for c in "abc"], "y")
+    rows = rough.crossJoin(spark.range(12).toDF("copy")).drop("copy")
+    monkeypatch.setattr(cells, "DRAWN_ROWS", 500)
+    monkeypatch.setattr(cells, "DRAWN_BYTES", 12 * 6 * 50)
+    found, table, share = models._added_up(rows, SPEC, {})
+    assert share >= models.ROWS_A_CELL
+    path = cells.drawn_cells(rows, found, "y", 6, 3)
+    sums = spark.read.parquet(path).groupBy("tree").agg(F.sum("n"), F.sum(F.col("n") * F.col("y"))).orderBy("tree").collect()
+    assert len(sums) == 6 and len({s[1] for s in sums}) > 1
+    for _, n, total in sums:
+        assert abs(n - 4800) < 6 * 70 and total / n == pytest.approx(y.mean(), abs=0.5)
+    model = Regressor("random_forest", {"n_estimators": 6, "max_depth": 4}).fit(rows, SPEC)
+    assert model.spark_model is None and model.score(rough) > 0.5
+    assert model.predict(rough).count() == 400
+    assert model.importance(df).agg(F.sum("importance")).first()[0] == pytest.approx(1)
+
+
+def test_trees_refuse_missing_features_and_stand_constants(spark, df):
+    with pytest.raises(ValueError, match="missing"):
+        Regressor("decision_tree").fit(df.withColumn("a", F.when(F.col("id") > 3, F.col("a"))), SPEC)
+    flat = df.select("id", *[F.lit(1.0).alias(c) for c in "abc"], "y")
+    pred = Regressor("decision_tree").fit(flat, SPEC).predict(flat).agg(F.min("pred"), F.max("pred"), F.avg("y")).first()
+    assert pred[0] == pred[1] == pytest.approx(pred[2])
