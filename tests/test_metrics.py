@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tabfeat.fixed_values import METRICS
 from tabfeat.operators import metrics, quantiles
+from tabfeat.sources import io
 
 SCHEMA = "model string, split string, i int, y double, pred double"
 
@@ -141,3 +142,30 @@ def test_importance_average_counts_missing_as_zero(spark):
     df = spark.createDataFrame([("a", "x", 1.0), ("b", "x", 0.5), ("b", "z", 0.6)], "model string, feature string, importance double")
     rows = {r["feature"]: r["average"] for r in metrics.importance_pivot(df).collect()}
     assert rows == {"x": 0.75, "z": 0.3}
+
+
+def test_steps_across_buckets_groups_and_nulls_sort_once(spark):
+    rng = random.Random(5)
+    keys = rng.sample(range(600), 600)
+    rows = [(["a", "b", None][i % 3], k, None if k % 11 == 0 else rng.gauss(0, 1)) for i, k in enumerate(keys)]
+    df = spark.createDataFrame(rows, "m string, k int, y double").repartition(4)
+    found = metrics.naive_errors(df, ["m"], ["k"])
+    got = {r[0]: (r[1], r[2]) for r in found.collect()}
+    for m in ("a", "b", None):
+        own = [y for _, y in sorted((k, y) for g, k, y in rows if g == m)]
+        sizes = [abs(a - b) for a, b in zip(own, own[1:]) if a is not None and b is not None]
+        assert got[m][0] == len(sizes) and got[m][1] == pytest.approx(sum(sizes))
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_results_are_written_without_a_sort_by_folder(spark, tmp_path):
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    with io._open_writers(spark):
+        assert int(spark.conf.get(name)) >= 9
+    assert spark.conf.get(name) == before
+    rows = spark.range(90).selectExpr("concat('m', id % 3) model", "concat('s', id % 2) split", "id", "double(id) y", "double(-id) pred")
+    table = spark.createDataFrame([("m0", "s0", "rmse", float("inf"))], "model string, split string, metric string, value double")
+    io.save_results(table, rows, str(tmp_path))
+    found, back = io.load_results(spark, str(tmp_path), rows.schema)
+    assert sorted(map(tuple, back.select(*rows.columns).collect())) == sorted(map(tuple, rows.collect())) and found.first()[3] == float("inf")
