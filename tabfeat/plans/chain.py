@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tabfeat.operators import selection, transformers
 from tabfeat.operators.fitted import FittedStep
-from tabfeat.session import tiny_table
+from tabfeat.session import stored, tiny_table
 from tabfeat.spec import FeatureSpec, training_rows
 
 
@@ -40,7 +40,8 @@ class ChainOptions:
 
 @dataclass
 class FeatureChain:
-    """``kind`` is ``basic`` or ``advanced``. Fitting reads only rows of the training split.
+    """``kind`` is ``basic`` or ``advanced``. Fitting reads only rows of the training split,
+    written once: its scans then neither read other rows nor decide the split again.
 
     basic:    mean imputation, log, Yeo-Johnson, quartile bins, standard scale, pruning
     advanced: median imputation, pruning, Yeo-Johnson, interactions, selection, robust scale
@@ -67,9 +68,9 @@ class FeatureChain:
             spec.require_target()
             train = train.where(F.col(spec.target).isNotNull())
             train = train.select(*spec.key, spec.target, *spec.features)
-            self._fit_advanced(train, spec)
+            self._fit_advanced(stored(train), spec)
         else:
-            self._fit_basic(train.select(*spec.key, *spec.features), spec)
+            self._fit_basic(stored(train.select(*spec.key, *spec.features)), spec)
         self.spec = spec
         return self
 

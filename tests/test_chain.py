@@ -7,6 +7,7 @@ from tabfeat.plans.chain import ChainEstimator, ChainOptions, FeatureChain
 from tabfeat.plans.models import Regressor
 from tabfeat.plans.runs import run_grid, save_grid
 from tabfeat.sources.io import load_results
+from tabfeat.spec import FeatureSpec
 from tabfeat.streaming.apply import prepared_stream, read_feature_stream, write_features
 
 QUICK = ChainOptions(lambdas=0.5)
@@ -98,3 +99,18 @@ def test_grid_without_a_single_success_is_empty(sample, sample_spec, tmp_path):
     grid = run_grid(df, sample_spec, {"bad": {"n_trials": 1, "families": ["unheard"]}}, chains=("basic",), options=QUICK)
     save_grid(grid, f"{tmp_path}/grid")
     assert grid.comparison.count() == 0 and grid.best.first()["model"] is None and grid.failures.count() == 1
+
+
+@pytest.mark.parametrize("kind", ["basic", "advanced"])
+def test_a_fit_works_out_its_training_rows_once(spark, kind):
+    counted = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def price(i):
+        counted.add(1)
+        return float(i * 37 % 101)
+
+    rows = spark.range(200).select("id", price("id").alias("a"), (F.col("id") % 13).cast("double").alias("b"),
+                                   (F.col("id") * 1.5).alias("y"))
+    FeatureChain(kind, ChainOptions(lambdas=0.5)).fit(rows, FeatureSpec(("id",), ("a", "b"), "y"))
+    assert counted.value == 200
