@@ -12,7 +12,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from tabfeat.llm import blocks, bpe, language_id, minhash, queries, suffix_array
+from tabfeat.llm import blocks, bpe, language_id, maxent, minhash, queries, suffix_array
 from tabfeat.llm.bpe import Encoder, Transducer, Vocabulary, encode_documents
 from tabfeat.llm.chat import format_conversations
 from tabfeat.llm.components import components
@@ -478,3 +478,12 @@ def test_pipeline_stages(spark, folder, documents, tmp_path):
         assert after.columns == clashing.columns and after.count() == (1 if name == "language_id" else 3), name
     assert corpus_pipeline.STAGES[4][1](spark, clashing, folder).count() == 3
     assert corpus_pipeline.STAGES[2][1](spark, odd, folder).count() == 3 and corpus_pipeline.STAGES[3][1](spark, odd, folder).count() == 3
+
+
+def test_maxent_counts_rare_words_too(monkeypatch):
+    monkeypatch.setattr(maxent, "WORDS_HELD", 8)
+    texts = pa.array([f"w{i} w{i + 1} common" for i in range(40)])
+    batch = pa.RecordBatch.from_arrays([texts, pa.array([True] * 39 + [False])], ["text", "learnt"])
+    found = pa.Table.from_batches(list(maxent._word_counts([batch, batch]))).to_pandas().groupby("key")["n"].sum()
+    # Forty words of the texts to learn from, and the common one; the last text is left out.
+    assert sorted(found.tolist()) == [2, 2] + [4] * 38 + [78]
