@@ -487,3 +487,30 @@ def test_maxent_counts_rare_words_too(monkeypatch):
     found = pa.Table.from_batches(list(maxent._word_counts([batch, batch]))).to_pandas().groupby("key")["n"].sum()
     # Forty words of the texts to learn from, and the common one; the last text is left out.
     assert sorted(found.tolist()) == [2, 2] + [4] * 38 + [78]
+
+
+def test_probabilities_do_not_depend_on_the_shift_of_scores():
+    rng = np.random.default_rng(3)
+    rows = rng.integers(0, 50, (5, 200)).astype(np.uint16)
+    for spread in (1, 40):  # one shift for all tokens, and one for each
+        weights = rng.normal(0, spread, (50, 16)).astype(np.float32)
+        scores = weights[rows].sum(axis=0).astype(float)
+        want = np.exp(scores - scores.max(axis=1, keepdims=True))
+        made, total = maxent._exponentials(weights, rows)
+        np.testing.assert_allclose(made / total[:, None], want / want.sum(axis=1, keepdims=True), rtol=2e-3, atol=1e-30)
+
+
+def test_a_gradient_step_adds_up_the_rows_of_repeated_features():
+    rng = np.random.default_rng(4)
+    rows = np.concatenate([np.zeros((1, 300), int), rng.integers(1, 40, (3, 300))]).astype(np.uint16)
+    target, weights = rng.integers(0, 16, 300), rng.normal(size=(40, 16)).astype(np.float32)
+    scores = np.exp(weights[rows].sum(axis=0).astype(float))
+    d = scores / scores.sum(axis=1, keepdims=True) - np.eye(16)[target]
+    want, squares = weights.astype(float), np.zeros((40, 16))
+    for own in rows:
+        g = np.zeros((40, 16))
+        np.add.at(g, own, d)
+        squares += g * g
+        want -= maxent.RATE * g / np.sqrt(squares + 1)
+    maxent._step(weights, np.zeros((40, 16), np.float32), rows, target)
+    np.testing.assert_allclose(weights, want, atol=1e-4)
