@@ -7,9 +7,9 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.ml import Model as SparkModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import (
     DecisionTreeRegressor,
     GBTRegressor,
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tabfeat.operators.metrics import moment_metrics
 from tabfeat.operators.transformers import column_stats
-from tabfeat.plans import cells
+from tabfeat.plans import cells, huber
 from tabfeat.plans.neighbours import nearest_mean
 from tabfeat.session import shared_folder, tiny_table
 from tabfeat.spec import FeatureSpec, known_target, training_rows
@@ -223,35 +223,55 @@ class CosineFeatures:
                    np.array([stats[c]["std"] or 1.0 for c in columns], float),
                    directions, rng.uniform(0.0, 2 * np.pi, components))
 
-    def column(self) -> Column:
+    def lifted(self) -> Callable[[np.ndarray], np.ndarray]:
+        """The features of rows of inputs, as a function of plain arrays."""
         means, weights, phases = self.means, (self.directions / self.stds).T, self.phases
+        return lambda x: np.cos((x - means) @ weights + phases) * np.sqrt(2 / len(phases))
+
+    def _inputs(self) -> Column:
+        return F.struct(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(self.columns)])
+
+    def column(self) -> Column:
+        lifted = self.lifted()
 
         @F.pandas_udf("array<double>")
-        def lifted(x: pd.DataFrame) -> pd.Series:
-            values = np.cos((x.to_numpy(float) - means) @ weights + phases) * np.sqrt(2 / len(phases))
+        def features(x: pd.DataFrame) -> pd.Series:
+            values = lifted(x.to_numpy(float))
             known = ~np.isnan(values).any(axis=1)
             return pd.Series([v if k else None for v, k in zip(values, known, strict=True)], dtype=object)
 
-        return lifted(F.struct(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(self.columns)]))
+        return features(self._inputs())
+
+    def weighed(self, weights: np.ndarray, intercept: float) -> Column:
+        """The weighted sum of a row's features, without sending them; null where an input is missing."""
+        lifted = self.lifted()
+
+        @F.pandas_udf("double")
+        def total(x: pd.DataFrame) -> pd.Series:
+            values, result = x.to_numpy(float), np.empty(len(x))
+            for at in range(0, len(values), huber.CHUNK):
+                result[at:at + huber.CHUNK] = lifted(values[at:at + huber.CHUNK]) @ weights + intercept
+            return pd.Series(result)
+
+        return total(self._inputs())
 
 
 def _fit_kernel(df: DataFrame, spec: FeatureSpec, params: Mapping, name: str) -> FittedModel:
     """Random cosine features of the scaled inputs under a Huber loss.
 
     A linear-time stand-in for a radial kernel with a robust loss; the loss is not the
-    epsilon-insensitive one of support-vector regression.
+    epsilon-insensitive one of support-vector regression. The rows' own columns are kept while it is
+    fitted, not their features.
     """
-    rows = _train_rows(df, spec)
-    lift = CosineFeatures.drawn(rows, spec.features, params.get("components", 100),
-                                params.get("gamma", 1.0 / max(1, len(spec.features))), params.get("seed", 42))
-
-    def vectors(d: DataFrame) -> DataFrame:
-        return d.withColumn(_VECTOR, array_to_vector(lift.column()))
-
-    model = LinearRegression(loss="huber", epsilon=params.get("epsilon", 1.35), regParam=params.get("alpha", 1e-4),
-                             maxIter=params.get("max_iter", 200), featuresCol=_VECTOR, labelCol=spec.target,
-                             predictionCol="pred").fit(vectors(rows))
-    return FittedModel(name, spec, lambda d: model.transform(vectors(d)).drop(_VECTOR), None, model)
+    rows = _train_rows(df, spec).select(*spec.features, spec.target).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        lift = CosineFeatures.drawn(rows, spec.features, params.get("components", 100),
+                                    params.get("gamma", 1.0 / max(1, len(spec.features))), params.get("seed", 42))
+        weights, intercept = huber.fit(rows, lift.lifted(), len(lift.phases), params.get("epsilon", 1.35),
+                                       params.get("alpha", 1e-4), params.get("max_iter", 200))
+    finally:
+        rows.unpersist()
+    return FittedModel(name, spec, lambda d: d.withColumn("pred", lift.weighed(weights, intercept)))
 
 
 _FITTERS = {

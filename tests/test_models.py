@@ -1,9 +1,11 @@
 import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from tabfeat.operators import split
-from tabfeat.plans import cells, models, neighbours, search
+from tabfeat.plans import cells, huber, models, neighbours, search
 from tabfeat.plans.models import CosineFeatures, Regressor
 from tabfeat.spec import FeatureSpec
 
@@ -228,3 +230,42 @@ def test_trees_refuse_missing_features_and_stand_constants(spark, df):
     flat = df.select("id", *[F.lit(1.0).alias(c) for c in "abc"], "y")
     pred = Regressor("gradient_boosting", {"n_estimators": 2}).fit(flat, SPEC).predict(flat).agg(F.min("pred"), F.max("pred"), F.avg("y")).first()
     assert pred[0] == pred[1] == pytest.approx(pred[2])
+
+
+def test_kernel_model_reads_its_rows_a_few_times_and_finds_the_minimum(df, data, monkeypatch):
+    scans, added_up = [], huber._added_up
+    monkeypatch.setattr(huber, "_added_up", lambda *a: scans.append(1) or added_up(*a))
+    lift = CosineFeatures.drawn(df, ["a", "b", "c"], 20, 0.3, 42)
+    rows = df.withColumn("y", F.when(F.col("id") % 20 == 0, F.col("y") * 50).otherwise(F.col("y"))).select("a", "b", "c", "y")
+    weights, intercept = huber.fit(rows, lift.lifted(), 20)
+    assert 2 < len(scans) < 20
+    cells = np.array(rows.collect())
+    x, y = lift.lifted()(cells[:, :3]), cells[:, 3]
+    deviation = x.std(axis=0, ddof=1)
+
+    def loss(w, b, s):
+        r = np.abs(y - x @ w - b)
+        return np.where(r <= 1.35 * s, s + r * r / s, s + 2.7 * r - s * 1.35**2).mean() / 2 + 1e-4 / 2 * ((w * deviation)**2).sum()
+
+    def best(w, b):
+        return min(loss(w, b, s) for s in np.geomspace(0.01, 100, 4001))
+
+    spark_model = LinearRegression(loss="huber", epsilon=1.35, regParam=1e-4, maxIter=500, tol=1e-12, featuresCol="v", labelCol="y").fit(
+        rows.withColumn("v", array_to_vector(lift.column())))
+    assert best(weights, intercept) <= best(spark_model.coefficients.toArray(), spark_model.intercept) * (1 + 1e-6)
+    for j in range(20):
+        step = np.eye(20)[j] * 1e-2 / deviation[j]
+        assert min(best(weights + step, intercept), best(weights - step, intercept)) >= best(weights, intercept) * (1 - 1e-7)
+
+
+def test_kernel_model_with_gaps_constants_and_nothing_to_explain(df):
+    params = {"components": 10}
+    model = Regressor("svr", params).fit(df.withColumn("c", F.lit(2.0)), SPEC)
+    gaps = df.withColumn("b", F.when(F.col("id") > 3, F.col("b"))).withColumn("c", F.lit(2.0))
+    assert model.predict(gaps).where("pred IS NULL").count() == 4
+    flat = Regressor("svr", params).fit(df.withColumn("y", F.lit(7.0)), SPEC)
+    assert flat.predict(df).agg(F.max(F.abs(F.col("pred") - 7))).first()[0] < 1e-9
+    with pytest.raises(Exception, match="missing"):
+        Regressor("svr", params).fit(gaps, SPEC)
+    with pytest.raises(ValueError, match="without rows"):
+        Regressor("svr", params).fit(df.where("id < 0"), SPEC)
