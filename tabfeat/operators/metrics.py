@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tabfeat.fixed_values import HIGHER_IS_BETTER, METRICS
 from tabfeat.operators.quantiles import grouped_medians
-from tabfeat.session import checkpointed
+from tabfeat.session import BROADCAST_ROWS, checkpointed
 
 GROUP = ("model", "split")
 SCALED = "mean_absolute_scaled_error"
@@ -78,6 +78,39 @@ def naive_errors(df: DataFrame, by: Sequence[str], order: Sequence[str], value:
             .withColumnsRenamed({g: c for c, g in groups.items()}))
 
 
+_MARKS = ("_low", "_high", "_xor")
+
+
+def _series_mark(order: Sequence[str]) -> Column:
+    return F.xxhash64(*order, F.col("y").cast("double"))
+
+
+def _series_sums(wanted: bool) -> list[Column]:
+    """Sums over a group's marks that no order of its rows changes; null if there are too many."""
+    low, high = F.col("_h").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned("_h", 32)
+    return [F.try_sum(low).alias("_low"), F.try_sum(high).alias("_high"), F.bit_xor("_h").alias("_xor")] if wanted else []
+
+
+def _series_errors(rows: DataFrame, table: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``naive_errors`` of the groups in ``table``, worked out once for groups with the same targets in the same order.
+
+    That is common: every model predicts the same rows. Such groups agree in their numbers of rows and in all
+    sums of their marks. Rows are sorted by the number of their group instead of its names. More
+    groups than may be broadcast are sorted by name, each for itself.
+    """
+    if table.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
+        return naive_errors(rows, by, order)
+    own = F.when(F.col("_low").isNull() | F.col("_high").isNull(), F.struct(*[F.col(c) for c in by]))
+    numbered = table.select(*by, F.row_number().over(Window.orderBy(*by)).alias("_g"), "_n", *_MARKS, own.alias("_own"))
+    alike = Window.partitionBy("_n", *_MARKS, "_own")
+    groups = checkpointed(numbered.withColumn("_of", F.min("_g").over(alike)).select(*by, "_g", "_of"))
+    first = groups.where("_g = _of")
+    told = F.broadcast(first.select(F.col("_g").alias("_group"), *[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)]))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_by{i}")) for i, c in enumerate(by)])
+    found = naive_errors(rows.select(*dict.fromkeys([*by, *order]), F.col("y").alias("_y")).join(told, same), ["_group"], order, "_y")
+    return groups.join(found, F.col("_of") == F.col("_group")).select(*by, "steps", "total")
+
+
 def metric_table(predictions: DataFrame, order_by: Sequence[str], by: Sequence[str] = GROUP,
                  metrics: Sequence[str] = METRICS) -> DataFrame:
     """One row per group, one column per metric; only what the named metrics need is computed.
@@ -85,23 +118,26 @@ def metric_table(predictions: DataFrame, order_by: Sequence[str], by: Sequence[s
     Ten groups and ten thousand take the same path: nothing about a group is held by the driver.
     """
     rows = _scored(predictions)
+    series = [_series_mark(order_by).alias("_h")] if SCALED in metrics else []
     plain = moment_metrics()
     error = F.abs(F.col("y") - F.col("pred"))
     wanted = [m for m in plain if m in metrics or (m == "mae" and SCALED in metrics)]
-    moments = [F.count("*").alias("_n"), *[plain[m].alias(m) for m in wanted]]
+    moments = [F.count("*").alias("_n"), *[plain[m].alias(m) for m in wanted], *_series_sums(bool(series))]
     if "median_ae" in metrics:
         # Several scans follow: keep the few columns they need, and let go of them before returning.
-        kept = rows.select(*by, "y", "pred").persist(StorageLevel.MEMORY_AND_DISK)
+        kept = rows.select(*by, "y", "pred", *series).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             table = checkpointed(kept.groupBy(*by).agg(*moments))
             medians = checkpointed(grouped_medians(kept, by, error, "median_ae"))
         finally:
             kept.unpersist()
-        table = _same_group(table, medians, by)
+        table = checkpointed(_same_group(table, medians, by))
     else:
-        table = rows.groupBy(*by).agg(*moments)
+        table = rows.select("*", *series).groupBy(*by).agg(*moments)
     if SCALED in metrics:
-        table = _same_group(table, naive_errors(rows, by, order_by), by)
+        # The groups' series are compared before any row is sorted, so this scan comes first.
+        table = table if "median_ae" in metrics else checkpointed(table)
+        table = _same_group(table, _series_errors(rows, table, by, order_by), by)
         table = table.withColumn(SCALED, F.when(
             (F.col("steps") > 0) & (F.col("total") > 0),
             F.try_divide(F.col("mae"), F.try_divide(F.col("total"), F.col("steps")))).otherwise(F.lit(_INF)))

@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tabfeat.operators.metrics import all_metrics, best_model, compare_models, importance_pivot
 from tabfeat.operators.profile import data_info
@@ -63,13 +64,19 @@ def run_single(df: DataFrame, spec: FeatureSpec, chain: str = "basic", model: Re
     name = name or f"{model.kind}_{chain}"
     fitted = FeatureChain(chain, options).fit(df, spec)
     # The model's own scans and the evaluation share the features.
-    features = fitted.transform(df).persist(StorageLevel.MEMORY_AND_DISK)
+    features = _needed(fitted.transform(df), fitted.output_spec()).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return _evaluated(name, fitted, model.fit(features, fitted.output_spec()), features)
     finally:
         features.unpersist()
 
 
+def _needed(df: DataFrame, spec: FeatureSpec) -> DataFrame:
+    """The columns that a model and its metrics read; what leads to the others is then not worked out."""
+    named = dict.fromkeys([*spec.key, *spec.order_by, spec.split, spec.require_target(), *spec.features])
+    return df.select(*[F.col(f"`{c}`") for c in named if c in df.columns])
+
+
 def _evaluated(name: str, chain: FeatureChain, model: FittedModel, features: DataFrame) -> RunResult:
     model.name = name
     metrics, predictions = evaluate_model(model, features)

@@ -169,3 +169,30 @@ def test_results_are_written_without_a_sort_by_folder(spark, tmp_path):
     io.save_results(table, rows, str(tmp_path))
     found, back = io.load_results(spark, str(tmp_path), rows.schema)
     assert sorted(map(tuple, back.select(*rows.columns).collect())) == sorted(map(tuple, rows.collect())) and found.first()[3] == float("inf")
+
+
+def test_groups_with_the_same_series_are_sorted_once(spark, monkeypatch):
+    rng = random.Random(9)
+    ys = [rng.gauss(5, 2) for _ in range(300)]
+    rows = [(m, "test" if i % 3 else None, i, y, y + 1 if m != "c" or i != 7 else None) for i, y in enumerate(ys) for m in "abc"]
+    rows += [("d", "test", i, y if i != 8 else 99.0, 1.0) for i, y in enumerate(ys) if i % 3] + [("e", "test", i, ys[i] * 2, 1.0) for i in range(5)]
+    df = spark.createDataFrame(rows, "model string, split string, i int, y double, pred double").repartition(5)
+    sorted_rows, naive = [], metrics.naive_errors
+
+    def counted(df, *args):
+        sorted_rows.append(df.count())
+        return naive(df, *args)
+
+    monkeypatch.setattr(metrics, "naive_errors", counted)
+    want = {(r["model"], r["split"]): r["total"] / r["steps"] for r in naive(df.where("pred IS NOT NULL"), ["model", "split"], ["i"]).collect()}
+    for names in (["mean_absolute_scaled_error"], metrics.METRICS):
+        table = metrics.metric_table(df, ["i"], metrics=names).collect()
+        assert len(table) == len(want) == 8
+        for r in table:
+            mae = statistics.mean(abs(y - p) for m, s, _, y, p in rows if (m, s) == (r["model"], r["split"]) and p is not None)
+            assert r["mean_absolute_scaled_error"] == pytest.approx(mae / want[r["model"], r["split"]])
+    # a and b share both series, c one of them; d differs in one target, e in all.
+    assert sorted_rows == [100 + 200 + 199 + 200 + 5] * 2
+    monkeypatch.setattr(metrics, "BROADCAST_ROWS", 2)
+    again = {(r[0], r[1]): r[2] for r in metrics.metric_table(df, ["i"], metrics=names[-1:]).collect()}
+    assert sorted_rows[-1] == len(rows) - 1 and len(again) == 8
