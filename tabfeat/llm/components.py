@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabfeat.session import checkpointed
+from tabfeat.session import checkpointed, let_go
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -30,6 +30,8 @@ def components(links: DataFrame) -> DataFrame:
         edges = checkpointed(
             small.join(low, "a").select(F.col("b").alias("a"), F.col("least").alias("b")).where("a <> b")
             .union(low.select("a", F.col("least").alias("b"))).distinct())
+        del both, least, large, small, low
+        let_go(links.sparkSession)
     ids = edges.groupBy("a").agg(F.min("b").alias("component"))
     roots = ids.select(F.col("component").alias("a")).distinct().withColumn("component", F.col("a"))
     return ids.union(roots).withColumnRenamed("a", "id")

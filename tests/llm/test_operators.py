@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import time
 
 import brute
 import corpus_pipeline
@@ -514,3 +515,22 @@ def test_a_gradient_step_adds_up_the_rows_of_repeated_features():
         want -= maxent.RATE * g / np.sqrt(squares + 1)
     maxent._step(weights, np.zeros((40, 16), np.float32), rows, target)
     np.testing.assert_allclose(weights, want, atol=1e-4)
+
+
+def test_components_let_go_of_the_shuffles_of_earlier_steps(spark):
+    cleaned = []
+
+    def files():
+        place = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return sum(1 for b in place.getAllFiles().mkString("\n").split("\n") if b.endswith(".index"))
+
+    before = files()
+    found = components(spark.range(60).selectExpr("id a", "id + 1 b").repartition(7))
+    for _ in range(20):
+        cleaned.append(files() - before)
+        if cleaned[-1] <= 60:
+            break
+        time.sleep(0.5)
+    assert found.agg(F.max("component"), F.count("*")).first() == (0, 61)
+    # A step has about thirty such files, and there are about eight steps.
+    assert min(cleaned) <= 60
