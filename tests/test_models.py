@@ -1,12 +1,16 @@
+import inspect
+
 import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
+from tabfeat.catalog import queries
 from tabfeat.operators import split
-from tabfeat.plans import cells, huber, models, neighbours, search
-from tabfeat.plans.models import CosineFeatures, Regressor
+from tabfeat.plans import cells, huber, models, neighbours, runs, search
+from tabfeat.plans.models import MODEL_TYPES, CosineFeatures, Regressor
+from tabfeat.sources import frames
 from tabfeat.spec import FeatureSpec
 
 SPEC = FeatureSpec(("id",), ("a", "b", "c"), "y")
@@ -269,3 +273,53 @@ def test_kernel_model_with_gaps_constants_and_nothing_to_explain(df):
         Regressor("svr", params).fit(gaps, SPEC)
     with pytest.raises(ValueError, match="without rows"):
         Regressor("svr", params).fit(df.where("id < 0"), SPEC)
+
+
+@pytest.mark.parametrize("kind, trials, close", [
+    ("decision_tree", [{"max_depth": d} for d in (1, 3, 6)], 1e-9), ("knn", [{"k": k} for k in (1, 4, 15)], 1e-9),
+    ("gradient_boosting", [{"n_estimators": 4, "max_depth": 3, "learning_rate": 0.2}, {"n_estimators": 2, "max_depth": 2}], 1e-6),
+    ("random_forest", [{"n_estimators": 30, "max_depth": 5}, {"n_estimators": 20, "max_depth": 3}], 0.2),
+    ("svr", [{"epsilon": 1.2, "alpha": 1e-3, "components": 20}, {"epsilon": 1.9, "alpha": 1e-5, "components": 20}], 1e-5)])
+def test_trials_scored_together_score_as_those_fitted_one_by_one(df, kind, trials, close):
+    scoring = "r2" if kind in ("decision_tree", "knn") else "neg_mean_squared_error"
+    rows = search._folded(df, SPEC, 3, 42).cache()
+    found = search.fold_models.Folds(rows, SPEC).scores(kind, dict(enumerate(trials)), scoring)
+    for i, params in enumerate(trials):
+        want = search._scores(rows, SPEC, Regressor(kind, params), 3, scoring)
+        assert [f for f, _ in found[i]] == [f for f, _ in want] == [0, 1, 2]
+        assert [s for _, s in found[i]] == pytest.approx([s for _, s in want], rel=close)
+
+
+def _lines(spark):
+    """300 lines of their own with the features of ``LINE_INTER``."""
+    rng = np.random.default_rng(5)
+    rows = [(i, i % 7, i % 5, 1, i, *map(float, rng.normal(size=4)), ("test", "val", "train", "train", "train")[i % 5]) for i in range(300)]
+    names = ", ".join([f"{c} bigint" for c in frames.LINE_KEY] + [f"{c} double" for c in frames.LINE_INTER.features])
+    return spark.createDataFrame(rows, f"{names}, split string").withColumn(
+        "discount_amount", F.col("l_discount") * 3 + F.col("l_tax")).cache()
+
+
+@pytest.mark.parametrize("name, module, searches", [("optimize_wide", search, 1), ("run_grid", runs, 2)])
+def test_searches_are_asked_for_a_hundred_trials_of_all_families(spark, monkeypatch, name, module, searches):
+    lines, asked, search_all = _lines(spark), [], search.optimize
+
+    def quick(df, spec, **given):
+        asked.append(given)
+        return search_all(df, spec, n_trials=1, folds=2)
+
+    monkeypatch.setattr(frames, "line_inter_split", lambda *_: lines)
+    monkeypatch.setattr(module, "optimize", quick)
+    found = queries.QUERIES[name](spark, "")
+    if name == "run_grid":
+        assert {r[0] for r in found.select("model").distinct().collect()} == {f"{m}_{c}" for m in ("classical", "automl") for c in ("basic", "advanced")}
+    defaults = {n: p.default for n, p in inspect.signature(search_all).parameters.items()}
+    for given in asked:
+        full = {**defaults, **given}
+        assert full["n_trials"] == 100 and full["folds"] == 5 and set(full["families"] or MODEL_TYPES) == set(MODEL_TYPES)
+    assert len(asked) == searches
+
+
+def test_a_search_of_all_families_scores_every_trial(spark):
+    found = search.optimize(_lines(spark), frames.LINE_INTER, n_trials=9, folds=2, refit=False)
+    rows = found.trials.groupBy("family").agg(F.count("score")).collect()
+    assert {r[0] for r in rows} == set(MODEL_TYPES) and {r[1] for r in rows} == {2} and found.unscored == 0
