@@ -534,3 +534,27 @@ def test_components_let_go_of_the_shuffles_of_earlier_steps(spark):
     assert found.agg(F.max("component"), F.count("*")).first() == (0, 61)
     # A step has about thirty such files, and there are about eight steps.
     assert min(cleaned) <= 60
+
+
+def test_maxent_model_grows_with_the_words_and_adds_up_to_one():
+    assert [maxent._sizes(n)[0] for n in (10, 10**4, 10**5, 10**6, 10**9)] == [1, 2, 2, 3, 5]
+    assert maxent._sizes(10**6)[1] > maxent._sizes(10**4)[1]
+    rng = np.random.default_rng(6)
+    model = maxent.new_model(rng.integers(1, 90, maxent.SYMBOLS), rng.integers(0, 9, (1, 256, maxent.BRANCH)))
+    model = {k: v + rng.normal(0, 0.5, v.shape).astype(np.float32) for k, v in model.items()}
+    # All that may follow two words: every head, and every branch of every tail.
+    symbols = np.concatenate([np.arange(maxent.END + 1), np.repeat(np.arange(maxent.END + 1, maxent.SYMBOLS), maxent.BRANCH)])
+    codes = np.concatenate([np.zeros(maxent.END + 1, int), np.tile(np.arange(maxent.BRANCH) << 16, maxent.TAILS)])
+    n, one = len(symbols), np.ones(len(symbols), int)
+    texts = [np.column_stack([a * one, b * one, c]).ravel() for a, b, c in ((400, 7, symbols), (3 << 16, 0, codes))]
+    logs = maxent.log_probabilities(model, *texts, np.zeros(3 * n, bool), np.arange(n + 1) * 3)[2::3]
+    assert (10.0 ** logs).sum() == pytest.approx(1, abs=1e-3)
+
+
+def test_a_rare_word_is_expected_after_the_word_that_it_follows(spark):
+    """Of 1,200 words most have no symbol of their own; they are told from the others of their tail by the word before."""
+    texts = [f"lead{i % 600} rare{i % 600}xy" for i in range(18_000)] + [f"lead{i} rare{(i + 7) % 600}xy" for i in range(600)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    score = {r["doc_id"]: r["score"] for r in score_texts(docs).collect()}
+    followed, other = np.mean([score[i] for i in range(600)]), np.mean([score[i] for i in range(18_000, 18_600)])
+    assert followed > other + 1.3
